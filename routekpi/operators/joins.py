@@ -1,0 +1,36 @@
+"""Join helpers with explicit, checked broadcast decisions.
+
+A side is broadcast only when its row count has a bound that does not grow
+with the data: fixed dimensions (the seed), top-k tables (k rows per period),
+and rollups whose group keys are limited by the quality gate (accepted
+sub-regions x accepted years).  Everything else is left to the planner and
+AQE, which broadcast a side only when its measured runtime size is below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``, and otherwise shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest number of rows we broadcast on a proven bound.
+BROADCAST_ROW_LIMIT = 1_000_000
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint when the caller-proven bound `max_rows` is within `limit`."""
+    return F.broadcast(df) if max_rows <= limit else df
+
+
+def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast after counting at most `limit + 1` rows; meant for small inputs
+    (a seed file, a dimension file).  Above the limit the planner decides."""
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df
+
+
+def left_join(left: DataFrame, right: DataFrame, on, right_max_rows: int | None = None) -> DataFrame:
+    """Left equi-join; the right side is broadcast only under a proven bound."""
+    if right_max_rows is not None:
+        right = broadcast_bounded(right, right_max_rows)
+    return left.join(right, on=on, how="left")
