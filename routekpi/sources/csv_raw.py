@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.parse import null_tokens
 from ..schemas import NULL_TOKENS, SEED_SCHEMA, SUBREGION_SEED, all_string_schema
 
-# Report / snapshot year taken from the file name: ..._2023.csv -> '2023'.
-YEAR_FROM_FILE = r"(\d{4})(?:\.csv)?$"
+# Report / snapshot year taken from the file path: .../tspr_bus_yearline_2023.csv -> '2023'.
+YEAR_FROM_FILE = r"(\d{4})\.csv$"
 
 
 def csv_reader(spark: SparkSession, columns, multiline: bool = True):
@@ -37,13 +37,13 @@ def read_raw_csv(spark: SparkSession, paths, columns, source_col: str | None = N
     """All-text DataFrame of the given CSV files.
 
     The null tokens become NULL on every column.  With `source_col`, the
-    year parsed from each row's file name is added (empty -> NULL).
+    label matched by `source_pattern` in each row's file path is added (no match -> NULL).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = csv_reader(spark, columns, multiline).csv(paths)
     cols = [null_tokens(c, tokens).alias(c) for c in columns]
     if source_col:
-        name = F.regexp_extract(F.col("_metadata.file_name"), source_pattern, 1)
+        name = F.regexp_extract(F.col("_metadata.file_path"), source_pattern, 1)
         cols.append(F.when(name != "", name).alias(source_col))
     return df.select(*cols)
 
