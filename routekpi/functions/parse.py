@@ -18,6 +18,12 @@ def null_tokens(c, tokens=NULL_TOKENS) -> Column:
     return F.when(c.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
 
+def null_token_frame(df, columns=None, tokens=NULL_TOKENS):
+    """`null_tokens` on many text columns of a frame in one projection."""
+    cols = list(columns) if columns is not None else [f.name for f in df.schema.fields]
+    return df.na.replace(list(tokens), None, subset=cols)
+
+
 def try_integer(c) -> Column:
     """Integer parse that rounds half-up ('5.7' -> 6) and yields NULL on bad text.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parse import null_tokens
+from ..functions.parse import null_token_frame
 from ..schemas import NULL_TOKENS, SEED_SCHEMA, SUBREGION_SEED, all_string_schema
 
 # Report / snapshot year taken from the file path: .../tspr_bus_yearline_2023.csv -> '2023'.
@@ -41,11 +41,11 @@ def read_raw_csv(spark: SparkSession, paths, columns, source_col: str | None = N
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = csv_reader(spark, columns, multiline).csv(paths)
-    cols = [null_tokens(c, tokens).alias(c) for c in columns]
+    cols = [F.col(c) for c in columns]
     if source_col:
         name = F.regexp_extract(F.col("_metadata.file_path"), source_pattern, 1)
         cols.append(F.when(name != "", name).alias(source_col))
-    return df.select(*cols)
+    return null_token_frame(df.select(*cols), columns, tokens)
 
 
 def empty_raw(spark: SparkSession, columns, source_col: str | None = None) -> DataFrame:

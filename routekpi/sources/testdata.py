@@ -30,8 +30,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parse import null_tokens
-from ..operators.joins import broadcast_checked
+from ..functions.parse import null_token_frame
+from ..operators.joins import broadcast_bounded
 from ..schemas import BUS_LINE_COLUMNS, SEED_SCHEMA, STOPS_COLUMNS, YEARLINE_COLUMNS, KpiParams
 
 # Calendar of the derived data.
@@ -71,8 +71,21 @@ DRIVER_PARAMS = KpiParams(
 )
 
 
+_TABLES: dict = {}
+
+# Row counts fixed by the TPC-H schema (they do not grow with the scale factor).
+NATION_ROWS = 25
+REGION_ROWS = 5
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver's table `name`; the frame is reused per session so the
+    Parquet footer is read (schema inference is a Spark job) once."""
+    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(key[1])
+    return df
 
 
 def _padded(c: Column) -> Column:
@@ -154,7 +167,7 @@ def shared(df: DataFrame) -> DataFrame:
 
 def _loaded(df: DataFrame, columns) -> DataFrame:
     """What the CSV load produces: the null tokens read as NULL."""
-    return df.select(*[null_tokens(c).alias(c) for c in columns])
+    return null_token_frame(df.select(*columns), columns)
 
 
 def render_report(g: DataFrame, sfx: str, loaded: bool = True) -> DataFrame:
@@ -197,8 +210,8 @@ def yearline_reports(spark: SparkSession, sf_dir: str) -> dict:
 def bus_line_snapshots(spark: SparkSession, sf_dir: str) -> dict:
     """{snapshot year label: raw snapshot frame} (26 text columns)."""
     g = supplier_years(spark, sf_dir).filter(F.col("year").isin(list(SNAPSHOT_YEARS)))
-    nation = broadcast_checked(table(spark, sf_dir, "nation"), 10_000)
-    region = broadcast_checked(table(spark, sf_dir, "region"), 10_000)
+    nation = broadcast_bounded(table(spark, sf_dir, "nation"), NATION_ROWS)
+    region = broadcast_bounded(table(spark, sf_dir, "region"), REGION_ROWS)
     g = (
         g.join(nation, g["s_nationkey"] == nation["n_nationkey"], "left")
         .join(region, F.col("n_regionkey") == region["r_regionkey"], "left")
@@ -243,7 +256,7 @@ def bus_line_snapshots(spark: SparkSession, sf_dir: str) -> dict:
         F.lit("").alias("GlobalID"),
         s(F.col("year")).alias("_snapshot"),
     )
-    loaded = raw.select(*[null_tokens(c).alias(c) for c in BUS_LINE_COLUMNS], "_snapshot")
+    loaded = null_token_frame(raw, BUS_LINE_COLUMNS)
     return {str(y): loaded.filter(F.col("_snapshot") == str(y)).drop("_snapshot") for y in SNAPSHOT_YEARS}
 
 
@@ -274,7 +287,7 @@ def raw_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def subregion_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed-shaped dimension: region name, 3-letter code, customers, nations x 100."""
-    nation = broadcast_checked(table(spark, sf_dir, "nation"), 10_000)
+    nation = broadcast_bounded(table(spark, sf_dir, "nation"), NATION_ROWS)
     region = table(spark, sf_dir, "region")
     customers = (
         table(spark, sf_dir, "customer")
