@@ -68,18 +68,18 @@ def top_k(df: DataFrame, period: str, order, k: int, rank_col: str = "rank") ->
 
 def with_topk_persistence(ranked: DataFrame, entity: str, rank_col: str, k: int, min_periods: int,
                           max_periods: int, count_col: str = "years_in_top20",
-                          flag_col: str = "is_top20", persistent_col: str = "is_persistent_overcrowded") -> DataFrame:
+                          flag_col: str = "is_top20", persistent_col: str = "is_persistent_overcrowded",
+                          top: DataFrame | None = None) -> DataFrame:
     """Add top-k flag, number of periods in the top k, and the persistence flag.
 
     The per-entity counts come from the top-k rows only (at most
     k * max_periods rows, a bound set by the accepted periods), so they are
-    broadcast back instead of shuffling the ranked table by entity.
+    broadcast back instead of shuffling the ranked table by entity.  `top`
+    may give those rows from a cheaper plan (`top_k` on the unranked input,
+    same order); by default they are read off `ranked`.
     """
-    counts = (
-        ranked.filter(F.col(rank_col) <= k)
-        .groupBy(entity)
-        .agg(F.count(F.lit(1)).alias(count_col))
-    )
+    top = ranked.filter(F.col(rank_col) <= k) if top is None else top
+    counts = top.groupBy(entity).agg(F.count(F.lit(1)).alias(count_col))
     counts = broadcast_bounded(counts, k * max_periods)
     out = ranked.join(counts, on=entity, how="left")
     return out.withColumns(

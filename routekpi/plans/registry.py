@@ -46,11 +46,13 @@ def comparable(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- building blocks
 
 def raw_reports(spark, d):
-    return staging.union_reports(TD.yearline_reports(spark, d))
+    """Both reports, labelled (derived in one pass; `q_union_reports` runs U1 itself)."""
+    return TD.report_rows(spark, d)
 
 
 def raw_snapshots(spark, d):
-    return staging.union_snapshots(TD.bus_line_snapshots(spark, d))
+    """All snapshots, labelled (one pass; `q_union_snapshots` runs U2 itself)."""
+    return TD.snapshot_rows(spark, d)
 
 
 def stg_perf(spark, d):
@@ -84,11 +86,9 @@ def q_raw_csv_load(spark: SparkSession, d: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     out = f"{root}/routekpi-csv/{os.path.basename(d.rstrip('/'))}-{uuid.uuid4().hex}"
     g = TD.supplier_years(spark, d)
-    label_o, f_o, l_o = TD.OLDER_REPORT
-    label_n, f_n, l_n = TD.NEWER_REPORT
-    older = TD.render_report(g.filter(F.col("year").between(f_o, l_o) & (F.col("n_early") > 0)), "early", loaded=False)
-    newer = TD.render_report(g.filter(F.col("year").between(f_n, l_n)), "all", loaded=False)
-    for label, df in ((label_o, older), (label_n, newer)):
+    older = TD.render_report(g.filter(TD._older_rows()), "early", loaded=False)
+    newer = TD.render_report(g.filter(TD._newer_rows()), "all", loaded=False)
+    for label, df in ((TD.OLDER_REPORT[0], older), (TD.NEWER_REPORT[0], newer)):
         df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(
             f"{out}/report_{label}"
         )
@@ -102,8 +102,7 @@ def q_load_audit(spark, d):
 
 
 def q_null_tokens(spark, d):
-    g = TD.supplier_years(spark, d).filter(F.col("year").between(*TD.NEWER_REPORT[1:]))
-    raw = TD.render_report(g, "all", loaded=False)
+    raw = TD.render_report(TD.supplier_years(spark, d).filter(TD._newer_rows()), "all", loaded=False)
     return raw.select(
         "CalendarYear", "Lineno_renamed",
         F.col("Perc_Trips_w_Overcrowding").alias("pct_text"),
@@ -114,11 +113,13 @@ def q_null_tokens(spark, d):
 
 
 def q_union_reports(spark, d):
-    return raw_reports(spark, d)
+    """U1: UNION ALL of the two report frames, each tagged with its label."""
+    return staging.union_reports(TD.yearline_reports(spark, d))
 
 
 def q_union_snapshots(spark, d):
-    return raw_snapshots(spark, d)
+    """U2: UNION ALL of the four snapshot frames, each tagged with its year."""
+    return staging.union_snapshots(TD.bus_line_snapshots(spark, d))
 
 
 def q_seed_dim(spark, d):

@@ -170,12 +170,12 @@ def _loaded(df: DataFrame, columns) -> DataFrame:
     return null_token_frame(df.select(*columns), columns)
 
 
-def render_report(g: DataFrame, sfx: str, loaded: bool = True) -> DataFrame:
-    """One yearline report as raw text (17 columns); `loaded` maps the null tokens."""
+def report_columns(sfx: str) -> list:
+    """The 17 raw text columns of a yearline report, from the `sfx` aggregates."""
     n, q, e = F.col(f"n_{sfx}"), F.col(f"q_{sfx}"), F.col(f"e_{sfx}")
     big, full = F.col(f"big_{sfx}"), F.col(f"full_{sfx}")
     s = lambda c: c.cast("string")
-    raw = g.select(
+    return [
         s(F.col("year")).alias("CalendarYear"),
         F.col("route_code").alias("Lineno_renamed"),
         s(q).alias("AnnualBoardings"),
@@ -193,22 +193,53 @@ def render_report(g: DataFrame, sfx: str, loaded: bool = True) -> DataFrame:
         ratio_text(F.col(f"ontime_{sfx}") * 100, n).alias("On_Time_Performance_Percentage"),
         ratio_text(F.col(f"ret_{sfx}") * 100, n).alias("Bus_Bunching_Percentage"),
         F.lit("NULL").alias("AVG_speed_km_per_hr"),
-    )
+    ]
+
+
+def render_report(g: DataFrame, sfx: str, loaded: bool = True) -> DataFrame:
+    """One yearline report as raw text (17 columns); `loaded` maps the null tokens."""
+    raw = g.select(*report_columns(sfx))
     return _loaded(raw, YEARLINE_COLUMNS) if loaded else raw
 
 
-def yearline_reports(spark: SparkSession, sf_dir: str) -> dict:
-    """{report label: raw report frame} for the two overlapping reports."""
+def _older_rows() -> Column:
+    _, first, last = OLDER_REPORT
+    return F.col("year").between(first, last) & (F.col("n_early") > 0)
+
+
+def _newer_rows() -> Column:
+    _, first, last = NEWER_REPORT
+    return F.col("year").between(first, last)
+
+
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both reports as one raw frame (17 text columns + report_source).
+
+    One pass over the per-(supplier, year) aggregation: each row emits its
+    line of every report that covers its year (``explode`` of a two-slot
+    array), so the union of the two reports costs no second plan branch.
+    """
     g = supplier_years(spark, sf_dir)
-    label_o, first_o, last_o = OLDER_REPORT
-    label_n, first_n, last_n = NEWER_REPORT
-    older = g.filter(F.col("year").between(first_o, last_o) & (F.col("n_early") > 0))
-    newer = g.filter(F.col("year").between(first_n, last_n))
-    return {label_o: render_report(older, "early"), label_n: render_report(newer, "all")}
+    slots = [
+        F.when(cond, F.struct(*report_columns(sfx), F.lit(label).alias("report_source")))
+        for (label, _, _), sfx, cond in ((OLDER_REPORT, "early", _older_rows()), (NEWER_REPORT, "all", _newer_rows()))
+    ]
+    rows = g.select(F.explode(F.array(*slots)).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
+    return null_token_frame(rows, YEARLINE_COLUMNS)
 
 
-def bus_line_snapshots(spark: SparkSession, sf_dir: str) -> dict:
-    """{snapshot year label: raw snapshot frame} (26 text columns)."""
+def yearline_reports(spark: SparkSession, sf_dir: str) -> dict:
+    """{report label: raw report frame}, each cut from `report_rows` (the cuts
+    share one plan subtree, so Spark computes it once)."""
+    rows = report_rows(spark, sf_dir)
+    return {
+        label: rows.filter(F.col("report_source") == label).drop("report_source")
+        for label in (OLDER_REPORT[0], NEWER_REPORT[0])
+    }
+
+
+def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bus line snapshots as one raw frame (26 text columns + snapshot_year)."""
     g = supplier_years(spark, sf_dir).filter(F.col("year").isin(list(SNAPSHOT_YEARS)))
     nation = broadcast_bounded(table(spark, sf_dir, "nation"), NATION_ROWS)
     region = broadcast_bounded(table(spark, sf_dir, "region"), REGION_ROWS)
@@ -254,10 +285,17 @@ def bus_line_snapshots(spark: SparkSession, sf_dir: str) -> dict:
         s(F.col("suppkey")).alias("OBJECTID"),
         F.lit("").alias("SHAPE__Length_2"),
         F.lit("").alias("GlobalID"),
-        s(F.col("year")).alias("_snapshot"),
+        s(F.col("year")).alias("snapshot_year"),
     )
-    loaded = null_token_frame(raw, BUS_LINE_COLUMNS)
-    return {str(y): loaded.filter(F.col("_snapshot") == str(y)).drop("_snapshot") for y in SNAPSHOT_YEARS}
+    return null_token_frame(raw, BUS_LINE_COLUMNS)
+
+
+def bus_line_snapshots(spark: SparkSession, sf_dir: str) -> dict:
+    """{snapshot year label: raw snapshot frame}, cut from `snapshot_rows`."""
+    rows = snapshot_rows(spark, sf_dir)
+    return {
+        str(y): rows.filter(F.col("snapshot_year") == str(y)).drop("snapshot_year") for y in SNAPSHOT_YEARS
+    }
 
 
 def raw_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
