@@ -547,6 +547,15 @@ def build() -> dict:
     reports_out = ", ".join(list(YEARLINE_COLUMNS) + ["report_source"])
     q["union_reports"] = _w(REPORTS, f"SELECT {reports_out} FROM reports")
     q["raw_csv_load"] = q["union_reports"]
+    q["source_year_from_path"] = _w(REPORTS, "SELECT report_source, CAST(count(*) AS BIGINT) AS rows_loaded FROM reports GROUP BY 1")
+    q["latest_snapshot"] = _w(
+        LINE, f"SELECT route_number, {I('snapshot_year')}, line_raw, subregion FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY route_number ORDER BY snapshot_year DESC NULLS FIRST, line_raw ASC NULLS LAST) AS rn "
+        "FROM line WHERE route_number IS NOT NULL) WHERE rn = 1")
+    q["bbox_filter"] = _w(
+        STOPS, "SELECT stop_id, stop_lat, stop_lon FROM (SELECT stop_id, TRY_CAST(stop_lat AS DOUBLE) AS stop_lat, "
+        "TRY_CAST(stop_lon AS DOUBLE) AS stop_lon FROM stops) WHERE stop_lat IS NOT NULL AND stop_lon IS NOT NULL "
+        "AND stop_lat BETWEEN 48.0 AND 50.0 AND stop_lon BETWEEN -124.0 AND -121.5")
     q["load_audit"] = _w(REPORTS, "SELECT report_source, CAST(count(*) AS BIGINT) AS rows_loaded FROM reports GROUP BY 1")
     q["null_tokens"] = _w(
         SY + f",\nrawn AS ({_render('all', f'year BETWEEN {FN} AND {TN}', LN, tokens=False)})",

@@ -74,15 +74,32 @@ def _write(df: DataFrame, path: str, partition_by=None) -> int:
     return int(obs.get["rows"])
 
 
-def load_raw(spark: SparkSession, inputs: PipelineInputs, warehouse: str, found: dict) -> dict:
-    """Raw layer: all-text tables, one per source kind, with the file's year label."""
+ALL_SOURCES = ("yearline", "bus_line", "stops")
+
+# Reporting order of each mart, applied within each written partition (a
+# local sort, no shuffle); the year leads because the tables are
+# partitioned by it.
+def mart_order(name: str) -> list:
+    return {
+        "fct_overcrowding_ranking": [F.col("overcrowding_rank").asc()],
+        "fct_service_gap": [F.col("gap_score").desc_nulls_first(), F.col("route_number").asc()],
+        "fct_recovery_trends": [F.col("subregion").asc_nulls_last(), F.col("route_number").asc()],
+    }[name]
+
+
+def load_raw(spark: SparkSession, inputs: PipelineInputs, warehouse: str, found: dict,
+             sources=ALL_SOURCES) -> dict:
+    """Raw layer: all-text tables, one per selected source kind, with the file's year label."""
     counts = {}
-    yearline = read_raw_csv(spark, found["yearline"], YEARLINE_COLUMNS, source_col="report_source")
-    counts["raw_yearline"] = _write(yearline, f"{warehouse}/raw/yearline")
-    lines = read_raw_csv(spark, found["bus_line"], BUS_LINE_COLUMNS, source_col="snapshot_year")
-    counts["raw_bus_line"] = _write(lines, f"{warehouse}/raw/bus_line")
-    stops = read_raw_csv(spark, found["stops"], STOPS_COLUMNS) if found["stops"] else empty_raw(spark, STOPS_COLUMNS)
-    counts["raw_stops"] = _write(stops, f"{warehouse}/raw/stops")
+    if "yearline" in sources:
+        yearline = read_raw_csv(spark, found["yearline"], YEARLINE_COLUMNS, source_col="report_source")
+        counts["raw_yearline"] = _write(yearline, f"{warehouse}/raw/yearline")
+    if "bus_line" in sources:
+        lines = read_raw_csv(spark, found["bus_line"], BUS_LINE_COLUMNS, source_col="snapshot_year")
+        counts["raw_bus_line"] = _write(lines, f"{warehouse}/raw/bus_line")
+    if "stops" in sources:
+        stops = read_raw_csv(spark, found["stops"], STOPS_COLUMNS) if found["stops"] else empty_raw(spark, STOPS_COLUMNS)
+        counts["raw_stops"] = _write(stops, f"{warehouse}/raw/stops")
     counts["subregion_population"] = _write(seed_frame(spark, inputs.seed_path), f"{warehouse}/raw/subregion_population")
     return counts
 
@@ -109,13 +126,15 @@ def enforce_or_collect(summary: DataFrame) -> list:
 
 
 def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
-                 params: KpiParams = KpiParams(), layers=("raw", "staging", "marts")) -> RunSummary:
-    """Run the job; `layers` selects a partial run (e.g. only "marts" on existing staging)."""
+                 params: KpiParams = KpiParams(), layers=("raw", "staging", "marts"),
+                 sources=ALL_SOURCES) -> RunSummary:
+    """Run the job; `layers` selects a partial run (e.g. only "marts" on existing
+    staging) and `sources` the raw sources to (re)load."""
     t0 = time.time()
     out = RunSummary()
     if "raw" in layers:
         found = check_inputs(spark, inputs)
-        out.tables.update(load_raw(spark, inputs, warehouse, found))
+        out.tables.update(load_raw(spark, inputs, warehouse, found, sources))
 
     if "staging" in layers:
         stg = build_staging(spark, warehouse, params)
@@ -146,7 +165,8 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
             "fct_recovery_trends": marts.recovery_trends(fact, params),
         }
         for name, df in builds.items():
-            out.tables[name] = _write(df, f"{a}/{name}", "calendar_year")
+            ordered = df.sortWithinPartitions(F.col("calendar_year").asc(), *mart_order(name))
+            out.tables[name] = _write(ordered, f"{a}/{name}", "calendar_year")
         names = ["dim_routes", "dim_subregions", "fact_route_performance", *builds]
         written = {n: spark.read.parquet(f"{a}/{n}") for n in names}
         rows = run_layer_checks(written, mart_checks(params))

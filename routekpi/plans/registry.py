@@ -96,6 +96,11 @@ def q_raw_csv_load(spark: SparkSession, d: str) -> DataFrame:
                         source_pattern=r"report_(\d{4})/")
 
 
+def q_source_year_from_path(spark, d):
+    """S4: the report label each CSV row gets from its file path, counted."""
+    return q_raw_csv_load(spark, d).groupBy("report_source").agg(F.count(F.lit(1)).alias("rows_loaded"))
+
+
 def q_load_audit(spark, d):
     """S8: rows loaded per report."""
     return raw_reports(spark, d).groupBy("report_source").agg(F.count(F.lit(1)).alias("rows_loaded"))
@@ -229,6 +234,24 @@ def q_model_stops(spark, d):
     return staging.model_stops(TD.raw_stops(spark, d), P)
 
 
+def q_latest_snapshot(spark, d):
+    """W5 + F3: each route's newest snapshot row."""
+    from ..operators.dedupe import latest_per_key
+
+    line = stg_line(spark, d).filter(F.col("route_number").isNotNull())
+    return latest_per_key(line, ["route_number"], ["snapshot_year"], tiebreak=["line_raw"]).select(
+        "route_number", "snapshot_year", "line_raw", "subregion")
+
+
+def q_bbox_filter(spark, d):
+    """typed stops with coordinates inside the inclusive box (any location type)."""
+    from ..operators.audit import bbox_filter
+
+    s = TD.raw_stops(spark, d).select("stop_id", K.try_double("stop_lat").alias("stop_lat"),
+                                      K.try_double("stop_lon").alias("stop_lon"))
+    return bbox_filter(s, "stop_lat", "stop_lon", P.lat_range, P.lon_range)
+
+
 def q_model_dim_routes(spark, d):
     return dim_routes(spark, d)
 
