@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.parse import null_token_frame
 from ..schemas import NULL_TOKENS, SEED_SCHEMA, SUBREGION_SEED, all_string_schema
 
-# Report / snapshot year taken from the file path: .../tspr_bus_yearline_2023.csv -> '2023'.
-YEAR_FROM_FILE = r"(\d{4})\.csv$"
+# Report / snapshot year taken from the file path: .../tspr_bus_yearline_2023.csv -> '2023'
+# (also .../tspr_bus_yearline_2023.csv/part-00000.csv, a folder written by Spark).
+YEAR_FROM_FILE = r"(\d{4})\.csv(?:/[^/]+)?$"
 
 
 def csv_reader(spark: SparkSession, columns, multiline: bool = True):

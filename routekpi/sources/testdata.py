@@ -58,6 +58,10 @@ PART_RULES = (
     ("heavy", ("LARGE%", "%ANVIL%")),
 )
 
+# The pipeline run on derived CSVs accepts the unmatched region text that the
+# snapshots carry on purpose (it would otherwise stop at the gate).
+DRIVER_PIPELINE_SUBREGIONS = REGION_NAMES + ("Atlantis",)
+
 DRIVER_PARAMS = KpiParams(
     base_year=FIRST_YEAR,
     valid_years=tuple(range(FIRST_YEAR, LAST_YEAR + 1)),
@@ -362,3 +366,26 @@ def part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(k.cast("string"), F.lit(".5")))
     )
     return p.select("p_partkey", "p_type", "p_name", code.alias("route_raw"))
+
+
+def write_raw_csvs(spark: SparkSession, sf_dir: str, out: str) -> dict:
+    """Write the derived raw inputs as CSV folders named like the source
+    exports (tspr_bus_yearline_<report>.csv, TSPR_OpenData_Archive_<year>.csv,
+    gtfs/stops.csv, subregion_population.csv), tokens kept as text.  Returns the globs to read them."""
+    opts = {"header": True, "quote": '"', "escape": '"'}
+    g = supplier_years(spark, sf_dir)
+    for (label, _, _), sfx, cond in ((OLDER_REPORT, "early", _older_rows()), (NEWER_REPORT, "all", _newer_rows())):
+        render_report(g.filter(cond), sfx, loaded=False).write.mode("overwrite").options(**opts).csv(
+            f"{out}/tspr_bus_yearline_{label}.csv")
+    snaps = snapshot_rows(spark, sf_dir)
+    for y in SNAPSHOT_YEARS:
+        snaps.filter(F.col("snapshot_year") == str(y)).drop("snapshot_year").write.mode("overwrite").options(
+            **opts).csv(f"{out}/TSPR_OpenData_Archive_{y}.csv")
+    raw_stops(spark, sf_dir).write.mode("overwrite").options(**opts).csv(f"{out}/gtfs/stops.csv")
+    subregion_seed(spark, sf_dir).write.mode("overwrite").options(**opts).csv(f"{out}/subregion_population.csv")
+    return {
+        "seed_path": f"{out}/subregion_population.csv",
+        "yearline_glob": f"{out}/tspr_bus_yearline_*.csv",
+        "bus_line_glob": f"{out}/TSPR_OpenData_Archive_*.csv",
+        "stops_path": f"{out}/gtfs/stops.csv",
+    }
