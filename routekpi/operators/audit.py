@@ -12,13 +12,16 @@ def revision_audit(older: DataFrame, newer: DataFrame, keys, value: str, periods
     """Rows present in both reports whose `value` differs.
 
     Inner equi-join on `keys` with the residual ``a.value <> b.value``; both
-    sides are shuffled on the keys (no side is assumed small).  `parse`
-    optionally turns the raw text into a number for the relative change;
-    the comparison itself is on the raw values, as in the source query.
+    sides are shuffled on the keys (no side is assumed small).  Each side is
+    first reduced to its distinct (keys, value) rows -- a partial+final
+    aggregation -- so a key repeated in many copies of a report cannot
+    multiply into pairs; a changed value still shows once per distinct pair.
+    `parse` optionally turns the raw text into a number for the relative
+    change; the comparison itself is on the raw values, as in the source query.
     """
     keys = list(keys)
-    a = older.select(*keys, F.col(value).alias(older_name))
-    b = newer.select(*keys, F.col(value).alias(newer_name))
+    a = older.select(*keys, F.col(value).alias(older_name)).distinct()
+    b = newer.select(*keys, F.col(value).alias(newer_name)).distinct()
     if periods is not None and period_col is not None:
         a = a.filter(F.col(period_col).isin(list(periods)))
     out = a.join(b, on=keys, how="inner").filter(F.col(older_name) != F.col(newer_name))
