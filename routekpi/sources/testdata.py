@@ -85,10 +85,10 @@ REGION_ROWS = 5
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's table `name`; the frame is reused per session so the
     Parquet footer is read (schema inference is a Spark job) once."""
-    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(key[1])
+    path = f"{sf_dir}/{name}.parquet"
+    df = _TABLES.get(path)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[path] = spark.read.parquet(path)
     return df
 
 
