@@ -19,7 +19,6 @@ from ..sources import testdata as TD
 from .checks import staging_checks
 
 P = TD.DRIVER_PARAMS
-YEARS = ", ".join(str(y) for y in P.valid_years)
 
 
 def rdiv(num: str, den: str, mult: int = 1, scale: int = 0) -> str:

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import os
 import uuid
-from functools import lru_cache  # noqa: F401
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,6 @@ from pyspark.sql import types as T
 
 from .. import functions as K
 from ..operators import quality as Q
-from ..operators.rollup import mean  # noqa: F401
 from ..schemas import YEARLINE_COLUMNS
 from ..session import ensure_checkpoint_dir
 from ..sources import testdata as TD
