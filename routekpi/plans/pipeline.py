@@ -30,6 +30,10 @@ class PipelineInputs:
     bus_line_glob: str
     stops_path: str | None = None
     seed_path: str | None = None
+    # Quoted fields may hold newlines in the source exports; that makes each
+    # file one task.  Set False for large files without embedded newlines so
+    # Spark splits them.
+    multiline: bool = True
 
 
 @dataclass
@@ -92,13 +96,16 @@ def load_raw(spark: SparkSession, inputs: PipelineInputs, warehouse: str, found:
     """Raw layer: all-text tables, one per selected source kind, with the file's year label."""
     counts = {}
     if "yearline" in sources:
-        yearline = read_raw_csv(spark, found["yearline"], YEARLINE_COLUMNS, source_col="report_source")
+        yearline = read_raw_csv(spark, found["yearline"], YEARLINE_COLUMNS, source_col="report_source",
+                                multiline=inputs.multiline)
         counts["raw_yearline"] = _write(yearline, f"{warehouse}/raw/yearline")
     if "bus_line" in sources:
-        lines = read_raw_csv(spark, found["bus_line"], BUS_LINE_COLUMNS, source_col="snapshot_year")
+        lines = read_raw_csv(spark, found["bus_line"], BUS_LINE_COLUMNS, source_col="snapshot_year",
+                             multiline=inputs.multiline)
         counts["raw_bus_line"] = _write(lines, f"{warehouse}/raw/bus_line")
     if "stops" in sources:
-        stops = read_raw_csv(spark, found["stops"], STOPS_COLUMNS) if found["stops"] else empty_raw(spark, STOPS_COLUMNS)
+        stops = (read_raw_csv(spark, found["stops"], STOPS_COLUMNS, multiline=inputs.multiline)
+                 if found["stops"] else empty_raw(spark, STOPS_COLUMNS))
         counts["raw_stops"] = _write(stops, f"{warehouse}/raw/stops")
     counts["subregion_population"] = _write(seed_frame(spark, inputs.seed_path), f"{warehouse}/raw/subregion_population")
     return counts
@@ -113,16 +120,13 @@ def build_staging(spark: SparkSession, warehouse: str, params: KpiParams) -> dic
     }
 
 
-def run_layer_checks(tables: dict, suites: dict) -> list:
-    rows = []
-    for name, checks in suites.items():
-        if name in tables:
-            rows.extend(enforce_or_collect(run_checks(tables[name], checks, name)))
-    return rows
-
-
-def enforce_or_collect(summary: DataFrame) -> list:
-    return [r.asDict() for r in summary.collect()]
+def layer_summary(tables: dict, suites: dict) -> DataFrame:
+    """One summary frame for every check of every table of a layer (one job)."""
+    parts = [run_checks(tables[name], checks, name) for name, checks in suites.items() if name in tables]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
@@ -141,10 +145,7 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
         for name, df in stg.items():
             out.tables[name] = _write(df, f"{warehouse}/staging/{name}")
         written = {n: spark.read.parquet(f"{warehouse}/staging/{n}") for n in stg}
-        summaries = [run_checks(written[n], c, n) for n, c in staging_checks(params).items()]
-        gate = summaries[0]
-        for s in summaries[1:]:
-            gate = gate.unionByName(s)
+        gate = layer_summary(written, staging_checks(params))
         out.checks.extend(enforce(gate))  # raises QualityGateError: no mart is written
 
     if "marts" in layers:
@@ -169,7 +170,7 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
             out.tables[name] = _write(ordered, f"{a}/{name}", "calendar_year")
         names = ["dim_routes", "dim_subregions", "fact_route_performance", *builds]
         written = {n: spark.read.parquet(f"{a}/{n}") for n in names}
-        rows = run_layer_checks(written, mart_checks(params))
+        rows = [r.asDict() for r in layer_summary(written, mart_checks(params)).collect()]
         out.checks.extend(rows)
         failing = [r for r in rows if r["status"] == "fail"]
         if failing:
