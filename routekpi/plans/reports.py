@@ -20,17 +20,19 @@ def report_heatmap(ranking: DataFrame, params: KpiParams = KpiParams()) -> DataF
         .pivot("calendar_year", years)
         .agg(F.max("pct_trips_overcrowded"))
         .withColumnsRenamed({str(y): f"pct_{y}" for y in years})
+        .orderBy(F.col("years_in_top20").desc(), "route_number")
     )
 
 
 def report_gap_by_region(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
-    """Gap rollup per sub-region and year, with the most strained route."""
-    return gap_rollup(service_gap_scored(fact, params))
+    """Gap rollup per sub-region and year, with the most strained route (worst first)."""
+    return gap_rollup(service_gap_scored(fact, params)).orderBy(
+        "calendar_year", F.col("avg_gap_score").desc_nulls_last(), "subregion")
 
 
 def report_recovery(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
     """Recovery rollup per sub-region and year (base year = 100)."""
-    return recovery_rollup(recovery_indexed(fact, params))
+    return recovery_rollup(recovery_indexed(fact, params)).orderBy("subregion", "calendar_year")
 
 
 def report_efficiency(fact: DataFrame, params: KpiParams = KpiParams(), year: int | None = None) -> DataFrame:
@@ -63,6 +65,7 @@ def report_before_after(ranking: DataFrame, fact: DataFrame, params: KpiParams =
         .withColumn("change_points", F.col("pct_after") - F.col("pct_before"))
         .withColumn("year_before", F.lit(before))
         .withColumn("year_after", F.lit(after))
+        .orderBy("rank_before")
     )
 
 
@@ -76,6 +79,7 @@ def report_reliability(fact: DataFrame) -> DataFrame:
             mean("on_time_performance_pct", 2).alias("avg_on_time_pct"),
             mean("avg_speed_km_per_hr", 2).alias("avg_speed_km_per_hr"),
         )
+        .orderBy("subregion", "calendar_year")
     )
 
 
@@ -87,6 +91,7 @@ def report_every_year(ranking: DataFrame, params: KpiParams = KpiParams()) -> Da
         .groupBy("route_number")
         .agg(F.count(F.lit(1)).alias("years_in_top20"), F.min("overcrowding_rank").alias("best_rank"))
         .filter(F.col("years_in_top20") >= n)
+        .orderBy("best_rank", "route_number")
     )
 
 
@@ -101,4 +106,4 @@ def report_system_recovery(fact: DataFrame) -> DataFrame:
         weighted_index(F.when(has, F.col("annual_boardings")), F.when(has, F.col("boardings_2019"))).alias(
             "system_boardings_index"
         ),
-    )
+    ).orderBy("calendar_year")
