@@ -36,8 +36,7 @@ def rank_within(df: DataFrame, period: str, order, rank_col: str = "rank",
     placed = (
         df.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
-        .withColumn("_rk_part", F.spark_partition_id())
-        .withColumn("_rk_pos", F.monotonically_increasing_id())
+        .select("*", F.spark_partition_id().alias("_rk_part"), F.monotonically_increasing_id().alias("_rk_pos"))
     )
     counts = placed.groupBy("_rk_part", period).agg(
         F.count(F.lit(1)).alias("_rk_n"), F.min("_rk_pos").alias("_rk_first")
@@ -52,11 +51,8 @@ def rank_within(df: DataFrame, period: str, order, rank_col: str = "rank",
     # A range slice holds a contiguous run of periods: at most n + periods rows.
     offsets = broadcast_bounded(offsets, n * 4 + 10_000)
     cond = (F.col("_rk_part") == F.col("_rk_part2")) & F.col(period).eqNullSafe(F.col("_rk_period2"))
-    return (
-        placed.join(offsets, cond, "inner")
-        .withColumn(rank_col, (F.col("_rk_offset") + F.col("_rk_pos") - F.col("_rk_first") + 1).cast("int"))
-        .drop("_rk_part", "_rk_pos", "_rk_part2", "_rk_period2", "_rk_first", "_rk_offset")
-    )
+    rank = (F.col("_rk_offset") + F.col("_rk_pos") - F.col("_rk_first") + 1).cast("int").alias(rank_col)
+    return placed.join(offsets, cond, "inner").select(*[F.col(f"`{c}`") for c in df.columns], rank)
 
 
 def top_k(df: DataFrame, period: str, order, k: int, rank_col: str = "rank") -> DataFrame:
@@ -81,10 +77,10 @@ def with_topk_persistence(ranked: DataFrame, entity: str, rank_col: str, k: int,
     top = ranked.filter(F.col(rank_col) <= k) if top is None else top
     counts = top.groupBy(entity).agg(F.count(F.lit(1)).alias(count_col))
     counts = broadcast_bounded(counts, k * max_periods)
-    out = ranked.join(counts, on=entity, how="left")
-    return out.withColumns(
-        {
-            flag_col: F.col(rank_col) <= k,
-            count_col: F.coalesce(F.col(count_col), F.lit(0)).cast("long"),
-        }
-    ).withColumn(persistent_col, F.col(count_col) >= min_periods)
+    n = F.coalesce(F.col(count_col), F.lit(0)).cast("long")
+    return ranked.join(counts, on=entity, how="left").select(
+        *[F.col(f"`{c}`") for c in ranked.columns],
+        (F.col(rank_col) <= k).alias(flag_col),
+        n.alias(count_col),
+        (n >= min_periods).alias(persistent_col),
+    )

@@ -82,6 +82,25 @@ NATION_ROWS = 25
 REGION_ROWS = 5
 
 
+def per_session(fn):
+    """Reuse the DataFrame an adapter built for (session, folder).
+
+    The adapters stand in for reading raw tables; a DataFrame is only a plan,
+    so handing out the same one again recomputes nothing by itself -- it just
+    skips rebuilding the plan in Python.
+    """
+    memo: dict = {}
+
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = memo.get(sf_dir)
+        if df is None or df.sparkSession is not spark:
+            df = memo[sf_dir] = fn(spark, sf_dir)
+        return df
+
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's table `name`; the frame is reused per session so the
     Parquet footer is read (schema inference is a Spark job) once."""
@@ -107,6 +126,7 @@ def _times(c: Column, factor: str) -> Column:
     return c * F.lit(Decimal(factor))
 
 
+@per_session
 def supplier_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (supplier, ship year): line-item aggregates for all lines and for the
     lines known before year-end close; joined to the supplier's attributes.
@@ -216,6 +236,7 @@ def _newer_rows() -> Column:
     return F.col("year").between(first, last)
 
 
+@per_session
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both reports as one raw frame (17 text columns + report_source).
 
@@ -242,6 +263,7 @@ def yearline_reports(spark: SparkSession, sf_dir: str) -> dict:
     }
 
 
+@per_session
 def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All bus line snapshots as one raw frame (26 text columns + snapshot_year)."""
     g = supplier_years(spark, sf_dir).filter(F.col("year").isin(list(SNAPSHOT_YEARS)))
@@ -302,6 +324,7 @@ def bus_line_snapshots(spark: SparkSession, sf_dir: str) -> dict:
     }
 
 
+@per_session
 def raw_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stops (12 text columns) from customers."""
     c = table(spark, sf_dir, "customer")
@@ -327,6 +350,7 @@ def raw_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(raw, STOPS_COLUMNS)
 
 
+@per_session
 def subregion_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed-shaped dimension: region name, 3-letter code, customers, nations x 100."""
     nation = broadcast_bounded(table(spark, sf_dir, "nation"), NATION_ROWS)
@@ -352,6 +376,7 @@ def subregion_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed.select(*[F.col(f.name).cast(f.dataType) for f in SEED_SCHEMA.fields])
 
 
+@per_session
 def part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw route codes of every style, chosen by part type."""
     p = table(spark, sf_dir, "part")
