@@ -22,7 +22,7 @@ def test_null_tokens(spark):
 def test_null_token_frame_matches_column_function(spark):
     vals = ["", "NULL", "N/A", "n/a", "null", "ok", None]
     df = one_col(spark, vals)
-    a = [r[0] for r in K.null_tokens and df.select(K.null_tokens("x")).collect()]
+    a = [r[0] for r in df.select(K.null_tokens("x")).collect()]
     from routekpi.functions.parse import null_token_frame
 
     b = [r[0] for r in null_token_frame(df, ["x"]).collect()]
@@ -157,3 +157,22 @@ def test_index_and_change(spark):
         *[F.col(c).cast("decimal(18,3)").alias(c) for c in "vbn"])
     r = df.select(K.index_to("v", "b", 1), K.pct_change("v", "b", 2), K.pct_change("n", "v", 2)).collect()[0]
     assert (str(r[0]), str(r[1]), str(r[2])) == ("70.5", "-29.50", "14.18")
+
+
+def test_sql_functions_match_column_functions(spark):
+    from routekpi.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    codes = [r for r, _ in ROUTES]
+    df = one_col(spark, codes)
+    df.createOrReplaceTempView("codes")
+    got = [tuple(r) for r in spark.sql(
+        "SELECT rk_canonical_route(x), rk_combined_flag(x), rk_try_integer(x), rk_strip_units(x), "
+        "rk_null_token(x), rk_subregion(x) FROM codes").collect()]
+    exp = [tuple(r) for r in df.select(
+        K.canonical_route("x"), K.combined_flag("x"), K.try_integer("x"), K.strip_units("x"),
+        K.null_tokens("x"), K.keyword_classify("x", SUBREGION_RULES)).collect()]
+    assert got == exp
+    sev = spark.sql("SELECT rk_severity_tier(CAST(x AS DECIMAL(10,4))) FROM VALUES (NULL), ('4.9999'), ('5'), "
+                    "('15'), ('30') AS t(x)").collect()
+    assert [r[0] for r in sev] == ["Unknown", "Low", "Medium", "High", "Critical"]

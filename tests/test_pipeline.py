@@ -274,3 +274,12 @@ def test_mart_files_in_report_order(built):
     for r in df.collect():  # a file is read back in one split, in written order
         per_file.setdefault(r.f, []).append(r.overcrowding_rank)
     assert per_file and all(v == sorted(v) for v in per_file.values())
+
+
+def test_sql_over_registered_views(spark, built):
+    from routekpi.functions.sql import register_views
+
+    register_views(spark, built["wh"])
+    rows = spark.sql("SELECT calendar_year, count(*) AS n FROM fct_overcrowding_ranking "
+                     "WHERE is_top20 GROUP BY calendar_year ORDER BY calendar_year").collect()
+    assert [(r.calendar_year, r.n) for r in rows] == [(2019, 3), (2022, 2), (2023, 2), (2024, 3)]
