@@ -9,21 +9,25 @@ from pyspark.sql import functions as F
 def revision_audit(older: DataFrame, newer: DataFrame, keys, value: str, periods=None,
                    period_col: str | None = None, older_name: str = "value_older",
                    newer_name: str = "value_newer", parse=None) -> DataFrame:
-    """Rows present in both reports whose `value` differs.
-
-    Inner equi-join on `keys` with the residual ``a.value <> b.value``; both
-    sides are shuffled on the keys (no side is assumed small).  Each side is
-    first reduced to its distinct (keys, value) rows -- a partial+final
-    aggregation -- so a key repeated in many copies of a report cannot
-    multiply into pairs; a changed value still shows once per distinct pair.
-    `parse` optionally turns the raw text into a number for the relative
-    change; the comparison itself is on the raw values, as in the source query.
+    """Keys present in both reports whose `value` differs.
+
+    Each report is first reduced to one row per key -- its value (the
+    smallest, if a report repeats a key) and how many rows it holds for the
+    key (`rows_older` / `rows_newer`, normally 1).  That is a partial+final
+    aggregation, and the join that follows is strictly one-to-one: a key
+    repeated many times can neither multiply into pairs nor hide, since its
+    count shows.  The comparison ``a.value <> b.value`` is on the raw values,
+    as in the source query; `parse` turns them into numbers for the relative
+    change.
     """
     keys = list(keys)
-    a = older.select(*keys, F.col(value).alias(older_name)).distinct()
-    b = newer.select(*keys, F.col(value).alias(newer_name)).distinct()
-    if periods is not None and period_col is not None:
-        a = a.filter(F.col(period_col).isin(list(periods)))
+
+    def one_per_key(df, name, count_name):
+        return df.groupBy(*keys).agg(F.min(value).alias(name), F.count(F.lit(1)).alias(count_name))
+
+    a_src = older.filter(F.col(period_col).isin(list(periods))) if periods is not None and period_col else older
+    a = one_per_key(a_src, older_name, "rows_older")
+    b = one_per_key(newer, newer_name, "rows_newer")
     out = a.join(b, on=keys, how="inner").filter(F.col(older_name) != F.col(newer_name))
     if parse is not None:
         ov, nv = parse(F.col(older_name)), parse(F.col(newer_name))

@@ -606,13 +606,17 @@ def build() -> dict:
     q["revision_audit"] = _w(
         REPORTS,
         "SELECT a.CalendarYear AS calendar_year_raw, a.Lineno_renamed AS route_number_raw, "
-        "a.AnnualBoardings AS value_older, b.AnnualBoardings AS value_newer, "
-        "CAST(CASE WHEN TRY_CAST(a.AnnualBoardings AS DECIMAL(18,3)) > 0 THEN "
-        + rdiv("TRY_CAST(b.AnnualBoardings AS DECIMAL(18,3)) - TRY_CAST(a.AnnualBoardings AS DECIMAL(18,3))",
-                   "TRY_CAST(a.AnnualBoardings AS DECIMAL(18,3))", 100, 4)
-        + f" END AS DOUBLE) AS revision_pct, '{LO}' AS older_report, '{LN}' AS newer_report "
-        "FROM rep_old a JOIN rep_new b ON a.CalendarYear = b.CalendarYear AND a.Lineno_renamed = b.Lineno_renamed "
-        f"WHERE a.CalendarYear IN ({periods}) AND a.AnnualBoardings <> b.AnnualBoardings",
+        "a.v AS value_older, b.v AS value_newer, "
+        "CAST(CASE WHEN TRY_CAST(a.v AS DECIMAL(18,3)) > 0 THEN "
+        + rdiv("TRY_CAST(b.v AS DECIMAL(18,3)) - TRY_CAST(a.v AS DECIMAL(18,3))",
+               "TRY_CAST(a.v AS DECIMAL(18,3))", 100, 4)
+        + f" END AS DOUBLE) AS revision_pct, a.n AS rows_older, b.n AS rows_newer, "
+        f"'{LO}' AS older_report, '{LN}' AS newer_report "
+        "FROM (SELECT CalendarYear, Lineno_renamed, min(AnnualBoardings) AS v, CAST(count(*) AS BIGINT) AS n "
+        f"      FROM rep_old WHERE CalendarYear IN ({periods}) GROUP BY 1, 2) a "
+        "JOIN (SELECT CalendarYear, Lineno_renamed, min(AnnualBoardings) AS v, CAST(count(*) AS BIGINT) AS n "
+        "      FROM rep_new GROUP BY 1, 2) b "
+        "ON a.CalendarYear = b.CalendarYear AND a.Lineno_renamed = b.Lineno_renamed WHERE a.v <> b.v",
     )
     q["fact_build"] = _w(FACT, f"SELECT {FACT_OUT} FROM fact")
     q["baseline_index"] = _w(FACT, f"SELECT route_number, {I('calendar_year')}, {D('boardings_2019')}, "

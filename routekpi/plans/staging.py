@@ -114,6 +114,6 @@ def report_revisions(reports: dict, params: KpiParams = KpiParams(), value: str
     return out.select(
         F.col("CalendarYear").alias("calendar_year_raw"),
         F.col("Lineno_renamed").alias("route_number_raw"),
-        "value_older", "value_newer", "revision_pct",
+        "value_older", "value_newer", "revision_pct", "rows_older", "rows_newer",
         F.lit(older_label).alias("older_report"), F.lit(newer_label).alias("newer_report"),
     )

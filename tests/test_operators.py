@@ -115,3 +115,16 @@ def test_window_rank_plan_has_group_limit(spark):
     w = Window.partitionBy("period").orderBy(*order())
     plan = df.withColumn("rn", F.row_number().over(w)).filter("rn <= 3")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_revision_audit_never_pairs_repeated_keys(spark):
+    from routekpi.operators.audit import revision_audit
+
+    older = spark.createDataFrame([("2022", "005", str(700 + i % 50)) for i in range(3000)] + [("2022", "010", "9")],
+                                  "y string, r string, v string")
+    newer = spark.createDataFrame([("2022", "005", str(800 + i % 40)) for i in range(2000)] + [("2022", "010", "9")],
+                                  "y string, r string, v string")
+    rows = revision_audit(older, newer, ["y", "r"], "v").collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.r, r.value_older, r.value_newer, r.rows_older, r.rows_newer) == ("005", "700", "800", 3000, 2000)
