@@ -43,22 +43,24 @@ class RunSummary:
     seconds: float = 0.0
 
 
-def list_files(spark: SparkSession, glob: str) -> list:
-    """File paths matching `glob`, listed by Spark (works on any file system)."""
+def has_files(spark: SparkSession, glob: str) -> bool:
+    """True when `glob` matches at least one file.  Asks Spark for one path
+    only, so no file list is brought to the driver (works on any file system)."""
     try:
-        return sorted(r.path for r in spark.read.format("binaryFile").load(glob).select("path").collect())
+        return spark.read.format("binaryFile").load(glob).select("path").limit(1).count() > 0
     except Exception as exc:  # no match raises at analysis time
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return []
+            return False
         raise
 
 
 def check_inputs(spark: SparkSession, inputs: PipelineInputs) -> dict:
-    """At least one report and one snapshot file are required; stops are optional."""
+    """At least one report and one snapshot file are required; stops are optional.
+    Returns the glob to read per source (None when absent)."""
     found = {
-        "yearline": list_files(spark, inputs.yearline_glob),
-        "bus_line": list_files(spark, inputs.bus_line_glob),
-        "stops": list_files(spark, inputs.stops_path) if inputs.stops_path else [],
+        "yearline": inputs.yearline_glob if has_files(spark, inputs.yearline_glob) else None,
+        "bus_line": inputs.bus_line_glob if has_files(spark, inputs.bus_line_glob) else None,
+        "stops": inputs.stops_path if inputs.stops_path and has_files(spark, inputs.stops_path) else None,
     }
     missing = [k for k in ("yearline", "bus_line") if not found[k]]
     if missing:
