@@ -8,6 +8,7 @@ lost executor only recomputes work inside one layer.
 
 from __future__ import annotations
 
+import logging
 import time
 from dataclasses import dataclass, field
 
@@ -21,6 +22,9 @@ from . import marts, staging
 from .checks import mart_checks, staging_checks
 
 
+log = logging.getLogger("routekpi.pipeline")
+
+
 @dataclass
 class PipelineInputs:
     """Input locations (any Hadoop-compatible URI).  Globs select the report
@@ -77,7 +81,9 @@ def _write(df: DataFrame, path: str, partition_by=None) -> int:
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    log.info("wrote %s (%d rows)", path, rows)
+    return rows
 
 
 ALL_SOURCES = ("yearline", "bus_line", "stops")
@@ -149,6 +155,7 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
         written = {n: spark.read.parquet(f"{warehouse}/staging/{n}") for n in stg}
         gate = layer_summary(written, staging_checks(params))
         out.checks.extend(enforce(gate))  # raises QualityGateError: no mart is written
+        log.info("staging gate passed (%d checks)", len(out.checks))
 
     if "marts" in layers:
         s = lambda n: spark.read.parquet(f"{warehouse}/staging/{n}")

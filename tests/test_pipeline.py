@@ -283,3 +283,20 @@ def test_sql_over_registered_views(spark, built):
     rows = spark.sql("SELECT calendar_year, count(*) AS n FROM fct_overcrowding_ranking "
                      "WHERE is_top20 GROUP BY calendar_year ORDER BY calendar_year").collect()
     assert [(r.calendar_year, r.n) for r in rows] == [(2019, 3), (2022, 2), (2023, 2), (2024, 3)]
+
+
+def test_command_line(spark, scratch, capsys):
+    from routekpi.__main__ import main
+
+    raw = write_inputs(f"{scratch}/in")
+    args = ["--yearline", f"{raw}/tspr_bus_yearline_*.csv", "--bus-line", f"{raw}/TSPR_OpenData_Archive_*.csv",
+            "--stops", f"{raw}/gtfs/stops.csv", "--warehouse", f"{scratch}/wh"]
+    assert main(args, spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "fact_route_performance\trows=11" in out
+    bad = write_inputs(f"{scratch}/bad", extra_yearline=[("005", 2024, "-1", "1", "1", "1", "1", "1", "1")])
+    args_bad = ["--yearline", f"{bad}/tspr_bus_yearline_*.csv", "--bus-line", f"{bad}/TSPR_OpenData_Archive_*.csv",
+                "--warehouse", f"{scratch}/wh2"]
+    assert main(args_bad, spark=spark) == 2
+    assert main(["--yearline", f"{scratch}/none/*.csv", "--bus-line", f"{scratch}/none/*.csv",
+                 "--warehouse", f"{scratch}/wh3"], spark=spark) == 1
