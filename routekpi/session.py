@@ -65,5 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     local = tempfile.mkdtemp(prefix="routekpi-ckpt-", dir=os.environ.get("ROUTEKPI_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # core setting locked at runtime on some deployments
+        pass
     return sc.getCheckpointDir() or local
