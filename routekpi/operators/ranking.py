@@ -55,9 +55,16 @@ def rank_within(df: DataFrame, period: str, order, rank_col: str = "rank",
     return placed.join(offsets, cond, "inner").select(*[F.col(f"`{c}`") for c in df.columns], rank)
 
 
+def group_limit_threshold(spark) -> int:
+    """Largest k for which Spark plans a row_number filter as a WindowGroupLimit."""
+    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
 def top_k(df: DataFrame, period: str, order, k: int, rank_col: str = "rank") -> DataFrame:
     """The first k rows of each period.  Planned as a WindowGroupLimit: every
-    map task keeps its own top k per period before the shuffle."""
+    map task keeps its own top k per period before the shuffle.  Only valid
+    for k up to `group_limit_threshold`; above it the window would hold a
+    whole period in one task -- filter `rank_within` instead."""
     w = Window.partitionBy(period).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 

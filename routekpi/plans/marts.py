@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .. import functions as K
 from ..operators.dedupe import latest_per_key
 from ..operators.joins import broadcast_bounded
-from ..operators.ranking import rank_within, top_k, with_topk_persistence
+from ..operators.ranking import group_limit_threshold, rank_within, top_k, with_topk_persistence
 from ..operators.rollup import mean, top_by, weighted_index
 from ..operators.windows import baseline_columns, prior_columns
 from ..schemas import UNKNOWN_LABEL, KpiParams
@@ -112,9 +112,12 @@ def overcrowding_ranking(fact: DataFrame, params: KpiParams = KpiParams(), metho
     order = [F.col("pct_trips_overcrowded").desc_nulls_first(), F.col("route_number").asc_nulls_last()]
     ranked = rank_within(perf, "calendar_year", order, rank_col="overcrowding_rank", method=method)
     # top-k rows straight from the input: a WindowGroupLimit keeps k rows per
-    # year in every map task, so this branch never waits on the full ranking
-    top = top_k(perf.select("route_number", "calendar_year", "pct_trips_overcrowded"),
-                "calendar_year", order, params.top_k)
+    # year in every map task, so this branch never waits on the full ranking.
+    # For a k too large for a group limit, the ranks themselves are filtered.
+    top = None
+    if method == "range" and params.top_k <= group_limit_threshold(fact.sparkSession):
+        top = top_k(perf.select("route_number", "calendar_year", "pct_trips_overcrowded"),
+                    "calendar_year", order, params.top_k)
     out = with_topk_persistence(
         ranked, "route_number", "overcrowding_rank", params.top_k, params.persistent_min_years,
         max_periods=len(params.valid_years), top=top,

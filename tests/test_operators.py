@@ -128,3 +128,23 @@ def test_revision_audit_never_pairs_repeated_keys(spark):
     assert len(rows) == 1
     r = rows[0]
     assert (r.r, r.value_older, r.value_newer, r.rows_older, r.rows_newer) == ("005", "700", "800", 3000, 2000)
+
+
+def test_large_k_ranking_filters_ranks(spark):
+    from routekpi.plans.marts import overcrowding_ranking
+    from routekpi.schemas import KpiParams
+
+    rows = [(f"r{i}", 2024, str(i % 7), "x", "s", "1", "1", "1", "Low") for i in range(30)]
+    fact = spark.createDataFrame(rows, "route_number string, calendar_year int, pct string, route_name string, "
+                                 "subregion string, plf string, mf string, rev string, overcrowding_severity string")
+    fact = fact.selectExpr("route_number", "calendar_year", "cast(pct as decimal(10,4)) as pct_trips_overcrowded",
+                           "route_name", "subregion", "cast(plf as decimal(10,4)) as avg_peak_load_factor",
+                           "cast(mf as decimal(10,1)) as avg_daily_boardings_mf",
+                           "cast(rev as decimal(10,2)) as annual_revenue_hours", "overcrowding_severity")
+    small = {r.route_number: r.years_in_top20 for r in overcrowding_ranking(fact, KpiParams(top_k=5)).collect()}
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    try:
+        big = {r.route_number: r.years_in_top20 for r in overcrowding_ranking(fact, KpiParams(top_k=5)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert small == big and sum(small.values()) == 5
