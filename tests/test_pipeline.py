@@ -300,3 +300,13 @@ def test_command_line(spark, scratch, capsys):
     assert main(args_bad, spark=spark) == 2
     assert main(["--yearline", f"{scratch}/none/*.csv", "--bus-line", f"{scratch}/none/*.csv",
                  "--warehouse", f"{scratch}/wh3"], spark=spark) == 1
+
+
+def test_year_filter_prunes_fact_partitions(spark, built):
+    from routekpi.plans.reports import report_efficiency
+
+    df = report_efficiency(built["read"]("analytics", "fact_route_performance"), year=2024)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(calendar_year" in plan and "= 2024)" in plan
+    assert "ReadSchema: struct<route_number:string,subregion:string,boardings_per_service_hour" in plan
+    assert {r.route_number for r in df.collect()} == {"5", "R4", "99"}
