@@ -564,7 +564,8 @@ def build() -> dict:
     )
     snap_out = ", ".join([n for _, n in _SNAP_COLS] + ["snapshot_year"])
     q["union_snapshots"] = _w(SNAPS, f"SELECT {snap_out} FROM snaps")
-    q["seed_dim"] = _w(SEED.split("),\ndims AS")[0] + ")", "SELECT * FROM seed")
+    q["seed_dim"] = _w(SEED.split("),\ndims AS")[0] + ")",
+                       f"SELECT subregion_name, subregion_code, {I('population_2021')}, {I('area_km2')} FROM seed")
     q["try_integer"] = _w(
         PARTS, "SELECT p_partkey, route_raw, CAST(TRY_CAST(route_raw AS DECIMAL(38,0)) AS DOUBLE) AS as_integer, "
         "CAST(TRY_CAST(split_part(route_raw, '/', 1) AS DECIMAL(38,0)) AS DOUBLE) AS first_part FROM parts")
