@@ -13,7 +13,7 @@ from routekpi.plans.registry import QUERIES, registered  # noqa: E402
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-SUBSET = ["model_performance", "model_line", "model_stops", "fact_build", "persistent_topk",
+SUBSET = ["seed_dim", "model_performance", "model_line", "model_stops", "fact_build", "persistent_topk",
           "gap_with_rollup", "recovery_with_rollup", "revision_audit", "dq_summary", "canonical_route",
           "report_before_after", "raw_csv_load"]
 
@@ -54,3 +54,7 @@ def test_query_matches_oracle(spark, con, name):
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
+    kinds = {"LongType()": "BIGINT", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN"}
+    s_types = {f.name: kinds.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    rel = con.sql(ORACLE[name])
+    assert s_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
