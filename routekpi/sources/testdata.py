@@ -126,6 +126,16 @@ def _times(c: Column, factor: str) -> Column:
     return c * F.lit(Decimal(factor))
 
 
+@per_session
+def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation LEFT JOIN region (25 rows by the TPC-H schema), marked for broadcast;
+    shared by the snapshots and the seed so Spark broadcasts it once."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    joined = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left").drop("r_regionkey")
+    return broadcast_bounded(joined, NATION_ROWS)
+
+
 @per_session
 def supplier_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (supplier, ship year): line-item aggregates for all lines and for the
@@ -267,12 +277,7 @@ def yearline_reports(spark: SparkSession, sf_dir: str) -> dict:
 def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All bus line snapshots as one raw frame (26 text columns + snapshot_year)."""
     g = supplier_years(spark, sf_dir).filter(F.col("year").isin(list(SNAPSHOT_YEARS)))
-    nation = broadcast_bounded(table(spark, sf_dir, "nation"), NATION_ROWS)
-    region = broadcast_bounded(table(spark, sf_dir, "region"), REGION_ROWS)
-    g = (
-        g.join(nation, g["s_nationkey"] == nation["n_nationkey"], "left")
-        .join(region, F.col("n_regionkey") == region["r_regionkey"], "left")
-    )
+    g = g.join(nation_regions(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "left")
     nat = F.col("s_nationkey")
     s = lambda c: c.cast("string")
     region_text = (
@@ -353,19 +358,19 @@ def raw_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 @per_session
 def subregion_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed-shaped dimension: region name, 3-letter code, customers, nations x 100."""
-    nation = broadcast_bounded(table(spark, sf_dir, "nation"), NATION_ROWS)
     region = table(spark, sf_dir, "region")
-    customers = (
-        table(spark, sf_dir, "customer")
-        .groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_cust"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .groupBy("n_regionkey").agg(F.sum("n_cust").alias("population"))
+    # customers per region: join the 25-row nation table in the map tasks,
+    # then one partial+final aggregation on the region key
+    population = (
+        table(spark, sf_dir, "customer").select("c_nationkey")
+        .join(nation_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("population"))
+        .withColumnRenamed("n_regionkey", "pop_regionkey")
     )
-    nations = nation.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n_nations"))
+    nations = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n_nations"))
     seed = (
         region.join(nations, region["r_regionkey"] == nations["n_regionkey"], "left")
-        .drop("n_regionkey")
-        .join(customers, region["r_regionkey"] == customers["n_regionkey"], "left")
+        .join(population, region["r_regionkey"] == population["pop_regionkey"], "left")
         .select(
             F.col("r_name").alias("subregion_name"),
             F.substring("r_name", 1, 3).alias("subregion_code"),
