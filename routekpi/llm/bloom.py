@@ -68,8 +68,8 @@ def _planes(batches: Iterator[pa.RecordBatch], n: int) -> tuple[np.ndarray, np.n
     return np.packbits(seen), np.packbits(again)
 
 
-def build(keys: DataFrame, column: str, count: int, max_bytes: int = MAX_BYTES) -> Broadcast:
-    """Broadcast (slots, packed *again* plane) of the keys in ``column``."""
+def build(keys: DataFrame, column: str, count: int, max_bytes: int = MAX_BYTES, plane: str = "again") -> Broadcast:
+    """Broadcast (slots, packed plane) of the keys in ``column``; plane: again or seen."""
     n = slot_count(count, max_bytes)
     step = _SEGMENT // 8
 
@@ -88,18 +88,18 @@ def build(keys: DataFrame, column: str, count: int, max_bytes: int = MAX_BYTES)
             s = np.frombuffer(zlib.decompress(s), np.uint8)
             again |= np.frombuffer(zlib.decompress(a), np.uint8) | (seen & s)
             seen |= s
-        return pd.DataFrame({"segment": [key[0]], "again": [zlib.compress(again.tobytes(), 1)]})
+        return pd.DataFrame({"segment": [key[0]], "bits": [zlib.compress((seen if plane == "seen" else again).tobytes(), 1)]})
 
     planes = keys.select(column).coalesce(BUILDERS).mapInArrow(local, "segment int, seen binary, again binary")
-    merged = planes.groupBy("segment").applyInPandas(merge, "segment int, again binary")
-    plane = np.zeros(n // 8, np.uint8)
+    merged = planes.groupBy("segment").applyInPandas(merge, "segment int, bits binary")
+    out = np.zeros(n // 8, np.uint8)
     for row in merged.collect():  # at most max_bytes in all
-        plane[row.segment * step : (row.segment + 1) * step] = np.frombuffer(zlib.decompress(row.again), np.uint8)
-    return keys.sparkSession.sparkContext.broadcast((n, plane))
+        out[row.segment * step : (row.segment + 1) * step] = np.frombuffer(zlib.decompress(row.bits), np.uint8)
+    return keys.sparkSession.sparkContext.broadcast((n, out))
 
 
-def maybe_repeated(filt: Broadcast, column):
-    """True where a key may occur more than once; null keys are false."""
+def may_hold(filt: Broadcast, column):
+    """True where a key may be in the plane (so it may be repeated, or may be among the keys); null keys are false."""
 
     @F.pandas_udf(BooleanType())
     def test(keys: pd.Series) -> pd.Series:

@@ -46,7 +46,7 @@ def mark_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         docs.select(F.col(id_col).alias("id"), text_sha256(F.col(text_col)).alias("sha")).withColumn("key", _key(F.col("sha"))),
         "hashes",
     )
-    tested = hashed.withColumn("again", bloom.maybe_repeated(_filter(hashed, "key", max_filter_bytes), F.col("key")))
+    tested = hashed.withColumn("again", bloom.may_hold(_filter(hashed, "key", max_filter_bytes), F.col("key")))
     tested = save(tested.select("id", "sha", "again"), "tested")
     alone = tested.where(~F.col("again")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
     suspects = tested.where("again")
@@ -71,7 +71,7 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     filt = _filter(hashed, key, max_filter_bytes)
     named = docs.withColumn(sha, text_sha256(F.col(text_col)))
     flag = fresh(docs, "again_")
-    tested = named.withColumn(flag, bloom.maybe_repeated(filt, _key(F.col(sha))))
+    tested = named.withColumn(flag, bloom.may_hold(filt, _key(F.col(sha))))
     alone = tested.where(~F.col(flag)).select(docs.columns)
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*[F.col(c).cast("string") if t.startswith("map") else F.col(c) for c, t in docs.dtypes]))
     best = tested.where(flag).groupBy(sha).agg(F.min_by(F.struct(*docs.columns), order).alias("row"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from routekpi.llm import exact_dedup, mixing, packing
+from routekpi.llm import exact_dedup, mixing, near_dedup, packing
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -25,6 +25,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_exact(_table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under 4-word shingle similarity of 0.8 or more."""
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document, and its training position."""
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
@@ -33,6 +38,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op7_mixing": op7_mixing,
 }
 

@@ -21,6 +21,8 @@ _MASK = (1 << 64) - 1
 
 #: A chunk of texts handled at once holds about this many bytes.
 CHUNK_BYTES = 1 << 20
+#: And at most so many texts.
+CHUNK_ROWS = 1 << 15
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -89,7 +91,7 @@ def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterat
     at = 0
     while at < batch.num_rows:
         end = int(np.searchsorted(ends, ends[at] + limit, side="right")) - 1
-        end = min(max(end, at + 1), batch.num_rows)
+        end = min(max(end, at + 1), at + CHUNK_ROWS, batch.num_rows)
         yield batch.slice(at, end - at)
         at = end
 
