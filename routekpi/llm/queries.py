@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from routekpi.llm import exact_dedup, mixing, near_dedup, packing
+from routekpi.llm import embeddings, exact_dedup, mixing, near_dedup, packing, substrings
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -20,6 +20,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.9 or more."""
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, keeper and hash of every document."""
     return exact_dedup.mark_exact(_table(spark, sf_dir, "documents"))
@@ -30,6 +35,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 50 words that an earlier one has."""
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document, and its training position."""
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
@@ -37,8 +47,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_embeddings": op2_embeddings,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_substrings": op6_substrings,
     "op7_mixing": op7_mixing,
 }
 
