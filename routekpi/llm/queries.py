@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from routekpi.llm import embeddings, exact_dedup, mixing, near_dedup, packing, substrings
+from routekpi.llm import embeddings, exact_dedup, language, line_dedup, mixing, near_dedup, packing, quality, substrings, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -25,6 +25,11 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document and whether it is good enough."""
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, keeper and hash of every document."""
     return exact_dedup.mark_exact(_table(spark, sf_dir, "documents"))
@@ -45,13 +50,33 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the marginals of its words."""
+    return language.identify(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without lines similar to an earlier one."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by its nearest labelled examples."""
+    out = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_embeddings": op2_embeddings,
+    "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_substrings": op6_substrings,
     "op7_mixing": op7_mixing,
+    "op8_language": op8_language,
+    "op9_lines": op9_lines,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
