@@ -50,7 +50,8 @@ def mark_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tested = save(tested.select("id", "sha", "again"), "tested")
     alone = tested.where(~F.col("again")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
     suspects = tested.where("again")
-    groups = suspects.groupBy("sha").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # written first, so that a hot group's rows can be split in the join
+    groups = save(suspects.groupBy("sha").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
     met = suspects.join(groups, "sha").select("id", "keep_id", "group_size", "sha")
     return alone.unionByName(met).select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")
