@@ -193,22 +193,48 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(low[new]), pa.array(high[new])], ["a", "b"])
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near pairs from different components of each (key, part, stray)."""
-    for table, at in grouped(batches, ["key", "part", "stray"]):
-        sig, rep, root = _symbols(table["sig"]), np.asarray(table["rep"]), np.asarray(table["root"])
-        left = np.asarray(table["left"])
-        for begin, end in zip(at, np.append(at[1:], len(rep))):
-            x = begin + np.flatnonzero(left[begin:end])
-            y = begin + np.flatnonzero(~left[begin:end])
-            for i in range(0, len(x), 64):
-                rows = x[i : i + 64]
-                distance = np.zeros((len(rows), len(y)), np.int16)
-                for j in range(SYMBOLS):
-                    distance += sig[rows, j][:, None] != sig[y, j][None, :]
-                p, q = np.nonzero((distance <= MAX_DISTANCE) & (root[rows][:, None] != root[y][None, :]))
-                if len(p):
-                    yield from _pairs(rep[rows[p]], rep[y[q]])
+def _bounds(sets: DataFrame, some: DataFrame) -> DataFrame:
+    """(rep, n, shared): sizes of the sets of ``some``, and how many shingles each shares with any other of them.
+
+    Two sets can't have more in common than the smaller of their ``shared``, which
+    rules out most pairs of copies that each were changed on their own.
+    """
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                data = part["set"].to_pylist()
+                rep = np.repeat(np.asarray(part["rep"]), [len(x) // 8 for x in data])
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(np.frombuffer(b"".join(data), np.int64))], ["rep", "shingle"])
+
+    few = sets.join(some, "rep", "left_semi")
+    sizes = few.select("rep", F.floor(F.length("set") / 8).alias("n"))
+    lone = few.select("rep", "set").mapInArrow(shingles, "rep long, shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("rep").alias("rep"))
+    lone = lone.where("holders = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("lone"))
+    return save(sizes.join(lone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared")), "bounds")
+
+
+def _cross_pairs(min_percent: int):
+    """Pairs of each (key, part, stray) in different components that may be similar enough."""
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in grouped(batches, ["key", "part", "stray"]):
+            sig = _symbols(table["sig"])
+            rep, root, left, n, shared = (np.asarray(table[c]) for c in ("rep", "root", "left", "n", "shared"))
+            for begin, end in zip(at, np.append(at[1:], len(rep))):
+                x = begin + np.flatnonzero(left[begin:end])
+                y = begin + np.flatnonzero(~left[begin:end])
+                for i in range(0, len(x), 64):
+                    rows = x[i : i + 64]
+                    most = np.minimum(shared[rows][:, None], shared[y][None, :])
+                    may = 100 * most >= min_percent * (n[rows][:, None] + n[y][None, :] - most)
+                    p, q = np.nonzero(may & (root[rows][:, None] != root[y][None, :]))
+                    near = (sig[rows[p]] != sig[y[q]]).sum(axis=1) <= MAX_DISTANCE
+                    if near.any():
+                        yield from _pairs(rep[rows[p[near]]], rep[y[q[near]]])
+
+    return cross
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame:
@@ -268,7 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = save(_sketches(narrow, shingle_words), "sketches")
-    classes = rows.where("n > 0").groupBy("f1", "f2").agg(F.min("row").alias("rep"))
+    classes = save(rows.where("n > 0").groupBy("f1", "f2").agg(F.min("row").alias("rep")), "firsts")
     classes = save(rows.where("n > 0").select("f1", "f2", "row", "id", "n").join(classes, ["f1", "f2"]), "classes")
     reps = rows.join(classes.where("row = rep").select("row"), "row", "left_semi").select(F.col("row").alias("rep"), "id", "f1", "f2", "sig")
     reps = save(reps, "reps")
@@ -293,8 +319,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = members.select("key", "rep", "sig").join(hub, "key").select("rep", "sig", "hub", "hub_sig").mapInArrow(_hub_pairs, "a long, b long")
     tried = save(tried.distinct(), "tried")
 
-    nodes = tried.select(F.col("a").alias("rep")).unionByName(tried.select(F.col("b").alias("rep"))).distinct()
-    wanted = save(reps.select("rep", "id", "f1", "f2").join(nodes, "rep"), "wanted")
+    wanted = save(reps.select("rep", "id", "f1", "f2").join(members.select("rep").distinct(), "rep"), "wanted")
     sets = save(_full_sets(narrow, wanted, shingle_words), "sets")
     links = save(_verified(tried, sets, min_percent), "verified")
     roots = components(links)
@@ -305,27 +330,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = save(placed.join(apart, "key"), "apart")
     sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    placed = placed.join(main, "key")
+    placed = placed.join(main, "key").join(_bounds(sets, placed.select("rep").distinct()), "rep")
     stray = placed.where("root <> main")
     stray_parts = stray.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / part).alias("strays"))
     right = placed.join(stray_parts, "key").withColumn("stray", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strays") - 1)))
     left = stray.join(stray_parts, "key").withColumn("stray", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("strays")))
     left = left.drop("part").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    columns = ["key", "part", "stray", "rep", "root", "sig"]
+    columns = ["key", "part", "stray", "rep", "root", "sig", "n", "shared"]
     blocks = left.select(*columns, F.lit(True).alias("left")).unionByName(right.select(*columns, F.lit(False).alias("left")))
     blocks = blocks.repartition("key", "part", "stray").sortWithinPartitions("key", "part", "stray")
-    more = blocks.mapInArrow(_cross_pairs, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+    more = blocks.mapInArrow(_cross_pairs(min_percent), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     more = save(more, "more")
-    if more.count():
-        nodes = more.select(F.col("a").alias("rep")).unionByName(more.select(F.col("b").alias("rep"))).distinct()
-        lacking = save(reps.select("rep", "id", "f1", "f2").join(nodes, "rep").join(sets, "rep", "left_anti"), "lacking")
-        sets = sets.unionByName(save(_full_sets(narrow, lacking, shingle_words), "sets"))
-        found = save(_verified(more, sets, min_percent), "verified")
-        if found.count():
-            roots = components(links.unionByName(found))
+    found = save(_verified(more, sets, min_percent), "verified")
+    if found.count():
+        roots = components(links.unionByName(found))
 
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    firsts = named.groupBy("root").agg(F.min("id").alias("component_id"))
+    firsts = save(named.groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
     linked = named.join(firsts, "root").select("id", F.col("n").alias("n_shingles"), "component_id")
     empty = rows.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     out = linked.unionByName(empty)
