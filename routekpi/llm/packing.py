@@ -11,8 +11,9 @@ in poorly filled sequences is packed again together with that of other blocks.
 
 from __future__ import annotations
 
-import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -37,44 +38,39 @@ FULL_ENOUGH = 0.98
 SEARCH_STEPS = 4000
 #: Completions tried around one largest piece.
 BRANCHES = 3
-#: Encoded words that a task process keeps.
-CACHE_WORDS = 400_000
 
 
-class Encoder(dict):
-    """Ids of texts as little-endian 32-bit integers, by cached words.
+class Encoder:
+    """Ids of texts as little-endian 32-bit integers, by a ``tokenizers`` file of byte-level BPE.
 
-    Byte-level BPE cuts before each space that has a non-space character before
-    or after it, so words between such spaces (each with its space) can be
-    encoded apart.  Texts with white space of another shape, or with a special
-    token, are encoded whole.
+    The vocabulary, special tokens and byte alphabet come from the file; the
+    merging itself is done by tiktoken, whose ids for one vocabulary are the same
+    (in byte-level BPE an id is also its merge's rank) in a third of the time.
+    The tests compare both on whole texts.
     """
 
-    #: White space around a space, or before one at the end: no cut there.
-    uneven = re.compile(r"\s \s|\s \Z")
+    #: How the file's ByteLevel pre-tokenizer cuts texts (fixed values of that format).
+    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        found = self[word] = self.whole(word)
-        return found
+        tokenizer = Tokenizer.from_file(path)
+        special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        # the byte alphabet: printable bytes stand for themselves, the others for characters from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in set(plain)]
+        byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in tokenizer.get_vocab(with_added_tokens=False).items() if token not in special}
+        self.coder = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens=special)
+        self.special = set(special)
 
     def encode(self, text: str) -> bytes:
-        if self.uneven.search(text) or (self.special and self.special.search(text)):
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        return self[first] + b"".join([self[" " + w] for w in rest])
+        ids = array("I", self.coder.encode(text, allowed_special=self.special, disallowed_special=()) if any(s in text for s in self.special) else self.coder.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 _encoders: dict[str, Encoder] = {}
