@@ -66,6 +66,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's packed sequences."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_embeddings": op2_embeddings,
@@ -77,6 +84,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_lines": op9_lines,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 
 ORACLE = {
