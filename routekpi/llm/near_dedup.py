@@ -42,6 +42,8 @@ SYMBOLS = CHUNKS * WIDTH
 MAX_DISTANCE = 2 * CHUNKS - 1
 #: Members of a bucket that are compared in one piece.
 PART = 512
+#: Bits of a parity map.
+MAP_BITS = 1024
 
 _rng = np.random.default_rng(20)
 _MULTIPLIERS = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -193,13 +195,35 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(low[new]), pa.array(high[new])], ["a", "b"])
 
 
+def parity_maps(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """MAP_BITS bits per set, each the parity of the shingles that fall on it.
+
+    Common shingles cancel between two sets, so their maps differ in at most as
+    many bits as the sets differ in shingles.
+    """
+    n = len(begin) - 1
+    spot = np.repeat(np.arange(n), np.diff(begin)) * MAP_BITS + (W.mix64(sets + np.uint64(11)) % np.uint64(MAP_BITS)).astype(np.int64)
+    odd = (np.bincount(spot, minlength=n * MAP_BITS) & 1).astype(bool)
+    return np.packbits(odd).reshape(n, MAP_BITS // 8)
+
+
 def _bounds(sets: DataFrame, some: DataFrame) -> DataFrame:
-    """(rep, n, shared): sizes of the sets of ``some``, and how many shingles each shares with any other of them.
+    """(rep, n, shared, map): sizes of the sets of ``some``, how many shingles each shares with any other of them, parity maps.
 
-    Two sets can't have more in common than the smaller of their ``shared``, which
-    rules out most pairs of copies that each were changed on their own.
+    Two sets can't have more in common than the smaller of their ``shared``, and
+    differ in at least as many shingles as their maps in bits.  That rules out
+    nearly all pairs of copies that each were changed on their own.
     """
 
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                data = part["set"].to_pylist()
+                n = np.array([len(x) // 8 for x in data])
+                maps = parity_maps(np.frombuffer(b"".join(data), np.uint64), np.concatenate([[0], np.cumsum(n)]))
+                yield pa.RecordBatch.from_arrays([part["rep"], pa.array(n), pa.array([m.tobytes() for m in maps], pa.binary())], ["rep", "n", "map"])
+
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -208,11 +232,11 @@ def _bounds(sets: DataFrame, some: DataFrame) -> DataFrame:
                 rep = np.repeat(np.asarray(part["rep"]), [len(x) // 8 for x in data])
                 yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(np.frombuffer(b"".join(data), np.int64))], ["rep", "shingle"])
 
-    few = sets.join(some, "rep", "left_semi")
-    sizes = few.select("rep", F.floor(F.length("set") / 8).alias("n"))
-    lone = few.select("rep", "set").mapInArrow(shingles, "rep long, shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("rep").alias("rep"))
+    few = sets.join(some, "rep", "left_semi").select("rep", "set")
+    sizes = few.mapInArrow(measured, "rep long, n long, map binary")
+    lone = few.mapInArrow(shingles, "rep long, shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("rep").alias("rep"))
     lone = lone.where("holders = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("lone"))
-    return save(sizes.join(lone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared")), "bounds")
+    return save(sizes.join(lone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared"), "map"), "bounds")
 
 
 def _cross_pairs(min_percent: int):
@@ -221,6 +245,7 @@ def _cross_pairs(min_percent: int):
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in grouped(batches, ["key", "part", "stray"]):
             sig = _symbols(table["sig"])
+            maps = np.frombuffer(b"".join(table["map"].to_pylist()), np.uint64).reshape(len(sig), -1)
             rep, root, left, n, shared = (np.asarray(table[c]) for c in ("rep", "root", "left", "n", "shared"))
             for begin, end in zip(at, np.append(at[1:], len(rep))):
                 x = begin + np.flatnonzero(left[begin:end])
@@ -230,9 +255,13 @@ def _cross_pairs(min_percent: int):
                     most = np.minimum(shared[rows][:, None], shared[y][None, :])
                     may = 100 * most >= min_percent * (n[rows][:, None] + n[y][None, :] - most)
                     p, q = np.nonzero(may & (root[rows][:, None] != root[y][None, :]))
-                    near = (sig[rows[p]] != sig[y[q]]).sum(axis=1) <= MAX_DISTANCE
+                    p, q = rows[p], y[q]
+                    near = (sig[p] != sig[q]).sum(axis=1) <= MAX_DISTANCE
+                    p, q = p[near], q[near]
+                    differing = np.bitwise_count(maps[p] ^ maps[q]).sum(axis=1, dtype=np.int64)
+                    near = 100 * (n[p] + n[q] - differing) >= min_percent * (n[p] + n[q] + differing)
                     if near.any():
-                        yield from _pairs(rep[rows[p[near]]], rep[y[q[near]]])
+                        yield from _pairs(rep[p[near]], rep[q[near]])
 
     return cross
 
@@ -336,7 +365,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     right = placed.join(stray_parts, "key").withColumn("stray", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strays") - 1)))
     left = stray.join(stray_parts, "key").withColumn("stray", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("strays")))
     left = left.drop("part").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    columns = ["key", "part", "stray", "rep", "root", "sig", "n", "shared"]
+    columns = ["key", "part", "stray", "rep", "root", "sig", "n", "shared", "map"]
     blocks = left.select(*columns, F.lit(True).alias("left")).unionByName(right.select(*columns, F.lit(False).alias("left")))
     blocks = blocks.repartition("key", "part", "stray").sortWithinPartitions("key", "part", "stray")
     more = blocks.mapInArrow(_cross_pairs(min_percent), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
