@@ -1,40 +1,40 @@
-"""Revision audit between two overlapping reports, and the bounding-box filter."""
+"""Revision audit between overlapping reports, and the bounding-box filter."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def revision_audit(older: DataFrame, newer: DataFrame, keys, value: str, periods=None,
-                   period_col: str | None = None, older_name: str = "value_older",
-                   newer_name: str = "value_newer", parse=None) -> DataFrame:
-    """Keys present in both reports whose `value` differs.
+def revision_audit(reports: DataFrame, keys, report: str, value: Column) -> DataFrame:
+    """Keys whose values changed from one report to the next that holds the key.
 
-    Each report is first reduced to one row per key -- its value (the
-    smallest, if a report repeats a key) and how many rows it holds for the
-    key (`rows_older` / `rows_newer`, normally 1).  That is a partial+final
-    aggregation, and the join that follows is strictly one-to-one: a key
-    repeated many times can neither multiply into pairs nor hide, since its
-    count shows.  The comparison ``a.value <> b.value`` is on the raw values,
-    as in the source query; `parse` turns them into numbers for the relative
-    change.
+    `reports` is the union of any number of reports, labelled by `report`, whose
+    labels order them.  `value` is a numeric expression.  One aggregation reduces
+    each (key, report) to the smallest and largest value, the number of rows and
+    an order-free sum over the values' hashes; ``lag`` over a key's reports then
+    compares each report with the one before.  A key is reported if any of the
+    four differs, so a value that a report repeats can hide nothing, and repeated
+    keys never multiply into pairs.
+
+    Returns the keys, older/newer report, value_older/value_newer (the smallest),
+    max_older/max_newer and rows_older/rows_newer.
     """
     keys = list(keys)
-
-    def one_per_key(df, name, count_name):
-        return df.groupBy(*keys).agg(F.min(value).alias(name), F.count(F.lit(1)).alias(count_name))
-
-    a_src = older.filter(F.col(period_col).isin(list(periods))) if periods is not None and period_col else older
-    a = one_per_key(a_src, older_name, "rows_older")
-    b = one_per_key(newer, newer_name, "rows_newer")
-    out = a.join(b, on=keys, how="inner").filter(F.col(older_name) != F.col(newer_name))
-    if parse is not None:
-        ov, nv = parse(F.col(older_name)), parse(F.col(newer_name))
-        out = out.withColumn(
-            "revision_pct", F.when(ov > 0, F.round((nv - ov) / ov * 100, 4))
-        )
-    return out
+    seen = (
+        reports.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+        .select(*keys, F.col(report).alias("newer_report"), value.alias("_v"))
+        .groupBy(*keys, "newer_report")
+        .agg(F.min("_v").alias("value_newer"), F.max("_v").alias("max_newer"), F.count(F.lit(1)).alias("rows_newer"),
+             F.sum(F.xxhash64("_v").cast("decimal(38,0)")).alias("_sum_newer"))
+    )
+    w = Window.partitionBy(*keys).orderBy("newer_report")
+    names = ("value", "max", "rows", "_sum")
+    seen = seen.withColumns({"older_report": F.lag("newer_report").over(w)} | {f"{n}_older": F.lag(f"{n}_newer").over(w) for n in names})
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(f"{n}_newer").eqNullSafe(F.col(f"{n}_older"))
+    return seen.where(F.col("older_report").isNotNull() & ~same).drop("_sum_newer", "_sum_older")
 
 
 def bbox_filter(df: DataFrame, lat: str, lon: str, lat_range, lon_range) -> DataFrame:

@@ -3,10 +3,11 @@
 The period key (a year) has only a handful of values, so
 ``row_number() over (partition by year ...)`` would put every entity of a
 year into one task.  `rank_within` computes the same row numbers without
-that: rows are range-partitioned on (period, order keys) so each task holds a
-contiguous slice of the global order, every task numbers its own rows, and
-the per-(task, period) row counts -- at most tasks + periods rows -- give
-each slice its offset.  Only that small count table is broadcast.
+that: rows are range-partitioned on (period, order keys) once, so each slice
+holds a contiguous run of the global order, and are written to the shared
+folder with their slice and place.  The counts per (slice, period) -- at most
+slices + periods rows -- and the ranks are both read from those files, so they
+can't disagree about which row lies in which slice.
 """
 
 from __future__ import annotations
@@ -14,7 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import broadcast_bounded
+from ..session import materialize
+
+
+def _unused(df: DataFrame, stem: str) -> str:
+    while stem in df.columns:
+        stem += "_"
+    return stem
 
 
 def rank_within(df: DataFrame, period: str, order, rank_col: str = "rank",
@@ -30,62 +37,46 @@ def rank_within(df: DataFrame, period: str, order, rank_col: str = "rank",
         w = Window.partitionBy(period).orderBy(*order)
         return df.withColumn(rank_col, F.row_number().over(w))
 
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(period).asc_nulls_last(), *order]
-    placed = (
+    part, place = _unused(df, "_slice"), _unused(df, "_place")
+    placed = materialize(
         df.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
-        .select("*", F.spark_partition_id().alias("_rk_part"), F.monotonically_increasing_id().alias("_rk_pos"))
-    )
-    counts = placed.groupBy("_rk_part", period).agg(
-        F.count(F.lit(1)).alias("_rk_n"), F.min("_rk_pos").alias("_rk_first")
+        .select("*", F.spark_partition_id().alias(part), F.monotonically_increasing_id().alias(place)),
+        "placed",
     )
-    before = Window.partitionBy(period).orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_rk_part").alias("_rk_part2"),
-        F.col(period).alias("_rk_period2"),
-        "_rk_first",
-        F.coalesce(F.sum("_rk_n").over(before), F.lit(0)).alias("_rk_offset"),
+    counts = placed.groupBy(F.col(part).alias("_of"), F.col(period).alias("_in")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first")
     )
-    # A range slice holds a contiguous run of periods: at most n + periods rows.
-    offsets = broadcast_bounded(offsets, n * 4 + 10_000)
-    cond = (F.col("_rk_part") == F.col("_rk_part2")) & F.col(period).eqNullSafe(F.col("_rk_period2"))
-    rank = (F.col("_rk_offset") + F.col("_rk_pos") - F.col("_rk_first") + 1).cast("int").alias(rank_col)
-    return placed.join(offsets, cond, "inner").select(*[F.col(f"`{c}`") for c in df.columns], rank)
-
-
-def group_limit_threshold(spark) -> int:
-    """Largest k for which Spark plans a row_number filter as a WindowGroupLimit."""
-    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    before = Window.partitionBy("_in").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_of", "_in", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    same = (F.col(part) == F.col("_of")) & F.col(period).eqNullSafe(F.col("_in"))
+    rank = (F.col("_offset") + F.col(place) - F.col("_first") + 1).cast("int")
+    # every row has its slice's offset; a missing one is an error, not a lost row
+    rank = F.when(F.col("_of").isNull(), F.raise_error(F.lit("rank_within: a row without its slice")).cast("int")).otherwise(rank)
+    return placed.join(offsets, same, "left").select(*[F.col(f"`{c}`") for c in df.columns], rank.alias(rank_col))
 
 
 def top_k(df: DataFrame, period: str, order, k: int, rank_col: str = "rank") -> DataFrame:
     """The first k rows of each period.  Planned as a WindowGroupLimit: every
-    map task keeps its own top k per period before the shuffle.  Only valid
-    for k up to `group_limit_threshold`; above it the window would hold a
-    whole period in one task -- filter `rank_within` instead."""
+    map task keeps its own top k per period before the shuffle.  Meant for a
+    small k (a report's); for ranks of all rows use `rank_within`."""
     w = Window.partitionBy(period).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
 def with_topk_persistence(ranked: DataFrame, entity: str, rank_col: str, k: int, min_periods: int,
-                          max_periods: int, count_col: str = "years_in_top20",
-                          flag_col: str = "is_top20", persistent_col: str = "is_persistent_overcrowded",
-                          top: DataFrame | None = None) -> DataFrame:
+                          count_col: str = "years_in_top20", flag_col: str = "is_top20",
+                          persistent_col: str = "is_persistent_overcrowded") -> DataFrame:
     """Add top-k flag, number of periods in the top k, and the persistence flag.
 
-    The per-entity counts come from the top-k rows only (at most
-    k * max_periods rows, a bound set by the accepted periods), so they are
-    broadcast back instead of shuffling the ranked table by entity.  `top`
-    may give those rows from a cheaper plan (`top_k` on the unranked input,
-    same order); by default they are read off `ranked`.
+    The per-entity counts come from the top-k rows (k per period); AQE
+    broadcasts them when their measured size allows it.
     """
-    top = ranked.filter(F.col(rank_col) <= k) if top is None else top
-    counts = top.groupBy(entity).agg(F.count(F.lit(1)).alias(count_col))
-    counts = broadcast_bounded(counts, k * max_periods)
+    counts = ranked.filter(F.col(rank_col) <= k).groupBy(F.col(entity).alias("_who")).agg(F.count(F.lit(1)).alias(count_col))
     n = F.coalesce(F.col(count_col), F.lit(0)).cast("long")
-    return ranked.join(counts, on=entity, how="left").select(
+    return ranked.join(counts, F.col(entity) == F.col("_who"), "left").select(
         *[F.col(f"`{c}`") for c in ranked.columns],
         (F.col(rank_col) <= k).alias(flag_col),
         n.alias(count_col),

@@ -22,13 +22,19 @@ def weighted_index(value, base, scale: int = 1) -> Column:
     return F.when(den > 0, F.round(num / den * 100, scale))
 
 
-def top_by(entity, score) -> Column:
-    """Entity with the largest score; ties go to the smallest entity (repeatable)."""
-    return F.min_by(F.col(entity), F.struct((-F.col(score)).alias("s"), F.col(entity).alias("e")))
-
-
-def rollup(df: DataFrame, keys, aggs: dict, drop_null=None) -> DataFrame:
-    """groupBy(keys).agg(aggs) after dropping rows whose `drop_null` key is NULL."""
-    if drop_null:
-        df = df.filter(F.col(drop_null).isNotNull())
-    return df.groupBy(*keys).agg(*[c.alias(name) for name, c in aggs.items()])
+def with_top(rolled: DataFrame, rows: DataFrame, keys, score: str, best: str, entity: str, name: str) -> DataFrame:
+    """Adds to a rollup the entity with the group's largest score (`best`); ties go to the smallest entity.
+
+    The rollup itself stays a hash aggregate of numbers; only the rows that
+    reach their group's maximum meet it again.
+    """
+    keys = list(keys)
+    most = rolled.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(best).alias("_best"))
+    same = F.col(score) == F.col("_best")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    top = rows.join(most, same, "inner").groupBy(*[f"_{k}" for k in keys]).agg(F.min(entity).alias(name))
+    back = F.lit(True)
+    for k in keys:
+        back = back & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return rolled.join(top, back, "left").drop(*[f"_{k}" for k in keys])

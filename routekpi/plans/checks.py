@@ -77,6 +77,7 @@ def mart_checks(params: KpiParams = KpiParams()) -> dict:
             Q.not_null("overcrowding_rank"),
             Q.not_null("pct_trips_overcrowded"),
             Q.not_null("is_persistent_overcrowded"),
+            Q.unique("calendar_year", "overcrowding_rank"),
             Q.unique("route_number", "calendar_year"),
         ],
         "fct_service_gap": [

@@ -4,14 +4,14 @@ Physical shape, per model:
 
 * dim_routes -- latest snapshot per route: a WindowGroupLimit(1) on route,
   output hash-partitioned by route.
-* fact -- lag, baseline and the dimension join all key on route: one
-  Exchange on route serves the windows and the sort-merge join with
-  dim_routes (itself already partitioned by route); the sub-region seed is
-  broadcast (fixed size).
-* ranking -- distributed row number per year (no single task per year),
-  top-k counts broadcast back (k x years rows).
-* gap / recovery -- rollups are partial+final hash aggregates; the rollup
-  is joined back by broadcast, its size bounded by accepted sub-regions x years.
+* fact -- lag, baseline and the dimension join all use one key, the route (rows
+  without a route are dealt over many keys): one Exchange serves the windows and
+  the join with dim_routes.
+* ranking -- distributed row number per year (no single task per year).
+* gap / recovery -- rollups are partial+final hash aggregates joined back.
+
+No side carries a broadcast hint: AQE broadcasts what it has measured to be
+small (the seed, top-k counts, rollups) and splits skewed joins.
 """
 
 from __future__ import annotations
@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 
 from .. import functions as K
 from ..operators.dedupe import latest_per_key
-from ..operators.joins import broadcast_bounded
-from ..operators.ranking import group_limit_threshold, rank_within, top_k, with_topk_persistence
-from ..operators.rollup import mean, top_by, weighted_index
-from ..operators.windows import baseline_columns, prior_columns
+from ..operators.ranking import rank_within, with_topk_persistence
+from ..operators.rollup import mean, weighted_index, with_top
+from ..operators.windows import baseline_columns, prior_columns, spread_key
 from ..schemas import UNKNOWN_LABEL, KpiParams
 
 
@@ -73,22 +72,30 @@ FACT_PERF_COLUMNS = (
 )
 
 
+# Total order of a route's rows within a year.
+PRIOR_TIEBREAK = ("report_source", "is_combined_route", "annual_boardings", "annual_service_hours")
+
+
 def fact_route_performance(perf: DataFrame, routes: DataFrame, subregions: DataFrame,
-                           params: KpiParams = KpiParams(), subregion_rows: int | None = None) -> DataFrame:
-    """Route x year fact: dimensions, base-year index, change vs prior available year, tier."""
+                           params: KpiParams = KpiParams()) -> DataFrame:
+    """Route x year fact: dimensions, base-year index, change vs prior available year, tier.
+
+    Several raw codes can name one route ('005' and '005/006'); its rows of one
+    year then follow in the order of PRIOR_TIEBREAK.
+    """
     entity, time = "route_number", "calendar_year"
+    key = {"tiebreak": PRIOR_TIEBREAK, "key": "_key"}
     windows = {
-        **baseline_columns(entity, time, params.base_year, {"boardings_base": "annual_boardings"}),
-        **prior_columns(entity, time, {"prior_year_boardings": "annual_boardings"}, prior_time="prior_calendar_year"),
+        **baseline_columns(entity, time, params.base_year, {"boardings_base": "annual_boardings"}, **key),
+        **prior_columns(entity, time, {"prior_year_boardings": "annual_boardings"}, prior_time="prior_calendar_year", **key),
     }
-    p = perf.withColumns(windows)
-    r = routes.select(entity, "route_name", "vehicle_type", "service_type", "subregion", "latest_snapshot_year")
+    p = perf.withColumn("_key", spread_key(entity, [time, *PRIOR_TIEBREAK])).withColumns(windows)
+    r = routes.select(F.col(entity).alias("_key"), "route_name", "vehicle_type", "service_type", "subregion", "latest_snapshot_year")
     s = subregions.select(
         F.col("subregion_name").alias("subregion"), "subregion_code",
         F.col("population_2021").alias("subregion_population"), "population_density_per_km2",
     )
-    s = broadcast_bounded(s, subregion_rows if subregion_rows is not None else 10 * len(params.subregions) + 100)
-    joined = p.join(r, on=entity, how="left").join(s, on="subregion", how="left")
+    joined = p.join(r, on="_key", how="left").join(s, on="subregion", how="left")
     return joined.select(
         entity, time,
         "route_name", "vehicle_type", "service_type", "subregion", "latest_snapshot_year",
@@ -109,19 +116,11 @@ def overcrowding_ranking(fact: DataFrame, params: KpiParams = KpiParams(), metho
         "route_number", "route_name", "subregion", "calendar_year", "pct_trips_overcrowded",
         "avg_peak_load_factor", "avg_daily_boardings_mf", "annual_revenue_hours", "overcrowding_severity",
     )
-    order = [F.col("pct_trips_overcrowded").desc_nulls_first(), F.col("route_number").asc_nulls_last()]
+    order = [F.col("pct_trips_overcrowded").desc_nulls_first(), F.col("route_number").asc_nulls_last(),
+             F.col("annual_revenue_hours").asc_nulls_last(), F.col("avg_peak_load_factor").asc_nulls_last(),
+             F.col("avg_daily_boardings_mf").asc_nulls_last()]
     ranked = rank_within(perf, "calendar_year", order, rank_col="overcrowding_rank", method=method)
-    # top-k rows straight from the input: a WindowGroupLimit keeps k rows per
-    # year in every map task, so this branch never waits on the full ranking.
-    # For a k too large for a group limit, the ranks themselves are filtered.
-    top = None
-    if method == "range" and params.top_k <= group_limit_threshold(fact.sparkSession):
-        top = top_k(perf.select("route_number", "calendar_year", "pct_trips_overcrowded"),
-                    "calendar_year", order, params.top_k)
-    out = with_topk_persistence(
-        ranked, "route_number", "overcrowding_rank", params.top_k, params.persistent_min_years,
-        max_periods=len(params.valid_years), top=top,
-    )
+    out = with_topk_persistence(ranked, "route_number", "overcrowding_rank", params.top_k, params.persistent_min_years)
     return out.select(
         "route_number", "route_name", "subregion", "calendar_year", "pct_trips_overcrowded",
         F.round(F.col("pct_trips_overcrowded") * 100, 2).alias("pct_trips_overcrowded_display"),
@@ -130,11 +129,6 @@ def overcrowding_ranking(fact: DataFrame, params: KpiParams = KpiParams(), metho
     )
 
 
-def _rollup_bound(params: KpiParams) -> int:
-    # groups = (accepted sub-regions + unmatched/NULL-code spill) x accepted years
-    return (len(params.subregions) + 1) * 2 * len(params.valid_years)
-
-
 def service_gap_scored(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
     perf = fact.filter(
         F.col("pct_trips_overcrowded").isNotNull()
@@ -156,9 +150,10 @@ def service_gap_scored(fact: DataFrame, params: KpiParams = KpiParams()) -> Data
 
 def gap_rollup(scored: DataFrame) -> DataFrame:
     """Per (sub-region, code, year): counts, means of the rounded scores, max and arg-max."""
-    return (
-        scored.filter(F.col("subregion").isNotNull())
-        .groupBy("subregion", "subregion_code", "calendar_year")
+    keys = ("subregion", "subregion_code", "calendar_year")
+    rows = scored.filter(F.col("subregion").isNotNull())
+    rolled = (
+        rows.groupBy(*keys)
         .agg(
             F.count("route_number").alias("route_count"),
             mean("gap_score", 2).alias("avg_gap_score"),
@@ -166,20 +161,19 @@ def gap_rollup(scored: DataFrame) -> DataFrame:
             mean("component_peak_load", 2).alias("avg_peak_load_score"),
             mean("component_capacity_util", 2).alias("avg_capacity_util_score"),
             F.max("gap_score").alias("max_gap_score"),
-            top_by("route_number", "gap_score").alias("most_strained_route"),
         )
     )
+    return with_top(rolled, rows.select(*keys, "gap_score", "route_number"), keys, "gap_score", "max_gap_score",
+                    "route_number", "most_strained_route")
 
 
 def service_gap(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
     """Route-level scores with their sub-region average (joined on sub-region, year)."""
     scored = service_gap_scored(fact, params)
-    roll = gap_rollup(scored).select(
-        "subregion", "calendar_year",
-        F.col("avg_gap_score").alias("subregion_avg_gap_score"),
-        F.col("route_count").alias("subregion_route_count"),
-    )
-    return scored.join(broadcast_bounded(roll, _rollup_bound(params)), ["subregion", "calendar_year"], "left")
+    roll = scored.filter(F.col("subregion").isNotNull()).groupBy("subregion", "subregion_code", "calendar_year").agg(
+        mean("gap_score", 2).alias("subregion_avg_gap_score"), F.count("route_number").alias("subregion_route_count"),
+    ).drop("subregion_code")
+    return scored.join(roll, ["subregion", "calendar_year"], "left")
 
 
 RECOVERY_METRICS = (
@@ -236,4 +230,4 @@ def recovery_trends(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFra
         "subregion", "calendar_year", "subregion_boardings_index",
         F.col("total_routes").alias("subregion_total_routes"),
     )
-    return indexed.join(broadcast_bounded(roll, _rollup_bound(params)), ["subregion", "calendar_year"], "left")
+    return indexed.join(roll, ["subregion", "calendar_year"], "left")

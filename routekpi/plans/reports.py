@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_bounded
 from ..operators.rollup import mean, weighted_index
 from ..schemas import KpiParams
 from .marts import gap_rollup, recovery_indexed, recovery_rollup, service_gap_scored
@@ -60,8 +59,7 @@ def report_before_after(ranking: DataFrame, fact: DataFrame, params: KpiParams =
         "route_number", F.col("pct_trips_overcrowded").alias("pct_after")
     )
     return (
-        broadcast_bounded(top, params.top_k)
-        .join(later, "route_number", "left")
+        top.join(later, "route_number", "left")
         .withColumn("change_points", F.col("pct_after") - F.col("pct_before"))
         .withColumn("year_before", F.lit(before))
         .withColumn("year_after", F.lit(after))

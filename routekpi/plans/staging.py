@@ -102,18 +102,14 @@ def model_stops(raw: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
     return bbox_filter(boardable, "stop_lat", "stop_lon", params.lat_range, params.lon_range)
 
 
-def report_revisions(reports: dict, params: KpiParams = KpiParams(), value: str = "AnnualBoardings") -> DataFrame:
-    """J9: rows of the overlapping years whose value changed between the two reports."""
-    (older_label, older), (newer_label, newer) = sorted(reports.items())[:2]
-    out = revision_audit(
-        older, newer, keys=["CalendarYear", "Lineno_renamed"], value=value,
-        periods=[str(y) for y in params.valid_years], period_col="CalendarYear",
-        older_name="value_older", newer_name="value_newer",
-        parse=lambda c: K.try_decimal(c, 18, 3),
-    )
+def report_revisions(reports: DataFrame, params: KpiParams = KpiParams(), value: str = "AnnualBoardings",
+                     source_col: str = "report_source") -> DataFrame:
+    """J9: (year, route) keys whose value changed from one report to the next, over all reports."""
+    wanted = reports.filter(F.col("CalendarYear").isin([str(y) for y in params.valid_years]))
+    out = revision_audit(wanted, ["CalendarYear", "Lineno_renamed"], source_col, K.try_decimal(value, 18, 3))
     return out.select(
         F.col("CalendarYear").alias("calendar_year_raw"),
         F.col("Lineno_renamed").alias("route_number_raw"),
-        "value_older", "value_newer", "revision_pct", "rows_older", "rows_newer",
-        F.lit(older_label).alias("older_report"), F.lit(newer_label).alias("newer_report"),
+        "older_report", "newer_report", "value_older", "value_newer", "max_older", "max_newer", "rows_older", "rows_newer",
+        K.pct_change("value_newer", "value_older", 4).alias("revision_pct"),
     )

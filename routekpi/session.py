@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators assume.  ANSI stays on (parse only with try_cast,
 # divide only under a guard); AQE re-plans joins and shuffle partitions at run
@@ -39,12 +40,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def apply_engine_conf(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session."""
+    """Apply the runtime SQL settings to an existing session.
+
+    The operators rely on them, so a setting that can't be changed and differs
+    is an error.
+    """
     for k, v in ENGINE_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings on managed clusters
-            pass
     return spark
 
 
@@ -65,8 +68,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     local = tempfile.mkdtemp(prefix="routekpi-ckpt-", dir=os.environ.get("ROUTEKPI_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
-    try:
-        spark.conf.set("spark.checkpoint.dir", local)
-    except Exception:  # core setting locked at runtime on some deployments
-        pass
     return sc.getCheckpointDir() or local
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    What is read twice is then the same rows both times, whatever is recomputed;
+    the files go when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/routekpi-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    parent = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(parent)
+    return spark.read.schema(df.schema).parquet(path)

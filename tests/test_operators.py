@@ -117,34 +117,71 @@ def test_window_rank_plan_has_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_revision_audit_never_pairs_repeated_keys(spark):
+def audited(spark, rows):
     from routekpi.operators.audit import revision_audit
 
-    older = spark.createDataFrame([("2022", "005", str(700 + i % 50)) for i in range(3000)] + [("2022", "010", "9")],
-                                  "y string, r string, v string")
-    newer = spark.createDataFrame([("2022", "005", str(800 + i % 40)) for i in range(2000)] + [("2022", "010", "9")],
-                                  "y string, r string, v string")
-    rows = revision_audit(older, newer, ["y", "r"], "v").collect()
-    assert len(rows) == 1
-    r = rows[0]
-    assert (r.r, r.value_older, r.value_newer, r.rows_older, r.rows_newer) == ("005", "700", "800", 3000, 2000)
-
-
-def test_large_k_ranking_filters_ranks(spark):
-    from routekpi.plans.marts import overcrowding_ranking
-    from routekpi.schemas import KpiParams
-
-    rows = [(f"r{i}", 2024, str(i % 7), "x", "s", "1", "1", "1", "Low") for i in range(30)]
-    fact = spark.createDataFrame(rows, "route_number string, calendar_year int, pct string, route_name string, "
-                                 "subregion string, plf string, mf string, rev string, overcrowding_severity string")
-    fact = fact.selectExpr("route_number", "calendar_year", "cast(pct as decimal(10,4)) as pct_trips_overcrowded",
-                           "route_name", "subregion", "cast(plf as decimal(10,4)) as avg_peak_load_factor",
-                           "cast(mf as decimal(10,1)) as avg_daily_boardings_mf",
-                           "cast(rev as decimal(10,2)) as annual_revenue_hours", "overcrowding_severity")
-    small = {r.route_number: r.years_in_top20 for r in overcrowding_ranking(fact, KpiParams(top_k=5)).collect()}
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    df = spark.createDataFrame(rows, "s string, y string, r string, v int").repartition(3)
+    out = revision_audit(df, ["y", "r"], "s", F.col("v")).collect()
+    return {(r.r, r.older_report, r.newer_report): (r.value_older, r.value_newer, r.max_older, r.max_newer, r.rows_older, r.rows_newer) for r in out}
+
+
+def test_revision_audit_never_pairs_repeated_keys(spark):
+    rows = [("a", "2022", "005", 700 + i % 50) for i in range(3000)] + [("a", "2022", "010", 9)]
+    rows += [("b", "2022", "005", 800 + i % 40) for i in range(2000)] + [("b", "2022", "010", 9)]
+    assert audited(spark, rows) == {("005", "a", "b"): (700, 800, 749, 839, 3000, 2000)}
+
+
+def test_revision_audit_shows_any_change_over_any_number_of_reports(spark):
+    rows = [("a", "y", "max", 10), ("a", "y", "max", 20), ("b", "y", "max", 10), ("b", "y", "max", 30)]
+    rows += [("a", "y", "middle", v) for v in (1, 5, 9)] + [("b", "y", "middle", v) for v in (1, 6, 9)]
+    rows += [("a", "y", "text", 9), ("b", "y", "text", 10)]
+    rows += [("a", "y", "third", 1), ("b", "y", "third", 1), ("c", "y", "third", 2)]
+    rows += [("a", "y", "gap", 1), ("c", "y", "gap", 3)]
+    rows += [("a", "y", "null", None), ("b", "y", "null", 4), ("c", "y", "null", None)]
+    rows += [("a", "y", "order", 3), ("a", "y", "order", 4), ("b", "y", "order", 4), ("b", "y", "order", 3)]
+    rows += [("a", "y", "alone", 1), ("a", "y", None, 1), ("b", "y", None, 2), ("c", "y", None, 3)]
+    got = audited(spark, rows)
+    assert got == {
+        ("max", "a", "b"): (10, 10, 20, 30, 2, 2), ("middle", "a", "b"): (1, 1, 9, 9, 3, 3), ("text", "a", "b"): (9, 10, 9, 10, 1, 1),
+        ("third", "b", "c"): (1, 2, 1, 2, 1, 1), ("gap", "a", "c"): (1, 3, 1, 3, 1, 1),
+        ("null", "a", "b"): (None, 4, None, 4, 1, 1), ("null", "b", "c"): (4, None, 4, None, 1, 1),
+    }
+
+
+def test_rank_within_where_sampling_is_not_exhaustive(spark):
+    """A million rows with payload columns and one sampled key per partition: ranks equal the window's."""
+    old = spark.conf.get("spark.sql.execution.rangeExchange.sampleSizePerPartition")
+    spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", "1")
     try:
-        big = {r.route_number: r.years_in_top20 for r in overcrowding_ranking(fact, KpiParams(top_k=5)).collect()}
+        df = spark.range(0, 1_000_000, 1, 16).selectExpr(
+            "case when id % 3 = 0 then 2019 else 2024 end as period", "cast(xxhash64(id) % 1000 as int) as score",
+            "concat('e', id) as entity", "id * 7 as payload", "repeat('x', 20) as more")
+        out = rank_within(df, "period", order(), num_partitions=13)
+        both = out.join(rank_within(df, "period", order(), method="window").select("entity", F.col("rank").alias("want")), "entity")
+        assert out.count() == 1_000_000
+        assert both.where("rank <> want").count() == 0 and both.count() == 1_000_000
+        assert out.columns == [*df.columns, "rank"]
     finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-    assert small == big and sum(small.values()) == 5
+        spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", old)
+
+
+def test_windows_spread_rows_without_entity_and_order_ties(spark):
+    from routekpi.operators.windows import prior_columns, spread_key
+
+    rows = [(None, 2000 + i % 7, i) for i in range(5000)] + [("5", 2001, 3), ("5", 2001, 1), ("5", 2002, 9)]
+    df = spark.createDataFrame(rows, "e string, t int, v int").repartition(5)
+    keyed = df.withColumn("k", spread_key("e", ["t", "v"]))
+    biggest = keyed.where("e is null").groupBy("k").count().agg({"count": "max"}).first()[0]
+    assert biggest < 50  # nowhere near all of them
+    out = keyed.withColumns(prior_columns("e", "t", {"was": "v"}, prior_time="when", tiebreak=("v",), key="k"))
+    assert {(r.t, r.v): (r.was, r.when) for r in out.where("e = '5'").collect()} == {(2001, 1): (None, None), (2001, 3): (1, 2001), (2002, 9): (3, 2001)}
+    assert out.where("e is null and (was is not null or when is not null)").count() == 0
+
+
+def test_top_of_group_with_ties_and_null_keys(spark):
+    from routekpi.operators.rollup import with_top
+
+    rows = [("a", None, 3, "r2"), ("a", None, 3, "r1"), ("a", None, 1, "r0"), ("b", "x", 2, "r9")]
+    df = spark.createDataFrame(rows, "g string, c string, s int, r string")
+    out = with_top(df.groupBy("g", "c").agg(F.max("s").alias("m")), df, ["g", "c"], "s", "m", "r", "top")
+    assert {(r.g, r.c, r.m, r.top) for r in out.collect()} == {("a", None, 3, "r1"), ("b", "x", 2, "r9")}
