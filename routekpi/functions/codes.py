@@ -10,24 +10,25 @@ from pyspark.sql import functions as F
 from .parse import _col, try_integer
 
 
-def canonical_route(c, keep_prefixes=("R", "N"), separator: str = "/") -> Column:
+# Codes that start with one of these are names, not numbers; the separator joins combined routes.
+ROUTE_PREFIXES = ("R", "N")
+ROUTE_SEPARATOR = "/"
+
+
+def canonical_route(c, keep_prefixes=ROUTE_PREFIXES, separator: str = ROUTE_SEPARATOR) -> Column:
     """Canonical route code.
 
-    * text starting with one of `keep_prefixes` (case-insensitive) is kept, trimmed;
-    * text holding `separator` keeps its first part as a number ('005/006' -> '5');
-    * anything else is read as a number ('005' -> '5', '5.6' -> '6'), NULL if not one.
+    * text starting with one of `keep_prefixes` (case-insensitive) is kept, trimmed,
+      a separator in it included ('R4/R5' stays 'R4/R5');
+    * anything else is the number before the first `separator`: '005/006' and
+      '005' -> '5', '5.6' -> '6', NULL if that isn't one.
 
-    The prefix test comes first, so 'R4/R5' stays 'R4/R5'.  The input is not
-    trimmed before the tests, so ' R4' is not a prefixed code and gives NULL.
+    The input is not trimmed before the test, so ' R4' is not a prefixed code and gives NULL.
     """
     c = _col(c)
-    prefixed = reduce(lambda a, b: a | b, [c.ilike(f"{p}%") for p in keep_prefixes])
-    first_part = F.split_part(c, F.lit(separator), F.lit(1))
-    return (
-        F.when(prefixed, F.trim(c))
-        .when(c.contains(separator), F.trim(try_integer(first_part).cast("string")))
-        .otherwise(F.trim(try_integer(c).cast("string")))
-    )
+    prefixed = reduce(lambda a, b: a | b, [F.startswith(F.upper(c), F.lit(p.upper())) for p in keep_prefixes])
+    number = try_integer(F.split_part(c, F.lit(separator), F.lit(1)))
+    return F.when(prefixed, F.trim(c)).otherwise(number.cast("string"))
 
 
 def combined_flag(c, separator: str = "/") -> Column:

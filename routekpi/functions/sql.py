@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from .codes import ROUTE_PREFIXES, ROUTE_SEPARATOR
 from ..schemas import NULL_TOKENS, SEVERITY_BANDS, SEVERITY_LOW, SEVERITY_UNKNOWN, SUBREGION_RULES, UNIT_STRIP_PATTERN
 
 
@@ -27,17 +28,14 @@ def sql_function_bodies(subregion_rules=SUBREGION_RULES, severity_bands=SEVERITY
         for cat, pats in subregion_rules
     )
     tiers = " ".join(f"WHEN pct >= {b} THEN {_quote(t)}" for b, t in severity_bands)
+    kept = " OR ".join(f"startswith(upper(c), {_quote(p)})" for p in ROUTE_PREFIXES)
+    number = f"try_cast(split_part(c, {_quote(ROUTE_SEPARATOR)}, 1) AS DECIMAL(38,0))"
     return {
         "rk_null_token": ("c STRING", "STRING", f"CASE WHEN c IN ({tokens}) THEN NULL ELSE c END"),
         "rk_try_integer": ("c STRING", "DECIMAL(38,0)", "try_cast(c AS DECIMAL(38,0))"),
         "rk_strip_units": ("c STRING", "STRING", f"regexp_replace(c, {_quote(UNIT_STRIP_PATTERN)}, '')"),
-        "rk_canonical_route": (
-            "c STRING", "STRING",
-            "CASE WHEN c ILIKE 'R%' OR c ILIKE 'N%' THEN trim(c) "
-            "WHEN c LIKE '%/%' THEN trim(CAST(try_cast(split_part(c, '/', 1) AS DECIMAL(38,0)) AS STRING)) "
-            "ELSE trim(CAST(try_cast(c AS DECIMAL(38,0)) AS STRING)) END",
-        ),
-        "rk_combined_flag": ("c STRING", "BOOLEAN", "coalesce(c LIKE '%/%', false)"),
+        "rk_canonical_route": ("c STRING", "STRING", f"CASE WHEN {kept} THEN trim(c) ELSE CAST({number} AS STRING) END"),
+        "rk_combined_flag": ("c STRING", "BOOLEAN", f"coalesce(contains(c, {_quote(ROUTE_SEPARATOR)}), false)"),
         "rk_subregion": ("c STRING", "STRING", f"CASE {classify} ELSE c END"),
         "rk_severity_tier": (
             "pct DECIMAL(10,4)", "STRING",

@@ -1,9 +1,9 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
-Written independently of the Spark code: the models are spelled the way the
-source project spells them (self-joins for the base year and the prior
-year, a join back for top-k counts), over the same derivation of the driver's
-tables.  Two DuckDB differences are handled here:
+Written from the definitions of the results, not from either implementation:
+a route's base and prior values come from its ordered list of years, counts and
+sub-region figures from windows, over the same derivation of the driver's tables.
+Two DuckDB differences are handled here:
 
 * DuckDB divides DECIMALs in DOUBLE, so every rounded quotient uses `rdiv`,
   an exact integer form of ``round(num / den * mult, scale)`` (half away from
@@ -14,9 +14,17 @@ tables.  Two DuckDB differences are handled here:
 
 from __future__ import annotations
 
-from ..schemas import EXCLUDED_SERVICES, NULL_TOKENS, YEARLINE_COLUMNS
+from ..schemas import (
+    BUS_LINE_MEASURES,
+    EXCLUDED_SERVICES,
+    NULL_TOKENS,
+    STOPS_COLUMNS,
+    UNIT_STRIP_PATTERN,
+    YEARLINE_COLUMNS,
+    YEARLINE_MEASURES,
+)
 from ..sources import testdata as TD
-from .checks import staging_checks
+from .checks import mart_checks, staging_checks
 
 P = TD.DRIVER_PARAMS
 
@@ -40,11 +48,9 @@ def nt(col: str) -> str:
 
 
 def canon(x: str) -> str:
-    return (
-        f"CASE WHEN {x} ILIKE 'R%' OR {x} ILIKE 'N%' THEN trim({x}) "
-        f"WHEN {x} LIKE '%/%' THEN trim(CAST(TRY_CAST(split_part({x}, '/', 1) AS DECIMAL(38,0)) AS VARCHAR)) "
-        f"ELSE trim(CAST(TRY_CAST({x} AS DECIMAL(38,0)) AS VARCHAR)) END"
-    )
+    """Text from R or N on is kept trimmed; else the number before the first slash, or NULL."""
+    number = f"CAST(TRY_CAST(string_split({x}, '/')[1] AS DECIMAL(38,0)) AS VARCHAR)"
+    return f"CASE WHEN regexp_matches({x}, '^[RrNn]') THEN trim({x}) ELSE {number} END"
 
 
 def padded(x: str) -> str:
@@ -56,7 +62,7 @@ def ratio_txt(num: str, den: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '[^0-9.-]', '', 'g')"
+    return f"regexp_replace({x}, '{UNIT_STRIP_PATTERN}', '', 'g')"
 
 
 def classify(x: str, rules) -> str:
@@ -80,10 +86,11 @@ def I(expr: str, name: str | None = None) -> str:  # noqa: E743
 def _facts(sfx: str, cond: str | None) -> str:
     f = (lambda e: f"{e} FILTER (WHERE {cond})") if cond else (lambda e: e)
     c = (lambda p: f"count(*) FILTER (WHERE {cond} AND {p})") if cond else (lambda p: f"count(*) FILTER (WHERE {p})")
+    returned = c("l_returnflag = 'R'")
     return ", ".join([
         f"{f('count(*)')} AS n_{sfx}", f"{f('sum(qty)')} AS q_{sfx}", f"{f('sum(ext)')} AS e_{sfx}",
         f"{c('qty > 40')} AS big_{sfx}", f"{c('qty >= 48')} AS full_{sfx}",
-        f"{c('l_discount <= 0.05')} AS ontime_{sfx}", f"{c(chr(39).join(['l_returnflag = ', 'R', '']))} AS ret_{sfx}",
+        f"{c('l_discount <= 0.05')} AS ontime_{sfx}", f"{returned} AS ret_{sfx}",
         f"{f('max(qty)')} AS maxq_{sfx}", f"{f('min(qty)')} AS minq_{sfx}",
     ])
 
@@ -92,7 +99,7 @@ SY = f"""
 li AS (
   SELECT l_suppkey, l_shipdate, l_discount, l_returnflag,
          CAST(l_quantity AS BIGINT) AS qty, CAST(l_extendedprice AS DECIMAL(12,2)) AS ext,
-         (month(l_shipdate) = 12 AND day(l_shipdate) >= {TD.LATE_DAY}) AS late
+         (month(l_shipdate) = 12 AND day(l_shipdate) >= {TD.LATE_DAY} AND year(l_shipdate) >= {TD.LATE_FROM}) AS late
   FROM lineitem
 ),
 agg AS (
@@ -101,12 +108,12 @@ agg AS (
 ),
 sy AS (
   SELECT agg.*, s_name, s_nationkey, s_acctbal,
-    CASE WHEN s_nationkey = 0 THEN {padded('suppkey')} || '/' || {padded('suppkey + 1')}
+    CASE WHEN s_acctbal < 0 AND year < {TD.LAUNCH_YEAR} THEN 'N' || CAST(suppkey AS VARCHAR)
+         WHEN s_acctbal >= {TD.DISCONTINUED_BALANCE} AND year > {TD.LAST_ACTIVE_YEAR} THEN 'R' || CAST(suppkey AS VARCHAR) || 'X'
+         WHEN s_nationkey = 0 THEN {padded('suppkey')} || '/' || {padded('suppkey + 1')}
          WHEN s_nationkey = 1 THEN 'R' || CAST(suppkey AS VARCHAR)
          ELSE {padded('suppkey')} END AS route_code
-  FROM agg JOIN supplier ON suppkey = s_suppkey
-  WHERE NOT (s_acctbal < 0 AND year < {TD.LAUNCH_YEAR})
-    AND NOT (s_acctbal >= {TD.DISCONTINUED_BALANCE} AND year > {TD.LAST_ACTIVE_YEAR})
+  FROM agg LEFT JOIN supplier ON suppkey = s_suppkey
 )"""
 
 
@@ -117,19 +124,19 @@ def _render(sfx: str, where: str, label: str, tokens: bool = True) -> str:
         (f"CAST(q_{sfx} AS VARCHAR)", "AnnualBoardings"),
         (f"CAST(maxq_{sfx} AS VARCHAR)", "AVG_Daily_Boardings_MF"),
         (f"CAST(minq_{sfx} AS VARCHAR)", "AVG_Daily_Boardings_Sat"),
-        ("'N/A'", "AVG_Daily_Boardings_SunHol"),
+        (f"CASE WHEN minq_{sfx} = 1 THEN 'N/A' ELSE CAST(minq_{sfx} AS VARCHAR) END", "AVG_Daily_Boardings_SunHol"),
         (f"CAST(CAST(e_{sfx} AS DECIMAL(18,2)) * 0.01 AS VARCHAR)", "Annual_Revenue_Hours"),
         (f"CAST(n_{sfx} * 1.5 AS VARCHAR)", "Annual_Service_Hours"),
-        ("''", "Average_Boarding_Per_Revenue_Hour"),
+        (f"CASE WHEN full_{sfx} = 0 THEN '' ELSE {ratio_txt(f'q_{sfx}', f'2 * n_{sfx}')} END", "Average_Boarding_Per_Revenue_Hour"),
         (f"CAST(maxq_{sfx} AS VARCHAR)", "Average_Peak_Passenger_Load"),
         (ratio_txt(f"q_{sfx}", f"25 * n_{sfx}"), "Average_Peak_Load_Factor"),
         (ratio_txt(f"q_{sfx}", f"50 * n_{sfx}"), "Average_Capacity_Utilization"),
         (f"CAST(big_{sfx} * 1.5 AS VARCHAR)", "Revenue_Hrs_w_Overcrowding"),
-        (f"CASE WHEN full_{sfx} = 0 THEN 'N/A' ELSE {ratio_txt(f'100 * big_{sfx}', f'n_{sfx}')} END",
+        (f"CASE WHEN suppkey <= {TD.ALWAYS_FULL} THEN '100.0000' WHEN full_{sfx} = 0 THEN 'N/A' ELSE {ratio_txt(f'100 * big_{sfx}', f'n_{sfx}')} END",
          "Perc_Trips_w_Overcrowding"),
         (ratio_txt(f"100 * ontime_{sfx}", f"n_{sfx}"), "On_Time_Performance_Percentage"),
         (ratio_txt(f"100 * ret_{sfx}", f"n_{sfx}"), "Bus_Bunching_Percentage"),
-        ("'NULL'", "AVG_speed_km_per_hr"),
+        (f"CASE WHEN maxq_{sfx} < 50 THEN 'NULL' ELSE {ratio_txt(f'q_{sfx}', f'n_{sfx}')} END", "AVG_speed_km_per_hr"),
     ]
     inner = ", ".join(f"{e} AS {n}" for e, n in cols)
     outer = ", ".join((nt(n) if tokens else n) + f" AS {n}" for _, n in cols)
@@ -139,27 +146,11 @@ def _render(sfx: str, where: str, label: str, tokens: bool = True) -> str:
 LO, FO, TO = TD.OLDER_REPORT
 LN, FN, TN = TD.NEWER_REPORT
 REPORTS = f"""{SY},
-rep_old AS ({_render('early', f'year BETWEEN {FO} AND {TO} AND n_early > 0', LO)}),
-rep_new AS ({_render('all', f'year BETWEEN {FN} AND {TN}', LN)}),
+rep_old AS ({_render('early', f'year <= {TO} AND n_early > 0', LO)}),
+rep_new AS ({_render('all', f'year >= {FN}', LN)}),
 reports AS (SELECT * FROM rep_old UNION ALL SELECT * FROM rep_new)"""
 
-_MEASURES = [
-    ("AnnualBoardings", "annual_boardings", 18, 3),
-    ("AVG_Daily_Boardings_MF", "avg_daily_boardings_mf", 10, 1),
-    ("AVG_Daily_Boardings_Sat", "avg_daily_boardings_sat", 10, 1),
-    ("AVG_Daily_Boardings_SunHol", "avg_daily_boardings_sunhol", 10, 1),
-    ("Annual_Revenue_Hours", "annual_revenue_hours", 10, 2),
-    ("Annual_Service_Hours", "annual_service_hours", 10, 2),
-    ("Average_Boarding_Per_Revenue_Hour", "avg_boarding_per_revenue_hour", 10, 2),
-    ("Average_Peak_Passenger_Load", "avg_peak_passenger_load", 10, 2),
-    ("Average_Peak_Load_Factor", "avg_peak_load_factor", 10, 4),
-    ("Average_Capacity_Utilization", "avg_capacity_utilization", 10, 4),
-    ("Revenue_Hrs_w_Overcrowding", "revenue_hrs_w_overcrowding", 10, 2),
-    ("Perc_Trips_w_Overcrowding", "pct_trips_overcrowded", 10, 4),
-    ("On_Time_Performance_Percentage", "on_time_performance_pct", 10, 4),
-    ("Bus_Bunching_Percentage", "bus_bunching_pct", 10, 4),
-    ("AVG_speed_km_per_hr", "avg_speed_km_per_hr", 10, 2),
-]
+_MEASURES = list(YEARLINE_MEASURES)
 _TIE = ", ".join(f"{c} ASC NULLS LAST" for c in YEARLINE_COLUMNS[2:])
 
 PERF = f"""{REPORTS},
@@ -218,31 +209,14 @@ _SNAP_COLS = [
     ("''", "SHAPE__Length_2"),
     ("''", "GlobalID"),
 ]
-SNAP_YEARS = ", ".join(str(y) for y in TD.SNAPSHOT_YEARS)
 SNAPS = f"""{SY},
 snap0 AS (
   SELECT {", ".join(f"{e} AS {n}" for e, n in _SNAP_COLS)}, CAST(year AS VARCHAR) AS snapshot_year
   FROM sy LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
-  WHERE year IN ({SNAP_YEARS})
 ),
 snaps AS (SELECT {", ".join(nt(n) + f" AS {n}" for _, n in _SNAP_COLS)}, snapshot_year FROM snap0)"""
 
-_LINE_MEASURES = [
-    ("Population", "corridor_population", 18, 0),
-    ("Employment", "corridor_employment", 18, 0),
-    ("Average_One_Way_Trip_Dist_km", "avg_trip_dist_km", 10, 2),
-    ("SHAPE__Length", "shape_length", 18, 4),
-    ("AVG_speed_km_per_hr", "avg_speed_km_per_hr", 10, 2),
-    ("RANK_Annual_Boardings", "rank_annual_boardings", 10, 0),
-    ("Annual_Boardings", "annual_boardings", 18, 3),
-    ("AVG_Daily_Boardings_MF", "avg_daily_boardings_mf", 10, 1),
-    ("AVG_Daily_Boardings_Sat", "avg_daily_boardings_sat", 10, 1),
-    ("AVG_Daily_Boardings_SunHol", "avg_daily_boardings_sunhol", 10, 1),
-    ("Annual_Revenue_Hours_with_Overc", "annual_revenue_hrs_overcrowding", 10, 2),
-    ("On_Time_Performance_Percentage", "on_time_performance_pct", 10, 4),
-    ("Annual_Service_Cost", "annual_service_cost", 18, 2),
-    ("Annual_Service_Hours", "annual_service_hours", 10, 2),
-]
+_LINE_MEASURES = list(BUS_LINE_MEASURES)
 EXCL = ", ".join(f"'{x}'" for x in EXCLUDED_SERVICES)
 LINE = f"""{SNAPS},
 line AS (
@@ -264,19 +238,19 @@ LINE_OUT = ", ".join(
     + [D(d) for _, d, _, _ in _LINE_MEASURES]
 )
 
+def _named(column: str, default: str) -> str:
+    return f"CASE WHEN trim(coalesce({column}, '')) = '' THEN {default} ELSE trim({column}) END"
+
+
 DIMR = f"""{LINE},
 dimr AS (
-  SELECT route_number, line_raw AS route_number_raw,
-         coalesce(nullif(trim(line_name), ''), route_number) AS route_name,
-         coalesce(nullif(trim(vehicle_type), ''), 'Unknown') AS vehicle_type,
-         coalesce(nullif(trim(service_type), ''), 'Unknown') AS service_type,
-         subregion, subregion_raw, corridor_population, corridor_employment, avg_trip_dist_km, shape_length,
-         annual_service_cost, annual_service_hours AS annual_service_hours_latest,
-         snapshot_year AS latest_snapshot_year, note
-  FROM (SELECT *, row_number() OVER (PARTITION BY route_number
-                                     ORDER BY snapshot_year DESC NULLS FIRST, line_raw ASC NULLS LAST) AS rn
-        FROM line WHERE route_number IS NOT NULL)
-  WHERE rn = 1
+  SELECT DISTINCT ON (route_number) route_number, line_raw AS route_number_raw,
+         {_named('line_name', 'route_number')} AS route_name, {_named('vehicle_type', "'Unknown'")} AS vehicle_type,
+         {_named('service_type', "'Unknown'")} AS service_type, subregion, subregion_raw, note,
+         corridor_population, corridor_employment, avg_trip_dist_km, shape_length, annual_service_cost,
+         annual_service_hours AS annual_service_hours_latest, snapshot_year AS latest_snapshot_year
+  FROM line WHERE route_number IS NOT NULL
+  ORDER BY route_number, snapshot_year DESC NULLS FIRST, line_raw ASC NULLS LAST
 )"""
 DIMR_OUT = ", ".join(
     ["route_number", "route_number_raw", "route_name", "vehicle_type", "service_type", "subregion",
@@ -310,40 +284,38 @@ _FACT_PERF = [
     "avg_capacity_utilization", "revenue_hrs_w_overcrowding", "pct_trips_overcrowded",
     "on_time_performance_pct", "bus_bunching_pct", "avg_speed_km_per_hr",
 ]
-_BANDS = " ".join(f"WHEN p.pct_trips_overcrowded >= {b} THEN '{t}'" for b, t in P.severity_bands)
+_BANDS = " ".join(f"WHEN cur.pct_trips_overcrowded >= {b} THEN '{t}'" for b, t in P.severity_bands)
+_YEARS_ORDER = ("calendar_year NULLS LAST, report_source NULLS LAST, is_combined_route, annual_boardings NULLS LAST, "
+                "annual_service_hours NULLS LAST")
+
 
 def _fact_cte() -> str:
     # PERF and DIMR both start with SY; DuckDB needs each CTE once.
     dimr_tail = DIMR[len(SY) + 2:]
+    change = rdiv("cur.annual_boardings - was.annual_boardings", "was.annual_boardings", 100, 2)
     return f"""{PERF},
 {dimr_tail},
 {SEED.strip()},
-base AS (SELECT route_number, annual_boardings AS boardings_2019 FROM perf WHERE calendar_year = {P.base_year}),
-prior AS (
-  SELECT route_number, calendar_year,
-         lag(annual_boardings) OVER (PARTITION BY route_number ORDER BY calendar_year) AS prior_year_boardings,
-         lag(calendar_year) OVER (PARTITION BY route_number ORDER BY calendar_year) AS prior_calendar_year
-  FROM perf
+years_of AS (  -- each route's rows in order, and its boardings in the base year
+  SELECT list(perf ORDER BY {_YEARS_ORDER}) AS rows_,
+         max(annual_boardings) FILTER (WHERE calendar_year = {P.base_year}) AS at_base
+  FROM perf WHERE route_number IS NOT NULL GROUP BY route_number
+),
+steps AS (
+  SELECT at_base, rows_[i] AS cur, rows_[i - 1] AS was FROM (SELECT *, unnest(range(1, len(rows_) + 1)) AS i FROM years_of)
+  UNION ALL SELECT NULL, perf, NULL FROM perf WHERE route_number IS NULL
 ),
 fact AS (
-  SELECT p.route_number, p.calendar_year, r.route_name, r.vehicle_type, r.service_type, r.subregion,
-         r.latest_snapshot_year, s.subregion_code, s.population_2021 AS subregion_population,
-         s.population_density_per_km2,
-         {", ".join("p." + c for c in _FACT_PERF)},
-         p.is_covid_year, p.is_combined_route, p.report_source,
-         b.boardings_2019, b.boardings_2019 IS NOT NULL AS has_2019_baseline,
-         CASE WHEN b.boardings_2019 > 0 THEN {rdiv('p.annual_boardings', 'b.boardings_2019', 100, 1)} END
-           AS recovery_rate,
-         py.prior_calendar_year,
-         CASE WHEN py.prior_year_boardings > 0
-              THEN {rdiv('p.annual_boardings - py.prior_year_boardings', 'py.prior_year_boardings', 100, 2)} END
-           AS yoy_ridership_change_pct,
-         CASE WHEN p.pct_trips_overcrowded IS NULL THEN 'Unknown' {_BANDS} ELSE 'Low' END AS overcrowding_severity
-  FROM perf p
-  LEFT JOIN dimr r ON p.route_number = r.route_number
-  LEFT JOIN base b ON p.route_number = b.route_number
-  LEFT JOIN prior py ON p.route_number = py.route_number AND p.calendar_year = py.calendar_year
-  LEFT JOIN dims s ON r.subregion = s.subregion_name
+  SELECT cur.route_number AS route_number, cur.calendar_year AS calendar_year,
+         {", ".join(f"cur.{c} AS {c}" for c in _FACT_PERF + ["is_covid_year", "is_combined_route", "report_source"])},
+         at_base AS boardings_2019, at_base IS NOT NULL AS has_2019_baseline,
+         CASE WHEN at_base > 0 THEN {rdiv('cur.annual_boardings', 'at_base', 100, 1)} END AS recovery_rate,
+         was.calendar_year AS prior_calendar_year,
+         CASE WHEN was.annual_boardings > 0 THEN {change} END AS yoy_ridership_change_pct,
+         CASE WHEN cur.pct_trips_overcrowded IS NULL THEN 'Unknown' {_BANDS} ELSE 'Low' END AS overcrowding_severity,
+         route_name, vehicle_type, service_type, subregion, latest_snapshot_year, subregion_code,
+         population_2021 AS subregion_population, population_density_per_km2
+  FROM steps LEFT JOIN dimr ON dimr.route_number = steps.cur.route_number LEFT JOIN dims ON subregion_name = subregion
 )"""
 
 
@@ -356,22 +328,18 @@ FACT_OUT = ", ".join(
        D("recovery_rate"), I("prior_calendar_year"), D("yoy_ridership_change_pct"), "overcrowding_severity"]
 )
 
-RANKING = f"""{FACT},
-ranked AS (
-  SELECT route_number, route_name, subregion, calendar_year, pct_trips_overcrowded, avg_peak_load_factor,
-         avg_daily_boardings_mf, annual_revenue_hours, overcrowding_severity,
-         row_number() OVER (PARTITION BY calendar_year
-                            ORDER BY pct_trips_overcrowded DESC, route_number ASC) AS overcrowding_rank
-  FROM fact WHERE pct_trips_overcrowded IS NOT NULL
-),
-topc AS (SELECT route_number, count(*) AS years_in_top20 FROM ranked WHERE overcrowding_rank <= {P.top_k} GROUP BY 1),
-ranking AS (
-  SELECT r.*, round(r.pct_trips_overcrowded * 100, 2) AS pct_trips_overcrowded_display,
-         r.overcrowding_rank <= {P.top_k} AS is_top20,
-         coalesce(t.years_in_top20, 0) AS years_in_top20,
-         coalesce(t.years_in_top20, 0) >= {P.persistent_min_years} AS is_persistent_overcrowded
-  FROM ranked r LEFT JOIN topc t ON r.route_number = t.route_number
+_PLACE = ("pct_trips_overcrowded DESC, route_number ASC, annual_revenue_hours ASC NULLS LAST, "
+          "avg_peak_load_factor ASC NULLS LAST, avg_daily_boardings_mf ASC NULLS LAST")
+RANKING_CTE = f"""ranking AS (
+  SELECT *, coalesce(count(*) FILTER (WHERE is_top20) OVER (PARTITION BY route_number), 0) AS years_in_top20,
+         count(*) FILTER (WHERE is_top20) OVER (PARTITION BY route_number) >= {P.persistent_min_years} AS is_persistent_overcrowded
+  FROM (
+    SELECT *, round(pct_trips_overcrowded * 100, 2) AS pct_trips_overcrowded_display, overcrowding_rank <= {P.top_k} AS is_top20
+    FROM (SELECT *, row_number() OVER (PARTITION BY calendar_year ORDER BY {_PLACE}) AS overcrowding_rank
+          FROM fact WHERE pct_trips_overcrowded IS NOT NULL)
+  )
 )"""
+RANKING = f"{FACT},\n{RANKING_CTE}"
 RANKING_OUT = ", ".join(
     ["route_number", "route_name", "subregion", I("calendar_year"), D("pct_trips_overcrowded"),
      D("pct_trips_overcrowded_display"), D("avg_peak_load_factor"), D("avg_daily_boardings_mf"),
@@ -379,29 +347,27 @@ RANKING_OUT = ", ".join(
      I("years_in_top20"), "is_persistent_overcrowded"]
 )
 
+# the score's parts, each at most its cap
+_FREQ, _LOAD, _UTIL = "least(pct_trips_overcrowded, 100)", "least(avg_peak_load_factor * 100, 150)", "avg_capacity_utilization * 100"
+SCORED_CTE = f"""scored AS (
+  SELECT *, {mean('gap_score', 2).replace('sum(gap_score)', 'sum(gap_score) OVER here').replace('count(gap_score)', 'count(gap_score) OVER here')} AS here_avg,
+         count(route_number) OVER here AS here_routes
+  FROM (
+    SELECT *, round({_FREQ}, 2) AS component_overcrowding_freq, {rdiv(_LOAD + ' * 2', '3', 1, 2)} AS component_peak_load,
+           round({_UTIL}, 2) AS component_capacity_util, round(0.5 * {_FREQ} + 0.2 * {_LOAD} + 0.2 * {_UTIL}, 2) AS gap_score
+    FROM fact WHERE coalesce(pct_trips_overcrowded, avg_peak_load_factor, avg_capacity_utilization) IS NOT NULL
+      AND pct_trips_overcrowded + avg_peak_load_factor + avg_capacity_utilization IS NOT NULL
+  ) WINDOW here AS (PARTITION BY subregion, calendar_year)
+)"""
 SCORED = f"""{FACT},
-scored AS (
-  SELECT route_number, route_name, subregion, subregion_code, calendar_year, overcrowding_severity,
-         pct_trips_overcrowded, avg_peak_load_factor, avg_capacity_utilization, avg_daily_boardings_mf,
-         annual_revenue_hours,
-         round(least(pct_trips_overcrowded, 100), 2) AS component_overcrowding_freq,
-         {rdiv('least(avg_peak_load_factor * 100, 150) * 2', '3', 1, 2)} AS component_peak_load,
-         round(avg_capacity_utilization * 100, 2) AS component_capacity_util,
-         round(0.5 * least(pct_trips_overcrowded, 100) + 0.2 * least(avg_peak_load_factor * 100, 150)
-               + 0.2 * avg_capacity_utilization * 100, 2) AS gap_score
-  FROM fact
-  WHERE pct_trips_overcrowded IS NOT NULL AND avg_peak_load_factor IS NOT NULL
-    AND avg_capacity_utilization IS NOT NULL
-),
-gaproll AS (
+{SCORED_CTE},
+by_region AS (
   SELECT subregion, subregion_code, calendar_year, count(route_number) AS route_count,
-         {mean('gap_score', 2)} AS avg_gap_score,
+         {mean('gap_score', 2)} AS avg_gap_score, max(gap_score) AS max_gap_score,
          {mean('component_overcrowding_freq', 2)} AS avg_overcrowding_freq,
-         {mean('component_peak_load', 2)} AS avg_peak_load_score,
-         {mean('component_capacity_util', 2)} AS avg_capacity_util_score,
-         max(gap_score) AS max_gap_score,
-         first(route_number ORDER BY gap_score DESC, route_number ASC) AS most_strained_route
-  FROM scored WHERE subregion IS NOT NULL GROUP BY 1, 2, 3
+         {mean('component_peak_load', 2)} AS avg_peak_load_score, {mean('component_capacity_util', 2)} AS avg_capacity_util_score,
+         list(route_number ORDER BY gap_score DESC, route_number ASC)[1] AS most_strained_route
+  FROM scored WHERE subregion IS NOT NULL GROUP BY ALL
 )"""
 SCORED_OUT = ", ".join(
     ["route_number", "route_name", "subregion", "subregion_code", I("calendar_year"), "overcrowding_severity",
@@ -421,31 +387,32 @@ _REC = [
     ("on_time_performance_pct", "on_time_2019", "on_time_index"),
     ("pct_trips_overcrowded", "overcrowding_2019", "overcrowding_index"),
 ]
+_BASES = ", ".join(
+    f"CASE WHEN route_number IS NOT NULL THEN max({v}) FILTER (WHERE calendar_year = {P.base_year}) OVER (PARTITION BY route_number) END AS {b}"
+    for v, b, _ in _REC if b != "boardings_2019")
+_COUNTED = "FILTER (WHERE has_2019_baseline)"
+_VOLUME = f"sum(annual_boardings) {_COUNTED}", f"sum(boardings_2019) {_COUNTED}"
+
+
+def _share(over: str = "") -> str:
+    top, base = (f"{x}{over}" for x in _VOLUME)
+    return f"CASE WHEN {base} > 0 THEN {rdiv(top, base, 100, 1)} END"
+
+
+INDEXED_CTE = f"""indexed AS (
+  SELECT *, {_share(" OVER here")} AS here_index, count(route_number) OVER here AS here_total
+  FROM (SELECT *, {", ".join(f"CASE WHEN {b} > 0 THEN {rdiv(v, b, 100, 1)} END AS {i}" for v, b, i in _REC)}
+        FROM (SELECT *, {_BASES} FROM fact))
+  WINDOW here AS (PARTITION BY subregion, calendar_year)
+)"""
 RECOVERY = f"""{FACT},
-rbase AS (
-  SELECT route_number, {", ".join(f"{v} AS {b}" for v, b, _ in _REC)}
-  FROM fact WHERE calendar_year = {P.base_year}
-),
-indexed AS (
-  SELECT p.route_number, p.route_name, p.subregion, p.subregion_code, p.calendar_year,
-         p.annual_boardings, p.annual_revenue_hours, p.on_time_performance_pct, p.pct_trips_overcrowded,
-         p.overcrowding_severity, {", ".join("b." + b for _, b, _ in _REC)}, p.has_2019_baseline,
-         {", ".join(f"CASE WHEN b.{b} > 0 AND p.{v} IS NOT NULL THEN {rdiv('p.' + v, 'b.' + b, 100, 1)} END AS {i}" for v, b, i in _REC)}
-  FROM fact p LEFT JOIN rbase b ON p.route_number = b.route_number
-),
-recroll AS (
-  SELECT subregion, subregion_code, calendar_year,
-         sum(annual_boardings) FILTER (WHERE has_2019_baseline) AS total_boardings,
-         sum(boardings_2019) FILTER (WHERE has_2019_baseline) AS total_boardings_2019,
-         CASE WHEN sum(boardings_2019) FILTER (WHERE has_2019_baseline) > 0
-              THEN {rdiv('sum(annual_boardings) FILTER (WHERE has_2019_baseline)', 'sum(boardings_2019) FILTER (WHERE has_2019_baseline)', 100, 1)}
-         END AS subregion_boardings_index,
-         count(route_number) AS total_routes,
-         count(*) FILTER (WHERE has_2019_baseline) AS routes_with_baseline,
-         {mean('revenue_hours_index', 1)} AS avg_revenue_hours_index,
-         {mean('on_time_index', 1)} AS avg_on_time_index,
+{INDEXED_CTE},
+by_region AS (
+  SELECT subregion, subregion_code, calendar_year, {_VOLUME[0]} AS total_boardings, {_VOLUME[1]} AS total_boardings_2019,
+         {_share()} AS subregion_boardings_index, count(route_number) AS total_routes, count(*) {_COUNTED} AS routes_with_baseline,
+         {mean('revenue_hours_index', 1)} AS avg_revenue_hours_index, {mean('on_time_index', 1)} AS avg_on_time_index,
          {mean('overcrowding_index', 1)} AS avg_overcrowding_index
-  FROM indexed WHERE subregion IS NOT NULL GROUP BY 1, 2, 3
+  FROM indexed WHERE subregion IS NOT NULL GROUP BY ALL
 )"""
 INDEXED_OUT = ", ".join(
     ["route_number", "route_name", "subregion", "subregion_code", I("calendar_year"), D("annual_boardings"),
@@ -510,35 +477,57 @@ def _w(ctes: str, select: str) -> str:
     return "WITH " + ctes.strip().lstrip(",").strip() + "\n" + select
 
 
+def _failures(c, src: str) -> str:
+    """Number of rows (or repeated keys) of `src` that break a check."""
+    col = c.columns[0]
+    if c.kind == "unique":
+        keys = ", ".join(c.columns)
+        known = " AND ".join(f"{k} IS NOT NULL" for k in c.columns)
+        return f"(SELECT count(*) FROM (SELECT {keys} FROM {src} WHERE {known} GROUP BY {keys} HAVING count(*) > 1))"
+    vals = ", ".join(repr(v) if isinstance(v, str) else str(v) for v in c.values)
+    broken = {
+        "not_null": f"{col} IS NULL",
+        "accepted_values": f"{col} IS NOT NULL AND {col} NOT IN ({vals})",
+        "range": f"{col} IS NOT NULL AND ({col} < {c.low} OR {col} > {c.high})",
+        "non_negative": f"{col} IS NOT NULL AND {col} < 0",
+        "domain": f"{col} IS NULL OR {col} NOT IN ({vals})",
+    }[c.kind]
+    return f"(SELECT count(*) FROM {src} WHERE {broken})"
+
+
+def _summary(ctes: str, suites: dict, srcs: dict) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{c.name}' AS \"check\", '{c.kind}' AS kind, '{c.severity}' AS severity, "
+        f"CAST({_failures(c, srcs[table])} AS BIGINT) AS failures"
+        for table, checks in suites.items() for c in checks)
+    status = "CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status"
+    return _w(ctes, f"SELECT *, {status} FROM ({rows})")
+
+
 def _dq_summary() -> str:
-    parts = []
-    srcs = {"stg_bus_performance": "perf", "stg_bus_line": "line", "stg_stops": "stg_stops"}
-    for table, checks in staging_checks(P).items():
-        src = srcs[table]
-        for c in checks:
-            col = c.columns[0]
-            if c.kind == "unique":
-                keys = ", ".join(c.columns)
-                nn = " AND ".join(f"{k} IS NOT NULL" for k in c.columns)
-                fail = f"(SELECT count(*) FROM (SELECT {keys} FROM {src} WHERE {nn} GROUP BY {keys} HAVING count(*) > 1))"
-            else:
-                vals = ", ".join(repr(v) if isinstance(v, str) else str(v) for v in c.values)
-                cond = {
-                    "not_null": f"{col} IS NULL",
-                    "accepted_values": f"{col} IS NOT NULL AND {col} NOT IN ({vals})",
-                    "range": f"{col} IS NOT NULL AND ({col} < {c.low} OR {col} > {c.high})",
-                    "non_negative": f"{col} IS NOT NULL AND {col} < 0",
-                    "domain": f"{col} IS NULL OR {col} NOT IN ({vals})",
-                }[c.kind]
-                fail = f"(SELECT count(*) FROM {src} WHERE {cond})"
-            parts.append(
-                f"SELECT '{table}' AS \"table\", '{c.name}' AS \"check\", '{c.kind}' AS kind, "
-                f"'{c.severity}' AS severity, CAST({fail} AS BIGINT) AS failures"
-            )
-    body = " UNION ALL ".join(parts)
-    status = ("CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status")
     ctes = PERF + ",\n" + LINE[len(SY) + 2:] + ",\n" + STOPS.strip()
-    return _w(ctes, f"SELECT *, {status} FROM ({body})")
+    return _summary(ctes, staging_checks(P), {"stg_bus_performance": "perf", "stg_bus_line": "line", "stg_stops": "stg_stops"})
+
+
+def _dq_summary_marts() -> str:
+    ctes = ",\n".join([FACT, RANKING_CTE, SCORED_CTE, INDEXED_CTE])
+    return _summary(ctes, mart_checks(P), {
+        "dim_routes": "dimr", "dim_subregions": "dims", "fact_route_performance": "fact", "fct_overcrowding_ranking": "ranking",
+        "fct_service_gap": "scored", "fct_recovery_trends": "indexed"})
+
+
+def _hard(ctes: str) -> str:
+    """The same CTEs over the reports with harder keys and values."""
+    hard = """hard AS (
+  SELECT * REPLACE (
+    CASE WHEN Lineno_renamed LIKE 'R%' THEN 'C' || substr(Lineno_renamed, 2)
+         WHEN Lineno_renamed LIKE '%/%' THEN split_part(Lineno_renamed, '/', 2) || '/' || split_part(Lineno_renamed, '/', 1)
+         ELSE Lineno_renamed END AS Lineno_renamed,
+    CASE WHEN Lineno_renamed LIKE 'N%' THEN '-' || AnnualBoardings ELSE AnnualBoardings END AS AnnualBoardings)
+  FROM reports
+),
+dedup AS ("""
+    return ctes.replace("dedup AS (", hard, 1).replace("FROM reports WHERE CalendarYear", "FROM hard WHERE CalendarYear", 1)
 
 
 def build() -> dict:
@@ -546,45 +535,41 @@ def build() -> dict:
     reports_out = ", ".join(list(YEARLINE_COLUMNS) + ["report_source"])
     q["union_reports"] = _w(REPORTS, f"SELECT {reports_out} FROM reports")
     q["raw_csv_load"] = q["union_reports"]
+    q["raw_csv_stops"] = _w(STOPS, f"SELECT {', '.join(STOPS_COLUMNS)} FROM stops")
     q["source_year_from_path"] = _w(REPORTS, "SELECT report_source, CAST(count(*) AS BIGINT) AS rows_loaded FROM reports GROUP BY 1")
     q["latest_snapshot"] = _w(
-        LINE, f"SELECT route_number, {I('snapshot_year')}, line_raw, subregion FROM (SELECT *, row_number() OVER "
-        "(PARTITION BY route_number ORDER BY snapshot_year DESC NULLS FIRST, line_raw ASC NULLS LAST) AS rn "
-        "FROM line WHERE route_number IS NOT NULL) WHERE rn = 1")
+        LINE, f"SELECT DISTINCT ON (route_number) route_number, {I('snapshot_year')}, line_raw, subregion FROM line "
+        "WHERE route_number IS NOT NULL ORDER BY route_number, line.snapshot_year DESC NULLS FIRST, line_raw ASC NULLS LAST")
     q["bbox_filter"] = _w(
         STOPS, "SELECT stop_id, stop_lat, stop_lon FROM (SELECT stop_id, TRY_CAST(stop_lat AS DOUBLE) AS stop_lat, "
         "TRY_CAST(stop_lon AS DOUBLE) AS stop_lon FROM stops) WHERE stop_lat IS NOT NULL AND stop_lon IS NOT NULL "
         "AND stop_lat BETWEEN 48.0 AND 50.0 AND stop_lon BETWEEN -124.0 AND -121.5")
-    q["load_audit"] = _w(REPORTS, "SELECT report_source, CAST(count(*) AS BIGINT) AS rows_loaded FROM reports GROUP BY 1")
+    all_ctes = REPORTS + ",\n" + SNAPS[len(SY) + 2:] + ",\n" + STOPS.strip() + ",\n" + SEED.strip()
+    q["load_audit"] = _w(
+        all_ctes, "SELECT 'raw_yearline' AS loaded, report_source AS label, CAST(count(*) AS BIGINT) AS rows_loaded FROM reports GROUP BY ALL "
+        "UNION ALL SELECT 'raw_bus_line', snapshot_year, CAST(count(*) AS BIGINT) FROM snaps GROUP BY ALL "
+        "UNION ALL SELECT 'raw_stops', NULL, CAST(count(*) AS BIGINT) FROM stops "
+        "UNION ALL SELECT 'subregion_population', NULL, CAST(count(*) AS BIGINT) FROM seed")
     q["null_tokens"] = _w(
-        SY + f",\nrawn AS ({_render('all', f'year BETWEEN {FN} AND {TN}', LN, tokens=False)})",
-        "SELECT CalendarYear, Lineno_renamed, Perc_Trips_w_Overcrowding AS pct_text, "
-        f"{nt('Perc_Trips_w_Overcrowding')} AS pct_loaded, {nt('AVG_speed_km_per_hr')} AS speed_loaded, "
-        f"{nt('Average_Boarding_Per_Revenue_Hour')} AS per_hour_loaded FROM rawn",
-    )
+        SY + f",\nrawn AS ({_render('all', f'year >= {FN}', LN, tokens=False)})",
+        "SELECT " + ", ".join(list(YEARLINE_COLUMNS) + [f"{nt(c)} AS {c}_loaded" for c in YEARLINE_COLUMNS]) + " FROM rawn")
     snap_out = ", ".join([n for _, n in _SNAP_COLS] + ["snapshot_year"])
+    q["raw_csv_snapshots"] = _w(SNAPS, f"SELECT {snap_out} FROM snaps")
     q["union_snapshots"] = _w(SNAPS, f"SELECT {snap_out} FROM snaps")
     q["seed_dim"] = _w(SEED.split("),\ndims AS")[0] + ")",
                        f"SELECT subregion_name, subregion_code, {I('population_2021')}, {I('area_km2')} FROM seed")
+    q["raw_csv_seed"] = q["seed_dim"]
     q["try_integer"] = _w(
         PARTS, "SELECT p_partkey, route_raw, CAST(TRY_CAST(route_raw AS DECIMAL(38,0)) AS DOUBLE) AS as_integer, "
         "CAST(TRY_CAST(split_part(route_raw, '/', 1) AS DECIMAL(38,0)) AS DOUBLE) AS first_part FROM parts")
     q["try_decimal"] = _w(
         REPORTS, "SELECT report_source, CalendarYear, Lineno_renamed, "
-        "CAST(TRY_CAST(Average_Peak_Load_Factor AS DECIMAL(10,4)) AS DOUBLE) AS plf, "
-        "CAST(TRY_CAST(Annual_Revenue_Hours AS DECIMAL(10,2)) AS DOUBLE) AS revenue_hours, "
-        "CAST(TRY_CAST(Annual_Service_Hours AS DECIMAL(10,1)) AS DOUBLE) AS service_hours, "
-        "CAST(TRY_CAST(AnnualBoardings AS DECIMAL(18,3)) AS DOUBLE) AS boardings FROM reports")
+        + ", ".join(f"CAST(TRY_CAST({src} AS DECIMAL({p},{sc})) AS DOUBLE) AS {dst}" for src, dst, p, sc in _MEASURES) + " FROM reports")
     q["try_double"] = _w(STOPS, "SELECT stop_id, TRY_CAST(stop_lat AS DOUBLE) AS lat, "
                                 "TRY_CAST(stop_lon AS DOUBLE) AS lon FROM stops")
     q["strip_units"] = _w(
         SNAPS, f"SELECT snapshot_year, Line, {strip('Population')} AS population_str, "
-        f"CAST(TRY_CAST({strip('Population')} AS DECIMAL(18,0)) AS DOUBLE) AS population, "
-        f"CAST(TRY_CAST({strip('Annual_Boardings')} AS DECIMAL(18,3)) AS DOUBLE) AS boardings, "
-        f"CAST(TRY_CAST({strip('Annual_Service_Cost')} AS DECIMAL(18,2)) AS DOUBLE) AS service_cost, "
-        f"CAST(TRY_CAST({strip('SHAPE__Length')} AS DECIMAL(18,4)) AS DOUBLE) AS shape_length, "
-        f"CAST(TRY_CAST({strip('On_Time_Performance_Percentage')} AS DECIMAL(10,4)) AS DOUBLE) AS on_time "
-        "FROM snaps")
+        + ", ".join(f"CAST(TRY_CAST({strip(src)} AS DECIMAL({p},{sc})) AS DOUBLE) AS {dst}" for src, dst, p, sc in _LINE_MEASURES) + " FROM snaps")
     q["canonical_route"] = _w(PARTS, f"SELECT p_partkey, route_raw, {canon('route_raw')} AS route_number, "
                                      "coalesce(contains(route_raw, '/'), false) AS is_combined_route FROM parts")
     q["keyword_classify"] = _w(PARTS, f"SELECT p_partkey, p_name, {classify('p_name', TD.PART_RULES)} AS category FROM parts")
@@ -604,22 +589,32 @@ def build() -> dict:
                                          f"{I('area_km2')}, {D('population_density_per_km2')} FROM dims")
     q["density"] = _w(SEED, f"SELECT subregion_name, {D('population_density_per_km2')} FROM dims")
     periods = ", ".join(f"'{y}'" for y in P.valid_years)
+    num = "TRY_CAST(AnnualBoardings AS DECIMAL(18,3))"
     q["revision_audit"] = _w(
-        REPORTS,
-        "SELECT a.CalendarYear AS calendar_year_raw, a.Lineno_renamed AS route_number_raw, "
-        "a.v AS value_older, b.v AS value_newer, "
-        "CAST(CASE WHEN TRY_CAST(a.v AS DECIMAL(18,3)) > 0 THEN "
-        + rdiv("TRY_CAST(b.v AS DECIMAL(18,3)) - TRY_CAST(a.v AS DECIMAL(18,3))",
-               "TRY_CAST(a.v AS DECIMAL(18,3))", 100, 4)
-        + f" END AS DOUBLE) AS revision_pct, a.n AS rows_older, b.n AS rows_newer, "
-        f"'{LO}' AS older_report, '{LN}' AS newer_report "
-        "FROM (SELECT CalendarYear, Lineno_renamed, min(AnnualBoardings) AS v, CAST(count(*) AS BIGINT) AS n "
-        f"      FROM rep_old WHERE CalendarYear IN ({periods}) GROUP BY 1, 2) a "
-        "JOIN (SELECT CalendarYear, Lineno_renamed, min(AnnualBoardings) AS v, CAST(count(*) AS BIGINT) AS n "
-        "      FROM rep_new GROUP BY 1, 2) b "
-        "ON a.CalendarYear = b.CalendarYear AND a.Lineno_renamed = b.Lineno_renamed WHERE a.v <> b.v",
-    )
+        REPORTS + f""",
+audited AS (
+  SELECT report_source, CalendarYear, Lineno_renamed, {num} AS v FROM reports
+  UNION ALL SELECT report_source, CalendarYear, Lineno_renamed, TRY_CAST(AVG_Daily_Boardings_MF AS DECIMAL(18,3)) FROM reports
+  WHERE Lineno_renamed LIKE 'R%'
+  UNION ALL SELECT '{TD.THIRD_REPORT}', CalendarYear, Lineno_renamed,
+    CASE WHEN Lineno_renamed LIKE '%/%' THEN TRY_CAST(AVG_Daily_Boardings_MF AS DECIMAL(18,3)) ELSE {num} END
+  FROM reports WHERE report_source = '{LN}' AND CalendarYear >= '1998'
+),
+held AS (  -- the values of a key in a report, in order
+  SELECT CalendarYear AS y, Lineno_renamed AS r, report_source AS s, list(v ORDER BY v NULLS FIRST) AS vs
+  FROM audited WHERE CalendarYear IN ({periods}) AND Lineno_renamed IS NOT NULL GROUP BY ALL
+),
+follows AS (SELECT a.y, a.r, a.s AS older, b.s AS newer, a.vs AS va, b.vs AS vb FROM held b
+            JOIN held a ON a.y = b.y AND a.r = b.r
+              AND a.s = (SELECT max(c.s) FROM held c WHERE c.y = b.y AND c.r = b.r AND c.s < b.s))""",
+        "SELECT y AS calendar_year_raw, r AS route_number_raw, older AS older_report, newer AS newer_report, "
+        "CAST(list_min(va) AS DOUBLE) AS value_older, CAST(list_min(vb) AS DOUBLE) AS value_newer, "
+        "CAST(list_max(va) AS DOUBLE) AS max_older, CAST(list_max(vb) AS DOUBLE) AS max_newer, "
+        "CAST(len(va) AS BIGINT) AS rows_older, CAST(len(vb) AS BIGINT) AS rows_newer, "
+        f"CAST(CASE WHEN list_min(va) > 0 THEN {rdiv('list_min(vb) - list_min(va)', 'list_min(va)', 100, 4)} END AS DOUBLE) AS revision_pct "
+        "FROM follows WHERE va IS DISTINCT FROM vb")
     q["fact_build"] = _w(FACT, f"SELECT {FACT_OUT} FROM fact")
+    q["fact_hard_keys"] = _w(_hard(FACT), f"SELECT {FACT_OUT} FROM fact")
     q["baseline_index"] = _w(FACT, f"SELECT route_number, {I('calendar_year')}, {D('boardings_2019')}, "
                                    f"has_2019_baseline, {D('recovery_rate')} FROM fact")
     q["yoy_change"] = _w(FACT, f"SELECT route_number, {I('calendar_year')}, {I('prior_calendar_year')}, "
@@ -630,32 +625,32 @@ def build() -> dict:
     q["rank_within_year"] = _w(RANKING, f"SELECT route_number, {I('calendar_year')}, {D('pct_trips_overcrowded')}, "
                                         f"{I('overcrowding_rank')} FROM ranking")
     q["composite_score"] = _w(SCORED, f"SELECT {SCORED_OUT} FROM scored")
-    q["gap_rollup"] = _w(SCORED, f"SELECT {GAPROLL_OUT} FROM gaproll")
+    q["gap_rollup"] = _w(SCORED, f"SELECT {GAPROLL_OUT} FROM by_region")
     q["report_gap_by_region"] = q["gap_rollup"]
+    known = "subregion IS NOT NULL"
     q["gap_with_rollup"] = _w(
-        SCORED, f"SELECT {SCORED_OUT}, {D('subregion_avg_gap_score')}, {I('subregion_route_count')} FROM ("
-        "SELECT s.*, g.avg_gap_score AS subregion_avg_gap_score, g.route_count AS subregion_route_count "
-        "FROM scored s LEFT JOIN gaproll g ON s.subregion = g.subregion AND s.calendar_year = g.calendar_year)")
+        SCORED, f"SELECT {SCORED_OUT}, {D(f'CASE WHEN {known} THEN here_avg END', 'subregion_avg_gap_score')}, "
+        f"{I(f'CASE WHEN {known} THEN here_routes END', 'subregion_route_count')} FROM scored")
     q["multi_index"] = _w(RECOVERY, f"SELECT {INDEXED_OUT} FROM indexed")
-    q["recovery_rollup"] = _w(RECOVERY, f"SELECT {RECROLL_OUT} FROM recroll")
+    q["recovery_rollup"] = _w(RECOVERY, f"SELECT {RECROLL_OUT} FROM by_region")
     q["report_recovery"] = q["recovery_rollup"]
     q["recovery_with_rollup"] = _w(
-        RECOVERY, f"SELECT {INDEXED_OUT}, {D('subregion_boardings_index')}, {I('subregion_total_routes')} FROM ("
-        "SELECT i.*, r.subregion_boardings_index, r.total_routes AS subregion_total_routes "
-        "FROM indexed i LEFT JOIN recroll r ON i.subregion = r.subregion AND i.calendar_year = r.calendar_year)")
+        RECOVERY, f"SELECT {INDEXED_OUT}, {D(f'CASE WHEN {known} THEN here_index END', 'subregion_boardings_index')}, "
+        f"{I(f'CASE WHEN {known} THEN here_total END', 'subregion_total_routes')} FROM indexed")
     # data quality
     q["dq_summary"] = _dq_summary()
+    q["dq_summary_marts"] = _dq_summary_marts()
     q["dq_not_null"] = _w(PERF, f"SELECT route_number, {I('calendar_year')} FROM perf WHERE pct_trips_overcrowded IS NULL")
-    q["dq_unique"] = _w(LINE, f"SELECT route_number, {I('snapshot_year')}, CAST(count(*) AS BIGINT) AS n_records "
-                              "FROM line WHERE route_number IS NOT NULL AND snapshot_year IS NOT NULL "
-                              "GROUP BY route_number, snapshot_year HAVING count(*) > 1")
+    q["dq_unique"] = _w(_hard(PERF), f"SELECT route_number, {I('calendar_year')}, CAST(count(*) AS BIGINT) AS n_records "
+                                     "FROM perf WHERE route_number IS NOT NULL AND perf.calendar_year IS NOT NULL "
+                                     "GROUP BY route_number, perf.calendar_year HAVING count(*) > 1")
     regions = ", ".join(f"'{r}'" for r in P.subregions)
     q["dq_accepted_values"] = _w(LINE, f"SELECT route_number, {I('snapshot_year')}, subregion FROM line "
                                        f"WHERE subregion IS NOT NULL AND subregion NOT IN ({regions})")
     q["dq_range"] = _w(PERF, f"SELECT route_number, {I('calendar_year')}, {D('on_time_performance_pct')} FROM perf "
                              "WHERE on_time_performance_pct IS NOT NULL AND (on_time_performance_pct < 0 "
                              "OR on_time_performance_pct > 50)")
-    q["dq_non_negative"] = _w(PERF, f"SELECT route_number, {I('calendar_year')}, {D('annual_boardings')} FROM perf "
+    q["dq_non_negative"] = _w(_hard(PERF), f"SELECT route_number, {I('calendar_year')}, {D('annual_boardings')} FROM perf "
                                     "WHERE annual_boardings IS NOT NULL AND annual_boardings < 0")
     q["dq_year_domain"] = _w(PERF, f"SELECT route_number, {I('calendar_year')} FROM perf WHERE calendar_year IS NULL "
                                    "OR calendar_year NOT IN (1995, 1996, 1997, 1998)")

@@ -10,7 +10,6 @@ as BIGINT.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +18,13 @@ from pyspark.sql import types as T
 
 from .. import functions as K
 from ..operators import quality as Q
-from ..schemas import YEARLINE_COLUMNS
+from ..schemas import BUS_LINE_COLUMNS, BUS_LINE_MEASURES, STOPS_COLUMNS, YEARLINE_COLUMNS, YEARLINE_MEASURES
 from ..session import ensure_checkpoint_dir
 from ..sources import testdata as TD
-from ..sources.csv_raw import read_raw_csv
+from ..sources.csv_raw import read_raw_csv, seed_frame
 from . import marts, reports, staging
-from .checks import staging_checks
+from .checks import mart_checks, staging_checks
+from .pipeline import PipelineInputs, check_inputs, load_raw
 
 P = TD.DRIVER_PARAMS
 
@@ -79,19 +79,30 @@ def ranking(spark, d):
 
 # ----------------------------------------------------------------- sources / loads
 
-def q_raw_csv_load(spark: SparkSession, d: str) -> DataFrame:
-    """S1/S2/S4: write the reports as CSV files (tokens as text) and load them back."""
+def _exported(spark: SparkSession, d: str) -> PipelineInputs:
+    """All raw inputs written as CSV files (tokens as text) in the shared folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    out = f"{root}/routekpi-csv/{os.path.basename(d.rstrip('/'))}-{uuid.uuid4().hex}"
-    g = TD.supplier_years(spark, d)
-    older = TD.render_report(g.filter(TD._older_rows()), "early", loaded=False)
-    newer = TD.render_report(g.filter(TD._newer_rows()), "all", loaded=False)
-    for label, df in ((TD.OLDER_REPORT[0], older), (TD.NEWER_REPORT[0], newer)):
-        df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(
-            f"{out}/report_{label}"
-        )
-    return read_raw_csv(spark, f"{out}/report_*", YEARLINE_COLUMNS, source_col="report_source",
-                        source_pattern=r"report_(\d{4})/")
+    return PipelineInputs(**TD.write_raw_csvs(spark, d, f"{root}/routekpi-csv/{uuid.uuid4().hex}"))
+
+
+def q_raw_csv_load(spark: SparkSession, d: str) -> DataFrame:
+    """S1/S2/S4: the reports read from CSV files."""
+    return read_raw_csv(spark, _exported(spark, d).yearline_glob, YEARLINE_COLUMNS, source_col="report_source")
+
+
+def q_raw_csv_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """S5: the snapshots read from CSV files."""
+    return read_raw_csv(spark, _exported(spark, d).bus_line_glob, BUS_LINE_COLUMNS, source_col="snapshot_year")
+
+
+def q_raw_csv_stops(spark: SparkSession, d: str) -> DataFrame:
+    """S6: the stops read from CSV files."""
+    return read_raw_csv(spark, _exported(spark, d).stops_path, STOPS_COLUMNS)
+
+
+def q_raw_csv_seed(spark: SparkSession, d: str) -> DataFrame:
+    """S10: the seed read from its CSV file."""
+    return seed_frame(spark, _exported(spark, d).seed_path)
 
 
 def q_source_year_from_path(spark, d):
@@ -100,19 +111,24 @@ def q_source_year_from_path(spark, d):
 
 
 def q_load_audit(spark, d):
-    """S8: rows loaded per report."""
-    return raw_reports(spark, d).groupBy("report_source").agg(F.count(F.lit(1)).alias("rows_loaded"))
+    """S3/S8: the raw layer loaded from CSV files, and the rows that its tables hold per label."""
+    inputs = _exported(spark, d)
+    warehouse = inputs.seed_path.rsplit("/", 1)[0] + "/warehouse"
+    load_raw(spark, inputs, warehouse, check_inputs(spark, inputs))
+    out = None
+    for name, table, label in (("raw_yearline", "yearline", "report_source"), ("raw_bus_line", "bus_line", "snapshot_year"),
+                               ("raw_stops", "stops", None), ("subregion_population", "subregion_population", None)):
+        rows = spark.read.parquet(f"{warehouse}/raw/{table}")
+        rows = rows.select(F.lit(name).alias("loaded"), (F.col(label) if label else F.lit(None).cast("string")).alias("label"))
+        rows = rows.groupBy("loaded", "label").agg(F.count(F.lit(1)).alias("rows_loaded"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_null_tokens(spark, d):
+    """S2: every column of the newer report before and after the null tokens are read as NULL."""
     raw = TD.render_report(TD.supplier_years(spark, d).filter(TD._newer_rows()), "all", loaded=False)
-    return raw.select(
-        "CalendarYear", "Lineno_renamed",
-        F.col("Perc_Trips_w_Overcrowding").alias("pct_text"),
-        K.null_tokens("Perc_Trips_w_Overcrowding").alias("pct_loaded"),
-        K.null_tokens("AVG_speed_km_per_hr").alias("speed_loaded"),
-        K.null_tokens("Average_Boarding_Per_Revenue_Hour").alias("per_hour_loaded"),
-    )
+    return raw.select("*", *[K.null_tokens(c).alias(f"{c}_loaded") for c in YEARLINE_COLUMNS])
 
 
 def q_union_reports(spark, d):
@@ -139,13 +155,8 @@ def q_try_integer(spark, d):
 
 def q_try_decimal(spark, d):
     r = raw_reports(spark, d)
-    return r.select(
-        "report_source", "CalendarYear", "Lineno_renamed",
-        K.try_decimal("Average_Peak_Load_Factor", 10, 4).alias("plf"),
-        K.try_decimal("Annual_Revenue_Hours", 10, 2).alias("revenue_hours"),
-        K.try_decimal("Annual_Service_Hours", 10, 1).alias("service_hours"),
-        K.try_decimal("AnnualBoardings", 18, 3).alias("boardings"),
-    )
+    return r.select("report_source", "CalendarYear", "Lineno_renamed",
+                    *[K.try_decimal(src, p, s).alias(dst) for src, dst, p, s in YEARLINE_MEASURES])
 
 
 def q_try_double(spark, d):
@@ -155,15 +166,8 @@ def q_try_double(spark, d):
 
 def q_strip_units(spark, d):
     r = raw_snapshots(spark, d)
-    return r.select(
-        "snapshot_year", "Line",
-        K.strip_units("Population").alias("population_str"),
-        K.parse_with_units("Population", 18, 0).alias("population"),
-        K.parse_with_units("Annual_Boardings", 18, 3).alias("boardings"),
-        K.parse_with_units("Annual_Service_Cost", 18, 2).alias("service_cost"),
-        K.parse_with_units("SHAPE__Length", 18, 4).alias("shape_length"),
-        K.parse_with_units("On_Time_Performance_Percentage", 10, 4).alias("on_time"),
-    )
+    return r.select("snapshot_year", "Line", K.strip_units("Population").alias("population_str"),
+                    *[K.parse_with_units(src, p, s).alias(dst) for src, dst, p, s in BUS_LINE_MEASURES])
 
 
 def q_canonical_route(spark, d):
@@ -259,13 +263,23 @@ def q_model_dim_subregions(spark, d):
 
 
 def q_revision_audit(spark, d):
-    return staging.report_revisions(TD.yearline_reports(spark, d), P)
+    """J9/Q8 over three reports, with keys that a report repeats."""
+    return staging.report_revisions(TD.audit_rows(spark, d), P)
 
 
 def q_fact_build(spark, d):
     return fact(spark, d)
 
 
+def hard_perf(spark, d):
+    return staging.model_performance(TD.hard_rows(spark, d), P)
+
+
+def q_fact_hard_keys(spark, d):
+    """The fact over rows without a route, several codes of one route, and negative boardings."""
+    return marts.fact_route_performance(hard_perf(spark, d), dim_routes(spark, d), dim_sub(spark, d), P)
+
+
 def q_baseline_index(spark, d):
     return fact(spark, d).select("route_number", "calendar_year", "boardings_2019", "has_2019_baseline",
                                  "recovery_rate")
@@ -324,6 +338,19 @@ def q_dq_summary(spark, d):
     return out
 
 
+def q_dq_summary_marts(spark, d):
+    """The mart layer's checks, the warn one included."""
+    f = fact(spark, d)
+    tables = {"dim_routes": dim_routes(spark, d), "dim_subregions": dim_sub(spark, d), "fact_route_performance": f,
+              "fct_overcrowding_ranking": marts.overcrowding_ranking(f, P), "fct_service_gap": marts.service_gap(f, P),
+              "fct_recovery_trends": marts.recovery_trends(f, P)}
+    out = None
+    for name, checks in mart_checks(P).items():
+        s = Q.run_checks(tables[name], checks, name)
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
 def _violations(spark, d, table, check):
     src = {"stg_bus_performance": stg_perf, "stg_bus_line": stg_line}[table](spark, d)
     return Q.violations(src, check)
@@ -335,7 +362,8 @@ def q_dq_not_null(spark, d):
 
 
 def q_dq_unique(spark, d):
-    return _violations(spark, d, "stg_bus_line", Q.unique("route_number", "snapshot_year"))
+    """Routes that several raw codes name in one year."""
+    return Q.violations(hard_perf(spark, d), Q.unique("route_number", "calendar_year"))
 
 
 def q_dq_accepted_values(spark, d):
@@ -349,7 +377,7 @@ def q_dq_range(spark, d):
 
 
 def q_dq_non_negative(spark, d):
-    return _violations(spark, d, "stg_bus_performance", Q.non_negative("annual_boardings")).select(
+    return Q.violations(hard_perf(spark, d), Q.non_negative("annual_boardings")).select(
         "route_number", "calendar_year", "annual_boardings")
 
 

@@ -15,7 +15,7 @@ from ..schemas import NULL_TOKENS, SEED_SCHEMA, SUBREGION_SEED, all_string_schem
 YEAR_FROM_FILE = r"(\d{4})\.csv(?:/[^/]+)?$"
 
 
-def csv_reader(spark: SparkSession, columns, multiline: bool = True):
+def csv_reader(spark: SparkSession, columns, multiline: bool = False):
     """Reader for the raw exports: header line skipped (columns are positional),
     RFC-4180 quotes with doubled-quote escapes, UTF-8, short rows NULL-filled.
     `multiline` allows newlines inside quoted fields; it makes a file one
@@ -33,7 +33,7 @@ def csv_reader(spark: SparkSession, columns, multiline: bool = True):
 
 
 def read_raw_csv(spark: SparkSession, paths, columns, source_col: str | None = None,
-                 source_pattern: str = YEAR_FROM_FILE, multiline: bool = True,
+                 source_pattern: str = YEAR_FROM_FILE, multiline: bool = False,
                  tokens=NULL_TOKENS) -> DataFrame:
     """All-text DataFrame of the given CSV files.
 

@@ -9,7 +9,7 @@ def test_positional_csv_goldens(spark, scratch):
     path = f"{scratch}/raw_2023.csv"
     with open(path, "w", encoding="utf-8") as f:
         f.write(CSV)
-    rows = read_raw_csv(spark, path, ["a", "b", "c"], source_col="src").collect()
+    rows = read_raw_csv(spark, path, ["a", "b", "c"], source_col="src", multiline=True).collect()
     got = {r.a: (r.b, r.c, r.src) for r in rows}
     assert got == {
         "1": ('a "q" b', None, "2023"),

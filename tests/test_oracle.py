@@ -15,7 +15,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 SUBSET = ["seed_dim", "model_performance", "model_line", "model_stops", "fact_build", "persistent_topk",
           "gap_with_rollup", "recovery_with_rollup", "revision_audit", "dq_summary", "canonical_route",
-          "report_before_after", "raw_csv_load"]
+          "report_before_after", "raw_csv_load", "raw_csv_snapshots", "load_audit", "fact_hard_keys", "dq_summary_marts", "dq_unique"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
