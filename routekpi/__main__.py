@@ -19,22 +19,28 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators.quality import QualityGateError
-from .plans.pipeline import ALL_SOURCES, PipelineInputs, run_pipeline
+from .plans.pipeline import ALL_LAYERS, PipelineInputs, run_pipeline
+from .schemas import SOURCE_CHOICES
 from .session import apply_engine_conf, ensure_checkpoint_dir
 
-SOURCE_CHOICES = {"yearline": ("yearline",), "arcgis": ("bus_line",), "gtfs": ("stops",), "all": ALL_SOURCES}
+
+def layer_list(text: str) -> tuple:
+    layers = tuple(x.strip() for x in text.split(",") if x.strip())
+    if not layers or set(layers) - set(ALL_LAYERS):
+        raise argparse.ArgumentTypeError(f"layers are {', '.join(ALL_LAYERS)}")
+    return layers
 
 
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="routekpi", description="Route KPI pipeline on Spark")
-    p.add_argument("--yearline", required=True, help="glob of the yearline report CSV files")
-    p.add_argument("--bus-line", required=True, help="glob of the bus line snapshot CSV files")
+    p.add_argument("--yearline", default=None, help="glob of the yearline report CSV files")
+    p.add_argument("--bus-line", default=None, help="glob of the bus line snapshot CSV files")
     p.add_argument("--stops", default=None, help="stops CSV (optional)")
     p.add_argument("--seed", default=None, help="sub-region seed CSV (default: built-in)")
     p.add_argument("--warehouse", required=True, help="output root for raw/, staging/, analytics/")
     p.add_argument("--source", choices=sorted(SOURCE_CHOICES), default="all", help="raw sources to (re)load")
-    p.add_argument("--layers", default="raw,staging,marts", help="comma list of layers to run")
-    p.add_argument("--no-multiline", action="store_true", help="CSV fields hold no newlines: split big files")
+    p.add_argument("--layers", type=layer_list, default=ALL_LAYERS, help="comma list of layers to run")
+    p.add_argument("--multiline", action="store_true", help="CSV fields hold newlines: one task per file")
     return p.parse_args(argv)
 
 
@@ -44,10 +50,9 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     spark = spark or SparkSession.builder.appName("routekpi").getOrCreate()
     apply_engine_conf(spark)
     ensure_checkpoint_dir(spark)
-    inputs = PipelineInputs(args.yearline, args.bus_line, args.stops, args.seed, multiline=not args.no_multiline)
-    layers = tuple(x.strip() for x in args.layers.split(",") if x.strip())
+    inputs = PipelineInputs(args.yearline, args.bus_line, args.stops, args.seed, multiline=args.multiline)
     try:
-        summary = run_pipeline(spark, inputs, args.warehouse, layers=layers, sources=SOURCE_CHOICES[args.source])
+        summary = run_pipeline(spark, inputs, args.warehouse, layers=args.layers, sources=SOURCE_CHOICES[args.source])
     except QualityGateError as err:
         print(err, file=sys.stderr)
         return 2

@@ -30,14 +30,13 @@ class PipelineInputs:
     """Input locations (any Hadoop-compatible URI).  Globs select the report
     and snapshot files; the year in each file name labels its rows."""
 
-    yearline_glob: str
-    bus_line_glob: str
+    yearline_glob: str | None = None
+    bus_line_glob: str | None = None
     stops_path: str | None = None
     seed_path: str | None = None
-    # Quoted fields may hold newlines in the source exports; that makes each
-    # file one task.  Set False for large files without embedded newlines so
-    # Spark splits them.
-    multiline: bool = True
+    # Set True for exports with newlines inside quoted fields: each file is
+    # then read by one task, so Spark can't split large ones.
+    multiline: bool = False
 
 
 @dataclass
@@ -48,30 +47,36 @@ class RunSummary:
 
 
 def has_files(spark: SparkSession, glob: str) -> bool:
-    """True when `glob` matches at least one file.  Asks Spark for one path
-    only, so no file list is brought to the driver (works on any file system)."""
-    try:
-        return spark.read.format("binaryFile").load(glob).select("path").limit(1).count() > 0
-    except Exception as exc:  # no match raises at analysis time
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return False
-        raise
-
-
-def check_inputs(spark: SparkSession, inputs: PipelineInputs) -> dict:
-    """At least one report and one snapshot file are required; stops are optional.
-    Returns the glob to read per source (None when absent)."""
-    found = {
-        "yearline": inputs.yearline_glob if has_files(spark, inputs.yearline_glob) else None,
-        "bus_line": inputs.bus_line_glob if has_files(spark, inputs.bus_line_glob) else None,
-        "stops": inputs.stops_path if inputs.stops_path and has_files(spark, inputs.stops_path) else None,
-    }
-    missing = [k for k in ("yearline", "bus_line") if not found[k]]
+    """True when `glob` matches at least one path on its file system (any that Spark reads)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def check_inputs(spark: SparkSession, inputs: PipelineInputs, sources=None) -> dict:
+    """The glob to read per selected source.  Report and snapshot files are required
+    when their source is selected; missing stops are warned about and skipped (None)."""
+    sources = ALL_SOURCES if sources is None else sources
+    paths = {"yearline": inputs.yearline_glob, "bus_line": inputs.bus_line_glob, "stops": inputs.stops_path}
+    found = {k: p if k in sources and p and has_files(spark, p) else None for k, p in paths.items()}
+    missing = [k for k in ("yearline", "bus_line") if k in sources and not found[k]]
     if missing:
         raise FileNotFoundError("missing required raw files: " + ", ".join(missing))
+    if "stops" in sources and not found["stops"]:
+        log.warning("no stops file (%s): the stops table stays as it is", inputs.stops_path)
     return found
 
 
+#: Folder (schema) of each layer unless `schemas` names another.
+LAYER_SCHEMAS = {"raw": "raw", "staging": "staging", "marts": "analytics"}
+
+
+def layer_path(warehouse: str, layer: str, schemas: dict | None = None) -> str:
+    """Where a layer's tables lie: the schema named for it, trimmed, else the default one."""
+    name = ((schemas or {}).get(layer) or "").strip() or LAYER_SCHEMAS[layer]
+    return f"{warehouse}/{name}"
+
+
 def _write(df: DataFrame, path: str, partition_by=None) -> int:
     """Overwrite a table and return its row count (counted while writing)."""
     from pyspark.sql import Observation
@@ -87,6 +92,7 @@ def _write(df: DataFrame, path: str, partition_by=None) -> int:
 
 
 ALL_SOURCES = ("yearline", "bus_line", "stops")
+ALL_LAYERS = ("raw", "staging", "marts")
 
 # Reporting order of each mart, applied within each written partition (a
 # local sort, no shuffle); the year leads because the tables are
@@ -100,31 +106,28 @@ def mart_order(name: str) -> list:
 
 
 def load_raw(spark: SparkSession, inputs: PipelineInputs, warehouse: str, found: dict,
-             sources=ALL_SOURCES) -> dict:
-    """Raw layer: all-text tables, one per selected source kind, with the file's year label."""
+             sources=ALL_SOURCES, schemas: dict | None = None) -> dict:
+    """Raw layer: all-text tables, one per selected source kind, with the file's year label.
+    A source without files keeps its table."""
+    raw = layer_path(warehouse, "raw", schemas)
     counts = {}
-    if "yearline" in sources:
-        yearline = read_raw_csv(spark, found["yearline"], YEARLINE_COLUMNS, source_col="report_source",
-                                multiline=inputs.multiline)
-        counts["raw_yearline"] = _write(yearline, f"{warehouse}/raw/yearline")
-    if "bus_line" in sources:
-        lines = read_raw_csv(spark, found["bus_line"], BUS_LINE_COLUMNS, source_col="snapshot_year",
-                             multiline=inputs.multiline)
-        counts["raw_bus_line"] = _write(lines, f"{warehouse}/raw/bus_line")
-    if "stops" in sources:
-        stops = (read_raw_csv(spark, found["stops"], STOPS_COLUMNS, multiline=inputs.multiline)
-                 if found["stops"] else empty_raw(spark, STOPS_COLUMNS))
-        counts["raw_stops"] = _write(stops, f"{warehouse}/raw/stops")
-    counts["subregion_population"] = _write(seed_frame(spark, inputs.seed_path), f"{warehouse}/raw/subregion_population")
+    kinds = (("yearline", YEARLINE_COLUMNS, "report_source"), ("bus_line", BUS_LINE_COLUMNS, "snapshot_year"), ("stops", STOPS_COLUMNS, None))
+    for kind, columns, label in kinds:
+        if kind in sources and found[kind]:
+            df = read_raw_csv(spark, found[kind], columns, source_col=label, multiline=inputs.multiline)
+            counts[f"raw_{kind}"] = _write(df, f"{raw}/{kind}")
+    counts["subregion_population"] = _write(seed_frame(spark, inputs.seed_path), f"{raw}/subregion_population")
     return counts
 
 
-def build_staging(spark: SparkSession, warehouse: str, params: KpiParams) -> dict:
-    raw = lambda name: spark.read.parquet(f"{warehouse}/raw/{name}")
+def build_staging(spark: SparkSession, warehouse: str, params: KpiParams, schemas: dict | None = None) -> dict:
+    path = layer_path(warehouse, "raw", schemas)
+    raw = lambda name: spark.read.parquet(f"{path}/{name}")
+    stops = raw("stops") if has_files(spark, f"{path}/stops") else empty_raw(spark, STOPS_COLUMNS)  # never loaded yet
     return {
         "stg_bus_performance": staging.model_performance(raw("yearline"), params),
         "stg_bus_line": staging.model_line(raw("bus_line"), params),
-        "stg_stops": staging.model_stops(raw("stops"), params),
+        "stg_stops": staging.model_stops(stops, params),
     }
 
 
@@ -138,36 +141,38 @@ def layer_summary(tables: dict, suites: dict) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
-                 params: KpiParams = KpiParams(), layers=("raw", "staging", "marts"),
-                 sources=ALL_SOURCES) -> RunSummary:
+                 params: KpiParams = KpiParams(), layers=ALL_LAYERS,
+                 sources=ALL_SOURCES, schemas: dict | None = None) -> RunSummary:
     """Run the job; `layers` selects a partial run (e.g. only "marts" on existing
-    staging) and `sources` the raw sources to (re)load."""
+    staging), `sources` the raw sources to (re)load and `schemas` other names for layers."""
+    if unknown := [x for x in layers if x not in ALL_LAYERS] or not layers:
+        raise ValueError(f"unknown layers {unknown}; there are {', '.join(ALL_LAYERS)}")
     t0 = time.time()
     out = RunSummary()
+    raw, stg_path, a = (layer_path(warehouse, x, schemas) for x in ALL_LAYERS)
     if "raw" in layers:
-        found = check_inputs(spark, inputs)
-        out.tables.update(load_raw(spark, inputs, warehouse, found, sources))
+        found = check_inputs(spark, inputs, sources)
+        out.tables.update(load_raw(spark, inputs, warehouse, found, sources, schemas))
 
     if "staging" in layers:
-        stg = build_staging(spark, warehouse, params)
+        stg = build_staging(spark, warehouse, params, schemas)
         for name, df in stg.items():
-            out.tables[name] = _write(df, f"{warehouse}/staging/{name}")
-        written = {n: spark.read.parquet(f"{warehouse}/staging/{n}") for n in stg}
+            out.tables[name] = _write(df, f"{stg_path}/{name}")
+        written = {n: spark.read.parquet(f"{stg_path}/{n}") for n in stg}
         gate = layer_summary(written, staging_checks(params))
         out.checks.extend(enforce(gate))  # raises QualityGateError: no mart is written
         log.info("staging gate passed (%d checks)", len(out.checks))
 
     if "marts" in layers:
-        s = lambda n: spark.read.parquet(f"{warehouse}/staging/{n}")
-        a = f"{warehouse}/analytics"
+        s = lambda n: spark.read.parquet(f"{stg_path}/{n}")
         out.tables["dim_routes"] = _write(marts.dim_routes(s("stg_bus_line")), f"{a}/dim_routes")
-        seed = spark.read.parquet(f"{warehouse}/raw/subregion_population")
+        seed = spark.read.parquet(f"{raw}/subregion_population")
         out.tables["dim_subregions"] = _write(marts.dim_subregions(seed), f"{a}/dim_subregions")
         fact = marts.fact_route_performance(
             s("stg_bus_performance"), spark.read.parquet(f"{a}/dim_routes"),
             spark.read.parquet(f"{a}/dim_subregions"), params,
         )
-        out.tables["fact_route_performance"] = _write(fact, f"{a}/fact_route_performance", "calendar_year")
+        out.tables["fact_route_performance"] = _write(by_year(fact), f"{a}/fact_route_performance", "calendar_year")
         fact = spark.read.parquet(f"{a}/fact_route_performance")
         builds = {
             "fct_overcrowding_ranking": marts.overcrowding_ranking(fact, params),
@@ -175,7 +180,7 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
             "fct_recovery_trends": marts.recovery_trends(fact, params),
         }
         for name, df in builds.items():
-            ordered = df.sortWithinPartitions(F.col("calendar_year").asc(), *mart_order(name))
+            ordered = by_year(df).sortWithinPartitions(F.col("calendar_year").asc(), *mart_order(name))
             out.tables[name] = _write(ordered, f"{a}/{name}", "calendar_year")
         names = ["dim_routes", "dim_subregions", "fact_route_performance", *builds]
         written = {n: spark.read.parquet(f"{a}/{n}") for n in names}
@@ -186,10 +191,20 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
             from ..operators.quality import QualityGateError
 
             raise QualityGateError(failing)
+        ranks = out.tables["fct_overcrowding_ranking"]
+        scored = fact.filter(F.col("pct_trips_overcrowded").isNotNull()).count()
+        if ranks != scored:
+            raise RuntimeError(f"fct_overcrowding_ranking has {ranks} rows for {scored} rows to rank")
     out.seconds = time.time() - t0
     return out
 
 
+def by_year(df: DataFrame) -> DataFrame:
+    """Rows dealt by year before a write partitioned by it: a few files of the advisory
+    partition size per year (large years are split), not one per task and year."""
+    return df.hint("rebalance", "calendar_year")
+
+
 def summary_frame(spark: SparkSession, summary: RunSummary) -> DataFrame:
     """Completion summary: one row per table with its row count and check results."""
     rows = []

@@ -199,6 +199,9 @@ ASSERTED_YEARS = (2019, 2020, 2021, 2022, 2023, 2024)
 REPORT_SOURCES = ("2023", "2024")
 SNAPSHOT_YEARS = (2019, 2022, 2023, 2024)
 
+# Values of the command line's --source and the raw tables that each loads.
+SOURCE_CHOICES = {"yearline": ("yearline",), "arcgis": ("bus_line",), "gtfs": ("stops",), "all": ("yearline", "bus_line", "stops")}
+
 # Ranking.
 TOP_K = 20
 PERSISTENT_MIN_YEARS = 3

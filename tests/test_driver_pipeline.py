@@ -7,7 +7,7 @@ import os
 import pytest
 
 from routekpi.plans.pipeline import PipelineInputs, run_pipeline
-from routekpi.plans.registry import comparable, fact
+from routekpi.plans.registry import comparable, fact, registered
 from routekpi.sources import testdata as TD
 
 SF = "/root/testdata/sf0.001"
@@ -27,3 +27,24 @@ def test_pipeline_fact_equals_registry_fact(spark, scratch):
     b = sorted((tuple(r) for r in direct.select(*cols).collect()), key=key)
     assert len(a) == len(b) > 0
     assert a == b
+
+
+def test_reports_hold_every_line_item(spark):
+    """Nothing is cut by supplier or year: the fact's service hours are all line items'."""
+    from pyspark.sql import functions as F
+
+    perf = registered("model_performance")(spark, SF)
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").where("l_suppkey is not null and l_shipdate is not null").count()
+    assert perf.agg(F.sum("annual_service_hours")).first()[0] == lines * 1.5
+    assert {r.snapshot_year for r in registered("union_snapshots")(spark, SF).select("snapshot_year").distinct().collect()} == {
+        str(r.y) for r in spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("year(l_shipdate) as y").distinct().collect()}
+
+
+def test_ranking_equals_the_window_form_twice(spark):
+    from routekpi.plans import marts, registry as R
+
+    f = R.fact(spark, SF)
+    want = sorted((r.calendar_year, r.route_number, r.overcrowding_rank) for r in marts.overcrowding_ranking(f, R.P, method="window").collect())
+    for _ in range(2):
+        got = R.ranking(spark, SF)
+        assert sorted((r.calendar_year, r.route_number, r.overcrowding_rank) for r in got.collect()) == want

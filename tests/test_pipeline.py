@@ -184,9 +184,11 @@ def test_revision_audit(spark, built):
 
     raw = built["raw"]
     reports = {y: read_raw_csv(spark, f"{raw}/tspr_bus_yearline_{y}.csv", YEARLINE_COLUMNS) for y in ("2023", "2024")}
-    rows = report_revisions(reports).collect()
-    got = sorted((r.calendar_year_raw, r.route_number_raw, r.value_older, r.value_newer, s(r.revision_pct)) for r in rows)
-    assert got == [("2022", "005/006", "700", "705", "0.7143"), ("2023", "005/006", "800", "805", "0.6250")]
+    from routekpi.sources.csv_raw import union_sources
+
+    rows = report_revisions(union_sources(reports, "report_source")).collect()
+    got = sorted((r.calendar_year_raw, r.route_number_raw, int(r.value_older), int(r.value_newer), s(r.revision_pct)) for r in rows)
+    assert got == [("2022", "005/006", 700, 705, "0.7143"), ("2023", "005/006", 800, 805, "0.6250")]
 
 
 def test_staging_and_stops(built):
@@ -252,10 +254,58 @@ def test_missing_inputs(spark, scratch):
         run_pipeline(spark, inputs_for(f"{scratch}/nothing"), f"{scratch}/wh")
 
 
-def test_stops_are_optional(spark, scratch):
+def test_stops_are_optional(spark, scratch, caplog):
     raw = write_inputs(f"{scratch}/in", stops=None)
     summary = run_pipeline(spark, inputs_for(raw), f"{scratch}/wh")
-    assert summary.tables["raw_stops"] == 0 and summary.tables["stg_stops"] == 0
+    assert "raw_stops" not in summary.tables and summary.tables["stg_stops"] == 0
+    assert "no stops file" in caplog.text
+
+
+def test_missing_stops_keep_the_loaded_table(spark, scratch):
+    run_pipeline(spark, inputs_for(write_inputs(f"{scratch}/in")), f"{scratch}/wh")
+    before = spark.read.parquet(f"{scratch}/wh/raw/stops").count()
+    summary = run_pipeline(spark, inputs_for(write_inputs(f"{scratch}/in2", stops=None)), f"{scratch}/wh")
+    assert before > 0 and spark.read.parquet(f"{scratch}/wh/raw/stops").count() == before
+    assert summary.tables["stg_stops"] == 2
+
+
+def test_source_scoped_load_needs_only_its_files(spark, scratch):
+    from routekpi.plans.pipeline import PipelineInputs
+
+    raw = write_inputs(f"{scratch}/in")
+    only = PipelineInputs(stops_path=f"{raw}/gtfs/stops.csv")
+    summary = run_pipeline(spark, only, f"{scratch}/wh", layers=("raw",), sources=("stops",))
+    assert set(summary.tables) == {"raw_stops", "subregion_population"}
+    with pytest.raises(FileNotFoundError, match="bus_line"):
+        run_pipeline(spark, only, f"{scratch}/wh", layers=("raw",), sources=("bus_line",))
+
+
+def test_unknown_layers_are_refused(spark, scratch):
+    from routekpi.__main__ import parse_args
+
+    with pytest.raises(ValueError, match="staing"):
+        run_pipeline(spark, inputs_for(scratch), f"{scratch}/wh", layers=("staing",))
+    with pytest.raises(SystemExit):
+        parse_args(["--warehouse", "w", "--layers", "staing"])
+
+
+def test_layer_schemas_with_fallback(spark, scratch):
+    from routekpi.plans.pipeline import layer_path
+
+    assert layer_path("w", "marts", {"marts": " kpi "}) == "w/kpi" and layer_path("w", "marts", {"marts": " "}) == "w/analytics"
+    run_pipeline(spark, inputs_for(write_inputs(f"{scratch}/in")), f"{scratch}/wh", schemas={"staging": "clean", "marts": "kpi"})
+    assert spark.read.parquet(f"{scratch}/wh/kpi/fct_service_gap").count() > 0
+    assert spark.read.parquet(f"{scratch}/wh/clean/stg_stops").count() == 2
+
+
+def test_mart_writes_few_files_per_year(spark, scratch):
+    from routekpi.plans.pipeline import _write, by_year
+
+    df = spark.range(0, 50_000, 1, 32).selectExpr("id", "cast(2000 + id % 4 as int) as calendar_year")
+    _write(by_year(df), f"{scratch}/t", "calendar_year")
+    import glob
+
+    assert all(len(glob.glob(f"{scratch}/t/calendar_year={y}/*.parquet")) <= 2 for y in range(2000, 2004))
 
 
 def test_partial_runs_by_layer_and_source(spark, built):
