@@ -7,6 +7,8 @@ similarity ``min_percent`` or more share a word among the first
 ordered by rarity, so few classes meet.  The order uses counts from a sketch of
 bounded size over all lines (a pure function of the word, so the filter stays
 exact), and words that the sketch proves unique can't be shared and are left out.
+Entries meet in one shuffle, sorted by word and length, within a sliding window
+of the length filter; frequent words are split by length.
 
 A meeting pair passes the length filter, the positional filter (words left after
 the shared one) and a bound from 128-bit maps of the sets before its full sets
@@ -33,22 +35,39 @@ MIN_PERCENT = 80
 #: Counters of the sketch of word counts (16 bits each), and of one segment of it.
 COUNTERS = 1 << 22
 SEGMENT = 1 << 16
+#: Words of more lines than this meet by length class.
+COMMON = 4096
+#: Bits of a word's hash that are kept.
+WORD_BITS = 44
 
 
 def line_sets(b: W.Bytes) -> dict[str, np.ndarray]:
-    """Lines with words: ``doc`` and ``number`` of each, and its distinct word hashes ``set[at[i]:at[i+1]]``."""
-    words, starts, ends, _ = W.word_hashes(b)
-    new_line = np.zeros(len(b.data) + 1, np.int64)
-    new_line[1:] = np.cumsum(b.data == 10)
-    line = new_line[starts] + np.searchsorted(b.offsets, starts, side="right")  # distinct per document and line
-    order = np.lexsort((words, line))
-    words, line, starts = words[order], line[order], starts[order]
+    """Lines with words: ``doc`` and ``number`` of each, and its distinct words ``set[at[i]:at[i+1]]``, sorted.
+
+    A word is 44 bits of its hash, so that line and word sort as one integer.
+    """
+    words, starts, _, _ = W.word_hashes(b)
+    border = b.data == 10
+    number = np.zeros(len(b.data) + 1, np.int64)
+    np.cumsum(border, out=number[1:])
+    # lines of the chunk in order: each document starts a new one
+    line = number[starts] + np.searchsorted(b.offsets, starts, side="right")
+    words = words >> np.uint64(64 - WORD_BITS)
+    if len(line) and line[-1] >> (64 - WORD_BITS):  # more lines than fit beside a word: one very long text
+        order = np.lexsort((words, line))
+        words, line = words[order], line[order].astype(np.uint64)
+    else:
+        packed = np.sort((line.astype(np.uint64) << np.uint64(WORD_BITS)) | words)
+        words, line = packed & np.uint64((1 << WORD_BITS) - 1), packed >> np.uint64(WORD_BITS)
     new = np.ones(len(words), bool)
     new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
-    words, line, starts = words[new], line[new], starts[new]
+    words, line = words[new], line[new]
     at = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
-    doc = np.searchsorted(b.offsets, starts[at], side="right") - 1
-    return {"doc": doc, "number": new_line[starts[at]] - new_line[b.offsets[doc]], "set": words, "at": np.append(at, len(words))}
+    # where the lines with words start: at their first words
+    heads = np.unique(number[starts] + np.searchsorted(b.offsets, starts, side="right"), return_index=True)[1]
+    spot = starts[heads]
+    doc = np.searchsorted(b.offsets, spot, side="right") - 1
+    return {"doc": doc, "number": number[spot] - number[b.offsets[doc]], "set": words, "at": np.append(at, len(words))}
 
 
 def class_keys(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,16 +150,24 @@ def _sketch(profile: DataFrame) -> Broadcast:
     return profile.sparkSession.sparkContext.broadcast(out)
 
 
-def prefix_words(sets: np.ndarray, at: np.ndarray, counts: np.ndarray, min_percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Line, position and word hash of every prefix word, rarest first; words proved unique are left out."""
+def prefix_words(sets: np.ndarray, at: np.ndarray, counts: np.ndarray, min_percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix words of all lines, rarest first, and where each line's begin.
+
+    A word is ranked and known by its count (16 bits) and 28 bits of its hash; words
+    that the sketch proves unique are 0, which keeps the others' positions.
+    """
     n = np.diff(at)
     line = np.repeat(np.arange(len(n)), n)
-    count = counts[(sets & np.uint64(COUNTERS - 1)).astype(np.int64)]
-    order = np.lexsort((sets, count, line))
-    position = np.arange(len(sets)) - np.repeat(at[:-1], n)
+    count = counts[(sets & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
+    rank = (count << np.uint64(28)) | (sets >> np.uint64(WORD_BITS - 28))
+    if len(n) >> (64 - WORD_BITS):
+        rank = rank[np.lexsort((rank, line))]
+    else:
+        rank = np.sort((line.astype(np.uint64) << np.uint64(WORD_BITS)) | rank) & np.uint64((1 << WORD_BITS) - 1)
     length = n - -(-n * min_percent // 100) + 1
-    keep = (position < length[line]) & (count[order] > 1)
-    return line[keep], position[keep], sets[order][keep]
+    rank[rank >> np.uint64(28) <= 1] = 0
+    keep = np.arange(len(sets)) - np.repeat(at[:-1], n) < np.repeat(length, n)
+    return rank[keep], np.concatenate([[0], np.cumsum(length)])
 
 
 def bit_maps(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,26 +180,116 @@ def bit_maps(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _firsts(f: np.ndarray) -> np.ndarray:
+    """One line of each class."""
+    return np.unique(f, return_index=True)[1]
+
+
+class _Recent:
+    """Remembers classes that a task has emitted lately, so copies of a line go out about once per task."""
+
+    def __init__(self):
+        self.held = np.zeros(1 << 20, np.int64)
+
+    def unseen(self, f: np.ndarray) -> np.ndarray:
+        slot = f & (len(self.held) - 1)
+        new = self.held[slot] != f
+        self.held[slot] = f
+        return new
+
+
+def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
+    """Similar sets have lengths of one class or of two neighbouring ones."""
+    return np.floor(np.log(n) / np.log(100 / min_percent) + 1e-9).astype(np.int64)
+
+
 def _entries(narrow: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
+    """(key, f, n, pos, low, m0, m1): a row per prefix word of each class.
+
+    Words of more than COMMON lines are split by length class: an entry goes to
+    its own class and, as ``low``, to the next one.
+    """
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recent = _Recent()
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 lines = line_sets(W.texts(part.column(0)))
-                f1, _ = class_keys(lines["set"], lines["at"])
-                line, position, word = prefix_words(lines["set"], lines["at"], counts.value, min_percent)
-                maps = bit_maps(lines["set"], lines["at"])
+                f, _ = class_keys(lines["set"], lines["at"])
                 n = np.diff(lines["at"])
-                # a class once per chunk
-                _, first = np.unique(f1, return_index=True)
-                own = np.zeros(len(f1), bool)
-                own[first] = True
-                some = own[line]
-                line, position, word = line[some], position[some], word[some]
+                words, at = prefix_words(lines["set"], lines["at"], counts.value, min_percent)
+                maps = bit_maps(lines["set"], lines["at"])
+                mine = np.zeros(len(f), bool)
+                mine[_firsts(f)] = True
+                mine &= recent.unseen(f)
+                line = np.repeat(np.arange(len(f)), np.diff(at))
+                keep = np.flatnonzero(mine[line] & (words != 0))
+                line, key, pos = line[keep], words[keep], keep - at[line[keep]]
+                low = np.zeros(len(keep), bool)
+                common = np.flatnonzero(key >> np.uint64(28) > COMMON)
+                if len(common):
+                    own = _length_class(n[line[common]], min_percent).astype(np.uint64)
+                    split = [W.mix64((key[common] << np.uint64(20)) | (own + np.uint64(up))) for up in (0, 1)]
+                    key[common] = split[0]
+                    key, line, pos = np.concatenate([key, split[1]]), np.concatenate([line, line[common]]), np.concatenate([pos, pos[common]])
+                    low = np.concatenate([low, np.ones(len(common), bool)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(word.view(np.int64)), pa.array(f1[line]), pa.array(n[line].astype(np.int32)), pa.array(position.astype(np.int32)),
-                     pa.array(maps[0][line]), pa.array(maps[1][line])], ["word", "f", "n", "pos", "m0", "m1"])
+                    [pa.array(key.view(np.int64)), pa.array(f[line]), pa.array(n[line].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(low),
+                     pa.array(maps[0][line]), pa.array(maps[1][line])], ["key", "f", "n", "pos", "low", "m0", "m1"])
 
-    return narrow.select("text").mapInArrow(emit, "word long, f long, n int, pos int, m0 long, m1 long")
+    return narrow.select("text").mapInArrow(emit, "key long, f long, n int, pos int, low boolean, m0 long, m1 long")
+
+
+def _meet(min_percent: int):
+    """Pairs (a, b) of classes that pass the filters, from entries sorted by (key, n, f).
+
+    Only entries of one key within the length filter are held at a time.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = {c: np.asarray(batch[c]) for c in ("key", "f", "n", "pos")} | {"low": np.asarray(batch["low"].cast(pa.int8()))}
+            now |= {c: np.asarray(batch[c]).view(np.uint64) for c in ("m0", "m1")}
+            first = 0
+            if held is not None:
+                first = len(held["f"])
+                now = {c: np.concatenate([held[c], v]) for c, v in now.items()}
+            new = np.ones(len(now["f"]), bool)
+            new[1:] = (now["key"][1:] != now["key"][:-1]) | (now["f"][1:] != now["f"][:-1])
+            first = int(new[:first].sum())
+            now = {c: v[new] for c, v in now.items()}
+            key, f, n, pos, low = (now[c] for c in ("key", "f", "n", "pos", "low"))
+            n = n.astype(np.int64)
+            j, step, found = np.arange(first, len(f)), 1, []
+            while len(j):
+                j = j[j >= step]
+                i = j - step
+                near = (key[i] == key[j]) & (100 * n[i] >= min_percent * n[j])
+                i, j = i[near], j[near]  # lengths grow within a key, so who fails now fails from here on
+                need = -(-(n[i] + n[j]) * min_percent // (100 + min_percent))  # words that must be shared
+                most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
+                ok = np.flatnonzero((most >= need) & ((low[i] & low[j]) == 0))
+                x, y = i[ok], j[ok]
+                differing = np.bitwise_count(now["m0"][x] ^ now["m0"][y]).astype(np.int64) + np.bitwise_count(now["m1"][x] ^ now["m1"][y])
+                ok = n[x] + n[y] - differing >= 2 * need[ok]
+                if ok.any():
+                    found.append((f[x[ok]], f[y[ok]]))
+                step += 1
+            if found:
+                a, b = (np.concatenate(v) for v in zip(*found))
+                a, b = np.minimum(a, b), np.maximum(a, b)
+                order = np.lexsort((b, a))
+                a, b = a[order], b[order]
+                new = a != b
+                new[1:] &= (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
+            rest = (key == key[-1]) & (100 * n >= min_percent * n[-1])
+            held = {c: v[rest] for c, v in now.items()}
+
+    return meet
 
 
 def _sets_of(narrow: DataFrame, filt: Broadcast) -> DataFrame:
@@ -186,9 +303,8 @@ def _sets_of(narrow: DataFrame, filt: Broadcast) -> DataFrame:
                 f1, _ = class_keys(lines["set"], lines["at"])
                 spots = bloom.key_slots(f1, slots)
                 some = ((plane[spots >> 3] >> (7 - (spots & 7)).astype(np.uint8)) & 1).all(axis=1)
-                _, first = np.unique(f1, return_index=True)
                 own = np.zeros(len(f1), bool)
-                own[first] = True
+                own[_firsts(f1)] = True
                 some = np.flatnonzero(some & own)
                 data = [lines["set"][lines["at"][i] : lines["at"][i + 1]].tobytes() for i in some]
                 yield pa.RecordBatch.from_arrays([pa.array(f1[some]), pa.array(data, pa.binary())], ["f", "set"])
@@ -211,26 +327,16 @@ def _similar(min_percent: int):
     return similar
 
 
-def similar_classes(narrow: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
+def similar_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
     """(a, b): all pairs of line classes of similarity ``min_percent`` or more, a < b."""
-    entries = save(_entries(narrow, counts, min_percent), "entries")
-    # words that only one class has in its prefix meet nothing
-    again = bloom.build(entries, "word", entries.count())
-    some = entries.where(bloom.may_hold(again, F.col("word")))
-    some = save(some.groupBy("word", "f").agg(*[F.first(c).alias(c) for c in ("n", "pos", "m0", "m1")]), "prefixes")
-    a = some.select(*[F.col(c).alias(f"{c}_a") for c in some.columns])
-    b = some.select(*[F.col(c).alias(f"{c}_b") for c in some.columns])
-    least = F.ceil((F.col("n_a") + F.col("n_b")) * min_percent / (100 + min_percent) - 1e-9)  # words that must be shared
-    differing = F.bit_count(F.col("m0_a").bitwiseXOR(F.col("m0_b"))) + F.bit_count(F.col("m1_a").bitwiseXOR(F.col("m1_b")))
-    near = (
-        (F.col("word_a") == F.col("word_b")) & (F.col("f_a") < F.col("f_b"))
-        & (F.col("n_a") * 100 >= F.col("n_b") * min_percent) & (F.col("n_b") * 100 >= F.col("n_a") * min_percent)
-        & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("pos_a", "pos_b") >= least)
-        & (F.col("n_a") + F.col("n_b") - differing >= 2 * least)
-    )
-    pairs = save(a.join(b, near).select(F.col("f_a").alias("a"), F.col("f_b").alias("b")).distinct(), "pairs")
-    wanted = save(pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct(), "wanted")
-    sets = _sets_of(narrow, bloom.build(wanted, "f", wanted.count(), plane="seen")).join(wanted, "f")
+    entries = _entries(narrow, counts, min_percent).repartition("key").sortWithinPartitions("key", "n", "f")
+    pairs = save(entries.mapInArrow(_meet(min_percent), "a long, b long").distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct()
+    wanted = save(wanted.join(classes.select("f", F.col("first.id").alias("id")), "f"), "wanted")
+    size = wanted.count()
+    holders = bloom.build(wanted.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen")
+    some = narrow.where(bloom.may_hold(holders, F.xxhash64("id")))  # the documents of the classes' first lines
+    sets = _sets_of(some, bloom.build(wanted, "f", size, plane="seen")).join(wanted.select("f"), "f")
     sets = save(sets.dropDuplicates(["f"]), "sets")
     left, right = (sets.select(F.col("f").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
     return save(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_similar(min_percent), "a long, b long"), "similar")
@@ -272,7 +378,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     place = F.struct(F.col("id").isNull().alias("last"), "id", "number", "key")
     classes = save(lines.groupBy("f").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "line_classes")
 
-    links = similar_classes(narrow, _sketch(profile), min_percent)
+    links = similar_classes(narrow, classes, _sketch(profile), min_percent)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     firsts = classes.select("f", "first")
     met = both.join(firsts.select(F.col("f").alias("a"), F.col("first").alias("own")), "a").join(firsts.select(F.col("f").alias("b"), F.col("first").alias("other")), "b")

@@ -19,8 +19,8 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _MASK = (1 << 64) - 1
 
-#: A chunk of texts handled at once holds about this many bytes.
-CHUNK_BYTES = 1 << 20
+#: A chunk of texts handled at once holds about this many bytes; arrays over it fit a core's cache.
+CHUNK_BYTES = 1 << 18
 #: And at most so many texts.
 CHUNK_ROWS = 1 << 15
 
