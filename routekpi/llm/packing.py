@@ -35,7 +35,9 @@ BLOCKS_AGAIN = 256
 #: A sequence less full than this is packed again.
 FULL_ENOUGH = 0.98
 #: Search steps of a block beyond the first descent; the best packing found so far stays.
-SEARCH_STEPS = 4000
+SEARCH_STEPS = 1000
+#: Waste at which a single piece is taken to fill a room in the first descents.
+SLACKS = (4, 8, 16)
 #: Completions tried around one largest piece.
 BRANCHES = 3
 
@@ -203,18 +205,42 @@ def completions(counts: np.ndarray, room: int, branches: int = BRANCHES) -> list
     return out
 
 
+def descend(counts: np.ndarray, capacity: int, slack: int) -> list[tuple[int, ...]]:
+    """One descent: the largest piece left with the filling of least waste, or with one piece that wastes ``slack`` at most.
+
+    Accepting a little waste early keeps the small pieces for the middling ones,
+    which fit each other badly at the end.
+    """
+    counts, out, top, left = counts.copy(), [], capacity, int(counts.sum())
+    while left:
+        while not counts[top]:
+            top -= 1
+        counts[top] -= 1
+        room = capacity - top
+        have = np.flatnonzero(counts[: room + 1])
+        filling = (int(have[-1]),) if len(have) and room - have[-1] <= slack else completions(counts, room, 1)[0]
+        for piece in filling:
+            counts[piece] -= 1
+        out.append((top, *filling))
+        left -= len(out[-1])
+    return out
+
+
 def bin_completion(counts: np.ndarray, capacity: int, steps: int = SEARCH_STEPS) -> list[tuple[int, ...]]:
     """Sequences, as tuples of lengths, that hold all pieces of the histogram.
 
     Depth-first: the largest piece left is completed in each undominated way; a
     branch ends when its waste so far leaves no packing better than the best
-    known.  Best fit gives the first of those, and again at each branch's end.
+    known.  Best fit and descents that accept a little waste give the first of those.
     The search stops at the lower bound, or after ``steps`` steps beyond the
     length of one descent.
     """
     counts = counts.astype(np.int64).copy()
     best = best_fit(counts, capacity)
     least = lower_bound(counts, capacity)
+    for slack in SLACKS:
+        if len(best) > least:
+            best = min(best, descend(counts, capacity, slack), key=len)
     total = int((counts * np.arange(capacity + 1)).sum())
     path: list[tuple[int, ...]] = []
     todo: list[list[tuple[int, ...]]] = []
