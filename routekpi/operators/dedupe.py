@@ -22,8 +22,9 @@ def latest_per_key(df: DataFrame, keys, newest_first, tiebreak=(), drop_null_key
 
     Same result as ``row_number() over (partition by keys order by newest_first desc) = 1``
     with the NULL ordering of the source warehouse (NULL sorts as largest).
-    `tiebreak` columns (ascending) make the choice repeatable when the order
-    columns tie.  Rows with a NULL key are dropped *before* the window: they
+    `tiebreak` columns make the choice repeatable when the order columns tie:
+    one is sorted ascending, several by one 64-bit hash of them all, so the
+    sort never compares every column of a wide row.  Rows with a NULL key are dropped *before* the window: they
     are discarded by the caller's filter anyway, and dropping them first keeps
     a mass of NULL keys from landing in one task.
 
@@ -35,5 +36,6 @@ def latest_per_key(df: DataFrame, keys, newest_first, tiebreak=(), drop_null_key
     newest_first = [newest_first] if isinstance(newest_first, str) else list(newest_first)
     if drop_null_keys and keys:
         df = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in newest_first], *[_asc(c) for c in tiebreak])
+    ties = [F.xxhash64(*tiebreak)] if len(tiebreak) > 1 else list(tiebreak)
+    w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in newest_first], *[_asc(c) for c in ties])
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) == 1).drop(rank_col)

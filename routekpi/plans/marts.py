@@ -110,8 +110,8 @@ def fact_route_performance(perf: DataFrame, routes: DataFrame, subregions: DataF
     )
 
 
-def overcrowding_ranking(fact: DataFrame, params: KpiParams = KpiParams(), method: str = "range") -> DataFrame:
-    """Rank by overcrowding within each year; top-k flag and persistence."""
+def to_rank(fact: DataFrame) -> tuple:
+    """The rows that are ranked, and their order within a year (ties to the smallest route)."""
     perf = fact.filter(F.col("pct_trips_overcrowded").isNotNull()).select(
         "route_number", "route_name", "subregion", "calendar_year", "pct_trips_overcrowded",
         "avg_peak_load_factor", "avg_daily_boardings_mf", "annual_revenue_hours", "overcrowding_severity",
@@ -119,6 +119,12 @@ def overcrowding_ranking(fact: DataFrame, params: KpiParams = KpiParams(), metho
     order = [F.col("pct_trips_overcrowded").desc_nulls_first(), F.col("route_number").asc_nulls_last(),
              F.col("annual_revenue_hours").asc_nulls_last(), F.col("avg_peak_load_factor").asc_nulls_last(),
              F.col("avg_daily_boardings_mf").asc_nulls_last()]
+    return perf, order
+
+
+def overcrowding_ranking(fact: DataFrame, params: KpiParams = KpiParams(), method: str = "range") -> DataFrame:
+    """Rank by overcrowding within each year; top-k flag and persistence."""
+    perf, order = to_rank(fact)
     ranked = rank_within(perf, "calendar_year", order, rank_col="overcrowding_rank", method=method)
     out = with_topk_persistence(ranked, "route_number", "overcrowding_rank", params.top_k, params.persistent_min_years)
     return out.select(

@@ -170,7 +170,7 @@ perf0 AS (
 perf AS (
   SELECT *, (calendar_year = {P.covid_year}) AS is_covid_year,
          CASE WHEN annual_service_hours > 0
-              THEN {rdiv('annual_boardings', 'annual_service_hours', 1, 6)} END AS boardings_per_service_hour
+              THEN {rdiv('annual_boardings', 'annual_service_hours', 1, 9)} END AS boardings_per_service_hour
   FROM perf0
 )"""
 

@@ -3,9 +3,8 @@
 Each entry is ``f(spark, sf_dir) -> DataFrame`` and runs the engine's own
 operators on inputs that Spark derives from the whole tables
 (`routekpi.sources.testdata`).  `comparable` gives the column types used
-when results are compared with the DuckDB oracle: decimals as DOUBLE (scale
-capped at 6 digits, so unbounded quotients compare exactly) and integers
-as BIGINT.
+when results are compared with the DuckDB oracle: decimals as DOUBLE and
+integers as BIGINT.
 """
 
 from __future__ import annotations
@@ -19,12 +18,12 @@ from pyspark.sql import types as T
 from .. import functions as K
 from ..operators import quality as Q
 from ..schemas import BUS_LINE_COLUMNS, BUS_LINE_MEASURES, STOPS_COLUMNS, YEARLINE_COLUMNS, YEARLINE_MEASURES
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources import testdata as TD
 from ..sources.csv_raw import read_raw_csv, seed_frame
 from . import marts, reports, staging
 from .checks import mart_checks, staging_checks
-from .pipeline import PipelineInputs, check_inputs, load_raw
+from .pipeline import PipelineInputs, check_inputs, layer_summary, load_raw
 
 P = TD.DRIVER_PARAMS
 
@@ -34,7 +33,7 @@ def comparable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
-            c = (F.round(c, 6) if f.dataType.scale > 6 else c).cast("double")
+            c = c.cast("double")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         cols.append(c.alias(f.name))
@@ -329,26 +328,20 @@ def _stg_checks():
 
 
 def q_dq_summary(spark, d):
+    """The staging layer's checks over its written tables, as the pipeline's gate runs them."""
     tables = {"stg_bus_performance": stg_perf(spark, d), "stg_bus_line": stg_line(spark, d),
               "stg_stops": staging.model_stops(TD.raw_stops(spark, d), P)}
-    out = None
-    for name, checks in _stg_checks().items():
-        s = Q.run_checks(tables[name], checks, name)
-        out = s if out is None else out.unionByName(s)
-    return out
+    return layer_summary({n: materialize(t, n) for n, t in tables.items()}, _stg_checks())
 
 
 def q_dq_summary_marts(spark, d):
     """The mart layer's checks, the warn one included."""
-    f = fact(spark, d)
-    tables = {"dim_routes": dim_routes(spark, d), "dim_subregions": dim_sub(spark, d), "fact_route_performance": f,
-              "fct_overcrowding_ranking": marts.overcrowding_ranking(f, P), "fct_service_gap": marts.service_gap(f, P),
-              "fct_recovery_trends": marts.recovery_trends(f, P)}
-    out = None
-    for name, checks in mart_checks(P).items():
-        s = Q.run_checks(tables[name], checks, name)
-        out = s if out is None else out.unionByName(s)
-    return out
+    routes, regions = materialize(dim_routes(spark, d), "dim_routes"), materialize(dim_sub(spark, d), "dim_subregions")
+    f = materialize(marts.fact_route_performance(stg_perf(spark, d), routes, regions, P), "fact")
+    built = {"fct_overcrowding_ranking": marts.overcrowding_ranking(f, P), "fct_service_gap": marts.service_gap(f, P),
+             "fct_recovery_trends": marts.recovery_trends(f, P)}
+    written = {n: materialize(t, n) for n, t in built.items()}
+    return layer_summary({"dim_routes": routes, "dim_subregions": regions, "fact_route_performance": f, **written}, mart_checks(P))
 
 
 def _violations(spark, d, table, check):
@@ -389,7 +382,7 @@ def q_dq_year_domain(spark, d):
 # ----------------------------------------------------------------- reports
 
 def q_report_heatmap(spark, d):
-    return reports.report_heatmap(ranking(spark, d), P)
+    return reports.report_heatmap(fact(spark, d), P)
 
 
 def q_report_gap_by_region(spark, d):
@@ -405,8 +398,7 @@ def q_report_efficiency(spark, d):
 
 
 def q_report_before_after(spark, d):
-    f = fact(spark, d)
-    return reports.report_before_after(marts.overcrowding_ranking(f, P), f, P)
+    return reports.report_before_after(fact(spark, d), P)
 
 
 def q_report_reliability(spark, d):
@@ -414,7 +406,7 @@ def q_report_reliability(spark, d):
 
 
 def q_report_every_year(spark, d):
-    return reports.report_every_year(ranking(spark, d), P)
+    return reports.report_every_year(fact(spark, d), P)
 
 
 def q_report_system_recovery(spark, d):

@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranking import top_k
 from ..operators.rollup import mean, weighted_index
 from ..schemas import KpiParams
-from .marts import gap_rollup, recovery_indexed, recovery_rollup, service_gap_scored
+from .marts import gap_rollup, recovery_indexed, recovery_rollup, service_gap_scored, to_rank
 
 
-def report_heatmap(ranking: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
+def top_routes(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
+    """The top k rows of each year with their rank.
+
+    A WindowGroupLimit keeps k rows per year in every map task, so reports on
+    the top never compute the whole ranking.
+    """
+    perf, order = to_rank(fact)
+    return top_k(perf, "calendar_year", order, params.top_k, rank_col="overcrowding_rank")
+
+
+def report_heatmap(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
     """Persistent routes x years, cell = overcrowding pct (explicit pivot values: no extra job)."""
     years = list(params.valid_years)
+    often = top_routes(fact, params).groupBy(F.col("route_number").alias("_often")).agg(F.count(F.lit(1)).alias("years_in_top20"))
+    often = often.filter(F.col("years_in_top20") >= params.persistent_min_years)
     return (
-        ranking.filter(F.col("is_persistent_overcrowded"))
+        to_rank(fact)[0].select("route_number", "calendar_year", "pct_trips_overcrowded")
+        .join(often, F.col("route_number") == F.col("_often"))
         .groupBy("route_number", "years_in_top20")
         .pivot("calendar_year", years)
         .agg(F.max("pct_trips_overcrowded"))
@@ -45,13 +59,13 @@ def report_efficiency(fact: DataFrame, params: KpiParams = KpiParams(), year: in
              "pct_trips_overcrowded", "overcrowding_severity")
 
 
-def report_before_after(ranking: DataFrame, fact: DataFrame, params: KpiParams = KpiParams(),
+def report_before_after(fact: DataFrame, params: KpiParams = KpiParams(),
                         before: int | None = None, after: int | None = None) -> DataFrame:
     """Top-k routes of the `before` year and their overcrowding in `after` (change in points)."""
     years = sorted(params.valid_years)
     before = before if before is not None else years[-2]
     after = after if after is not None else years[-1]
-    top = ranking.filter((F.col("calendar_year") == before) & F.col("is_top20")).select(
+    top = top_routes(fact.filter(F.col("calendar_year") == before), params).select(
         "route_number", F.col("overcrowding_rank").alias("rank_before"),
         F.col("pct_trips_overcrowded").alias("pct_before"),
     )
@@ -81,11 +95,11 @@ def report_reliability(fact: DataFrame) -> DataFrame:
     )
 
 
-def report_every_year(ranking: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
+def report_every_year(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
     """Routes in the top k in every accepted year."""
     n = len(params.valid_years)
     return (
-        ranking.filter(F.col("is_top20"))
+        top_routes(fact, params)
         .groupBy("route_number")
         .agg(F.count(F.lit(1)).alias("years_in_top20"), F.min("overcrowding_rank").alias("best_rank"))
         .filter(F.col("years_in_top20") >= n)

@@ -42,7 +42,8 @@ def model_performance(raw: DataFrame, params: KpiParams = KpiParams(),
     return cleaned.withColumns(
         {
             "is_covid_year": K.year_flag("calendar_year", params.covid_year),
-            "boardings_per_service_hour": K.guarded_ratio("annual_boardings", "annual_service_hours"),
+            # nine digits: the numerator's scale and six more, as the source warehouse divides
+            "boardings_per_service_hour": F.round(K.guarded_ratio("annual_boardings", "annual_service_hours"), 9),
         }
     )
 

@@ -55,6 +55,12 @@ def test_ranking_never_puts_a_year_in_one_task(spark, static_plan):
         assert "_of" in p[max(0, m.start() - 400):m.start() + 400]
 
 
+def test_top_reports_never_rank_everything(spark, static_plan):
+    for name in ("report_heatmap", "report_every_year", "report_before_after"):
+        p = static_plan(R.QUERIES[name](spark, SF))
+        assert "WindowGroupLimit [calendar_year" in p and "_place" not in p
+
+
 def test_rollups_aggregate_partially_and_hint_nothing(spark, static_plan):
     p = static_plan(R.QUERIES["gap_with_rollup"](spark, SF))
     assert re.search(r"HashAggregate\(keys=\[subregion, subregion_code, calendar_year\], functions=\[partial_", p)
