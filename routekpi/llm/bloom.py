@@ -98,16 +98,21 @@ def build(keys: DataFrame, column: str, count: int, max_bytes: int = MAX_BYTES,
     return keys.sparkSession.sparkContext.broadcast((n, out))
 
 
+def holds(value: tuple[int, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """True where a key may be in the plane of a filter's broadcast value."""
+    n, plane = value
+    slots = key_slots(keys, n)
+    return ((plane[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).all(axis=1)
+
+
 def may_hold(filt: Broadcast, column):
     """True where a key may be in the plane (so it may be repeated, or may be among the keys); null keys are false."""
 
     @F.pandas_udf(BooleanType())
     def test(keys: pd.Series) -> pd.Series:
-        n, plane = filt.value
         known = keys.notna().to_numpy()
         out = np.zeros(len(keys), bool)
-        slots = key_slots(keys[known].to_numpy(np.int64), n)
-        out[known] = ((plane[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).all(axis=1)
+        out[known] = holds(filt.value, keys[known].to_numpy(np.int64))
         return pd.Series(out)
 
     return test(column)

@@ -12,7 +12,9 @@ of the length filter; frequent words are split by length.
 
 A meeting pair passes the length filter, the positional filter (words left after
 the shared one) and a bound from 128-bit maps of the sets before its full sets
-are compared.  A line goes if its class has an earlier line, or if a similar class
+are compared.  As a line needs one earlier match, not all, an entry proposes its
+earliest and most alike partner; only classes that stay open meet all of theirs.
+So a large group of alike lines costs a few comparisons per line, not one per pair.  A line goes if its class has an earlier line, or if a similar class
 starts earlier; both are judged on the input.
 """
 
@@ -35,6 +37,8 @@ MIN_PERCENT = 80
 #: Counters of the sketch of word counts (16 bits each), and of one segment of it.
 COUNTERS = 1 << 22
 SEGMENT = 1 << 16
+#: Stands for a null id in the order of places.
+LAST_ID = (1 << 63) - 1
 #: Words of more lines than this meet by length class.
 COMMON = 4096
 #: Bits of a word's hash that are kept.
@@ -70,14 +74,11 @@ def line_sets(b: W.Bytes) -> dict[str, np.ndarray]:
     return {"doc": doc, "number": number[spot] - number[b.offsets[doc]], "set": words, "at": np.append(at, len(words))}
 
 
-def class_keys(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit sums over each set."""
-    out = []
-    for salt in (0x8CB92BA72F3D8DD7, 0x3C79AC492BA7B653):
-        total = np.zeros(len(sets) + 1, np.uint64)
-        np.cumsum(W.mix64(sets ^ np.uint64(salt)), out=total[1:])
-        out.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
-    return out[0], out[1]
+def class_keys(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit sum over each set, its class."""
+    total = np.zeros(len(sets) + 1, np.uint64)
+    np.cumsum(W.mix64(sets ^ np.uint64(0x8CB92BA72F3D8DD7)), out=total[1:])
+    return (total[at[1:]] - total[at[:-1]]).view(np.int64)
 
 
 def _line_count(b: W.Bytes) -> np.ndarray:
@@ -93,11 +94,11 @@ def _profile(narrow: DataFrame) -> DataFrame:
     Each task adds its part of the sketch of word counts as rows with a segment.
     """
     kind = narrow.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, key long, n_lines long, sha string, f1 array<long>, f2 array<long>, number array<int>, segment int, counts binary"
+    schema = f"id {kind}, key long, n_lines long, sha string, f array<long>, number array<int>, segment int, counts binary"
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(COUNTERS, np.uint16)
-        names = ["id", "key", "n_lines", "sha", "f1", "f2", "number", "segment", "counts"]
+        names = ["id", "key", "n_lines", "sha", "f", "number", "segment", "counts"]
         ids = None
         for batch in batches:
             for part in W.chunks(batch, "text"):
@@ -106,11 +107,11 @@ def _profile(narrow: DataFrame) -> DataFrame:
                 slot, n = np.unique(lines["set"] & np.uint64(COUNTERS - 1), return_counts=True)
                 slot = slot.astype(np.int64)
                 sketch[slot] = np.minimum(sketch[slot].astype(np.int64) + n, 65535)
-                f1, f2 = class_keys(lines["set"], lines["at"])
+                f = class_keys(lines["set"], lines["at"])
                 at = pa.array(np.searchsorted(lines["doc"], np.arange(len(b) + 1)), pa.int32())
                 raw = b.data.tobytes()
                 sha = [hashlib.sha256(raw[i:j]) for i, j in zip(b.offsets, b.offsets[1:])]
-                lists = [pa.ListArray.from_arrays(at, pa.array(v)) for v in (f1, f2, lines["number"].astype(np.int32))]
+                lists = [pa.ListArray.from_arrays(at, pa.array(v)) for v in (f, lines["number"].astype(np.int32))]
                 ids = part.column(0)
                 key = [int.from_bytes(s.digest()[:8], "little", signed=True) for s in sha]
                 yield pa.RecordBatch.from_arrays(
@@ -118,7 +119,7 @@ def _profile(narrow: DataFrame) -> DataFrame:
                      pa.nulls(len(b), pa.int32()), pa.nulls(len(b), pa.binary())], names)
         for k in range(0, COUNTERS, SEGMENT) if ids is not None else ():
             if (some := sketch[k : k + SEGMENT]).any():
-                none = [pa.nulls(1, t) for t in (ids.type, pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))]
+                none = [pa.nulls(1, t) for t in (ids.type, pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays([*none, pa.array([k // SEGMENT], pa.int32()), pa.array([zlib.compress(some.tobytes(), 1)], pa.binary())], names)
 
     return narrow.mapInArrow(profile, schema)
@@ -186,16 +187,26 @@ def _firsts(f: np.ndarray) -> np.ndarray:
 
 
 class _Recent:
-    """Remembers classes that a task has emitted lately, so copies of a line go out about once per task."""
+    """Remembers where each class was emitted lately: a line goes out again only from an earlier place.
+
+    So every task emits the first place of each of its classes, and copies of a
+    line about once.
+    """
 
     def __init__(self):
-        self.held = np.zeros(1 << 20, np.int64)
+        self.f, self.id, self.number = (np.zeros(1 << 18, np.int64) for _ in range(3))
 
-    def unseen(self, f: np.ndarray) -> np.ndarray:
-        slot = f & (len(self.held) - 1)
-        new = self.held[slot] != f
-        self.held[slot] = f
-        return new
+    def unseen(self, f: np.ndarray, ids: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """The lines to emit, at most one of each class."""
+        order = np.lexsort((number, ids, f))
+        order = order[np.concatenate([[True], f[order][1:] != f[order][:-1]])] if len(f) else order
+        f, ids, number = f[order], ids[order], number[order]
+        slot = f & (len(self.f) - 1)
+        known = self.f[slot] == f
+        new = ~known | (ids < self.id[slot]) | ((ids == self.id[slot]) & (number < self.number[slot]))
+        order, slot = order[new], slot[new]
+        self.f[slot], self.id[slot], self.number[slot] = f[new], ids[new], number[new]
+        return order
 
 
 def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
@@ -203,25 +214,24 @@ def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
     return np.floor(np.log(n) / np.log(100 / min_percent) + 1e-9).astype(np.int64)
 
 
-def _entries(narrow: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
-    """(key, f, n, pos, low, m0, m1): a row per prefix word of each class.
+def _entries(narrow: DataFrame, counts: Broadcast, min_percent: int, wanted: Broadcast | None = None) -> DataFrame:
+    """(key, f, n, pos, low, id, number, m0, m1): a row per prefix word of each class, with a place of it.
 
     Words of more than COMMON lines are split by length class: an entry goes to
-    its own class and, as ``low``, to the next one.
+    its own class and, as ``low``, to the next one.  ``wanted`` is a filter of keys.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent = _Recent()
         for batch in batches:
             for part in W.chunks(batch, "text"):
-                lines = line_sets(W.texts(part.column(0)))
-                f, _ = class_keys(lines["set"], lines["at"])
+                lines = line_sets(W.texts(part.column(1)))
+                f = class_keys(lines["set"], lines["at"])
                 n = np.diff(lines["at"])
+                ids = np.asarray(part.column(0).fill_null(LAST_ID))[lines["doc"]]
                 words, at = prefix_words(lines["set"], lines["at"], counts.value, min_percent)
-                maps = bit_maps(lines["set"], lines["at"])
                 mine = np.zeros(len(f), bool)
-                mine[_firsts(f)] = True
-                mine &= recent.unseen(f)
+                mine[recent.unseen(f, ids, lines["number"])] = True
                 line = np.repeat(np.arange(len(f)), np.diff(at))
                 keep = np.flatnonzero(mine[line] & (words != 0))
                 line, key, pos = line[keep], words[keep], keep - at[line[keep]]
@@ -233,16 +243,38 @@ def _entries(narrow: DataFrame, counts: Broadcast, min_percent: int) -> DataFram
                     key[common] = split[0]
                     key, line, pos = np.concatenate([key, split[1]]), np.concatenate([line, line[common]]), np.concatenate([pos, pos[common]])
                     low = np.concatenate([low, np.ones(len(common), bool)])
+                if wanted is not None:
+                    some = np.flatnonzero(bloom.holds(wanted.value, key))
+                    key, line, pos, low = key[some], line[some], pos[some], low[some]
+                maps = bit_maps(lines["set"], lines["at"])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(f[line]), pa.array(n[line].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(low),
-                     pa.array(maps[0][line]), pa.array(maps[1][line])], ["key", "f", "n", "pos", "low", "m0", "m1"])
+                     pa.array(ids[line]), pa.array(lines["number"][line].astype(np.int32)), pa.array(maps[0][line]), pa.array(maps[1][line])],
+                    ["key", "f", "n", "pos", "low", "id", "number", "m0", "m1"])
+
+    schema = "key long, f long, n int, pos int, low boolean, id long, number int, m0 long, m1 long"
+    return narrow.select("id", "text").mapInArrow(emit, schema).repartition("key").sortWithinPartitions("key", "n", "f", "id", "number")
 
-    return narrow.select("text").mapInArrow(emit, "key long, f long, n int, pos int, low boolean, m0 long, m1 long")
 
+class _Best:
+    """For each row the partner of the least rank seen so far."""
 
-def _meet(min_percent: int):
-    """Pairs (a, b) of classes that pass the filters, from entries sorted by (key, n, f).
+    def __init__(self, rows: int):
+        self.rank = np.full((rows, 2), np.iinfo(np.int64).max)
+        self.partner = np.full(rows, -1)
 
+    def offer(self, row: np.ndarray, rank: np.ndarray, partner: np.ndarray) -> None:
+        """``row`` holds no row twice."""
+        old = self.rank[row]
+        less = (rank[:, 0] < old[:, 0]) | ((rank[:, 0] == old[:, 0]) & (rank[:, 1] < old[:, 1]))
+        self.rank[row[less]], self.partner[row[less]] = rank[less], partner[less]
+
+
+def _meet(min_percent: int, wanted: Broadcast | None = None):
+    """Entries sorted by (key, n, f, place) to (a, b, more): class b starts earlier and passes the filters against a.
+
+    A row of a key gives its earliest and its most alike partner; ``more`` says
+    that it has others.  With ``wanted``, a filter of classes, those get them all.
     Only entries of one key within the length filter are held at a time.
     """
 
@@ -251,19 +283,21 @@ def _meet(min_percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = {c: np.asarray(batch[c]) for c in ("key", "f", "n", "pos")} | {"low": np.asarray(batch["low"].cast(pa.int8()))}
+            now = {c: np.asarray(batch[c]) for c in ("key", "f", "n", "pos", "id", "number")} | {"low": np.asarray(batch["low"].cast(pa.int8()))}
             now |= {c: np.asarray(batch[c]).view(np.uint64) for c in ("m0", "m1")}
             first = 0
             if held is not None:
                 first = len(held["f"])
                 now = {c: np.concatenate([held[c], v]) for c, v in now.items()}
-            new = np.ones(len(now["f"]), bool)
+            new = np.ones(len(now["f"]), bool)  # of a class only its first place
             new[1:] = (now["key"][1:] != now["key"][:-1]) | (now["f"][1:] != now["f"][:-1])
             first = int(new[:first].sum())
             now = {c: v[new] for c, v in now.items()}
-            key, f, n, pos, low = (now[c] for c in ("key", "f", "n", "pos", "low"))
-            n = n.astype(np.int64)
-            j, step, found = np.arange(first, len(f)), 1, []
+            key, f, pos, low, ids, number = (now[c] for c in ("key", "f", "pos", "low", "id", "number"))
+            n = now["n"].astype(np.int64)
+            asked = None if wanted is None else bloom.holds(wanted.value, f)
+            early, alike, partners, all_found = _Best(len(f)), _Best(len(f)), np.zeros(len(f), np.int64), []
+            j, step = np.arange(first, len(f)), 1
             while len(j):
                 j = j[j >= step]
                 i = j - step
@@ -272,20 +306,37 @@ def _meet(min_percent: int):
                 need = -(-(n[i] + n[j]) * min_percent // (100 + min_percent))  # words that must be shared
                 most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
                 ok = np.flatnonzero((most >= need) & ((low[i] & low[j]) == 0))
-                x, y = i[ok], j[ok]
+                x, y, need = i[ok], j[ok], need[ok]
                 differing = np.bitwise_count(now["m0"][x] ^ now["m0"][y]).astype(np.int64) + np.bitwise_count(now["m1"][x] ^ now["m1"][y])
-                ok = n[x] + n[y] - differing >= 2 * need[ok]
-                if ok.any():
-                    found.append((f[x[ok]], f[y[ok]]))
+                ok = n[x] + n[y] - differing >= 2 * need
+                x, y, differing = x[ok], y[ok], differing[ok]
+                before = (ids[x] < ids[y]) | ((ids[x] == ids[y]) & (number[x] < number[y]))
+                after = (ids[x] > ids[y]) | ((ids[x] == ids[y]) & (number[x] > number[y]))
+                for later, earlier, some in ((y, x, before), (x, y, after)):
+                    a, b = later[some], earlier[some]
+                    if asked is not None:
+                        all_found.append((f[a[asked[a]]], f[b[asked[a]]]))
+                    elif len(a):
+                        partners[a] += 1
+                        early.offer(a, np.stack([ids[b], number[b].astype(np.int64)], axis=1), b)
+                        alike.offer(a, np.stack([differing[some], ids[b]], axis=1), b)
                 step += 1
-            if found:
-                a, b = (np.concatenate(v) for v in zip(*found))
-                a, b = np.minimum(a, b), np.maximum(a, b)
-                order = np.lexsort((b, a))
-                a, b = a[order], b[order]
-                new = a != b
-                new[1:] &= (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
+            if asked is not None:
+                a, b = (np.concatenate(v) for v in zip(*all_found)) if all_found else (f[:0], f[:0])
+                more = np.zeros(len(a), bool)
+            else:
+                some = np.flatnonzero(partners)
+                one, two = early.partner[some], alike.partner[some]
+                both = one != two
+                a, b = np.concatenate([f[some], f[some[both]]]), np.concatenate([f[one], f[two[both]]])
+                more = partners[some] > 1 + both
+                more = np.concatenate([more, more[both]])
+            if len(a):
+                order = np.lexsort((~more, b, a))
+                a, b, more = a[order], b[order], more[order]
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(more[new])], ["a", "b", "more"])
             rest = (key == key[-1]) & (100 * n >= min_percent * n[-1])
             held = {c: v[rest] for c, v in now.items()}
 
@@ -296,18 +347,14 @@ def _sets_of(narrow: DataFrame, filt: Broadcast) -> DataFrame:
     """(f, set) of the lines whose class may be wanted."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, plane = filt.value
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 lines = line_sets(W.texts(part.column(0)))
-                f1, _ = class_keys(lines["set"], lines["at"])
-                spots = bloom.key_slots(f1, slots)
-                some = ((plane[spots >> 3] >> (7 - (spots & 7)).astype(np.uint8)) & 1).all(axis=1)
-                own = np.zeros(len(f1), bool)
-                own[_firsts(f1)] = True
-                some = np.flatnonzero(some & own)
+                f = class_keys(lines["set"], lines["at"])
+                own = _firsts(f)
+                some = own[bloom.holds(filt.value, f[own])]
                 data = [lines["set"][lines["at"][i] : lines["at"][i + 1]].tobytes() for i in some]
-                yield pa.RecordBatch.from_arrays([pa.array(f1[some]), pa.array(data, pa.binary())], ["f", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(f[some]), pa.array(data, pa.binary())], ["f", "set"])
 
     return narrow.select("text").mapInArrow(emit, "f long, set binary")
 
@@ -327,10 +374,8 @@ def _similar(min_percent: int):
     return similar
 
 
-def similar_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
-    """(a, b): all pairs of line classes of similarity ``min_percent`` or more, a < b."""
-    entries = _entries(narrow, counts, min_percent).repartition("key").sortWithinPartitions("key", "n", "f")
-    pairs = save(entries.mapInArrow(_meet(min_percent), "a long, b long").distinct(), "pairs")
+def _verified(narrow: DataFrame, classes: DataFrame, pairs: DataFrame, min_percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct()
     wanted = save(wanted.join(classes.select("f", F.col("first.id").alias("id")), "f"), "wanted")
     size = wanted.count()
@@ -339,7 +384,33 @@ def similar_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, mi
     sets = _sets_of(some, bloom.build(wanted, "f", size, plane="seen")).join(wanted.select("f"), "f")
     sets = save(sets.dropDuplicates(["f"]), "sets")
     left, right = (sets.select(F.col("f").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
-    return save(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_similar(min_percent), "a long, b long"), "similar")
+    return save(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_similar(min_percent), "a long, b long"), "similar")
+
+
+def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
+    """(l_f): the classes for which a similar class starts earlier.
+
+    Each class is first checked against its earliest and most alike candidates of
+    each prefix word, which settles nearly all; a class that fails and had other
+    candidates is then checked against every one.
+    """
+    tried = save(_entries(narrow, counts, min_percent).mapInArrow(_meet(min_percent), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")), "tried")
+    found = _verified(narrow, classes, tried, min_percent).select(F.col("a").alias("l_f")).distinct()
+    found = save(found, "later")
+    open_ = tried.where("more").select(F.col("a").alias("f")).distinct().join(found, F.col("f") == F.col("l_f"), "left_anti")
+    open_ = save(open_.join(classes.select("f", F.col("first.id").alias("id")), "f"), "open")
+    size = open_.count()
+    if not size:
+        return found
+    asked = bloom.build(open_, "f", size, plane="seen")
+    holders = bloom.build(open_.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen")
+    keys = _entries(narrow.where(bloom.may_hold(holders, F.xxhash64("id"))), counts, min_percent).join(open_.select("f"), "f", "left_semi")
+    keys = save(keys.select("key").distinct(), "keys")
+    again = _entries(narrow, counts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen"))
+    pairs = again.mapInArrow(_meet(min_percent, asked), "a long, b long, more boolean").select("a", "b").distinct()
+    pairs = save(pairs.join(open_.select(F.col("f").alias("a")), "a", "left_semi").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    more = _verified(narrow, classes, pairs, min_percent).select(F.col("a").alias("l_f"))
+    return found.unionByName(more).distinct()
 
 
 def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
@@ -367,22 +438,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines end at newlines.  A line with words goes if an earlier line, in the
     order (id, number), has word sets of Jaccard similarity ``min_percent``
     percent or more; lines without words stay.  Null and empty texts have no
-    lines.  Rows that repeat id and text share the first's result and null ids
-    come last.  ``kept_sha256`` is of the lines left, joined by newlines.
+    lines.  Rows that repeat id and text share the first's result, lines at one
+    place of rows that share an id don't remove each other, and null ids come last.  ``kept_sha256`` is of the lines left, joined by newlines.
     """
     ship(docs.sparkSession)
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     profile = save(_profile(narrow), "profile")
     rows = profile.where("segment IS NULL")
-    lines = rows.select("id", "key", F.explode(F.arrays_zip("f1", "f2", "number")).alias("x")).select("id", "key", F.col("x.f1").alias("f"), F.col("x.number").alias("number"))
+    lines = rows.select("id", "key", F.explode(F.arrays_zip("f", "number")).alias("x")).select("id", "key", F.col("x.f").alias("f"), F.col("x.number").alias("number"))
     place = F.struct(F.col("id").isNull().alias("last"), "id", "number", "key")
     classes = save(lines.groupBy("f").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "line_classes")
 
-    links = similar_classes(narrow, classes, _sketch(profile), min_percent)
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    firsts = classes.select("f", "first")
-    met = both.join(firsts.select(F.col("f").alias("a"), F.col("first").alias("own")), "a").join(firsts.select(F.col("f").alias("b"), F.col("first").alias("other")), "b")
-    later = save(met.where("other < own").select(F.col("a").alias("l_f")).distinct(), "later")
+    later = save(later_classes(narrow, classes, _sketch(profile), min_percent), "doomed_classes")
     doomed = classes.join(later, F.col("f") == F.col("l_f"), "left").where("n > 1 OR l_f IS NOT NULL")
     doomed = save(doomed.select(F.col("f").alias("d_f"), "first", F.col("l_f").isNotNull().alias("all")), "doomed")
     gone = lines.join(doomed, F.col("f") == F.col("d_f")).where(F.col("all") | (place != F.col("first")))

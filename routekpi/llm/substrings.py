@@ -114,13 +114,11 @@ def _windows(narrow: DataFrame, filt, window: int) -> DataFrame:
     """(w, id, key, pos, len): hashes of windows whose anchor may repeat; len equal ones in a row."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, plane = filt.value
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 words, _, _, first = W.word_hashes(W.texts(part.column(1)))
                 starts, anchor, owner = anchors(words, first, window)
-                slots = bloom.key_slots(anchor, n)
-                again = ((plane[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).all(axis=1)
+                again = bloom.holds(filt.value, anchor)
                 starts, owner = starts[again], owner[again]
                 if not len(starts):
                     continue
