@@ -167,10 +167,10 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     when = F.lit(None).cast("double")
     for weight, knots in schedules.items():
         when = F.when(F.col("weight") == weight, position(share, knots)).otherwise(when)
-    plan = plan.select(F.col("id").alias("k_id"), F.col("source").alias("k_source"), F.col("size").alias("k_size"), F.col("words").alias(part), when.alias(at))
-    size = fresh(docs, "size_")
+    size, k_id, k_source, k_size = (fresh(docs, x) for x in ("size_", "k_id", "k_source", "k_size"))
+    plan = plan.select(F.col("id").alias(k_id), F.col("source").alias(k_source), F.col("size").alias(k_size), F.col("words").alias(part), when.alias(at))
     rows = with_sizes(docs, text_col, size, docs.columns)
-    rows = rows.join(plan, rows[id_col].eqNullSafe(F.col("k_id")) & rows[source_col].eqNullSafe(F.col("k_source")) & (rows[size] == F.col("k_size")))
+    rows = rows.join(plan, F.col(id_col).eqNullSafe(F.col(k_id)) & F.col(source_col).eqNullSafe(F.col(k_source)) & (F.col(size) == F.col(k_size)))
     cut = F.array_join(F.slice(F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col(part).cast("int")), " ")
     rows = rows.withColumn(text_col, F.when(F.col(part) < F.col(size), cut).otherwise(F.col(text_col)))
     return rows.orderBy(at, id_col).select(docs.columns)

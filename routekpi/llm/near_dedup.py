@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from routekpi.llm import bloom
 from routekpi.llm import words as W
 from routekpi.llm.components import components
-from routekpi.llm.scratch import save, ship
+from routekpi.llm.scratch import fresh, save, ship
 
 #: Words of a shingle and least Jaccard similarity in percent.
 SHINGLE_WORDS = 5
@@ -384,5 +384,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps: one document of each group."""
-    marks = save(near_duplicates(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col(id_col).alias("gone")).distinct(), "gone")
-    return docs.join(marks, docs[id_col].eqNullSafe(F.col("gone")), "left_anti")
+    gone = fresh(docs, "gone")
+    marks = near_duplicates(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col(id_col).alias(gone))
+    return docs.join(save(marks.distinct(), "gone"), F.col(id_col).eqNullSafe(F.col(gone)), "left_anti")

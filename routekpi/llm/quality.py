@@ -140,22 +140,23 @@ def grade(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     ship(docs.sparkSession)
     keep = keep or [id_col]
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
-    names = [fresh(docs, "expected_grade"), *(fresh(docs, f"p_{k + 1}") for k in range(len(model.thresholds)))]
+    own = docs.select(*keep)
+    names = [fresh(own, "expected_grade"), *(fresh(own, f"p_{k + 1}") for k in range(len(model.thresholds)))]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, thresholds = shared.value
-        own = OrdinalModel(1)
-        own.thresholds = thresholds
+        model = OrdinalModel(1)
+        model.thresholds = thresholds
         for batch in batches:
             for part in W.chunks(batch, text_col):
                 ids, at = features(W.texts(part.column(part.schema.get_field_index(text_col))))
                 n = np.diff(at)
-                tails = own.tails(_sums(weights[ids].astype(float), at) / np.maximum(n, 1)) * (n > 0)[:, None]
+                tails = model.tails(_sums(weights[ids].astype(float), at) / np.maximum(n, 1)) * (n > 0)[:, None]
                 columns = [part.column(part.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(tails.sum(axis=1)), *(pa.array(t) for t in tails.T)], [*keep, *names])
 
     wanted = docs.select(*dict.fromkeys([*keep, text_col]))
-    schema = docs.select(*keep)
+    schema = own
     for name in names:
         schema = schema.withColumn(name, F.lit(0.0))
     return wanted.mapInArrow(score, schema.schema)

@@ -7,7 +7,9 @@ import re
 import pytest
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-SCHEMA = "doc_id long, text string, lang string, source string, id long, key string, n int, sha string, row string"
+#: Other columns, with names that operators use inside.
+OTHERS = ("id", "key", "n", "sha", "row", "gone", "expected_grade", "p_1", "k_id", "size", "start", "words", "rep", "root", "f", "number", "runs")
+SCHEMA = "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in OTHERS)
 
 
 def words(text, lower=False):
@@ -46,7 +48,7 @@ def awkward_texts(seed=1):
 
 def frame(spark, rows, parts=3):
     """Documents with columns whose names operators use inside, too."""
-    full = [(i, t, "ab"[(i or 0) % 2], None if (i or 0) % 5 == 4 else f"s{(i or 0) % 4}", 7, "k", 1, None, "r") for i, t in rows]
+    full = [(i, t, "ab"[(i or 0) % 2], None if (i or 0) % 5 == 4 else f"s{(i or 0) % 4}", *OTHERS) for i, t in rows]
     return spark.createDataFrame(full, SCHEMA).repartition(parts)
 
 
