@@ -11,7 +11,7 @@ Entries meet in one shuffle, sorted by word and length, within a sliding window
 of the length filter; frequent words are split by length.
 
 A meeting pair passes the length filter, the positional filter (words left after
-the shared one) and a bound from 128-bit maps of the sets before its full sets
+the shared one) and a bound from 256-bit parity maps of the sets before its full sets
 are compared.  As a line needs one earlier match, not all, an entry proposes its
 earliest and most alike partner; only classes that stay open meet all of theirs.
 So a large group of alike lines costs a few comparisons per line, not one per pair.  A line goes if its class has an earlier line, or if a similar class
@@ -37,6 +37,8 @@ MIN_PERCENT = 80
 #: Counters of the sketch of word counts (16 bits each), and of one segment of it.
 COUNTERS = 1 << 22
 SEGMENT = 1 << 16
+#: 64-bit integers of a parity map.
+MAPS = 4
 #: Stands for a null id in the order of places.
 LAST_ID = (1 << 63) - 1
 #: Words of more lines than this meet by length class.
@@ -171,14 +173,16 @@ def prefix_words(sets: np.ndarray, at: np.ndarray, counts: np.ndarray, min_perce
     return rank[keep], np.concatenate([[0], np.cumsum(length)])
 
 
-def bit_maps(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit map of each set, as two 64-bit integers: each word sets one bit."""
-    out = []
-    for half in (0, 1):
-        bit = W.mix64(sets + np.uint64(17)) >> np.uint64(57)
-        mine = np.where((bit >> np.uint64(6)) == half, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
-        out.append(np.bitwise_or.reduceat(mine, at[:-1]).view(np.int64) if len(at) > 1 else np.zeros(0, np.int64))
-    return out[0], out[1]
+def parity_maps(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """MAPS 64-bit integers per set; a bit is the parity of the words that fall on it.
+
+    Common words cancel between two sets, so their maps differ in at most as many
+    bits as the sets differ in words.
+    """
+    lines, bits = len(at) - 1, 64 * MAPS
+    spot = np.repeat(np.arange(lines), np.diff(at)) * bits + (W.mix64(sets + np.uint64(17)) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(spot, minlength=lines * bits) & 1).astype(bool)
+    return np.packbits(odd).view(np.uint64).reshape(lines, MAPS)
 
 
 def _firsts(f: np.ndarray) -> np.ndarray:
@@ -215,7 +219,7 @@ def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
 
 
 def _entries(narrow: DataFrame, counts: Broadcast, min_percent: int, wanted: Broadcast | None = None) -> DataFrame:
-    """(key, f, n, pos, low, id, number, m0, m1): a row per prefix word of each class, with a place of it.
+    """(key, f, n, pos, low, id, number, m0 ..): a row per prefix word of each class, with a place of it.
 
     Words of more than COMMON lines are split by length class: an entry goes to
     its own class and, as ``low``, to the next one.  ``wanted`` is a filter of keys.
@@ -246,14 +250,19 @@ def _entries(narrow: DataFrame, counts: Broadcast, min_percent: int, wanted: Bro
                 if wanted is not None:
                     some = np.flatnonzero(bloom.holds(wanted.value, key))
                     key, line, pos, low = key[some], line[some], pos[some], low[some]
-                maps = bit_maps(lines["set"], lines["at"])
+                maps = parity_maps(lines["set"], lines["at"])[line].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(f[line]), pa.array(n[line].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(low),
-                     pa.array(ids[line]), pa.array(lines["number"][line].astype(np.int32)), pa.array(maps[0][line]), pa.array(maps[1][line])],
-                    ["key", "f", "n", "pos", "low", "id", "number", "m0", "m1"])
+                     pa.array(ids[line]), pa.array(lines["number"][line].astype(np.int32)), *(pa.array(m) for m in maps.T.copy())],
+                    ["key", "f", "n", "pos", "low", "id", "number", *(f"m{k}" for k in range(MAPS))])
+
+    schema = "key long, f long, n int, pos int, low boolean, id long, number int, " + ", ".join(f"m{k} long" for k in range(MAPS))
+    return narrow.select("id", "text").mapInArrow(emit, schema).repartition("key").sortWithinPartitions("key", "n")
+
 
-    schema = "key long, f long, n int, pos int, low boolean, id long, number int, m0 long, m1 long"
-    return narrow.select("id", "text").mapInArrow(emit, schema).repartition("key").sortWithinPartitions("key", "n", "f", "id", "number")
+def _runs(key: np.ndarray) -> np.ndarray:
+    """Numbers the runs of equal keys, which keeps the order in which they come."""
+    return np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
 
 
 class _Best:
@@ -271,7 +280,7 @@ class _Best:
 
 
 def _meet(min_percent: int, wanted: Broadcast | None = None):
-    """Entries sorted by (key, n, f, place) to (a, b, more): class b starts earlier and passes the filters against a.
+    """Entries sorted by (key, n) to (a, b, more): class b starts earlier and passes the filters against a.
 
     A row of a key gives its earliest and its most alike partner; ``more`` says
     that it has others.  With ``wanted``, a filter of classes, those get them all.
@@ -284,12 +293,14 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             if not batch.num_rows:
                 continue
             now = {c: np.asarray(batch[c]) for c in ("key", "f", "n", "pos", "id", "number")} | {"low": np.asarray(batch["low"].cast(pa.int8()))}
-            now |= {c: np.asarray(batch[c]).view(np.uint64) for c in ("m0", "m1")}
+            now["maps"] = np.stack([np.asarray(batch[f"m{k}"]).view(np.uint64) for k in range(MAPS)], axis=1)
+            order = np.lexsort((now["number"], now["id"], now["f"], now["n"], _runs(now["key"])))
+            now = {c: v[order] for c, v in now.items()}
             first = 0
             if held is not None:
                 first = len(held["f"])
                 now = {c: np.concatenate([held[c], v]) for c, v in now.items()}
-            new = np.ones(len(now["f"]), bool)  # of a class only its first place
+            new = np.ones(len(now["f"]), bool)  # of a class only its first place (copies in another batch only cost work)
             new[1:] = (now["key"][1:] != now["key"][:-1]) | (now["f"][1:] != now["f"][:-1])
             first = int(new[:first].sum())
             now = {c: v[new] for c, v in now.items()}
@@ -307,8 +318,9 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
                 most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
                 ok = np.flatnonzero((most >= need) & ((low[i] & low[j]) == 0))
                 x, y, need = i[ok], j[ok], need[ok]
-                differing = np.bitwise_count(now["m0"][x] ^ now["m0"][y]).astype(np.int64) + np.bitwise_count(now["m1"][x] ^ now["m1"][y])
-                ok = n[x] + n[y] - differing >= 2 * need
+                differing = np.bitwise_count(now["maps"][x] ^ now["maps"][y]).sum(axis=1, dtype=np.int64)
+                ok = f[x] != f[y]
+                ok &= n[x] + n[y] - differing >= 2 * need
                 x, y, differing = x[ok], y[ok], differing[ok]
                 before = (ids[x] < ids[y]) | ((ids[x] == ids[y]) & (number[x] < number[y]))
                 after = (ids[x] > ids[y]) | ((ids[x] == ids[y]) & (number[x] > number[y]))
