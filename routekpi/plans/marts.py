@@ -237,3 +237,21 @@ def recovery_trends(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFra
         F.col("total_routes").alias("subregion_total_routes"),
     )
     return indexed.join(roll, ["subregion", "calendar_year"], "left")
+
+
+# Presentation order of the KPI marts.
+MART_ORDER = {
+    "fct_overcrowding_ranking": ("calendar_year", "overcrowding_rank"),
+    "fct_service_gap": ("calendar_year", "-gap_score", "route_number"),
+    "fct_recovery_trends": ("subregion", "route_number", "calendar_year"),
+}
+
+
+def mart_order(name: str) -> list:
+    """Sort columns of a mart; a minus stands for largest first."""
+    return [F.col(c[1:]).desc_nulls_first() if c[0] == "-" else F.col(c).asc_nulls_last() for c in MART_ORDER[name]]
+
+
+def in_order(mart: DataFrame, name: str) -> DataFrame:
+    """A mart's rows in its presentation order: a range sort over all tasks."""
+    return mart.orderBy(*mart_order(name))

@@ -637,6 +637,7 @@ follows AS (SELECT a.y, a.r, a.s AS older, b.s AS newer, a.vs AS va, b.vs AS vb
     q["recovery_with_rollup"] = _w(
         RECOVERY, f"SELECT {INDEXED_OUT}, {D(f'CASE WHEN {known} THEN here_index END', 'subregion_boardings_index')}, "
         f"{I(f'CASE WHEN {known} THEN here_total END', 'subregion_total_routes')} FROM indexed")
+    q["ordered_ranking"], q["ordered_gap"], q["ordered_recovery"] = q["persistent_topk"], q["gap_with_rollup"], q["recovery_with_rollup"]
     # data quality
     q["dq_summary"] = _dq_summary()
     q["dq_summary_marts"] = _dq_summary_marts()

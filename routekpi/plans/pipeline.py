@@ -94,16 +94,6 @@ def _write(df: DataFrame, path: str, partition_by=None) -> int:
 ALL_SOURCES = ("yearline", "bus_line", "stops")
 ALL_LAYERS = ("raw", "staging", "marts")
 
-# Reporting order of each mart, applied within each written partition (a
-# local sort, no shuffle); the year leads because the tables are
-# partitioned by it.
-def mart_order(name: str) -> list:
-    return {
-        "fct_overcrowding_ranking": [F.col("overcrowding_rank").asc()],
-        "fct_service_gap": [F.col("gap_score").desc_nulls_first(), F.col("route_number").asc()],
-        "fct_recovery_trends": [F.col("subregion").asc_nulls_last(), F.col("route_number").asc()],
-    }[name]
-
 
 def load_raw(spark: SparkSession, inputs: PipelineInputs, warehouse: str, found: dict,
              sources=ALL_SOURCES, schemas: dict | None = None) -> dict:
@@ -180,7 +170,7 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
             "fct_recovery_trends": marts.recovery_trends(fact, params),
         }
         for name, df in builds.items():
-            ordered = by_year(df).sortWithinPartitions(F.col("calendar_year").asc(), *mart_order(name))
+            ordered = by_year(df).sortWithinPartitions("calendar_year", *marts.mart_order(name))
             out.tables[name] = _write(ordered, f"{a}/{name}", "calendar_year")
         names = ["dim_routes", "dim_subregions", "fact_route_performance", *builds]
         written = {n: spark.read.parquet(f"{a}/{n}") for n in names}
@@ -205,6 +195,11 @@ def by_year(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "calendar_year")
 
 
+def read_mart(spark: SparkSession, warehouse: str, name: str, schemas: dict | None = None) -> DataFrame:
+    """A written KPI mart in its presentation order."""
+    return marts.in_order(spark.read.parquet(f"{layer_path(warehouse, 'marts', schemas)}/{name}"), name)
+
+
 def summary_frame(spark: SparkSession, summary: RunSummary) -> DataFrame:
     """Completion summary: one row per table with its row count and check results."""
     rows = []

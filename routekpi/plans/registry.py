@@ -9,8 +9,6 @@ integers as BIGINT.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +16,7 @@ from pyspark.sql import types as T
 from .. import functions as K
 from ..operators import quality as Q
 from ..schemas import BUS_LINE_COLUMNS, BUS_LINE_MEASURES, STOPS_COLUMNS, YEARLINE_COLUMNS, YEARLINE_MEASURES
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import materialize, shared_folder
 from ..sources import testdata as TD
 from ..sources.csv_raw import read_raw_csv, seed_frame
 from . import marts, reports, staging
@@ -80,8 +78,7 @@ def ranking(spark, d):
 
 def _exported(spark: SparkSession, d: str) -> PipelineInputs:
     """All raw inputs written as CSV files (tokens as text) in the shared folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return PipelineInputs(**TD.write_raw_csvs(spark, d, f"{root}/routekpi-csv/{uuid.uuid4().hex}"))
+    return PipelineInputs(**TD.write_raw_csvs(spark, d, shared_folder(spark, "csv")))
 
 
 def q_raw_csv_load(spark: SparkSession, d: str) -> DataFrame:
@@ -297,6 +294,21 @@ def q_persistent_topk(spark, d):
     return ranking(spark, d)
 
 
+def q_ordered_ranking(spark, d):
+    """O1: the ranking by year and rank."""
+    return marts.in_order(ranking(spark, d), "fct_overcrowding_ranking")
+
+
+def q_ordered_gap(spark, d):
+    """O2: the service gap by year, largest score first."""
+    return marts.in_order(marts.service_gap(fact(spark, d), P), "fct_service_gap")
+
+
+def q_ordered_recovery(spark, d):
+    """O3: the recovery trends by sub-region, route and year."""
+    return marts.in_order(marts.recovery_trends(fact(spark, d), P), "fct_recovery_trends")
+
+
 def q_composite_score(spark, d):
     return marts.service_gap_scored(fact(spark, d), P)
 

@@ -71,15 +71,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder; it goes when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/routekpi-{uuid.uuid4().hex}/{name}"
+    parent = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    fs = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(parent)
+    fs.deleteOnExit(parent)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
-    What is read twice is then the same rows both times, whatever is recomputed;
-    the files go when the application ends.
+    What is read twice is then the same rows both times, whatever is recomputed.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/routekpi-{uuid.uuid4().hex}/{name}"
+    path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    parent = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
-    parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(parent)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -326,6 +326,17 @@ def test_mart_files_in_report_order(built):
     assert per_file and all(v == sorted(v) for v in per_file.values())
 
 
+def test_marts_read_in_presentation_order(spark, built):
+    from routekpi.plans.pipeline import read_mart
+
+    ranks = [(r.calendar_year, r.overcrowding_rank) for r in read_mart(spark, built["wh"], "fct_overcrowding_ranking").collect()]
+    assert ranks == sorted(ranks)
+    gaps = [(r.calendar_year, -r.gap_score, r.route_number) for r in read_mart(spark, built["wh"], "fct_service_gap").collect()]
+    assert gaps == sorted(gaps)
+    trend = [(r.subregion is None, r.subregion, r.route_number, r.calendar_year) for r in read_mart(spark, built["wh"], "fct_recovery_trends").collect()]
+    assert trend == sorted(trend)
+
+
 def test_sql_over_registered_views(spark, built):
     from routekpi.functions.sql import register_views
 
