@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from routekpi.llm import labelled
 from routekpi.llm import words as W
-from routekpi.llm.scratch import save, ship
+from routekpi.llm.scratch import ship
 
 BITS = 18
 AFFIXES = (1, 2, 3, 4)
@@ -105,9 +105,8 @@ class Chain:
         out = alpha * beta
         return out / out.sum(axis=1, keepdims=True)
 
-    def pair_marginals(self, scores: np.ndarray, p_scores: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        """Expected transitions between neighbours, summed (alpha and beta-side vectors given)."""
-        left, right = p_scores
+    def pair_marginals(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Expected transitions between neighbours, summed: alpha of the first, beta times local score of the second."""
         joint = left[:, :, None] * np.exp(self.switch)[None] * right[:, None, :]
         return (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
 
@@ -154,7 +153,7 @@ def _fit(chain: Chain, texts: list[bytes], y: np.ndarray, seed: int = 5) -> Chai
             chain.weights[used] += RATE * grad / np.sqrt(w_squares[used])
             seen = np.zeros_like(chain.switch)
             np.add.at(seen, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
-            hoped = chain.pair_marginals(scores, (alpha[:, :-1].reshape(-1, n_labels), (beta[:, 1:] * local[:, 1:]).reshape(-1, n_labels)))
+            hoped = chain.pair_marginals(alpha[:, :-1].reshape(-1, n_labels), (beta[:, 1:] * local[:, 1:]).reshape(-1, n_labels))
             grad = (seen - hoped) / CHAINS
             s_squares += grad * grad
             chain.switch += RATE * grad / np.sqrt(s_squares)
@@ -165,7 +164,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
     """Fit on a bounded sample of labelled documents, in equal parts per language where there are enough."""
     langs = docs.where(F.col(lang_col).isNotNull() & ~labelled.held_out(F.col(id_col))).where(F.length(text_col) > 0)
     langs = langs.where(F.octet_length(text_col) <= SAMPLE_BYTES).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    # a few hundred candidates per language and hash bucket at most reach the ranking
+    # at most rows // 4 languages, the most frequent
     names = [r.lang for r in langs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows // 4).select("lang").collect()]
     names.sort()
     if not names:
