@@ -28,16 +28,22 @@ def folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Most bytes of an Arrow batch between Spark and a Python worker; texts are long.
+BATCH_BYTES = 8 << 20
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, once for each application.
+    """Give the executors this package's code, once for each application, and bound Arrow batches.
 
     Called first by every operator: a Python function knows the files that were
-    added before it was made.
+    added before it was made.  A smaller bound that the session has stays.
     """
     sc = spark.sparkContext
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(limit)
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(limit, str(BATCH_BYTES))
     if sc.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
