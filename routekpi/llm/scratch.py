@@ -8,6 +8,7 @@ what is written.  Files go when the application ends.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -41,8 +42,8 @@ def ship(spark: SparkSession) -> None:
     """
     sc = spark.sparkContext
     limit = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(limit)
-    if not now.isdigit() or int(now) > BATCH_BYTES:
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmg]?)b?", spark.conf.get(limit).lower()).groups()
+    if int(number) << {"k": 10, "m": 20, "g": 30}.get(unit, 0) > BATCH_BYTES:
         spark.conf.set(limit, str(BATCH_BYTES))
     if sc.applicationId in _shipped:
         return
