@@ -190,27 +190,22 @@ def _firsts(f: np.ndarray) -> np.ndarray:
     return np.unique(f, return_index=True)[1]
 
 
-class _Recent:
-    """Remembers where each class was emitted lately: a line goes out again only from an earlier place.
+def _place_keys(f: np.ndarray, ids: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """64-bit hashes of a class and a place."""
+    place = W.mix64(ids.view(np.uint64)) + number.astype(np.int64).view(np.uint64)
+    return W.mix64(f.view(np.uint64) ^ W.mix64(place)).view(np.int64)
 
-    So every task emits the first place of each of its classes, and copies of a
-    line about once.
-    """
 
-    def __init__(self):
-        self.f, self.id, self.number = (np.zeros(1 << 18, np.int64) for _ in range(3))
+def first_places(classes: DataFrame) -> Broadcast:
+    """A filter of all classes with their first places: it lets each first place pass and few others."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f, ids, number = np.asarray(batch.column(0)), np.asarray(batch.column(1).fill_null(LAST_ID)), np.asarray(batch.column(2))
+            yield pa.RecordBatch.from_arrays([pa.array(_place_keys(f, ids, number))], ["place"])
 
-    def unseen(self, f: np.ndarray, ids: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """The lines to emit, at most one of each class."""
-        order = np.lexsort((number, ids, f))
-        order = order[np.concatenate([[True], f[order][1:] != f[order][:-1]])] if len(f) else order
-        f, ids, number = f[order], ids[order], number[order]
-        slot = f & (len(self.f) - 1)
-        known = self.f[slot] == f
-        new = ~known | (ids < self.id[slot]) | ((ids == self.id[slot]) & (number < self.number[slot]))
-        order, slot = order[new], slot[new]
-        self.f[slot], self.id[slot], self.number[slot] = f[new], ids[new], number[new]
-        return order
+    places = classes.select("f", "first.id", "first.number").mapInArrow(keys, "place long")
+    return bloom.build(places, "place", classes.count(), plane="seen")
 
 
 def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
@@ -218,26 +213,29 @@ def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
     return np.floor(np.log(n) / np.log(100 / min_percent) + 1e-9).astype(np.int64)
 
 
-def _entries(narrow: DataFrame, counts: Broadcast, min_percent: int, wanted: Broadcast | None = None) -> DataFrame:
-    """(key, f, n, pos, low, id, number, m0 ..): a row per prefix word of each class, with a place of it.
+def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percent: int, wanted: Broadcast | None = None) -> DataFrame:
+    """(key, f, meta, id, number, m0 ..): a row per prefix word of each class, from its first place.
 
-    Words of more than COMMON lines are split by length class: an entry goes to
+    Lines that the filter of first places rules out are left out; copies that it
+    lets pass only cost work.  ``meta`` packs the length, the
+    word's position and ``low``, in that order.  Words of more than COMMON lines are split by length class: an entry goes to
     its own class and, as ``low``, to the next one.  ``wanted`` is a filter of keys.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent = _Recent()
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 lines = line_sets(W.texts(part.column(1)))
-                f = class_keys(lines["set"], lines["at"])
-                n = np.diff(lines["at"])
+                f, number = class_keys(lines["set"], lines["at"]), lines["number"]
                 ids = np.asarray(part.column(0).fill_null(LAST_ID))[lines["doc"]]
-                words, at = prefix_words(lines["set"], lines["at"], counts.value, min_percent)
-                mine = np.zeros(len(f), bool)
-                mine[recent.unseen(f, ids, lines["number"])] = True
+                mine = bloom.holds(firsts.value, _place_keys(f, ids, number))
+                n = np.diff(lines["at"])
+                sets = lines["set"][np.repeat(mine, n)]
+                f, ids, number, n = f[mine], ids[mine], number[mine], n[mine]
+                ends = np.concatenate([[0], np.cumsum(n)])
+                words, at = prefix_words(sets, ends, counts.value, min_percent)
                 line = np.repeat(np.arange(len(f)), np.diff(at))
-                keep = np.flatnonzero(mine[line] & (words != 0))
+                keep = np.flatnonzero(words)
                 line, key, pos = line[keep], words[keep], keep - at[line[keep]]
                 low = np.zeros(len(keep), bool)
                 common = np.flatnonzero(key >> np.uint64(28) > COMMON)
@@ -250,14 +248,14 @@ def _entries(narrow: DataFrame, counts: Broadcast, min_percent: int, wanted: Bro
                 if wanted is not None:
                     some = np.flatnonzero(bloom.holds(wanted.value, key))
                     key, line, pos, low = key[some], line[some], pos[some], low[some]
-                maps = parity_maps(lines["set"], lines["at"])[line].view(np.int64)
+                maps = parity_maps(sets, ends)[line].view(np.int64)
+                meta = (n[line] << 32) | (pos << 1) | low
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(f[line]), pa.array(n[line].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(low),
-                     pa.array(ids[line]), pa.array(lines["number"][line].astype(np.int32)), *(pa.array(m) for m in maps.T.copy())],
-                    ["key", "f", "n", "pos", "low", "id", "number", *(f"m{k}" for k in range(MAPS))])
+                    [pa.array(key.view(np.int64)), pa.array(f[line]), pa.array(meta), pa.array(ids[line]), pa.array(number[line].astype(np.int32)),
+                     *(pa.array(m) for m in maps.T.copy())], ["key", "f", "meta", "id", "number", *(f"m{k}" for k in range(MAPS))])
 
-    schema = "key long, f long, n int, pos int, low boolean, id long, number int, " + ", ".join(f"m{k} long" for k in range(MAPS))
-    return narrow.select("id", "text").mapInArrow(emit, schema).repartition("key").sortWithinPartitions("key", "n")
+    schema = "key long, f long, meta long, id long, number int, " + ", ".join(f"m{k} long" for k in range(MAPS))
+    return narrow.select("id", "text").mapInArrow(emit, schema).repartition("key").sortWithinPartitions("key", "meta")
 
 
 def _runs(key: np.ndarray) -> np.ndarray:
@@ -280,7 +278,7 @@ class _Best:
 
 
 def _meet(min_percent: int, wanted: Broadcast | None = None):
-    """Entries sorted by (key, n) to (a, b, more): class b starts earlier and passes the filters against a.
+    """Entries sorted by (key, meta) to (a, b, more): class b starts earlier and passes the filters against a.
 
     A row of a key gives its earliest and its most alike partner; ``more`` says
     that it has others.  With ``wanted``, a filter of classes, those get them all.
@@ -292,7 +290,9 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = {c: np.asarray(batch[c]) for c in ("key", "f", "n", "pos", "id", "number")} | {"low": np.asarray(batch["low"].cast(pa.int8()))}
+            now = {c: np.asarray(batch[c]) for c in ("key", "f", "id", "number")}
+            meta = np.asarray(batch["meta"])
+            now |= {"n": meta >> 32, "pos": (meta & 0xFFFFFFFF) >> 1, "low": meta & 1}
             now["maps"] = np.stack([np.asarray(batch[f"m{k}"]).view(np.uint64) for k in range(MAPS)], axis=1)
             order = np.lexsort((now["number"], now["id"], now["f"], now["n"], _runs(now["key"])))
             now = {c: v[order] for c, v in now.items()}
@@ -305,7 +305,7 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             first = int(new[:first].sum())
             now = {c: v[new] for c, v in now.items()}
             key, f, pos, low, ids, number = (now[c] for c in ("key", "f", "pos", "low", "id", "number"))
-            n = now["n"].astype(np.int64)
+            n = now["n"]
             asked = None if wanted is None else bloom.holds(wanted.value, f)
             early, alike, partners, all_found = _Best(len(f)), _Best(len(f)), np.zeros(len(f), np.int64), []
             j, step = np.arange(first, len(f)), 1
@@ -406,7 +406,8 @@ def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_
     each prefix word, which settles nearly all; a class that fails and had other
     candidates is then checked against every one.
     """
-    tried = save(_entries(narrow, counts, min_percent).mapInArrow(_meet(min_percent), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")), "tried")
+    firsts = first_places(classes)
+    tried = save(_entries(narrow, counts, firsts, min_percent).mapInArrow(_meet(min_percent), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")), "tried")
     found = _verified(narrow, classes, tried, min_percent).select(F.col("a").alias("l_f")).distinct()
     found = save(found, "later")
     open_ = tried.where("more").select(F.col("a").alias("f")).distinct().join(found, F.col("f") == F.col("l_f"), "left_anti")
@@ -416,9 +417,9 @@ def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_
         return found
     asked = bloom.build(open_, "f", size, plane="seen")
     holders = bloom.build(open_.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen")
-    keys = _entries(narrow.where(bloom.may_hold(holders, F.xxhash64("id"))), counts, min_percent).join(open_.select("f"), "f", "left_semi")
+    keys = _entries(narrow.where(bloom.may_hold(holders, F.xxhash64("id"))), counts, firsts, min_percent).join(open_.select("f"), "f", "left_semi")
     keys = save(keys.select("key").distinct(), "keys")
-    again = _entries(narrow, counts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen"))
+    again = _entries(narrow, counts, firsts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen"))
     pairs = again.mapInArrow(_meet(min_percent, asked), "a long, b long, more boolean").select("a", "b").distinct()
     pairs = save(pairs.join(open_.select(F.col("f").alias("a")), "a", "left_semi").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     more = _verified(narrow, classes, pairs, min_percent).select(F.col("a").alias("l_f"))
