@@ -2,15 +2,19 @@
 
 Coarse k-means cells hold inverted lists; a vector's residual to its cell's
 centre is coded by one of 256 codes in each of 8 subspaces.  Every vector visits
-the cells of its nearest centres, where table lookups give its distance to the
-coded members.  A member's own coding error widens the limit, so within a visited
-cell no vector of cosine ``min_cosine`` or more is lost (triangle inequality);
-what passes is settled by the exact cosine in double precision.  Only the choice
-of visited cells is approximate: its recall is measured in the tests.
-
-Equal vectors are one class from the start.  Lists and visits of a cell are cut
-into blocks, so no cell is gathered in one task; a block's links leave it as
-counts per vector and a spanning forest, never as pairs.
+each cell that may hold a vector of cosine ``min_cosine`` or more to it: the
+triangle inequality with the cell's stored least and largest member distance, and
+the distance to the plane between its own centre and the cell's, rule out only
+cells that can't.  There, table lookups give its distance to the coded members; a
+member's own coding error widens the limit (triangle inequality again), and what
+passes is settled by the exact cosine in double precision.  So no link is lost;
+vectors without structure visit every cell, and the search is all pairs.
+
+Equal vectors are one class from the start.  Of two cells the one of the larger
+number visits the other.  Cells are taken in groups, whose members and visitors
+are cut into blocks, so no group is gathered in one task and a vector is shipped
+once per group; a block's links leave it as counts per vector and a spanning
+forest, never as pairs.
 """
 
 from __future__ import annotations
@@ -28,16 +32,18 @@ from routekpi.llm.near_dedup import grouped
 from routekpi.llm.scratch import save, ship
 
 MIN_COSINE = 0.9
-#: Cells that each vector visits, its own among them.
-PROBES = 16
 #: Vectors per cell, about, up to MAX_CELLS; larger cells are cut into blocks.
 CELL_SIZE = 128
 MAX_CELLS = 2048
+#: Cells that are searched together.
+GROUP = 32
 SUBSPACES, CODES = 8, 256
 #: The index is fitted on at most so many vectors; every vector is indexed.
 SAMPLE = 16_384
 ROUNDS = 8
-MEMBERS, VISITORS = 512, 2048  # of one block
+MEMBERS, VISITORS = 4096, 2048  # of one block
+#: Slack of the bounds for rounding.
+SLACK = 1e-6
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,22 +140,82 @@ class Index:
         return out
 
 
-def _encode(index: Broadcast, probes: int):
+class Indexes:
+    """One index per dimension; cells and groups are numbered through, no group spans two."""
+
+    def __init__(self, samples: dict[int, np.ndarray], cells: dict[int, int], group: int = GROUP):
+        self.group, self.base, self.of, top = group, {}, {}, 0
+        for dim in sorted(samples):
+            self.base[dim], self.of[dim] = top, Index(samples[dim], cells[dim])
+            top += -(-len(self.of[dim].centres) // group) * group
+        self.least, self.most = np.full(top, np.inf), np.full(top, -np.inf)
+
+    def measure(self, cell: np.ndarray, least: np.ndarray, most: np.ndarray) -> None:
+        """Least and largest distance of the members to their centre; other cells are empty."""
+        self.least[cell], self.most[cell] = least, most
+
+    def may_link(self, x: np.ndarray, home: np.ndarray, cells: np.ndarray, reach: float) -> np.ndarray:
+        """Whether each cell, up to the vector's own, may hold a member within ``reach`` of the unit vector."""
+        dim = x.shape[1]
+        centres, base = self.of[dim].centres, self.base[dim]
+        own, there = centres[home - base], centres[cells - base]
+        size = (x * x).sum(axis=1)
+        apart = np.maximum(size[:, None] + (there * there).sum(axis=1)[None, :] - 2 * (x @ there.T), 0.0)
+        near = ((x - own) ** 2).sum(axis=1)
+        between = (own * own).sum(axis=1)[:, None] + (there * there).sum(axis=1)[None, :] - 2 * (own @ there.T)
+        far = np.sqrt(apart)
+        limit = reach + SLACK
+        may = (far <= self.most[cells][None, :] + limit) & (far >= self.least[cells][None, :] - limit)
+        # a member is no nearer to the vector's own centre than to its cell's
+        may &= apart - near[:, None] <= 2 * np.sqrt(np.maximum(between, 0.0)) * limit + SLACK
+        return (may & (cells[None, :] < home[:, None])) | (cells[None, :] == home[:, None])
+
+
+def _by_dim(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    dims = np.asarray(batch["dim"])
+    for dim in np.unique(dims):
+        rows = batch.filter(pa.array(dims == dim))
+        for at in range(0, rows.num_rows, size):
+            yield int(dim), rows.slice(at, size)
+
+
+def _encode(indexes: Broadcast):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for dim, part in _by_dim(batch, 1024):
                 x = _unit(_matrix(part["vec"]))
-                cells = _nearest(x, index.value.centres, min(probes, len(index.value.centres))).astype(np.int32)
-                codes, error = index.value.encode(x, cells[:, 0])
-                visits = pa.ListArray.from_arrays(pa.array(np.arange(0, cells.size + 1, cells.shape[1]), pa.int32()), pa.array(cells.ravel()))
+                index = indexes.value.of[dim]
+                cell = _nearest(x, index.centres, 1)[:, 0]
+                codes, error = index.encode(x, cell)
+                away = np.sqrt(((x - index.centres[cell]) ** 2).sum(axis=1))
                 yield pa.RecordBatch.from_arrays(
-                    [part["rep"], part["weight"], part["vec"], pa.array(cells[:, 0]), visits, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)],
-                    ["rep", "weight", "vec", "cell", "visits", "code", "error"])
+                    [part["rep"], part["weight"], part["dim"], part["vec"], pa.array((cell + indexes.value.base[dim]).astype(np.int32)),
+                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(away)],
+                    ["rep", "weight", "dim", "vec", "cell", "code", "error", "away"])
 
     return encode
 
 
+def _visit(indexes: Broadcast, min_cosine: float):
+    """Adds the groups with cells that may hold a link's other end."""
+    reach = np.sqrt(2 - 2 * min_cosine)
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["rep", "weight", "dim", "vec", "cell", "code", "error"]
+        for batch in batches:
+            for dim, part in _by_dim(batch, 1024):
+                index = indexes.value
+                cells = index.base[dim] + np.arange(len(index.of[dim].centres))
+                may = index.may_link(_unit(_matrix(part["vec"])), np.asarray(part["cell"]), cells, reach)
+                groups = np.logical_or.reduceat(may, np.arange(0, len(cells), index.group), axis=1)
+                row, group = np.nonzero(groups)
+                begin = np.concatenate([[0], np.cumsum(groups.sum(axis=1))])
+                visits = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array((group + index.base[dim] // index.group).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in names), visits], [*names, "visits"])
+
+    return visit
+
+
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """The smallest node of each node's component, for links a[i]-b[i] over 0..n-1."""
     label = np.arange(n)
@@ -166,56 +232,62 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
-def _search(index: Broadcast, min_cosine: float):
-    """Sorted (cell, mblock, vblock) rows to counts and forest links of their vectors."""
+def _search(indexes: Broadcast, min_cosine: float):
+    """Sorted (group, mblock, vblock) rows to counts and forest links of their vectors."""
     reach = np.sqrt(2 - 2 * min_cosine)
 
-    def block(cell, rep, weight, vec, member, code, error, home, visits):
-        m, v = np.flatnonzero(member), np.flatnonzero(~member)
-        if not len(m) or not len(v):
-            return
-        x = _unit(vec[v])
-        apart = index.value.distances(x, cell, code[m])
-        near = apart <= (reach + error[m] + 1e-6)[None, :] ** 2
+    def links_of(cell, vec, norm, rep, x, v, m, code, error):
+        """Linked (visitor, member) rows of one cell."""
+        dim = vec.shape[1]
+        apart = indexes.value.of[dim].distances(x, cell - indexes.value.base[dim], code[m])
+        near = apart <= (reach + error[m] + SLACK)[None, :] ** 2
         near &= rep[v][:, None] != rep[m][None, :]
         p, q = np.nonzero(near)
-        if not len(p):
-            return
         keep = np.zeros(len(p), bool)
-        norm = np.sqrt((vec * vec).sum(axis=1))
         for i in range(0, len(p), 8192):
             a, b = v[p[i : i + 8192]], m[q[i : i + 8192]]
             keep[i : i + 8192] = (vec[a] * vec[b]).sum(axis=1) / (norm[a] * norm[b]) >= min_cosine
-        p, q = v[p[keep]], m[q[keep]]
-        if not len(p):
+        return v[p[keep]], m[q[keep]]
+
+    def block(rep, weight, vec, member, code, error, home):
+        m, v = np.flatnonzero(member), np.flatnonzero(~member)
+        if not len(m) or not len(v):
             return
+        x, norm = _unit(vec[v]), np.sqrt((vec * vec).sum(axis=1))
+        cells = np.unique(home[m])
+        may = indexes.value.may_link(x, home[v], cells, reach)
         links = np.zeros(len(rep), np.int64)
-        np.add.at(links, p, weight[q])
-        # the member counts the visitor here unless it visits the visitor's cell itself
-        width = max(map(len, visits))
-        seen = np.full((len(rep), width), -1, np.int64)
-        for i in m:
-            seen[i, : len(visits[i])] = visits[i]
-        alone = ~(seen[q] == home[p][:, None]).any(axis=1)
-        np.add.at(links, q[alone], weight[p[alone]])
         nodes, at = np.unique(rep, return_inverse=True)
-        root = nodes[forest(at[p], at[q], len(nodes))[at]]
+        root = np.arange(len(nodes))
+        for i, cell in enumerate(cells):
+            held = m[home[m] == cell]
+            come = np.flatnonzero(may[:, i])
+            for j in range(0, len(come), 512):
+                some = come[j : j + 512]
+                p, q = links_of(int(cell), vec, norm, rep, x[some], v[some], held, code, error)
+                if len(p):
+                    np.add.at(links, p, weight[q])
+                    # of one cell, the member visits too and counts for itself
+                    other = home[p] != cell
+                    np.add.at(links, q[other], weight[p[other]])
+                    own = np.arange(len(nodes))
+                    root = forest(np.concatenate([own, at[p]]), np.concatenate([root, at[q]]), len(nodes))
+        root = nodes[root[at]]
         some = (links > 0) | (root != rep)
         yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(links[some]), pa.array(root[some])], ["rep", "links", "root"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, at in grouped(batches, ["cell", "mblock", "vblock"]):
+        for table, at in grouped(batches, ["group", "mblock", "vblock"]):
             for begin, end in zip(at, np.append(at[1:], table.num_rows)):
                 t = table.slice(int(begin), int(end - begin))
                 yield from block(
-                    int(t["cell"][0].as_py()), np.asarray(t["rep"]), np.asarray(t["weight"]), _matrix(t["vec"]), np.asarray(t["member"]),
-                    np.frombuffer(b"".join(t["code"].to_pylist()), np.uint8).reshape(-1, SUBSPACES), np.asarray(t["error"]), np.asarray(t["home"]),
-                    t["visits"].to_pylist())
+                    np.asarray(t["rep"]), np.asarray(t["weight"]), _matrix(t["vec"]), np.asarray(t["member"]),
+                    np.frombuffer(b"".join(t["code"].to_pylist()), np.uint8).reshape(-1, SUBSPACES), np.asarray(t["error"]), np.asarray(t["home"]))
 
     return search
 
 
-def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", min_cosine: float = MIN_COSINE, probes: int = PROBES) -> DataFrame:
+def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", min_cosine: float = MIN_COSINE, cell_size: int = CELL_SIZE) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept.
 
     Rows link when their cosine, in double precision, is ``min_cosine`` or more.
@@ -231,32 +303,38 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     rows = save(narrow.mapInArrow(_rows, f"row long, id {kind}, dim long, h1 long, h2 long, vec binary"), "vectors")
     dim = rows.agg(F.max(F.when(F.col("vec").isNotNull(), F.col("dim")))).first()[0] or 0
     fit = rows.where(F.col("vec").isNotNull() & (F.col("dim") == dim))
-    classes = save(fit.groupBy("h1", "h2").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("weight")), "classes")
-    named = save(fit.select("row", "id", "h1", "h2").join(classes, ["h1", "h2"]).select("row", "id", "rep", "weight"), "named")
+    classes = save(fit.groupBy("dim", "h1", "h2").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("weight")), "classes")
+    named = save(fit.select("row", "id", "dim", "h1", "h2").join(classes, ["dim", "h1", "h2"]).select("row", "id", "rep", "weight"), "named")
     unfit = rows.join(named.select("row"), "row", "left_anti")
     nothing = unfit.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    count = classes.count()
+    counts = {r.dim: r.n for r in classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # few dimensions occur
     out = nothing
-    if count:
-        reps = rows.join(classes.select(F.col("rep").alias("row"), "rep", "weight"), "row").select("rep", "weight", "vec")
-        sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vec").toPandas()["vec"]
-        cells = max(1, min(MAX_CELLS, count // CELL_SIZE, len(sample) // 4))
-        index = spark.sparkContext.broadcast(Index(np.frombuffer(b"".join(sample), np.float64).reshape(len(sample), -1), cells))
-        coded = save(reps.mapInArrow(_encode(index, probes), "rep long, weight long, vec binary, cell int, visits array<int>, code binary, error double"), "coded")
-
-        visits = coded.select("rep", "weight", "vec", "cell", "visits", "code", "error", F.explode("visits").alias("to"))
-        sizes = coded.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).select(F.col("cell").alias("at"), F.ceil(F.col("m") / MEMBERS).alias("mblocks"))
+    if counts:
+        reps = rows.drop("dim").join(classes.select(F.col("rep").alias("row"), "rep", "weight", "dim"), "row").select("rep", "weight", "dim", "vec")
+        sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("dim", "vec").toPandas()
+        samples = {int(d): np.frombuffer(b"".join(v), np.float64).reshape(len(v), -1) for d, v in sample.groupby("dim")["vec"]}
+        cells = {d: max(1, min(MAX_CELLS, counts[d] // cell_size, len(x) // 4)) for d, x in samples.items()}
+        plain = Indexes(samples, cells)
+        index = spark.sparkContext.broadcast(plain)
+        coded = save(reps.mapInArrow(_encode(index), "rep long, weight long, dim long, vec binary, cell int, code binary, error double, away double"), "coded")
+        spans = coded.groupBy("cell").agg(F.min("away").alias("least"), F.max("away").alias("most")).toPandas()  # a row per cell
+        plain.measure(spans["cell"].to_numpy(), spans["least"].to_numpy(), spans["most"].to_numpy())
+        index = spark.sparkContext.broadcast(plain)
+        coded = save(coded.mapInArrow(_visit(index, min_cosine), "rep long, weight long, dim long, vec binary, cell int, code binary, error double, visits array<int>"), "visits")
+
+        coded = coded.withColumnRenamed("cell", "home").withColumn("own", F.floor(F.col("home") / plain.group).cast("int"))
+        sizes = coded.groupBy("own").agg(F.count(F.lit(1)).alias("m")).select(F.col("own").alias("at"), F.ceil(F.col("m") / MEMBERS).alias("mblocks"))
         loads = coded.select(F.explode("visits").alias("at")).groupBy("at").agg(F.ceil(F.count(F.lit(1)) / VISITORS).alias("vblocks"))
         plan = save(sizes.join(loads, "at"), "blocks")
-        columns = ["at", "mblock", "vblock", "rep", "weight", "vec", "code", "error", "home", "visits", "member"]
+        columns = ["at", "mblock", "vblock", "rep", "weight", "vec", "code", "error", "home", "member"]
         spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        members = coded.withColumnRenamed("cell", "home").join(F.broadcast(plan), F.col("home") == F.col("at"))  # at most MAX_CELLS rows
+        members = coded.join(F.broadcast(plan), F.col("own") == F.col("at"))  # a row per group
         members = members.withColumn("mblock", F.pmod(F.xxhash64("rep"), F.col("mblocks"))).withColumn("vblock", spread("vblocks")).withColumn("member", F.lit(True))
-        visitors = visits.withColumnRenamed("cell", "home").join(F.broadcast(plan), F.col("to") == F.col("at"))
+        visitors = coded.withColumn("to", F.explode("visits")).join(F.broadcast(plan), F.col("to") == F.col("at"))
         visitors = visitors.withColumn("vblock", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("vblocks"))).withColumn("mblock", spread("mblocks"))
-        visitors = visitors.withColumn("member", F.lit(False)).withColumn("visits", F.array().cast("array<int>"))
-        blocks = members.select(columns).unionByName(visitors.select(columns)).withColumnRenamed("at", "cell")
-        blocks = blocks.repartition("cell", "mblock", "vblock").sortWithinPartitions("cell", "mblock", "vblock")
+        visitors = visitors.withColumn("member", F.lit(False))
+        blocks = members.select(columns).unionByName(visitors.select(columns)).withColumnRenamed("at", "group")
+        blocks = blocks.repartition("group", "mblock", "vblock").sortWithinPartitions("group", "mblock", "vblock")
         found = save(blocks.mapInArrow(_search(index, min_cosine), "rep long, links long, root long"), "found")
         links = found.groupBy("rep").agg(F.sum("links").alias("links"))
         roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))

@@ -117,6 +117,18 @@ def test_embeddings_against_all_pairs(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_embeddings_lose_no_link_with_many_cells(spark):
+    rng = np.random.default_rng(31)
+    x = rng.normal(size=(3000, 4))  # links reach over more cells than a few
+    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    near = unit @ unit.T >= 0.9
+    root = embeddings.forest(*np.nonzero(near), len(x))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: r for r in embeddings.near_vectors(df, cell_size=8).collect()}  # 375 cells
+    assert [got[i].n_links for i in range(len(x))] == (near.sum(axis=1) - 1).tolist()
+    assert [got[i].component_id for i in range(len(x))] == root.tolist()
+
+
 @needs_data
 def test_embedding_recall_on_the_given_table(spark):
     sf = "/root/testdata/sf0.1" if os.path.isdir("/root/testdata/sf0.1") else SF
