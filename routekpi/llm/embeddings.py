@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -292,8 +293,8 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
 
     Rows link when their cosine, in double precision, is ``min_cosine`` or more.
     ``n_links`` counts the other rows linked directly, ``component_id`` is the
-    smallest id that links reach.  Vectors that are null, empty, all zero, hold a
-    null or non-finite component, or are not of the table's longest dimension
+    smallest id that links reach.  Vectors of different dimensions don't link.
+    Vectors that are null, empty, all zero or hold a null or non-finite component
     link with nothing.  Rows that repeat an id are rows of their own.
     """
     spark = table.sparkSession
@@ -301,8 +302,7 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     narrow = table.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     kind = narrow.schema["id"].dataType.simpleString()
     rows = save(narrow.mapInArrow(_rows, f"row long, id {kind}, dim long, h1 long, h2 long, vec binary"), "vectors")
-    dim = rows.agg(F.max(F.when(F.col("vec").isNotNull(), F.col("dim")))).first()[0] or 0
-    fit = rows.where(F.col("vec").isNotNull() & (F.col("dim") == dim))
+    fit = rows.where(F.col("vec").isNotNull())
     classes = save(fit.groupBy("dim", "h1", "h2").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("weight")), "classes")
     named = save(fit.select("row", "id", "dim", "h1", "h2").join(classes, ["dim", "h1", "h2"]).select("row", "id", "rep", "weight"), "named")
     unfit = rows.join(named.select("row"), "row", "left_anti")
@@ -312,6 +312,10 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     if counts:
         reps = rows.drop("dim").join(classes.select(F.col("rep").alias("row"), "rep", "weight", "dim"), "row").select("rep", "weight", "dim", "vec")
         sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("dim", "vec").toPandas()
+        lacking = [d for d in counts if d not in set(sample["dim"])]  # rare dimensions: one vector starts their index
+        if lacking:
+            heads = classes.where(F.col("dim").isin(lacking)).groupBy("dim").agg(F.min("rep").alias("rep")).select("rep")
+            sample = pd.concat([sample, reps.join(heads, "rep").select("dim", "vec").toPandas()])
         samples = {int(d): np.frombuffer(b"".join(v), np.float64).reshape(len(v), -1) for d, v in sample.groupby("dim")["vec"]}
         cells = {d: max(1, min(MAX_CELLS, counts[d] // cell_size, len(x) // 4)) for d, x in samples.items()}
         plain = Indexes(samples, cells)

@@ -129,6 +129,18 @@ def test_embeddings_lose_no_link_with_many_cells(spark):
     assert [got[i].component_id for i in range(len(x))] == root.tolist()
 
 
+def test_embeddings_of_each_dimension_link_among_themselves(spark, monkeypatch):
+    rng = np.random.default_rng(32)
+    x, y = rng.normal(size=(40, 16)), rng.normal(size=(6, 5))
+    x[20:] = x[:20] + rng.normal(size=(20, 16)) * 0.02
+    y[3:] = 2 * y[:3]
+    rows = [*x.tolist(), *y.tolist(), [1.0] * 17]  # the longest is alone
+    monkeypatch.setattr(embeddings, "SAMPLE", 4)  # leaves dimensions out of the sample
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()}
+    assert got == {i: (1, i % 20) for i in range(40)} | {40 + i: (1, 40 + i % 3) for i in range(6)} | {46: (0, 46)}
+
+
 @needs_data
 def test_embedding_recall_on_the_given_table(spark):
     sf = "/root/testdata/sf0.1" if os.path.isdir("/root/testdata/sf0.1") else SF
