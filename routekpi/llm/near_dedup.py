@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -320,6 +321,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id with an equal set share their flags; a null id is kept only where its
     component has no other id.
     """
+    return _near_rows(docs, id_col, text_col, shingle_words, min_percent, part).drop("f1", "f2")
+
+
+def _near_rows(docs: DataFrame, id_col: str, text_col: str, shingle_words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT, part: int = PART) -> DataFrame:
+    """``near_duplicates`` with the fingerprint (f1, f2) of each row's set."""
     ship(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = save(_sketches(narrow, shingle_words), "sketches")
@@ -376,14 +382,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     firsts = save(named.groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
-    linked = named.join(firsts, "root").select("id", F.col("n").alias("n_shingles"), "component_id")
-    empty = rows.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    linked = named.join(firsts, "root").select("id", F.col("n").alias("n_shingles"), "component_id", "f1", "f2")
+    empty = rows.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), "f1", "f2")
     out = linked.unionByName(empty)
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "f1", "f2")
+
+
+def _prints(k: int):
+    """The fingerprint (f1, f2) of a text's set, as one string."""
 
+    @F.pandas_udf("string")
+    def prints(texts: pd.Series) -> pd.Series:
+        out = []
+        for part in W.chunks(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), "text"):
+            f1, f2 = fingerprints(*shingle_sets(W.texts(part.column(0)), k))
+            out += [f"{x} {y}" for x, y in zip(f1.tolist(), f2.tolist())]
+        return pd.Series(out, dtype=object)
 
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps: one document of each group."""
-    gone = fresh(docs, "gone")
-    marks = near_duplicates(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col(id_col).alias(gone))
-    return docs.join(save(marks.distinct(), "gone"), F.col(id_col).eqNullSafe(F.col(gone)), "left_anti")
+    return prints
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, **options) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps.
+
+    A row is known by its id and its set's fingerprint, so rows that share the
+    id of a dropped one, or have none as it, stay unless their set is the same.
+    Only rows whose id may be a dropped one's are read for their fingerprint.
+    """
+    gone, mark, held = fresh(docs, "gone"), fresh(docs, "mark"), fresh(docs, "print")
+    marks = _near_rows(docs, id_col, text_col, shingle_words, **options).where(~F.col("kept"))
+    marks = save(marks.select(F.col(id_col).alias(gone), F.concat_ws(" ", "f1", "f2").alias(mark)).distinct(), "gone")
+    filt = bloom.build(marks.select(F.xxhash64(gone).alias("h")).distinct(), "h", marks.count(), plane="seen")
+    may = bloom.may_hold(filt, F.xxhash64(id_col))
+    suspects = docs.where(may).withColumn(held, _prints(shingle_words)(F.col(text_col)))
+    left = suspects.join(marks, F.col(id_col).eqNullSafe(F.col(gone)) & (F.col(held) == F.col(mark)), "left_anti")
+    return docs.where(~may).unionByName(left.select(docs.columns))

@@ -92,6 +92,15 @@ def test_near_drop(spark, texts, docs):
     assert {r.doc_id for r in got.collect()} == kept
 
 
+def test_near_drop_goes_by_row_not_by_id(spark):
+    base, other = " ".join(f"w{i}" for i in range(200)), " ".join(f"v{i}" for i in range(200))
+    clean = [" ".join(f"c{i}x{j}" for j in range(60)) for i in range(3)]
+    df = spark.createDataFrame([(1, base), (None, base + " more"), (None, clean[0]), (None, clean[1]), (None, None),
+                                (2, other), (7, other + " more"), (7, clean[2])], "doc_id long, text string").repartition(3)
+    got = rows_of(near_dedup.drop_near(df), "doc_id", "text")
+    assert got == sorted([(1, base), (None, clean[0]), (None, clean[1]), (None, None), (2, other), (7, clean[2])], key=repr)
+
+
 def test_signature_index_guarantee():
     """Any two signatures within the distance share a key; farther ones aren't compared."""
     import pyarrow as pa
