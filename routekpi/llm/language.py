@@ -1,6 +1,7 @@
 """Language identification of words by a linear-chain conditional random field.
 
-Every word (a run of letters, A-Z lower-cased) of a line is labelled with a
+Every word (a run of letters, A-Z lower-cased; of a longer run, as in scripts
+without spaces, each piece of some 48 bytes) of a line is labelled with a
 language.  Features of a word: its first and last 1 to 4 bytes (affixes), its
 byte trigrams, and the word itself (a lexicon learned from the labelled texts),
 all hashed.  Transitions between the languages of neighbouring words are
@@ -23,16 +24,32 @@ from routekpi.llm.scratch import ship
 
 BITS = 18
 AFFIXES = (1, 2, 3, 4)
-#: The model is fitted on at most so many labelled documents, of at most so many bytes each.
+#: Longest word in bytes.
+PIECE = 48
+#: The model is fitted on at most so many labelled documents; of one of more bytes, on slices of so many characters spread over it.
 SAMPLE, SAMPLE_BYTES = 1200, 50_000
-#: Words of one stretch in a training chain, stretches of a chain, and chains of a step.
+SLICES, SLICE = 10, 1000
+#: Words of one stretch in a training chain at most, stretches of a chain, and chains of a step.
 STRETCH, STRETCHES, CHAINS = 12, 2, 128
 PASSES, RATE, SHRINK = 4, 0.2, 1e-6
 UNKNOWN = "und"
 
 
 def letter_runs(b: W.Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return W.runs(W.is_letter(b.data), b.offsets)
+    """Starts and ends of the words, and the index of each text's first; long runs are cut between characters."""
+    starts, ends, first = W.runs(W.is_letter(b.data), b.offsets)
+    more = np.maximum(ends - starts - 1, 0) // PIECE
+    if not more.any():
+        return starts, ends, first
+    before = np.concatenate([[0], np.cumsum(more)])
+    nth = np.arange(before[-1]) - np.repeat(before[:-1], more) + 1
+    cuts = np.repeat(starts, more) + PIECE * nth
+    for _ in range(3):
+        cuts -= (b.data[cuts] & 0xC0) == 0x80
+    begin = np.sort(np.concatenate([starts, cuts]))
+    end = np.append(begin[1:], 0)
+    end[np.arange(len(starts)) + before[1:]] = ends
+    return begin, end, first + before[first]
 
 
 def _bucket(h: np.ndarray, kind: int) -> np.ndarray:
@@ -117,15 +134,25 @@ def _fit(chain: Chain, texts: list[bytes], y: np.ndarray, seed: int = 5) -> Chai
     starts, ends, first = letter_runs(b)
     feats, three = word_features(b, starts, ends), trigrams(b)
     owner = y[W.owners(first)]
-    # stretches of words of one document, in an order fixed by the seed
-    cuts = np.concatenate([np.arange(i, j - STRETCH + 1, STRETCH) for i, j in zip(first, first[1:])] or [np.zeros(0, int)]).astype(np.int64)
+    # stretches of words of one document, the last one shorter, in an order fixed by the seed
+    cuts = np.concatenate([np.arange(i, j, STRETCH) for i, j in zip(first, first[1:])] or [np.zeros(0, int)]).astype(np.int64)
+    sizes = np.minimum(STRETCH, first[W.owners(first)[cuts] + 1] - cuts) if len(cuts) else cuts
     rng, k, n_labels = np.random.default_rng(seed), STRETCH * STRETCHES, len(chain.labels)
     w_squares, s_squares = np.full(chain.weights.shape, 1e-6, np.float32), np.full(chain.switch.shape, 1e-6)
     for _ in range(PASSES):
         order = rng.permutation(len(cuts))
-        for i in range(0, len(order) - STRETCHES * CHAINS + 1, STRETCHES * CHAINS):
-            at = (cuts[order[i : i + STRETCHES * CHAINS]][:, None] + np.arange(STRETCH)[None, :]).reshape(CHAINS, k)
-            words, gold = at.ravel(), owner[at]
+        for i in range(0, len(order), STRETCHES * CHAINS):
+            # a chain's words come first in its row, places that it doesn't fill last
+            some = order[i : i + STRETCHES * CHAINS]
+            chains = -(-len(some) // STRETCHES)
+            held = np.zeros(chains * STRETCHES, np.int64)
+            held[: len(some)] = sizes[some]
+            nth = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+            words = np.repeat(cuts[some], sizes[some]) + nth
+            length = held.reshape(chains, STRETCHES).sum(axis=1)
+            full = np.arange(k)[None, :] < length[:, None]
+            gold = np.zeros((chains, k), np.int64)
+            gold[full] = owner[words]
             grams = np.maximum(ends[words] - starts[words] - 2, 0)
             spot = np.repeat(starts[words] - np.concatenate([[0], np.cumsum(grams)[:-1]]), grams) + np.arange(grams.sum())
             word_of = np.concatenate([np.repeat(np.arange(len(words)), feats.shape[1]), np.repeat(np.arange(len(words)), grams)])
@@ -133,7 +160,8 @@ def _fit(chain: Chain, texts: list[bytes], y: np.ndarray, seed: int = 5) -> Chai
             scores = np.zeros((len(words), n_labels))
             for label in range(n_labels):
                 scores[:, label] = np.bincount(word_of, chain.weights[ids, label], len(words))
-            local = np.exp(np.maximum(scores - scores.max(axis=1, keepdims=True), -60)).reshape(CHAINS, k, n_labels)
+            local = np.ones((chains, k, n_labels))
+            local[full] = np.exp(np.maximum(scores - scores.max(axis=1, keepdims=True), -60))
             move = np.exp(chain.switch)
             alpha, beta = np.empty_like(local), np.ones_like(local)
             for t in range(k):
@@ -141,20 +169,19 @@ def _fit(chain: Chain, texts: list[bytes], y: np.ndarray, seed: int = 5) -> Chai
                 alpha[:, t] = a / a.sum(axis=1, keepdims=True)
             for t in range(k - 2, -1, -1):
                 z = (beta[:, t + 1] * local[:, t + 1]) @ move.T
-                beta[:, t] = z / z.sum(axis=1, keepdims=True)
-            p = alpha * beta
-            p /= p.sum(axis=2, keepdims=True)
-            slope = -p.reshape(-1, n_labels)
-            slope[np.arange(len(words)), gold.ravel()] += 1
+                beta[:, t] = np.where(full[:, t + 1, None], z / z.sum(axis=1, keepdims=True), 1.0)
+            p = (alpha * beta)[full]
+            slope = -p / p.sum(axis=1, keepdims=True)
+            slope[np.arange(len(words)), gold[full]] += 1
             used, where = np.unique(ids, return_inverse=True)
-            grad = np.stack([np.bincount(where, slope[word_of, label], len(used)) for label in range(n_labels)], axis=1) / CHAINS
+            grad = np.stack([np.bincount(where, slope[word_of, label], len(used)) for label in range(n_labels)], axis=1) / chains
             grad -= SHRINK * chain.weights[used]
             w_squares[used] += grad * grad
             chain.weights[used] += RATE * grad / np.sqrt(w_squares[used])
             seen = np.zeros_like(chain.switch)
-            np.add.at(seen, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
-            hoped = chain.pair_marginals(alpha[:, :-1].reshape(-1, n_labels), (beta[:, 1:] * local[:, 1:]).reshape(-1, n_labels))
-            grad = (seen - hoped) / CHAINS
+            np.add.at(seen, (gold[:, :-1][full[:, 1:]], gold[:, 1:][full[:, 1:]]), 1)
+            hoped = chain.pair_marginals(alpha[:, :-1][full[:, 1:]], (beta[:, 1:] * local[:, 1:])[full[:, 1:]])
+            grad = (seen - hoped) / chains
             s_squares += grad * grad
             chain.switch += RATE * grad / np.sqrt(s_squares)
     return chain
@@ -163,7 +190,7 @@ def _fit(chain: Chain, texts: list[bytes], y: np.ndarray, seed: int = 5) -> Chai
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE) -> Chain:
     """Fit on a bounded sample of labelled documents, in equal parts per language where there are enough."""
     langs = docs.where(F.col(lang_col).isNotNull() & ~labelled.held_out(F.col(id_col))).where(F.length(text_col) > 0)
-    langs = langs.where(F.octet_length(text_col) <= SAMPLE_BYTES).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
+    langs = langs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
     # at most rows // 4 languages, the most frequent
     names = [r.lang for r in langs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows // 4).select("lang").collect()]
     names.sort()
@@ -176,7 +203,10 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
         picked = some if picked is None else picked.unionByName(some)
     picked = picked.select(F.col("id").alias("p_id"), "lang").distinct()
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("own")).join(
-        F.broadcast(picked), (F.col("id") == F.col("p_id")) & (F.col("own") == F.col("lang"))).where(F.octet_length("text") <= SAMPLE_BYTES)
+        F.broadcast(picked), (F.col("id") == F.col("p_id")) & (F.col("own") == F.col("lang")))
+    size = F.length("text")
+    slices = F.concat_ws("\n", *(F.substring("text", F.floor(size * i / SLICES).cast("int") + 1, F.lit(SLICE)) for i in range(SLICES)))
+    found = found.withColumn("text", F.when(F.octet_length("text") > SAMPLE_BYTES, slices).otherwise(F.col("text")))
     held = found.orderBy("id", "text").limit(rows).select("text", "lang").collect()
     y = np.array([names.index(r.lang) for r in held])
     return _fit(Chain(names), [r.text.encode() for r in held], y)

@@ -367,3 +367,25 @@ def test_queries_match_sql(spark, name):
     df = queries.QUERIES[name](spark, SF)
     assert sorted(df.columns) == sorted(rel.columns)
     assert rows_of(df, *df.columns) == sorted((tuple(r) for r in rel.select(", ".join(df.columns)).fetchall()), key=repr)
+
+
+def test_language_of_short_unspaced_and_long_texts(spark):
+    rng = random.Random(41)
+    made = {"la": [f"{a}{b}um" for a in "bcdfg" for b in ("or", "ip", "es")], "mu": [f"{a}{b}ja" for a in "klmnp" for b in ("uu", "yk", "aa")], "xx": [f"z{a}{b}" for a in "hrtvw" for b in ("oth", "iq", "ax")]}
+    say = lambda lang, n: " ".join(rng.choice(made[lang]) for _ in range(n))
+    rows = [(say("la", rng.randrange(1, 6)), "la") for _ in range(60)]  # no text of 12 words
+    rows += [("".join(chr(rng.randrange(0x4E00, 0x4E80)) for _ in range(200)), "zh") for _ in range(60)]  # a text is one run
+    rows += [("".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(200)), "th") for _ in range(60)]
+    rows += [(say("mu", 40), "mu") for _ in range(60)]
+    rows += [(say("xx", 15_000), "xx") for _ in range(6)]  # above SAMPLE_BYTES
+    df = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(rows)], "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r.lang_pred for r in language.identify(df).collect()}
+    assert [got[i] for i in range(len(rows))] == [x for _, x in rows]
+
+
+def test_language_learns_from_a_few_rows(spark):
+    rows = [("the cat and the dog", "en"), ("the house and the tree", "en"), ("der hund und die katze", "de"), ("das haus und der baum", "de")]
+    rows = [(i, t, x) for i, (t, x) in enumerate(rows * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(df).collect()}
+    assert got == {i: x for i, _, x in rows}
