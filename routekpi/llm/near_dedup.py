@@ -9,7 +9,7 @@ three symbols left, the chunk and the place left out make a 64-bit key without
 any hashing.  Documents of Jaccard similarity s miss every key with probability
 ``(1 - s**4 - 4 * s**3 * (1 - s))**8``: 1e-6 at 0.8.
 
-Links are confirmed on full shingle sets.  Documents with equal sets are one
+Every pair that meets on a key is confirmed or ruled out on full shingle sets.  Documents with equal sets are one
 class from the start.  Within a key's bucket the members are compared first with
 one hub, the member that agrees most with the others; buckets are cut into parts
 of bounded size for that choice.  What the hubs' links leave in different
@@ -39,7 +39,7 @@ MIN_PERCENT = 80
 #: Signature: CHUNKS chunks of 4 symbols of 16 bits; one error per chunk is enumerated.
 CHUNKS, WIDTH = 8, 4
 SYMBOLS = CHUNKS * WIDTH
-#: Pairs above this many differing symbols aren't compared: 2 * CHUNKS - 1.
+#: Pairs of at most this many differing symbols share a key for certain: 2 * CHUNKS - 1.
 MAX_DISTANCE = 2 * CHUNKS - 1
 #: Members of a bucket that are compared in one piece.
 PART = 512
@@ -179,13 +179,6 @@ def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield table.take(pa.array(best)).combine_chunks().to_batches()[0]
 
 
-def _hub_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            near = (_symbols(batch["sig"]) != _symbols(batch["hub_sig"])).sum(axis=1) <= MAX_DISTANCE
-            yield from _pairs(np.asarray(batch["rep"])[near], np.asarray(batch["hub"])[near])
-
-
 def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Different (smaller, larger) pairs, each once."""
     low, high = np.minimum(a, b), np.maximum(a, b)
@@ -245,8 +238,7 @@ def _cross_pairs(min_percent: int):
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in grouped(batches, ["key", "part", "stray"]):
-            sig = _symbols(table["sig"])
-            maps = np.frombuffer(b"".join(table["map"].to_pylist()), np.uint64).reshape(len(sig), -1)
+            maps = np.frombuffer(b"".join(table["map"].to_pylist()), np.uint64).reshape(table.num_rows, -1)
             rep, root, left, n, shared = (np.asarray(table[c]) for c in ("rep", "root", "left", "n", "shared"))
             for begin, end in zip(at, np.append(at[1:], len(rep))):
                 x = begin + np.flatnonzero(left[begin:end])
@@ -257,8 +249,6 @@ def _cross_pairs(min_percent: int):
                     may = 100 * most >= min_percent * (n[rows][:, None] + n[y][None, :] - most)
                     p, q = np.nonzero(may & (root[rows][:, None] != root[y][None, :]))
                     p, q = rows[p], y[q]
-                    near = (sig[p] != sig[q]).sum(axis=1) <= MAX_DISTANCE
-                    p, q = p[near], q[near]
                     differing = np.bitwise_count(maps[p] ^ maps[q]).sum(axis=1, dtype=np.int64)
                     near = 100 * (n[p] + n[q] - differing) >= min_percent * (n[p] + n[q] + differing)
                     if near.any():
@@ -350,9 +340,9 @@ def _near_rows(docs: DataFrame, id_col: str, text_col: str, shingle_words: int =
         again = hubs.where("parts > 1").withColumn("parts", F.ceil(F.col("parts") / part))
         hubs = choose(again.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))))
         done = done.unionByName(hubs.where("parts = 1"))
-    hub = done.select("key", F.col("rep").alias("hub"), F.col("sig").alias("hub_sig"))
-    tried = members.select("key", "rep", "sig").join(hub, "key").select("rep", "sig", "hub", "hub_sig").mapInArrow(_hub_pairs, "a long, b long")
-    tried = save(tried.distinct(), "tried")
+    hub = done.select("key", F.col("rep").alias("hub"))
+    tried = members.select("key", "rep").join(hub, "key").where("rep <> hub")
+    tried = save(tried.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(), "tried")
 
     wanted = save(reps.select("rep", "id", "f1", "f2").join(members.select("rep").distinct(), "rep"), "wanted")
     sets = save(_full_sets(narrow, wanted, shingle_words), "sets")
@@ -371,7 +361,7 @@ def _near_rows(docs: DataFrame, id_col: str, text_col: str, shingle_words: int =
     right = placed.join(stray_parts, "key").withColumn("stray", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strays") - 1)))
     left = stray.join(stray_parts, "key").withColumn("stray", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("strays")))
     left = left.drop("part").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    columns = ["key", "part", "stray", "rep", "root", "sig", "n", "shared", "map"]
+    columns = ["key", "part", "stray", "rep", "root", "n", "shared", "map"]
     blocks = left.select(*columns, F.lit(True).alias("left")).unionByName(right.select(*columns, F.lit(False).alias("left")))
     blocks = blocks.repartition("key", "part", "stray").sortWithinPartitions("key", "part", "stray")
     more = blocks.mapInArrow(_cross_pairs(min_percent), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")

@@ -119,6 +119,24 @@ def test_signature_index_guarantee():
     assert {r for _, r in keys[0] & keys[1]} == set(range(200))
 
 
+def test_near_links_whose_signatures_are_far_apart(spark):
+    """Similarity 0.8 or more and a common key, but more than MAX_DISTANCE differing symbols."""
+    import pyarrow as pa
+
+    from routekpi.llm import words as W
+
+    pairs = [[" ".join(f"w{i}x{j}" for j in range(10 if whole else 8)) for whole in (0, 1)] for i in range(60_000)]
+    parts = [near_dedup.shingle_sets(W.texts(pa.array([t for p in pairs[i : i + 10_000] for t in p])), 1) for i in range(0, len(pairs), 10_000)]
+    sig = np.concatenate([near_dedup.signatures(*part) for part in parts])
+    differ = sig[::2] != sig[1::2]
+    meets = (differ.reshape(len(pairs), near_dedup.CHUNKS, near_dedup.WIDTH).sum(axis=2) <= 1).any(axis=1)
+    far = np.flatnonzero(meets & (differ.sum(axis=1) > near_dedup.MAX_DISTANCE))
+    assert len(far)
+    df = frame(spark, [(2 * i + j, pairs[k][j]) for i, k in enumerate(far.tolist()) for j in (0, 1)])
+    got = rows_of(near_dedup.near_duplicates(df, shingle_words=1), "doc_id", "component_id")
+    assert got == sorted([(x, x - x % 2) for x in range(2 * len(far))], key=repr)
+
+
 @pytest.mark.parametrize("window", [50, 7])
 def test_substrings(spark, texts, docs, window):
     want = sorted(((i, *x) for i, x in repeats(texts, window).items()), key=repr)
