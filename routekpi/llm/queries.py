@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from routekpi.llm import embeddings, exact_dedup, language, line_dedup, mixing, near_dedup, packing, quality, substrings, toxicity
+from routekpi.llm import embeddings, exact_dedup, language, line_dedup, mixing, near_dedup, packing, quality, substrings, toxicity, warc
+from routekpi.llm.scratch import folder
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -66,6 +67,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back from them."""
+    path = folder(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's packed sequences."""
     import corpus_pipeline
@@ -84,6 +92,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_lines": op9_lines,
     "op10_toxicity": op10_toxicity,
+    "op11_warc": op11_warc,
     "pipeline": pipeline,
 }
 
@@ -95,6 +104,17 @@ WITH t AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id IS NOT DISTINCT FROM min(doc_id) OVER g AS kept, text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op11_warc": r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), q AS (
+  SELECT *, payload_bytes >= 1000 AND page_id IS DISTINCT FROM max(page_id) OVER g AS again, max(page_id) OVER g AS lead
+  FROM p WINDOW g AS (PARTITION BY payload_digest, payload_bytes)
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN lead END AS refers_to
+FROM q
 """,
     "op7_mixing": r"""
 WITH d AS (

@@ -361,7 +361,7 @@ def test_pipeline_stages(spark):
 def test_queries_match_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     rel = con.sql(queries.ORACLE[name])
     df = queries.QUERIES[name](spark, SF)
