@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from routekpi.llm import embeddings, exact_dedup, language, line_dedup, mixing, near_dedup, packing, quality, substrings, toxicity, warc
+from routekpi.llm import embeddings, exact_dedup, language, line_dedup, mixing, near_dedup, packing, quality, spelling, substrings, toxicity, warc
 from routekpi.llm.scratch import folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -74,6 +74,11 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every frequent word; some runs lose a code point, as the contract plants them."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), alter=spelling.every_199th)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's packed sequences."""
     import corpus_pipeline
@@ -93,6 +98,7 @@ QUERIES = {
     "op9_lines": op9_lines,
     "op10_toxicity": op10_toxicity,
     "op11_warc": op11_warc,
+    "op12_spelling": op12_spelling,
     "pipeline": pipeline,
 }
 
