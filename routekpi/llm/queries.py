@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from routekpi.llm import embeddings, exact_dedup, language, line_dedup, mixing, near_dedup, packing, quality, spelling, substrings, toxicity, warc
+from routekpi.llm import embeddings, exact_dedup, language, line_dedup, mixing, near_dedup, packing, periodic, quality, spelling, substrings, toxicity, warc
 from routekpi.llm.scratch import folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,6 +79,11 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), alter=spelling.every_199th)
 
 
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document; some documents are made periodic first, as the contract plants them."""
+    return periodic.run_digests(periodic.find_runs(periodic.plant_runs(_table(spark, sf_dir, "documents"))))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's packed sequences."""
     import corpus_pipeline
@@ -99,6 +104,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_warc": op11_warc,
     "op12_spelling": op12_spelling,
+    "op13_periodic": op13_periodic,
     "pipeline": pipeline,
 }
 
