@@ -76,17 +76,28 @@ FACT_PERF_COLUMNS = (
 PRIOR_TIEBREAK = ("report_source", "is_combined_route", "annual_boardings", "annual_service_hours")
 
 
+# Metrics that the recovery mart indexes: value, base-year value, index.
+RECOVERY_METRICS = (
+    ("annual_boardings", "boardings_2019", "boardings_index"),
+    ("annual_revenue_hours", "revenue_hours_2019", "revenue_hours_index"),
+    ("on_time_performance_pct", "on_time_2019", "on_time_index"),
+    ("pct_trips_overcrowded", "overcrowding_2019", "overcrowding_index"),
+)
+BASE_COLUMNS = tuple(b for _, b, _ in RECOVERY_METRICS)
+
+
 def fact_route_performance(perf: DataFrame, routes: DataFrame, subregions: DataFrame,
-                           params: KpiParams = KpiParams()) -> DataFrame:
+                           params: KpiParams = KpiParams(), with_base: bool = False) -> DataFrame:
     """Route x year fact: dimensions, base-year index, change vs prior available year, tier.
 
-    Several raw codes can name one route ('005' and '005/006'); its rows of one
+    `with_base` adds the base-year values of the other metrics that the recovery
+    mart indexes; they come from the same window.  Several raw codes can name one route ('005' and '005/006'); its rows of one
     year then follow in the order of PRIOR_TIEBREAK.
     """
     entity, time = "route_number", "calendar_year"
     key = {"tiebreak": PRIOR_TIEBREAK, "key": "_key"}
     windows = {
-        **baseline_columns(entity, time, params.base_year, {"boardings_base": "annual_boardings"}, **key),
+        **baseline_columns(entity, time, params.base_year, {b: v for v, b, _ in RECOVERY_METRICS[: None if with_base else 1]}, **key),
         **prior_columns(entity, time, {"prior_year_boardings": "annual_boardings"}, prior_time="prior_calendar_year", **key),
     }
     p = perf.withColumn("_key", spread_key(entity, [time, *PRIOR_TIEBREAK])).withColumns(windows)
@@ -101,12 +112,13 @@ def fact_route_performance(perf: DataFrame, routes: DataFrame, subregions: DataF
         "route_name", "vehicle_type", "service_type", "subregion", "latest_snapshot_year",
         "subregion_code", "subregion_population", "population_density_per_km2",
         *FACT_PERF_COLUMNS,
-        F.col("boardings_base").alias("boardings_2019"),
-        F.col("boardings_base").isNotNull().alias("has_2019_baseline"),
-        K.index_to("annual_boardings", "boardings_base", 1).alias("recovery_rate"),
+        "boardings_2019",
+        F.col("boardings_2019").isNotNull().alias("has_2019_baseline"),
+        K.index_to("annual_boardings", "boardings_2019", 1).alias("recovery_rate"),
         "prior_calendar_year",
         K.pct_change("annual_boardings", "prior_year_boardings", 2).alias("yoy_ridership_change_pct"),
         K.severity_tier("pct_trips_overcrowded", params.severity_bands).alias("overcrowding_severity"),
+        *(BASE_COLUMNS[1:] if with_base else ()),
     )
 
 
@@ -182,23 +194,15 @@ def service_gap(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
     return scored.join(roll, ["subregion", "calendar_year"], "left")
 
 
-RECOVERY_METRICS = (
-    ("annual_boardings", "boardings_2019", "boardings_index"),
-    ("annual_revenue_hours", "revenue_hours_2019", "revenue_hours_index"),
-    ("on_time_performance_pct", "on_time_2019", "on_time_index"),
-    ("pct_trips_overcrowded", "overcrowding_2019", "overcrowding_index"),
-)
-
-
 def recovery_indexed(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
-    """Four metrics indexed to the base year (one window pass over route)."""
-    base = baseline_columns("route_number", "calendar_year", params.base_year,
-                            {b: v for v, b, _ in RECOVERY_METRICS})
-    p = fact.select(
-        "route_number", "route_name", "subregion", "subregion_code", "calendar_year",
-        "annual_boardings", "annual_revenue_hours", "on_time_performance_pct",
-        "pct_trips_overcrowded", "overcrowding_severity", "has_2019_baseline",
-    ).withColumns(base)
+    """Four metrics indexed to the base year.
+
+    A fact that has the base-year values is only projected; for one without them
+    they come from a window over the route.
+    """
+    p = fact
+    if missing := {b: v for v, b, _ in RECOVERY_METRICS if b not in fact.columns}:
+        p = fact.withColumns(baseline_columns("route_number", "calendar_year", params.base_year, missing, tiebreak=PRIOR_TIEBREAK))
     return p.select(
         "route_number", "route_name", "subregion", "subregion_code", "calendar_year",
         "annual_boardings", "annual_revenue_hours", "on_time_performance_pct",

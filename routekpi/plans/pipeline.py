@@ -1,26 +1,30 @@
 """End-to-end batch job: input check -> raw load -> seed -> staging -> gate -> marts -> checks.
 
 Every layer is written as Parquet under `warehouse` (raw/, staging/,
-analytics/) with overwrite, so a re-run gives the same tables and each layer
-reads the previous one from storage: lineage is cut at every layer and a
-lost executor only recomputes work inside one layer.
+analytics/) in the place of the earlier tables (see `storage`), so a re-run
+gives the same tables and each layer reads the previous one from storage:
+lineage is cut at every layer and a lost executor only recomputes work inside
+one layer.  Independent tables are built at the same time.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 import time
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import enforce, run_checks
+from ..operators.quality import QualityGateError, enforce, run_checks
 from ..schemas import BUS_LINE_COLUMNS, STOPS_COLUMNS, YEARLINE_COLUMNS, KpiParams
-from ..sources.csv_raw import empty_raw, read_raw_csv, seed_frame
+from ..sources.csv_raw import RAGGED_LINE, SOURCE_FILE, YEAR_FROM_FILE, empty_raw, read_raw_csv, seed_frame
 from . import marts, staging
 from .checks import mart_checks, staging_checks
-
+from .jobs import run_together
+from .storage import LABEL, LAYER_SCHEMAS, has_table, layer_path, recover, replace
 
 log = logging.getLogger("routekpi.pipeline")
 
@@ -67,53 +71,91 @@ def check_inputs(spark: SparkSession, inputs: PipelineInputs, sources=None) -> d
     return found
 
 
-#: Folder (schema) of each layer unless `schemas` names another.
-LAYER_SCHEMAS = {"raw": "raw", "staging": "staging", "marts": "analytics"}
-
-
-def layer_path(warehouse: str, layer: str, schemas: dict | None = None) -> str:
-    """Where a layer's tables lie: the schema named for it, trimmed, else the default one."""
-    name = ((schemas or {}).get(layer) or "").strip() or LAYER_SCHEMAS[layer]
-    return f"{warehouse}/{name}"
-
-
 def _write(df: DataFrame, path: str, partition_by=None) -> int:
-    """Overwrite a table and return its row count (counted while writing)."""
-    from pyspark.sql import Observation
-
-    obs = Observation()
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    rows = int(obs.get["rows"])
-    log.info("wrote %s (%d rows)", path, rows)
-    return rows
+    """Replace a table and return its row count (counted while writing)."""
+    return int(replace(df.sparkSession, path, [(df, {})], partition_by)[0]["rows"])
 
 
 ALL_SOURCES = ("yearline", "bus_line", "stops")
-ALL_LAYERS = ("raw", "staging", "marts")
+ALL_LAYERS = tuple(LAYER_SCHEMAS)
+#: Files that one load job reads and counts one by one.
+FILES_PER_JOB = 64
+SOURCES = {"yearline": (YEARLINE_COLUMNS, "report_source"), "bus_line": (BUS_LINE_COLUMNS, "snapshot_year"), "stops": (STOPS_COLUMNS, None)}
+LOG_SCHEMA = "loaded string, report string, file string, rows long, ragged_rows long"
+
+
+def source_files(spark: SparkSession, glob: str) -> list:
+    """The files that a glob stands for; a folder that it matches stands for the data files in it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hidden = lambda p: p.getName().startswith(("_", "."))
+    out = []
+    for status in fs.globStatus(path) or []:
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        out += [s.getPath() for s in inside if s.isFile() and not hidden(s.getPath())]
+    return sorted(out, key=lambda p: p.toString())
+
+
+def _load_files(spark: SparkSession, kind: str, files: list, report: str | None, path: str, multiline: bool) -> list:
+    """Load the files of one report (or of a source without reports) in place of its earlier rows.
+
+    Returns one (loaded, report, file, rows, ragged rows) per file, counted while loading.
+    """
+    columns, label = SOURCES[kind]
+    frames, log_rows = [], []
+    for at in range(0, len(files), FILES_PER_JOB):
+        some = files[at : at + FILES_PER_JOB]
+        df = read_raw_csv(spark, [p.toString() for p in some], columns, source_col=label, multiline=multiline, track=True)
+        metrics = {}
+        for i, p in enumerate(some):
+            mine = F.col(SOURCE_FILE).endswith(p.toUri().getRawPath())
+            metrics[f"rows_{i}"] = F.count_if(mine)
+            metrics[f"ragged_{i}"] = F.count_if(mine & F.col(RAGGED_LINE).isNotNull())
+        frames.append((df.withColumn(LABEL, F.col(label)) if label else df, metrics))
+    counted = replace(spark, path, frames, LABEL if label else None, keep_others=label is not None)
+    for i, p in enumerate(files):
+        held, k = counted[i // FILES_PER_JOB], i % FILES_PER_JOB
+        log_rows.append((f"raw_{kind}", report, p.toString(), int(held[f"rows_{k}"]), int(held[f"ragged_{k}"])))
+    return log_rows
 
 
 def load_raw(spark: SparkSession, inputs: PipelineInputs, warehouse: str, found: dict,
              sources=ALL_SOURCES, schemas: dict | None = None) -> dict:
     """Raw layer: all-text tables, one per selected source kind, with the file's year label.
-    A source without files keeps its table."""
+
+    Every report or snapshot is a partition of its own: those found take the place
+    of their earlier rows, those without a file keep theirs.  A source without files
+    keeps its table.  All are loaded at the same time, and `load_log` holds the
+    rows and ragged rows of every loaded file.
+    """
     raw = layer_path(warehouse, "raw", schemas)
-    counts = {}
-    kinds = (("yearline", YEARLINE_COLUMNS, "report_source"), ("bus_line", BUS_LINE_COLUMNS, "snapshot_year"), ("stops", STOPS_COLUMNS, None))
-    for kind, columns, label in kinds:
+    tasks, seed = {}, f"{raw}/subregion_population"
+    for kind, (_, label) in SOURCES.items():
         if kind in sources and found[kind]:
-            df = read_raw_csv(spark, found[kind], columns, source_col=label, multiline=inputs.multiline)
-            counts[f"raw_{kind}"] = _write(df, f"{raw}/{kind}")
-    counts["subregion_population"] = _write(seed_frame(spark, inputs.seed_path), f"{raw}/subregion_population")
+            reports: dict = {}
+            for p in source_files(spark, found[kind]):
+                m = re.search(YEAR_FROM_FILE, p.toString()) if label else None
+                reports.setdefault(m.group(1) if m else None, []).append(p)
+            for report, files in reports.items():
+                name = f"raw_{kind}" + (f"_{report}" if label else "")
+                tasks[name] = partial(_load_files, spark, kind, files, report, f"{raw}/{kind}", inputs.multiline)
+    tasks["subregion_population"] = lambda: _write(seed_frame(spark, inputs.seed_path), seed)
+    done = run_together(spark, tasks, pool="load")
+    counts = {}
+    rows = [r for name, held in done.items() if name != "subregion_population" for r in held]
+    for loaded, _, _, n, _ in rows:
+        counts[loaded] = counts.get(loaded, 0) + n
+    counts["subregion_population"] = done["subregion_population"]
+    if rows:  # one row a file; a report's earlier rows go with its earlier files
+        entries = spark.createDataFrame(rows, LOG_SCHEMA).withColumn(LABEL, F.concat_ws("-", "loaded", "report"))
+        replace(spark, f"{raw}/load_log", [(entries, {})], LABEL, keep_others=True)
     return counts
 
 
 def build_staging(spark: SparkSession, warehouse: str, params: KpiParams, schemas: dict | None = None) -> dict:
     path = layer_path(warehouse, "raw", schemas)
     raw = lambda name: spark.read.parquet(f"{path}/{name}")
-    stops = raw("stops") if has_files(spark, f"{path}/stops") else empty_raw(spark, STOPS_COLUMNS)  # never loaded yet
+    stops = raw("stops") if has_table(spark, f"{path}/stops") else empty_raw(spark, STOPS_COLUMNS)  # never loaded yet
     return {
         "stg_bus_performance": staging.model_performance(raw("yearline"), params),
         "stg_bus_line": staging.model_line(raw("bus_line"), params),
@@ -139,6 +181,7 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
         raise ValueError(f"unknown layers {unknown}; there are {', '.join(ALL_LAYERS)}")
     t0 = time.time()
     out = RunSummary()
+    recover(spark, warehouse, schemas)
     raw, stg_path, a = (layer_path(warehouse, x, schemas) for x in ALL_LAYERS)
     if "raw" in layers:
         found = check_inputs(spark, inputs, sources)
@@ -146,8 +189,7 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
 
     if "staging" in layers:
         stg = build_staging(spark, warehouse, params, schemas)
-        for name, df in stg.items():
-            out.tables[name] = _write(df, f"{stg_path}/{name}")
+        out.tables.update(run_together(spark, {n: partial(_write, df, f"{stg_path}/{n}") for n, df in stg.items()}, pool="staging"))
         written = {n: spark.read.parquet(f"{stg_path}/{n}") for n in stg}
         gate = layer_summary(written, staging_checks(params))
         out.checks.extend(enforce(gate))  # raises QualityGateError: no mart is written
@@ -155,12 +197,12 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
 
     if "marts" in layers:
         s = lambda n: spark.read.parquet(f"{stg_path}/{n}")
-        out.tables["dim_routes"] = _write(marts.dim_routes(s("stg_bus_line")), f"{a}/dim_routes")
         seed = spark.read.parquet(f"{raw}/subregion_population")
-        out.tables["dim_subregions"] = _write(marts.dim_subregions(seed), f"{a}/dim_subregions")
+        dims = {"dim_routes": marts.dim_routes(s("stg_bus_line")), "dim_subregions": marts.dim_subregions(seed)}
+        out.tables.update(run_together(spark, {n: partial(_write, df, f"{a}/{n}") for n, df in dims.items()}, pool="marts"))
         fact = marts.fact_route_performance(
             s("stg_bus_performance"), spark.read.parquet(f"{a}/dim_routes"),
-            spark.read.parquet(f"{a}/dim_subregions"), params,
+            spark.read.parquet(f"{a}/dim_subregions"), params, with_base=True,
         )
         out.tables["fact_route_performance"] = _write(by_year(fact), f"{a}/fact_route_performance", "calendar_year")
         fact = spark.read.parquet(f"{a}/fact_route_performance")
@@ -169,17 +211,14 @@ def run_pipeline(spark: SparkSession, inputs: PipelineInputs, warehouse: str,
             "fct_service_gap": marts.service_gap(fact, params),
             "fct_recovery_trends": marts.recovery_trends(fact, params),
         }
-        for name, df in builds.items():
-            ordered = by_year(df).sortWithinPartitions("calendar_year", *marts.mart_order(name))
-            out.tables[name] = _write(ordered, f"{a}/{name}", "calendar_year")
+        writes = {n: partial(_write, in_files(df, n), f"{a}/{n}", "calendar_year") for n, df in builds.items()}
+        out.tables.update(run_together(spark, writes, pool="marts"))
         names = ["dim_routes", "dim_subregions", "fact_route_performance", *builds]
         written = {n: spark.read.parquet(f"{a}/{n}") for n in names}
         rows = [r.asDict() for r in layer_summary(written, mart_checks(params)).collect()]
         out.checks.extend(rows)
         failing = [r for r in rows if r["status"] == "fail"]
         if failing:
-            from ..operators.quality import QualityGateError
-
             raise QualityGateError(failing)
         ranks = out.tables["fct_overcrowding_ranking"]
         scored = fact.filter(F.col("pct_trips_overcrowded").isNotNull()).count()
@@ -195,6 +234,11 @@ def by_year(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "calendar_year")
 
 
+def in_files(mart: DataFrame, name: str) -> DataFrame:
+    """A KPI mart's rows as its files hold them: by year, in presentation order."""
+    return by_year(mart).sortWithinPartitions("calendar_year", *marts.mart_order(name))
+
+
 def read_mart(spark: SparkSession, warehouse: str, name: str, schemas: dict | None = None) -> DataFrame:
     """A written KPI mart in its presentation order."""
     return marts.in_order(spark.read.parquet(f"{layer_path(warehouse, 'marts', schemas)}/{name}"), name)

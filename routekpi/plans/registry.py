@@ -70,6 +70,11 @@ def fact(spark, d):
     return marts.fact_route_performance(stg_perf(spark, d), dim_routes(spark, d), dim_sub(spark, d), P)
 
 
+def base_fact(spark, d):
+    """The fact as the pipeline writes it, with the base-year values of all indexed metrics."""
+    return marts.fact_route_performance(stg_perf(spark, d), dim_routes(spark, d), dim_sub(spark, d), P, with_base=True)
+
+
 def ranking(spark, d):
     return marts.overcrowding_ranking(fact(spark, d), P)
 
@@ -306,7 +311,7 @@ def q_ordered_gap(spark, d):
 
 def q_ordered_recovery(spark, d):
     """O3: the recovery trends by sub-region, route and year."""
-    return marts.in_order(marts.recovery_trends(fact(spark, d), P), "fct_recovery_trends")
+    return marts.in_order(marts.recovery_trends(base_fact(spark, d), P), "fct_recovery_trends")
 
 
 def q_composite_score(spark, d):
@@ -322,15 +327,15 @@ def q_gap_with_rollup(spark, d):
 
 
 def q_multi_index(spark, d):
-    return marts.recovery_indexed(fact(spark, d), P)
+    return marts.recovery_indexed(base_fact(spark, d), P)
 
 
 def q_recovery_rollup(spark, d):
-    return marts.recovery_rollup(marts.recovery_indexed(fact(spark, d), P))
+    return marts.recovery_rollup(marts.recovery_indexed(base_fact(spark, d), P))
 
 
 def q_recovery_with_rollup(spark, d):
-    return marts.recovery_trends(fact(spark, d), P)
+    return marts.recovery_trends(base_fact(spark, d), P)
 
 
 # ----------------------------------------------------------------- data quality
@@ -349,7 +354,7 @@ def q_dq_summary(spark, d):
 def q_dq_summary_marts(spark, d):
     """The mart layer's checks, the warn one included."""
     routes, regions = materialize(dim_routes(spark, d), "dim_routes"), materialize(dim_sub(spark, d), "dim_subregions")
-    f = materialize(marts.fact_route_performance(stg_perf(spark, d), routes, regions, P), "fact")
+    f = materialize(marts.fact_route_performance(stg_perf(spark, d), routes, regions, P, with_base=True), "fact")
     built = {"fct_overcrowding_ranking": marts.overcrowding_ranking(f, P), "fct_service_gap": marts.service_gap(f, P),
              "fct_recovery_trends": marts.recovery_trends(f, P)}
     written = {n: materialize(t, n) for n, t in built.items()}
@@ -402,7 +407,7 @@ def q_report_gap_by_region(spark, d):
 
 
 def q_report_recovery(spark, d):
-    return reports.report_recovery(fact(spark, d), P)
+    return reports.report_recovery(base_fact(spark, d), P)
 
 
 def q_report_efficiency(spark, d):

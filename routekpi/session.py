@@ -30,6 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.scheduler.mode", "FAIR")
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)

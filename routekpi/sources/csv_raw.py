@@ -15,11 +15,18 @@ from ..schemas import NULL_TOKENS, SEED_SCHEMA, SUBREGION_SEED, all_string_schem
 YEAR_FROM_FILE = r"(\d{4})\.csv(?:/[^/]+)?$"
 
 
-def csv_reader(spark: SparkSession, columns, multiline: bool = False):
+#: Columns of a load that keeps track: the row's file, and the text of a line with too few or too many fields.
+SOURCE_FILE, RAGGED_LINE = "source_file", "ragged_line"
+
+
+def csv_reader(spark: SparkSession, columns, multiline: bool = False, ragged_col: str | None = None):
     """Reader for the raw exports: header line skipped (columns are positional),
     RFC-4180 quotes with doubled-quote escapes, UTF-8, short rows NULL-filled.
     `multiline` allows newlines inside quoted fields; it makes a file one
-    split, so turn it off for large files that have none."""
+    split, so turn it off for large files that have none.  `ragged_col` holds
+    the text of lines whose number of fields differs."""
+    if ragged_col:
+        return csv_reader(spark, [*columns, ragged_col], multiline).option("columnNameOfCorruptRecord", ragged_col)
     return (
         spark.read.schema(all_string_schema(columns))
         .option("header", True)
@@ -34,15 +41,18 @@ def csv_reader(spark: SparkSession, columns, multiline: bool = False):
 
 def read_raw_csv(spark: SparkSession, paths, columns, source_col: str | None = None,
                  source_pattern: str = YEAR_FROM_FILE, multiline: bool = False,
-                 tokens=NULL_TOKENS) -> DataFrame:
+                 tokens=NULL_TOKENS, track: bool = False) -> DataFrame:
     """All-text DataFrame of the given CSV files.
 
     The null tokens become NULL on every column.  With `source_col`, the
     label matched by `source_pattern` in each row's file path is added (no match -> NULL).
+    With `track` each row has its file and, if it had too few or too many fields, its line.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = csv_reader(spark, columns, multiline).csv(paths)
+    df = csv_reader(spark, columns, multiline, RAGGED_LINE if track else None).csv(paths)
     cols = [F.col(c) for c in columns]
+    if track:
+        cols += [F.col("_metadata.file_path").alias(SOURCE_FILE), F.col(RAGGED_LINE)]
     if source_col:
         name = F.regexp_extract(F.col("_metadata.file_path"), source_pattern, 1)
         cols.append(F.when(name != "", name).alias(source_col))
