@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from .operators.quality import QualityGateError
 from .plans.pipeline import ALL_LAYERS, PipelineInputs, run_pipeline
+from .plans.refresh import refresh_revised
 from .schemas import SOURCE_CHOICES
 from .session import apply_engine_conf, ensure_checkpoint_dir
 
@@ -31,6 +32,13 @@ def layer_list(text: str) -> tuple:
     return layers
 
 
+def schema_name(text: str) -> tuple:
+    layer, sep, name = text.partition("=")
+    if layer not in ALL_LAYERS or not sep or not name.strip():
+        raise argparse.ArgumentTypeError(f"LAYER=NAME with a layer of {', '.join(ALL_LAYERS)}")
+    return layer, name.strip()
+
+
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="routekpi", description="Route KPI pipeline on Spark")
     p.add_argument("--yearline", default=None, help="glob of the yearline report CSV files")
@@ -40,6 +48,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--warehouse", required=True, help="output root for raw/, staging/, analytics/")
     p.add_argument("--source", choices=sorted(SOURCE_CHOICES), default="all", help="raw sources to (re)load")
     p.add_argument("--layers", type=layer_list, default=ALL_LAYERS, help="comma list of layers to run")
+    p.add_argument("--schema", type=schema_name, action="append", default=[], metavar="LAYER=NAME",
+                   help="schema (folder) of a layer; may be given once per layer")
+    p.add_argument("--refresh", action="store_true", help="load the files, then rebuild only the years that they revise")
     p.add_argument("--multiline", action="store_true", help="CSV fields hold newlines: one task per file")
     return p.parse_args(argv)
 
@@ -52,7 +63,11 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     ensure_checkpoint_dir(spark)
     inputs = PipelineInputs(args.yearline, args.bus_line, args.stops, args.seed, multiline=args.multiline)
     try:
-        summary = run_pipeline(spark, inputs, args.warehouse, layers=args.layers, sources=SOURCE_CHOICES[args.source])
+        how = {"sources": SOURCE_CHOICES[args.source], "schemas": dict(args.schema)}
+        if args.refresh:
+            summary = refresh_revised(spark, inputs, args.warehouse, **how)
+        else:
+            summary = run_pipeline(spark, inputs, args.warehouse, layers=args.layers, **how)
     except QualityGateError as err:
         print(err, file=sys.stderr)
         return 2

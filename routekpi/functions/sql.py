@@ -4,8 +4,9 @@ For users who write SQL (as the source project's models are written),
 `register_sql_functions` creates temporary SQL-bodied functions; Spark
 inlines their bodies into the plan, so they stay JVM-side and codegen'd like
 the Column functions in this package (no Python runs per row).
-`register_views` exposes the written raw / staging / analytics tables as
-temporary views.
+`register_views` exposes the written tables of the layers as temporary views and
+`register_tables` as tables of the catalog, in the databases that the layers'
+schemas name.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from .codes import ROUTE_PREFIXES, ROUTE_SEPARATOR
+from ..plans.storage import LAYER_TABLES, layer_path, layer_schema, read_table
 from ..schemas import NULL_TOKENS, SEVERITY_BANDS, SEVERITY_LOW, SEVERITY_UNKNOWN, SUBREGION_RULES, UNIT_STRIP_PATTERN
 
 
@@ -52,20 +54,39 @@ def register_sql_functions(spark: SparkSession, **rules) -> list:
     return names
 
 
-LAYER_TABLES = {
-    "raw": ("yearline", "bus_line", "stops", "subregion_population"),
-    "staging": ("stg_bus_performance", "stg_bus_line", "stg_stops"),
-    "analytics": ("dim_routes", "dim_subregions", "fact_route_performance", "fct_overcrowding_ranking",
-                  "fct_service_gap", "fct_recovery_trends"),
-}
+def _written(spark: SparkSession, warehouse: str, layers, schemas: dict | None):
+    """(layer, table, path) of the tables of these layers; each must have been written."""
+    for layer in layers:
+        layer = "marts" if layer == "analytics" else layer
+        for table in LAYER_TABLES[layer]:
+            yield layer, table, f"{layer_path(warehouse, layer, schemas)}/{table}"
 
 
-def register_views(spark: SparkSession, warehouse: str, layers=("staging", "analytics")) -> list:
-    """Temporary views over the tables `run_pipeline` wrote under `warehouse`."""
+def register_views(spark: SparkSession, warehouse: str, layers=("staging", "marts"), schemas: dict | None = None) -> list:
+    """Temporary views over the tables that `run_pipeline` wrote under `warehouse`
+    with these `schemas`; raw tables' names begin with raw_."""
     names = []
-    for layer in layers:
-        for table in LAYER_TABLES[layer]:
-            view = table if layer != "raw" else f"raw_{table}"
-            spark.read.parquet(f"{warehouse}/{layer}/{table}").createOrReplaceTempView(view)
-            names.append(view)
+    for layer, table, _ in _written(spark, warehouse, layers, schemas):
+        view = table if layer != "raw" else f"raw_{table}"
+        read_table(spark, warehouse, layer, table, schemas).createOrReplaceTempView(view)
+        names.append(view)
+    return names
+
+
+def register_tables(spark: SparkSession, warehouse: str, layers=("staging", "marts"), schemas: dict | None = None) -> list:
+    """Catalog tables `<schema>.<table>` over the written tables, one database per layer's schema.
+
+    They are external tables of the session's own catalog: dropping one leaves the
+    files.  Registering again takes in what has been written since, new and
+    dropped partitions too.
+    """
+    names = []
+    for layer, table, path in _written(spark, warehouse, layers, schemas):
+        name = f"`{layer_schema(layer, schemas)}`.`{table}`"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer_schema(layer, schemas)}`")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=path, source="parquet")
+        if spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Partition Provider'").count():
+            spark.catalog.recoverPartitions(name)
+        names.append(name.replace("`", ""))
     return names

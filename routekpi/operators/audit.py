@@ -45,3 +45,24 @@ def bbox_filter(df: DataFrame, lat: str, lon: str, lat_range, lon_range) -> Data
         & F.col(lat).between(lat_range[0], lat_range[1])
         & F.col(lon).between(lon_range[0], lon_range[1])
     )
+
+
+def changed_keys(old: DataFrame, new: DataFrame, keys) -> DataFrame:
+    """The keys whose rows differ between two tables of the same columns, or that one of them lacks.
+
+    Each side is reduced to a count and an order-free hash sum per key (NULL keys
+    count as a key), so rows that repeat a key are compared as a bag.
+    """
+    def reduced(df: DataFrame, side: int) -> DataFrame:
+        digest = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(new.columns)]).cast("decimal(38,0)")
+        return df.groupBy(*keys).agg(F.sum(digest).alias("digest"), F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side))
+
+    both = reduced(old, 0).unionByName(reduced(new, 1)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("sides"), F.min("digest").alias("d0"), F.max("digest").alias("d1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
+    return both.where("sides = 1 OR d0 != d1 OR n0 != n1").select(*keys)
+
+
+def among(column: str, values) -> Column:
+    """True where the column has one of the values; None stands for NULL."""
+    some = F.col(column).isin(sorted(v for v in values if v is not None))
+    return some | F.col(column).isNull() if None in values else some

@@ -1,8 +1,7 @@
 """Data-quality checks and the gate that stops bad staging data.
 
-Each check is a declarative spec.  `run_checks` evaluates every row-level
-check of one table in a single aggregation (one scan, conditional counts)
-and each uniqueness check as one grouped count; the result is a small
+Each check is a declarative spec.  `run_checks` evaluates all checks of one
+table, uniqueness too, with one scan and one exchange; the result is a small
 DataFrame with one row per check.  `enforce` collects that summary (one row
 per check, never table rows) and raises `QualityGateError` listing every
 failing error-severity check; warn-severity failures are reported only.
@@ -98,35 +97,44 @@ def violations(df: DataFrame, check: Check) -> DataFrame:
     return df.filter(violation(check))
 
 
+#: Row checks whose failures one number holds as bits.
+MASK_BITS = 62
+
+
 def run_checks(df: DataFrame, checks, table: str) -> DataFrame:
-    """Summary (table, check, kind, severity, failures) for all `checks` of one table."""
-    row_checks = [c for c in checks if c.kind != "unique"]
-    parts = []
-    if row_checks:
-        counts = df.agg(*[F.count_if(violation(c)).alias(f"c{i}") for i, c in enumerate(row_checks)])
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(c.name).alias("check"),
-                    F.lit(c.kind).alias("kind"),
-                    F.lit(c.severity).alias("severity"),
-                    F.col(f"c{i}").cast("long").alias("failures"),
-                )
-                for i, c in enumerate(row_checks)
-            ]
-        )
-        parts.append(counts.select(F.inline(rows)))
-    for c in checks:
-        if c.kind == "unique":
-            dup = violations(df, c).agg(F.count(F.lit(1)).cast("long").alias("failures"))
-            parts.append(
-                dup.select(
-                    F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
-                    F.lit(c.severity).alias("severity"), "failures",
-                )
-            )
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.select(F.lit(table).alias("table"), "*").withColumn(
+    """Summary (table, check, kind, severity, failures) for all `checks` of one table.
+
+    One scan and one exchange: a row becomes one small entry per uniqueness check
+    (its number and 128 bits of hash of the key, if no key column is NULL) and one
+    with the bits of the row checks it fails (if any).  Equal entries are counted in
+    the map tasks first, so neither a key nor a failure that a third of all rows
+    share is one task's.  `violations` lists the failing rows or keys themselves.
+    """
+    masks = [[c for c in checks if c.kind != "unique"][at : at + MASK_BITS] for at in range(0, sum(c.kind != "unique" for c in checks), MASK_BITS)]
+    uniques = [c for c in checks if c.kind == "unique"]
+    entry = lambda number, a, b: F.struct(F.lit(number).alias("number"), a.alias("a"), b.alias("b"))
+    entries = []
+    for m, some in enumerate(masks):
+        bits = reduce(lambda x, y: x.bitwiseOR(y), [F.when(violation(c), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, c in enumerate(some)])
+        entries.append(F.when(bits != 0, entry(-1 - m, bits, F.lit(0).cast("long"))))
+    for u, c in enumerate(uniques):
+        keys = [F.col(k) for k in c.columns]
+        present = reduce(lambda x, y: x & y, [k.isNotNull() for k in keys])
+        entries.append(F.when(present, entry(u, F.xxhash64(F.lit(2 * u), *keys), F.xxhash64(F.lit(2 * u + 1), *keys))))
+    counted = df.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").select("e.*")
+    counted = counted.groupBy("number", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    totals = {}
+    for m, some in enumerate(masks):
+        for i, c in enumerate(some):
+            totals[c.name] = F.sum(F.when((F.col("number") == -1 - m) & (F.col("a").bitwiseAND(F.lit(1 << i).cast("long")) != 0), F.col("n")))
+    for u, c in enumerate(uniques):
+        totals[c.name] = F.count_if((F.col("number") == u) & (F.col("n") > 1))
+    held = counted.agg(*[F.coalesce(totals[c.name], F.lit(0)).cast("long").alias(f"c{i}") for i, c in enumerate(checks)])
+    rows = F.array(*[
+        F.struct(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"), F.lit(c.severity).alias("severity"), F.col(f"c{i}").alias("failures"))
+        for i, c in enumerate(checks)
+    ])
+    return held.select(F.lit(table).alias("table"), F.inline(rows)).withColumn(
         "status",
         F.when(F.col("failures") == 0, F.lit("pass"))
         .when(F.col("severity") == WARN, F.lit("warn"))

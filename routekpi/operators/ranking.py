@@ -68,13 +68,16 @@ def top_k(df: DataFrame, period: str, order, k: int, rank_col: str = "rank") ->
 
 def with_topk_persistence(ranked: DataFrame, entity: str, rank_col: str, k: int, min_periods: int,
                           count_col: str = "years_in_top20", flag_col: str = "is_top20",
-                          persistent_col: str = "is_persistent_overcrowded") -> DataFrame:
+                          persistent_col: str = "is_persistent_overcrowded", counts: DataFrame | None = None) -> DataFrame:
     """Add top-k flag, number of periods in the top k, and the persistence flag.
 
-    The per-entity counts come from the top-k rows (k per period); AQE
+    The per-entity counts come from the top-k rows (k per period) or, where
+    `ranked` has some periods only, from `counts` (entity, count_col); AQE
     broadcasts them when their measured size allows it.
     """
-    counts = ranked.filter(F.col(rank_col) <= k).groupBy(F.col(entity).alias("_who")).agg(F.count(F.lit(1)).alias(count_col))
+    if counts is None:
+        counts = ranked.filter(F.col(rank_col) <= k).groupBy(entity).agg(F.count(F.lit(1)).alias(count_col))
+    counts = counts.select(F.col(entity).alias("_who"), count_col)
     n = F.coalesce(F.col(count_col), F.lit(0)).cast("long")
     return ranked.join(counts, F.col(entity) == F.col("_who"), "left").select(
         *[F.col(f"`{c}`") for c in ranked.columns],

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as K
+from ..operators.audit import among
 from ..operators.dedupe import latest_per_key
-from ..operators.ranking import rank_within, with_topk_persistence
+from ..operators.ranking import rank_within, top_k, with_topk_persistence
 from ..operators.rollup import mean, weighted_index, with_top
 from ..operators.windows import baseline_columns, prior_columns, spread_key
 from ..schemas import UNKNOWN_LABEL, KpiParams
@@ -139,7 +140,11 @@ def overcrowding_ranking(fact: DataFrame, params: KpiParams = KpiParams(), metho
     perf, order = to_rank(fact)
     ranked = rank_within(perf, "calendar_year", order, rank_col="overcrowding_rank", method=method)
     out = with_topk_persistence(ranked, "route_number", "overcrowding_rank", params.top_k, params.persistent_min_years)
-    return out.select(
+    return _ranking_columns(out)
+
+
+def _ranking_columns(ranked: DataFrame) -> DataFrame:
+    return ranked.select(
         "route_number", "route_name", "subregion", "calendar_year", "pct_trips_overcrowded",
         F.round(F.col("pct_trips_overcrowded") * 100, 2).alias("pct_trips_overcrowded_display"),
         "avg_peak_load_factor", "avg_daily_boardings_mf", "annual_revenue_hours", "overcrowding_severity",
@@ -147,6 +152,21 @@ def overcrowding_ranking(fact: DataFrame, params: KpiParams = KpiParams(), metho
     )
 
 
+def topk_years(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
+    """(route_number, years_in_top20) of the routes that are in the top k of a year; nothing else is ranked."""
+    perf, order = to_rank(fact)
+    top = top_k(perf, "calendar_year", order, params.top_k)
+    return top.groupBy("route_number").agg(F.count(F.lit(1)).alias("years_in_top20"))
+
+
+def overcrowding_ranking_of(fact: DataFrame, years, params: KpiParams = KpiParams()) -> DataFrame:
+    """The ranking mart's rows of some years: those alone are ranked, persistence is over all of them."""
+    perf, order = to_rank(fact.where(among("calendar_year", years)))
+    ranked = rank_within(perf, "calendar_year", order, rank_col="overcrowding_rank")
+    counts = topk_years(fact, params)
+    return _ranking_columns(with_topk_persistence(ranked, "route_number", "overcrowding_rank", params.top_k, params.persistent_min_years, counts=counts))
+
+
 def service_gap_scored(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
     perf = fact.filter(
         F.col("pct_trips_overcrowded").isNotNull()

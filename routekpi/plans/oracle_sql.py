@@ -535,6 +535,11 @@ def build() -> dict:
     reports_out = ", ".join(list(YEARLINE_COLUMNS) + ["report_source"])
     q["union_reports"] = _w(REPORTS, f"SELECT {reports_out} FROM reports")
     q["raw_csv_load"] = q["union_reports"]
+    q["raw_two_loads"] = _w(REPORTS, f"SELECT {reports_out} FROM reports WHERE report_source = '{LO}' OR CAST(CalendarYear AS INT) <= 1999")
+    q["load_log"] = _w(
+        REPORTS, "SELECT 'raw_yearline' AS loaded, report_source AS report, "
+        f"CAST(count(*) + count(*) FILTER (WHERE report_source = '{LN}' AND CalendarYear = '1997') AS BIGINT) AS rows_loaded, "
+        f"CAST(count(*) FILTER (WHERE report_source = '{LN}' AND CalendarYear = '1997') AS BIGINT) AS ragged_rows FROM reports GROUP BY ALL")
     q["raw_csv_stops"] = _w(STOPS, f"SELECT {', '.join(STOPS_COLUMNS)} FROM stops")
     q["source_year_from_path"] = _w(REPORTS, "SELECT report_source, CAST(count(*) AS BIGINT) AS rows_loaded FROM reports GROUP BY 1")
     q["latest_snapshot"] = _w(

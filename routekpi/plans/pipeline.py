@@ -47,6 +47,7 @@ class PipelineInputs:
 class RunSummary:
     tables: dict = field(default_factory=dict)
     checks: list = field(default_factory=list)
+    years: dict = field(default_factory=dict)  # of a refresh: the year partitions written of each table
     seconds: float = 0.0
 
 

@@ -22,6 +22,7 @@ from ..sources.csv_raw import read_raw_csv, seed_frame
 from . import marts, reports, staging
 from .checks import mart_checks, staging_checks
 from .pipeline import PipelineInputs, check_inputs, layer_summary, load_raw
+from .storage import read_table
 
 P = TD.DRIVER_PARAMS
 
@@ -81,29 +82,29 @@ def ranking(spark, d):
 
 # ----------------------------------------------------------------- sources / loads
 
-def _exported(spark: SparkSession, d: str) -> PipelineInputs:
-    """All raw inputs written as CSV files (tokens as text) in the shared folder."""
-    return PipelineInputs(**TD.write_raw_csvs(spark, d, shared_folder(spark, "csv")))
+def _exported(spark: SparkSession, d: str, *only: str) -> PipelineInputs:
+    """Raw inputs (all, or those of some sources) written as CSV files, tokens as text, in the shared folder."""
+    return PipelineInputs(**TD.write_raw_csvs(spark, d, shared_folder(spark, "csv"), *([only] if only else [])))
 
 
 def q_raw_csv_load(spark: SparkSession, d: str) -> DataFrame:
     """S1/S2/S4: the reports read from CSV files."""
-    return read_raw_csv(spark, _exported(spark, d).yearline_glob, YEARLINE_COLUMNS, source_col="report_source")
+    return read_raw_csv(spark, _exported(spark, d, "yearline").yearline_glob, YEARLINE_COLUMNS, source_col="report_source")
 
 
 def q_raw_csv_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """S5: the snapshots read from CSV files."""
-    return read_raw_csv(spark, _exported(spark, d).bus_line_glob, BUS_LINE_COLUMNS, source_col="snapshot_year")
+    return read_raw_csv(spark, _exported(spark, d, "bus_line").bus_line_glob, BUS_LINE_COLUMNS, source_col="snapshot_year")
 
 
 def q_raw_csv_stops(spark: SparkSession, d: str) -> DataFrame:
     """S6: the stops read from CSV files."""
-    return read_raw_csv(spark, _exported(spark, d).stops_path, STOPS_COLUMNS)
+    return read_raw_csv(spark, _exported(spark, d, "stops").stops_path, STOPS_COLUMNS)
 
 
 def q_raw_csv_seed(spark: SparkSession, d: str) -> DataFrame:
     """S10: the seed read from its CSV file."""
-    return seed_frame(spark, _exported(spark, d).seed_path)
+    return seed_frame(spark, _exported(spark, d, "seed").seed_path)
 
 
 def q_source_year_from_path(spark, d):
@@ -119,13 +120,43 @@ def q_load_audit(spark, d):
     out = None
     for name, table, label in (("raw_yearline", "yearline", "report_source"), ("raw_bus_line", "bus_line", "snapshot_year"),
                                ("raw_stops", "stops", None), ("subregion_population", "subregion_population", None)):
-        rows = spark.read.parquet(f"{warehouse}/raw/{table}")
+        rows = read_table(spark, warehouse, "raw", table)
         rows = rows.select(F.lit(name).alias("loaded"), (F.col(label) if label else F.lit(None).cast("string")).alias("label"))
         rows = rows.groupBy("loaded", "label").agg(F.count(F.lit(1)).alias("rows_loaded"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def q_raw_two_loads(spark, d):
+    """S4/S5: both reports loaded, then the newer one again, shortened and alone: the older one stays as it was."""
+    land, again = shared_folder(spark, "csv"), shared_folder(spark, "csv")
+    warehouse = land.rsplit("/", 1)[0] + "/warehouse"
+    TD.write_reports(spark, d, land)
+    TD.write_reports(spark, d, again, newer_until=1999, older=False)
+    for folder in (land, again):
+        inputs = PipelineInputs(yearline_glob=f"{folder}/tspr_bus_yearline_*.csv")
+        load_raw(spark, inputs, warehouse, check_inputs(spark, inputs, ("yearline",)), ("yearline",))
+    return read_table(spark, warehouse, "raw", "yearline").select("report_source", *YEARLINE_COLUMNS)
+
+
+def q_load_log(spark, d):
+    """S1/S8: rows and ragged rows of every report, counted while its files are loaded.
+
+    The newer report comes with one more folder part whose lines end after ten
+    fields: its rows of 1997 once more.
+    """
+    land = shared_folder(spark, "csv")
+    TD.write_reports(spark, d, land)
+    path = f"{land}/tspr_bus_yearline_{TD.NEWER_REPORT[0]}.csv"
+    some = TD.render_report(TD.supplier_years(spark, d).filter(F.col("year") == 1997), "all", loaded=False)
+    some.select(*YEARLINE_COLUMNS[:10]).write.mode("append").options(**TD.CSV_OPTIONS).csv(path)
+    inputs = PipelineInputs(yearline_glob=f"{land}/tspr_bus_yearline_*.csv")
+    warehouse = land.rsplit("/", 1)[0] + "/warehouse"
+    load_raw(spark, inputs, warehouse, check_inputs(spark, inputs, ("yearline",)), ("yearline",))
+    log = read_table(spark, warehouse, "raw", "load_log")
+    return log.groupBy("loaded", "report").agg(F.sum("rows").alias("rows_loaded"), F.sum("ragged_rows").alias("ragged_rows"))
+
+
 def q_null_tokens(spark, d):
     """S2: every column of the newer report before and after the null tokens are read as NULL."""
     raw = TD.render_report(TD.supplier_years(spark, d).filter(TD._newer_rows()), "all", loaded=False)
@@ -345,10 +376,10 @@ def _stg_checks():
 
 
 def q_dq_summary(spark, d):
-    """The staging layer's checks over its written tables, as the pipeline's gate runs them."""
+    """The staging layer's checks, as the pipeline's gate runs them: each table is evaluated once."""
     tables = {"stg_bus_performance": stg_perf(spark, d), "stg_bus_line": stg_line(spark, d),
               "stg_stops": staging.model_stops(TD.raw_stops(spark, d), P)}
-    return layer_summary({n: materialize(t, n) for n, t in tables.items()}, _stg_checks())
+    return layer_summary(tables, _stg_checks())
 
 
 def q_dq_summary_marts(spark, d):
@@ -357,8 +388,7 @@ def q_dq_summary_marts(spark, d):
     f = materialize(marts.fact_route_performance(stg_perf(spark, d), routes, regions, P, with_base=True), "fact")
     built = {"fct_overcrowding_ranking": marts.overcrowding_ranking(f, P), "fct_service_gap": marts.service_gap(f, P),
              "fct_recovery_trends": marts.recovery_trends(f, P)}
-    written = {n: materialize(t, n) for n, t in built.items()}
-    return layer_summary({"dim_routes": routes, "dim_subregions": regions, "fact_route_performance": f, **written}, mart_checks(P))
+    return layer_summary({"dim_routes": routes, "dim_subregions": regions, "fact_route_performance": f, **built}, mart_checks(P))
 
 
 def _violations(spark, d, table, check):

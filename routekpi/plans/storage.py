@@ -27,6 +27,8 @@ LAYER_TABLES = {
 }
 #: Partition column of the raw tables that hold one report or snapshot per partition.
 LABEL = "label"
+#: How Spark names the partition of NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def layer_schema(layer: str, schemas: dict | None = None) -> str:
@@ -71,7 +73,8 @@ def replace(spark: SparkSession, path: str, frames, partition_by: str | None = N
     `frames` is a list of (DataFrame, {name: aggregate Column}); the number of
     rows is counted as "rows" with the other metrics while writing.  With
     `keep_others` only the partitions that the new rows lie in are replaced, and
-    those of the values in `drop` removed; the others keep their files.
+    those of the values in `drop` that no new row has removed; the others keep
+    their files.
     """
     parent, name = path.rstrip("/").rsplit("/", 1)
     token, fs = uuid.uuid4().hex, _Folders(spark, path)
@@ -86,8 +89,9 @@ def replace(spark: SparkSession, path: str, frames, partition_by: str | None = N
                 w = w.partitionBy(partition_by)
             w.parquet(f"{staged}/{name}")
             counted.append(obs.get)
-        for value in drop:
-            fs.touch(f"{staged}/_drop/{partition_by}={value}")
+        held = set(fs.names(f"{staged}/{name}"))
+        for part in {f"{partition_by}={NO_VALUE if v is None else v}" for v in drop} - held:
+            fs.touch(f"{staged}/_drop/{part}")
     except BaseException:
         fs.delete(staged)
         raise

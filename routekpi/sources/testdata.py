@@ -424,21 +424,33 @@ def part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", "p_type", "p_name", code.alias("route_raw"))
 
 
-def write_raw_csvs(spark: SparkSession, sf_dir: str, out: str) -> dict:
-    """Write the derived raw inputs as CSV folders named like the source
-    exports (tspr_bus_yearline_<report>.csv, TSPR_OpenData_Archive_<year>.csv,
-    gtfs/stops.csv, subregion_population.csv), tokens kept as text.  Returns the globs to read them."""
-    opts = {"header": True, "quote": "\"", "escape": "\"", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV_OPTIONS = {"header": True, "quote": "\"", "escape": "\"", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def write_reports(spark: SparkSession, sf_dir: str, out: str, newer_until: int | None = None, older: bool = True) -> None:
+    """Write the yearline reports as CSV folders; the newer one up to a year only, or alone."""
     g = supplier_years(spark, sf_dir)
-    for (label, _, _), sfx, cond in ((OLDER_REPORT, "early", _older_rows()), (NEWER_REPORT, "all", _newer_rows())):
-        render_report(g.filter(cond), sfx, loaded=False).write.mode("overwrite").options(**opts).csv(
-            f"{out}/tspr_bus_yearline_{label}.csv")
-    snaps = snapshot_rows(spark, sf_dir)
-    for y in SNAPSHOT_YEARS:
-        snaps.filter(F.col("snapshot_year") == str(y)).drop("snapshot_year").write.mode("overwrite").options(
-            **opts).csv(f"{out}/TSPR_OpenData_Archive_{y}.csv")
-    raw_stops(spark, sf_dir).write.mode("overwrite").options(**opts).csv(f"{out}/gtfs/stops.csv")
-    subregion_seed(spark, sf_dir).write.mode("overwrite").options(**opts).csv(f"{out}/subregion_population.csv")
+    newer = _newer_rows() if newer_until is None else _newer_rows() & (F.col("year") <= newer_until)
+    reports = [(OLDER_REPORT, "early", _older_rows())] * older + [(NEWER_REPORT, "all", newer)]
+    for (label, _, _), sfx, cond in reports:
+        render_report(g.filter(cond), sfx, loaded=False).write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{out}/tspr_bus_yearline_{label}.csv")
+
+
+def write_raw_csvs(spark: SparkSession, sf_dir: str, out: str, only=("yearline", "bus_line", "stops", "seed")) -> dict:
+    """Write the derived raw inputs (those of the sources in `only`) as CSV folders named
+    like the source exports (tspr_bus_yearline_<report>.csv, TSPR_OpenData_Archive_<year>.csv,
+    gtfs/stops.csv, subregion_population.csv), tokens kept as text.  Returns the globs to read them."""
+    if "yearline" in only:
+        write_reports(spark, sf_dir, out)
+    if "bus_line" in only:
+        snaps = snapshot_rows(spark, sf_dir)
+        for y in SNAPSHOT_YEARS:
+            snaps.filter(F.col("snapshot_year") == str(y)).drop("snapshot_year").write.mode("overwrite").options(
+                **CSV_OPTIONS).csv(f"{out}/TSPR_OpenData_Archive_{y}.csv")
+    if "stops" in only:
+        raw_stops(spark, sf_dir).write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{out}/gtfs/stops.csv")
+    if "seed" in only:
+        subregion_seed(spark, sf_dir).write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{out}/subregion_population.csv")
     return {
         "seed_path": f"{out}/subregion_population.csv",
         "yearline_glob": f"{out}/tspr_bus_yearline_*.csv",
