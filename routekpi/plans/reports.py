@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import top_k
 from ..operators.rollup import mean, weighted_index
 from ..schemas import KpiParams
 from .marts import gap_rollup, recovery_indexed, recovery_rollup, service_gap_scored, to_rank
+from .storage import read_table
 
 
 def top_routes(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFrame:
@@ -26,10 +27,13 @@ def report_heatmap(fact: DataFrame, params: KpiParams = KpiParams()) -> DataFram
     years = list(params.valid_years)
     often = top_routes(fact, params).groupBy(F.col("route_number").alias("_often")).agg(F.count(F.lit(1)).alias("years_in_top20"))
     often = often.filter(F.col("years_in_top20") >= params.persistent_min_years)
+    cells = to_rank(fact)[0].select("route_number", "calendar_year", "pct_trips_overcrowded").join(often, F.col("route_number") == F.col("_often"))
+    return _heatmap(cells, years)
+
+
+def _heatmap(cells: DataFrame, years: list) -> DataFrame:
     return (
-        to_rank(fact)[0].select("route_number", "calendar_year", "pct_trips_overcrowded")
-        .join(often, F.col("route_number") == F.col("_often"))
-        .groupBy("route_number", "years_in_top20")
+        cells.groupBy("route_number", "years_in_top20")
         .pivot("calendar_year", years)
         .agg(F.max("pct_trips_overcrowded"))
         .withColumnsRenamed({str(y): f"pct_{y}" for y in years})
@@ -65,7 +69,11 @@ def report_before_after(fact: DataFrame, params: KpiParams = KpiParams(),
     years = sorted(params.valid_years)
     before = before if before is not None else years[-2]
     after = after if after is not None else years[-1]
-    top = top_routes(fact.filter(F.col("calendar_year") == before), params).select(
+    return _before_after(top_routes(fact.filter(F.col("calendar_year") == before), params), fact, before, after)
+
+
+def _before_after(top: DataFrame, fact: DataFrame, before: int, after: int) -> DataFrame:
+    top = top.select(
         "route_number", F.col("overcrowding_rank").alias("rank_before"),
         F.col("pct_trips_overcrowded").alias("pct_before"),
     )
@@ -119,3 +127,35 @@ def report_system_recovery(fact: DataFrame) -> DataFrame:
             "system_boardings_index"
         ),
     ).orderBy("calendar_year")
+
+
+def written_report(spark: SparkSession, warehouse: str, name: str, params: KpiParams = KpiParams(), schemas: dict | None = None) -> DataFrame:
+    """A panel's rows from the written marts, as a dashboard reads them.
+
+    Ranks, persistence, scores and indices are those that the marts hold; nothing
+    is ranked or indexed again, and a panel on some years reads their partitions
+    only.  The rows are those of the function of the same name over the fact
+    (`params` must be the marts' own).
+    """
+    mart = lambda table: read_table(spark, warehouse, "marts", table, schemas)
+    years = sorted(params.valid_years)
+    if name == "report_heatmap":
+        return _heatmap(mart("fct_overcrowding_ranking").filter("is_persistent_overcrowded"), list(params.valid_years))
+    if name == "report_every_year":
+        top = mart("fct_overcrowding_ranking").filter(F.col("is_top20") & (F.col("years_in_top20") >= len(years)))
+        return top.groupBy("route_number", "years_in_top20").agg(F.min("overcrowding_rank").alias("best_rank")).orderBy("best_rank", "route_number")
+    if name == "report_before_after":
+        ranking = mart("fct_overcrowding_ranking")
+        top = ranking.filter((F.col("calendar_year") == years[-2]) & F.col("is_top20"))
+        return _before_after(top, mart("fact_route_performance"), years[-2], years[-1])
+    if name == "report_gap_by_region":
+        return gap_rollup(mart("fct_service_gap")).orderBy("calendar_year", F.col("avg_gap_score").desc_nulls_last(), "subregion")
+    if name == "report_recovery":
+        return recovery_rollup(mart("fct_recovery_trends")).orderBy("subregion", "calendar_year")
+    fact = mart("fact_route_performance")
+    return {"report_efficiency": lambda: report_efficiency(fact, params), "report_reliability": lambda: report_reliability(fact),
+            "report_system_recovery": lambda: report_system_recovery(fact)}[name]()
+
+
+PANELS = ("report_heatmap", "report_gap_by_region", "report_recovery", "report_efficiency", "report_before_after", "report_reliability",
+          "report_every_year", "report_system_recovery")

@@ -56,7 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
+    as is; without it the operators can't run.  Only a local master (tests) gets
+    a scratch folder of its own.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -67,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="routekpi-ckpt-", dir=os.environ.get("ROUTEKPI_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

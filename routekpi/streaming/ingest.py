@@ -91,7 +91,8 @@ def ingest_new_files(spark: SparkSession, landing_dir: str, table_path: str, col
             .start()
         )
         query.awaitTermination()
-        count.ended.wait(60)  # events arrive in order: the last progress comes before the end
+        if not count.ended.wait(60):  # events arrive in order: the last progress comes before the end
+            raise RuntimeError(f"the files are loaded into {table_path}, but the rows could not be counted: no end event in 60 s")
     finally:
         spark.streams.removeListener(count)
     return count.rows

@@ -326,6 +326,20 @@ def test_mart_files_in_report_order(built):
     assert per_file and all(v == sorted(v) for v in per_file.values())
 
 
+def test_written_reports_equal_those_over_the_fact(spark, built):
+    from routekpi.plans import reports
+    from routekpi.schemas import KpiParams
+
+    fact = built["read"]("analytics", "fact_route_performance")
+    for name in reports.PANELS:
+        fn = getattr(reports, name)
+        want = fn(fact) if name in ("report_reliability", "report_system_recovery") else fn(fact, KpiParams())
+        got = reports.written_report(spark, built["wh"], name)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+        assert not any(op in got._jdf.queryExecution().executedPlan().toString() for op in ("WindowGroupLimit", "Window ["))
+
+
 def test_marts_read_in_presentation_order(spark, built):
     from routekpi.plans.pipeline import read_mart
 

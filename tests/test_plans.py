@@ -81,3 +81,39 @@ def test_quality_summary_is_one_scan_per_table(spark, static_plan):
     p = static_plan(R.QUERIES["dq_summary"](spark, SF))
     # the stops table is scanned once for its row checks and once for its uniqueness check
     assert len(re.findall(r"FileScan parquet \[c_", p)) <= 2
+
+
+def test_checks_of_a_table_share_one_scan_and_one_exchange(spark, static_plan, scratch):
+    from routekpi.operators import quality as Q
+
+    spark.range(100).selectExpr("id", "id % 7 as a", "cast(id as string) as b").write.parquet(f"{scratch}/t")
+    checks = [Q.not_null("a"), Q.in_range("id", 0, 50), Q.unique("id"), Q.unique("a", "b"), Q.unique("a"), Q.accepted_values("a", [1, 2], severity=Q.WARN)]
+    df = Q.run_checks(spark.read.parquet(f"{scratch}/t"), checks, "t")
+    p = static_plan(df)
+    assert p.count("FileScan") == 1 and len(re.findall(r"Exchange hashpartitioning", p)) == 1 and p.count("Exchange") == 2  # the other: one row of totals
+    assert "functions=[partial_count" in p
+    got = {r.check: (r.failures, r.status) for r in df.collect()}
+    assert got == {"not_null_a": (0, "pass"), "range_id": (49, "fail"), "unique_id": (0, "pass"), "unique_a_b": (0, "pass"), "unique_a": (7, "fail"), "accepted_values_a": (71, "warn")}
+
+
+def test_recovery_of_the_written_fact_needs_no_route_exchange(spark, static_plan, scratch):
+    from routekpi.plans import marts
+
+    R.base_fact(spark, SF).write.parquet(f"{scratch}/fact")
+    p = static_plan(marts.recovery_trends(spark.read.parquet(f"{scratch}/fact"), R.P))
+    assert "Window" not in p and "route" not in "".join(re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p))
+
+
+def test_rows_without_a_route_share_no_window_key(spark, static_plan):
+    from pyspark.sql import functions as F
+
+    from routekpi.operators.windows import spread_key
+    from routekpi.plans import marts
+
+    rows = spark.range(200_000).selectExpr("cast(null as string) as route_number", "cast(2000 + id % 4 as int) as calendar_year", "'2024' as report_source",
+                                           "false as is_combined_route", "cast(id as decimal(18,3)) as annual_boardings", "cast(id % 977 as decimal(18,4)) as annual_service_hours")
+    keys = rows.select(spread_key("route_number", ["calendar_year", *marts.PRIOR_TIEBREAK]).alias("k")).groupBy("k").count()
+    assert keys.count() == 1024 and keys.agg(F.max("count")).first()[0] < 400
+    # the recovery mart's own window, for a fact without base values, uses the same key
+    p = static_plan(marts.recovery_indexed(R.fact(spark, SF), R.P))
+    assert len(re.findall(r"xxhash64\(calendar_year, report_source", p)) >= 1
