@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from routekpi.llm import labelled
 from routekpi.llm import words as W
-from routekpi.llm.scratch import ship
+from routekpi.llm.scratch import save, ship
 
 BITS = 18
 AFFIXES = (1, 2, 3, 4)
@@ -188,19 +188,22 @@ def _fit(chain: Chain, texts: list[bytes], y: np.ndarray, seed: int = 5) -> Chai
 
 
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE) -> Chain:
-    """Fit on a bounded sample of labelled documents, in equal parts per language where there are enough."""
+    """Fit on a bounded sample of labelled documents, in equal parts per language where there are enough.
+
+    Every language is learned; with more languages than ``rows``, the ``rows`` most frequent.
+    """
     langs = docs.where(F.col(lang_col).isNotNull() & ~labelled.held_out(F.col(id_col))).where(F.length(text_col) > 0)
-    langs = langs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    # at most rows // 4 languages, the most frequent
-    names = [r.lang for r in langs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows // 4).select("lang").collect()]
+    # the texts are read here and for the documents chosen, whatever the number of languages
+    langs = save(langs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")), "labelled")
+    names = [r.lang for r in langs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).select("lang").collect()]
     names.sort()
     if not names:
         return Chain([])
     each = max(1, rows // len(names))
-    picked = None
-    for name in names:
-        some = langs.where(F.col("lang") == name).orderBy(F.xxhash64("id"), "id").limit(each)
-        picked = some if picked is None else picked.unionByName(some)
+    # planned as a group limit: a map task keeps so many rows of each language
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    learned = langs.sparkSession.createDataFrame([(x,) for x in names], "l_lang string")
+    picked = langs.withColumn("place", place).where(F.col("place") <= each).drop("place").join(F.broadcast(learned), F.col("lang") == F.col("l_lang"), "left_semi")
     picked = picked.select(F.col("id").alias("p_id"), "lang").distinct()
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("own")).join(
         F.broadcast(picked), (F.col("id") == F.col("p_id")) & (F.col("own") == F.col("lang")))

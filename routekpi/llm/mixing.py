@@ -3,13 +3,14 @@
 Each source is given a share of all words by its weight, at most ``max_epochs``
 times its own size; the excess is shared again by weight until no target is
 above its bound.  A source's documents lie one after another on its word axis,
-in an order fixed by a hash of the id, and the axis repeats for every epoch.
+in an order fixed by a hash of id and text, and the axis repeats for every epoch.
 Its weight schedule (a rate over training time 0 to 1) is integrated, and the
 inverse of that integral turns a place on the axis into a training position.
 
 Running totals never gather a source in one task: a source's documents are
 dealt to buckets by ranges of the hash, summed per bucket, and the buckets'
-totals shift the running totals within.
+totals shift the running totals within.  Rows equal in id, source and text are
+counted first, so they are one row there, however many they are.
 """
 
 from __future__ import annotations
@@ -105,12 +106,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken.  Rows come range-sorted by position, those not taken last.
 
     A null source is a source of its own, last in order.  Empty texts have size
-    0 and are never taken.  Repeated rows count as rows.  The order key is the
-    MD5 of the id's digits; rows of equal id follow by size.
+    0 and are never taken.  Repeated rows count as rows, one after another on the
+    axis.  The order key is the MD5 of the id's digits (none for a null id), a
+    colon and the text's MD5.  Other columns don't matter; no rows give no rows.
     """
     ship(docs.sparkSession)
     schedules = schedules or SCHEDULES
-    placed = save(place(docs, id_col, text_col, source_col, weights, max_epochs, bucket_rows), "placed")
+    placed = save(taken_of(place(docs, id_col, text_col, source_col, weights, max_epochs, bucket_rows)), "placed")
     share = F.col("start") / F.greatest(F.col("demand"), F.lit(1))
     at = F.lit(None).cast("double")
     for weight, knots in schedules.items():
@@ -120,32 +122,43 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col("id").alias(id_col), "size", "source", "source_size", "target", "taken", "position")
 
 
+def order_key(id_col: str, text_col: str) -> Column:
+    """A row's place among its source's rows: equal for rows of equal id and text only."""
+    text = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
+
+
 def place(docs, id_col, text_col, source_col, weights, max_epochs, bucket_rows) -> DataFrame:
-    """(id, source, size, source_size, weight, target, demand, start, taken) of each row."""
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    sized = save(with_sizes(narrow, "text", "size", ["id", "source"]), "sizes")
-    order = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))
-    sized = sized.withColumn("order", order)
-    totals = sized.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
+    """(id, source, order, size, copies, source_size, weight, target, demand, start) of each different row; start is the first copy's."""
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), order_key(id_col, text_col).alias("order"), F.col(text_col).alias("text"))
+    sized = with_sizes(narrow, "text", "size", ["id", "source", "order"])
+    sized = save(sized.groupBy("id", "source", "order", "size").agg(F.count(F.lit(1)).alias("copies")), "sizes")
+    totals = sized.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     plan = save(targets(totals, weights, max_epochs), "targets").withColumnRenamed("source", "of")
     rows = sized.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     # the first 12 hex digits of the order key as a fraction of the source's buckets
     part = F.conv(F.substring("order", 1, 12), 16, 10).cast("double") / float(1 << 48)
     rows = save(rows.withColumn("bucket", F.floor(part * F.ceil(F.col("n") / bucket_rows))), "bucketed")
     # sums of the buckets before each; a few rows for every bucket_rows documents
+    words = F.sum(F.col("size") * F.col("copies"))
     before = Window.partitionBy("of").orderBy("in").rowsBetween(Window.unboundedPreceding, -1)
-    shift = rows.groupBy(F.col("source").alias("of"), F.col("bucket").alias("in")).agg(F.sum("size").alias("words"))
+    shift = rows.groupBy(F.col("source").alias("of"), F.col("bucket").alias("in")).agg(words.alias("words"))
     shift = shift.withColumn("shift", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
     within = Window.partitionBy("source", "bucket").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("start", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    rows = rows.withColumn("start", F.coalesce(words.over(within), F.lit(0)))
     rows = rows.join(shift, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("in"))).drop("of", "in")
-    rows = rows.withColumn("start", F.col("start") + F.col("shift"))
+    return rows.select("id", "source", "order", "size", "copies", "source_size", "weight", "target", "demand", (F.col("start") + F.col("shift")).alias("start"))
+
+
+def taken_of(placed: DataFrame) -> DataFrame:
+    """A row per copy, with its own ``start`` and the words ``taken`` of it."""
+    rows = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    rows = rows.withColumn("start", F.col("start") + F.col("copy") * F.col("size"))
     size, whole = F.greatest(F.col("source_size"), F.lit(1)), F.col("demand")
     epochs = F.floor(whole / size)
     rest = whole - epochs * size
     last = F.least(F.greatest(rest - F.col("start"), F.lit(0)), F.col("size"))
-    return rows.withColumn("taken", (epochs * F.col("size") + last).cast("long")).select(
-        "id", "source", "size", "source_size", "weight", "target", "demand", "start", "taken")
+    return rows.withColumn("taken", (epochs * F.col("size") + last).cast("long"))
 
 
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = WEIGHTS,
@@ -154,23 +167,32 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     A document comes once for every whole time that it is taken; of the one at
     a source's border, the words taken come as one more row, joined by one space.
+    So the words returned of a source are its target, rounded.  Rows equal in id,
+    source and text are copies of one row: where they differ in other columns, of
+    the one with the least hash of them all.  Null sources, empty texts, clashing
+    names and empty tables are as for ``mix``.
     """
     ship(docs.sparkSession)
     schedules = schedules or SCHEDULES
-    plan = save(place(docs, id_col, text_col, source_col, weights, max_epochs, BUCKET_ROWS), "placed")
-    n, at, part = (fresh(docs, x) for x in ("nth_", "position_", "words_"))
-    # rows of equal id, source and size are interchangeable; all of them share one plan
-    plan = plan.groupBy("id", "source", "size").agg(F.min("start").alias("start"), F.max("taken").alias("taken"), *[F.first(c).alias(c) for c in ("source_size", "weight", "demand")])
-    plan = plan.where("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("taken") / F.col("size")) - 1).cast("int"))))
-    plan = plan.withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("copy") * F.col("size")))
-    share = (F.col("start") + F.col("copy") * F.col("source_size")) / F.greatest(F.col("demand"), F.lit(1))
+    placed = save(place(docs, id_col, text_col, source_col, weights, max_epochs, BUCKET_ROWS), "placed")
+    at, part, size, key, k_key, k_source = (fresh(docs, x) for x in ("position_", "words_", "size_", "key_", "k_key", "k_source"))
+    plan = taken_of(placed).where("taken > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("taken") / F.col("size")) - 1).cast("int"))))
+    words = F.least(F.col("size"), F.col("taken") - F.col("epoch") * F.col("size"))
+    share = (F.col("start") + F.col("epoch") * F.col("source_size")) / F.greatest(F.col("demand"), F.lit(1))
     when = F.lit(None).cast("double")
     for weight, knots in schedules.items():
         when = F.when(F.col("weight") == weight, position(share, knots)).otherwise(when)
-    size, k_id, k_source, k_size = (fresh(docs, x) for x in ("size_", "k_id", "k_source", "k_size"))
-    plan = plan.select(F.col("id").alias(k_id), F.col("source").alias(k_source), F.col("size").alias(k_size), F.col("words").alias(part), when.alias(at))
-    rows = with_sizes(docs, text_col, size, docs.columns)
-    rows = rows.join(plan, F.col(id_col).eqNullSafe(F.col(k_id)) & F.col(source_col).eqNullSafe(F.col(k_source)) & (F.col(size) == F.col(k_size)))
+    plan = plan.select(F.col("order").alias(k_key), F.col("source").alias(k_source), F.col("copies"), F.col("size").alias(size), words.alias(part), when.alias(at))
+    same = lambda df: F.col(key).eqNullSafe(F.col(k_key)) & df[source_col].eqNullSafe(F.col(k_source))
+    rows = docs.withColumn(key, order_key(id_col, text_col))
+    out = rows.join(plan.where("copies = 1").drop("copies"), same(rows))
+    many = save(placed.where("copies > 1").select(F.col("order").alias(k_key), F.col("source").alias(k_source)), "many")
+    if many.limit(1).count():
+        # equal rows: each map task ships one of them
+        digest = F.xxhash64(*[F.col(c).cast("string") if t.startswith("map") else F.col(c) for c, t in docs.dtypes])
+        held = rows.join(many, same(rows), "left_semi").groupBy(key, source_col).agg(F.min_by(F.struct(*docs.columns), digest).alias("row"))
+        held = held.select("row.*", key)
+        out = out.unionByName(held.join(plan.where("copies > 1").drop("copies"), same(held)))
     cut = F.array_join(F.slice(F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col(part).cast("int")), " ")
-    rows = rows.withColumn(text_col, F.when(F.col(part) < F.col(size), cut).otherwise(F.col(text_col)))
-    return rows.orderBy(at, id_col).select(docs.columns)
+    out = out.withColumn(text_col, F.when(F.col(part) < F.col(size), cut).otherwise(F.col(text_col)))
+    return out.orderBy(at, id_col).select(docs.columns)

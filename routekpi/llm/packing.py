@@ -14,7 +14,7 @@ from __future__ import annotations
 import sys
 import zlib
 from array import array
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +35,15 @@ BLOCKS_AGAIN = 256
 #: A sequence less full than this is packed again.
 FULL_ENOUGH = 0.98
 #: Search steps of a block beyond the first descent; the best packing found so far stays.
-SEARCH_STEPS = 1000
+SEARCH_STEPS = 4000
 #: Waste at which a single piece is taken to fill a room in the first descents.
 SLACKS = (4, 8, 16)
-#: Completions tried around one largest piece.
-BRANCHES = 3
+#: Pieces of the fillings that are tested for dominance.
+TESTED = 6
+
+
+#: What an exhausted search of fillings gives.
+END = object()
 
 
 class Encoder:
@@ -160,49 +164,78 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
 
 
 def dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
-    """Whether the pieces of ``b`` can be grouped so that each group fits a piece of ``a``."""
+    """Whether the pieces of ``b`` can be grouped so that each group fits a piece of ``a`` of its own."""
 
     def place(i: int, rooms: tuple[int, ...]) -> bool:
         return i == len(b) or any(
             room >= b[i] and place(i + 1, rooms[:k] + (room - b[i],) + rooms[k + 1 :]) for k, room in enumerate(rooms))
 
-    return len(a) <= len(b) and place(0, a)
-
-
-def completions(counts: np.ndarray, room: int, branches: int = BRANCHES) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first; [()] if nothing fits."""
-    have = np.flatnonzero(counts[: room + 1])
-    if not len(have):
-        return [()]
-    if have[-1] == room:
-        return [(room,)]  # a piece that fills the room dominates every other filling
-    below = np.zeros(room + 1, np.int64)  # the largest length at hand, up to each room
-    below[have] = have
-    np.maximum.accumulate(below, out=below)
-    lead = have[::-1]
-    rests, chosen = room - lead, [lead]
-    taken = counts[lead] - 1
-    last = lead
-    while True:
-        # next the largest that fits and isn't longer than the one before
-        pick = below[np.minimum(rests, last)]
-        same = (pick == last) & (taken <= 0)
-        pick = np.where(same, below[np.minimum(rests, np.maximum(last - 1, 0))], pick)
-        if not pick.any():
-            break
-        taken = np.where(pick == last, taken - 1, counts[pick] - 1)
-        last = np.where(pick > 0, pick, last)
-        rests = rests - pick
-        chosen.append(pick)
-    order = np.lexsort((np.arange(len(lead)), rests))
-    out: list[tuple[int, ...]] = []
-    for i in order[: 4 * branches]:
-        filling = tuple(int(c[i]) for c in chosen if c[i])
-        if not any(dominates(x, filling) for x in out):
-            out.append(filling)
-            if len(out) == branches:
-                break
-    return out
+    return place(0, a)
+
+
+def fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...]]:
+    """Every filling of ``room`` by pieces at hand, least waste first, made one at a time; () if nothing fits.
+
+    Which sums the shorter pieces reach is worked out first, as bits of a number
+    per length, so no step leads nowhere.  Of equal waste, larger pieces come first.
+    """
+    have = np.flatnonzero(counts[: room + 1]).tolist()
+    number = counts[have].tolist()
+    reach, mask = [1], (1 << (room + 1)) - 1
+    for length, n in zip(have, number):
+        bits, n, copies = reach[-1], min(n, room // length), 1
+        while n > 0:
+            copies = min(copies, n)
+            bits |= (bits << (length * copies)) & mask
+            n -= copies
+            copies *= 2
+        reach.append(bits)
+
+    def exactly(k: int, total: int) -> Iterator[tuple[int, ...]]:
+        if not total:
+            yield ()
+            return
+        for i in range(min(k, bisect_right(have, total)) - 1, -1, -1):
+            if not reach[i + 1] >> total & 1:
+                return
+            length = have[i]
+            for n in range(min(number[i], total // length), 0, -1):
+                if reach[i] >> (total - n * length) & 1:
+                    for rest in exactly(i, total - n * length):
+                        yield (length,) * n + rest
+
+    def every() -> Iterator[tuple[int, ...]]:
+        sums = reach[-1]
+        while sums:
+            total = sums.bit_length() - 1
+            yield from exactly(len(have), total)
+            sums ^= 1 << total
+
+    return every()
+
+
+def completions(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...] | None]:
+    """The undominated fillings of ``room``, least waste first; None stands for a dominated one.
+
+    Only fillings of TESTED pieces at most are tested, as the test takes time
+    exponential in them; others are kept, which costs the search steps.
+    """
+    made = fillings(counts, room)
+    seen: list[tuple[int, ...]] = []
+
+    def undominated() -> Iterator[tuple[int, ...] | None]:
+        for filling in made:
+            short = len(filling) <= TESTED
+            if short and any(dominates(x, filling) for x in seen):
+                yield None
+                continue
+            if short:
+                seen.append(filling)
+            yield filling
+            if filling == (room,):
+                return  # it dominates every other
+
+    return undominated()
 
 
 def descend(counts: np.ndarray, capacity: int, slack: int) -> list[tuple[int, ...]]:
@@ -218,7 +251,7 @@ def descend(counts: np.ndarray, capacity: int, slack: int) -> list[tuple[int, ..
         counts[top] -= 1
         room = capacity - top
         have = np.flatnonzero(counts[: room + 1])
-        filling = (int(have[-1]),) if len(have) and room - have[-1] <= slack else completions(counts, room, 1)[0]
+        filling = (int(have[-1]),) if len(have) and room - have[-1] <= slack else next(fillings(counts, room))
         for piece in filling:
             counts[piece] -= 1
         out.append((top, *filling))
@@ -229,11 +262,11 @@ def descend(counts: np.ndarray, capacity: int, slack: int) -> list[tuple[int, ..
 def bin_completion(counts: np.ndarray, capacity: int, steps: int = SEARCH_STEPS) -> list[tuple[int, ...]]:
     """Sequences, as tuples of lengths, that hold all pieces of the histogram.
 
-    Depth-first: the largest piece left is completed in each undominated way; a
-    branch ends when its waste so far leaves no packing better than the best
-    known.  Best fit and descents that accept a little waste give the first of those.
-    The search stops at the lower bound, or after ``steps`` steps beyond the
-    length of one descent.
+    Depth-first: the largest piece left is completed in each undominated way,
+    least waste first; a branch ends when its waste so far leaves no packing better
+    than the best known.  Best fit and descents that accept a little waste give the
+    first of those.  The search stops at the lower bound, or after ``steps`` fillings
+    beyond the length of one descent: that is its only cut.
     """
     counts = counts.astype(np.int64).copy()
     best = best_fit(counts, capacity)
@@ -243,43 +276,40 @@ def bin_completion(counts: np.ndarray, capacity: int, steps: int = SEARCH_STEPS)
             best = min(best, descend(counts, capacity, slack), key=len)
     total = int((counts * np.arange(capacity + 1)).sum())
     path: list[tuple[int, ...]] = []
-    todo: list[list[tuple[int, ...]]] = []
+    todo: list[tuple[int, Iterator]] = []
     waste, budget = 0, len(best) + steps
 
-    def largest() -> int:
+    def options() -> tuple[int, Iterator]:
         have = np.flatnonzero(counts)
-        return int(have[-1]) if len(have) else 0
-
-    def options() -> list[tuple[int, ...]]:
-        top = largest()
-        if not top:
-            return []
+        if not len(have):
+            return 0, iter(())
+        top = int(have[-1])
         counts[top] -= 1
-        found = [(top, *x) for x in completions(counts, capacity - top)]
+        found = completions(counts, capacity - top)
         counts[top] += 1
-        return found[::-1]
+        return top, found
 
     todo.append(options())
     while todo and len(best) > least and budget > 0:
         budget -= 1
-        if not todo[-1]:
+        top, more = todo[-1]
+        filling = next(more, END)
+        if filling is None:
+            continue  # dominated
+        step = () if filling is END else (top, *filling)
+        # fillings come by waste: past what a better packing may still waste, none of the rest is of use
+        if filling is END or capacity - sum(step) > (len(best) - 1) * capacity - total - waste:
             todo.pop()
             if path:
                 gone = path.pop()
                 np.add.at(counts, list(gone), 1)
                 waste -= capacity - sum(gone)
             continue
-        step = todo[-1].pop()
-        if waste + capacity - sum(step) > (len(best) - 1) * capacity - total:
-            continue  # no packing with fewer sequences has that much waste
         path.append(step)
         np.subtract.at(counts, list(step), 1)
         waste += capacity - sum(step)
-        if not counts.any():
-            if len(path) < len(best):
-                best = list(path)
-            todo.append([])
-            continue
+        if not counts.any() and len(path) < len(best):
+            best = list(path)
         todo.append(options())
     if len(best) > least and path and counts.any():
         closed = path + best_fit(counts, capacity)

@@ -131,7 +131,7 @@ FROM q
     "op7_mixing": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

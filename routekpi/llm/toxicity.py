@@ -1,16 +1,19 @@
 """Toxicity by nearest labelled examples under TF-IDF cosine.
 
-Terms are words (runs of letters, A-Z lower-cased) and their first 4, 5 and 6
-bytes.  The vocabulary holds the terms that the labelled examples associate with
-toxicity (G-test); their document frequencies are counted over all documents.
-Examples and documents are unit TF-IDF vectors over it.  A block-max inverted
-index over the examples gives, per term and block of examples, the largest
-weight: a document's blocks are visited in the order of their bounds until no
-other block can hold a nearer example, so the neighbours are exact.
+Terms are all words (runs of letters, A-Z lower-cased) of the labelled examples,
+and those 4 to 6 byte beginnings of words that go with toxicity.  Document
+frequencies are counted over all documents.  A term that the examples associate
+with toxicity (G-test) has BOOST times its TF-IDF weight; no other term is left
+out, so a copy of an example is its nearest neighbour, at cosine 1, whatever its
+words.  Examples and documents are unit vectors of these weights.
+
+A block-max inverted index over the examples gives, per term and block of
+examples, the largest weight: a document's blocks are visited in the order of
+their bounds until no other block can hold a nearer example, so the neighbours
+are exact.  Blocks hold examples of the same strongest terms.
 
 Votes of the neighbours, weighted by squared cosine, are shrunk towards the rate
-among examples without any vocabulary term, which also scores documents that
-have none.
+among examples without any toxic term, which also scores documents without terms.
 """
 
 from __future__ import annotations
@@ -25,28 +28,43 @@ from routekpi.llm import labelled
 from routekpi.llm import words as W
 from routekpi.llm.scratch import save, ship
 
-#: At most so many labelled documents are examples.
-SAMPLE = 20_000
-VOCABULARY = 4096
-#: Least G statistic and count among toxic examples of a vocabulary term.
-MIN_G, MIN_COUNT = 30.0, 5
+#: At most so many labelled documents are examples, each of at most so many bytes.
+SAMPLE = 4096
+EXAMPLE_BYTES = 1 << 16
+#: Least G statistic and count among toxic examples of a term that goes with toxicity, and its weight.
+MIN_G, MIN_COUNT, BOOST = 30.0, 5, 16.0
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 15
-BLOCK = 64
-#: Weight of the background rate against one neighbour of cosine 1.
-BACKGROUND = 0.5
+BLOCK = 512
+#: A term of more than one in so many examples is frequent; and texts that are scored at once.
+FREQUENT = 32
+TEXTS = 64
+#: Weight of the background rate against one neighbour of cosine 1, and that rate if nothing is known.
+BACKGROUND = 0.05
+UNKNOWN_RATE = 0.1
 THRESHOLD = 0.3
 
 
+SIEVE_BITS = 22
+_sieves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _sieve(wanted: np.ndarray) -> np.ndarray:
+    """Which beginnings of hashes occur among the wanted ones; kept for the last array asked for."""
+    if id(wanted) not in _sieves:
+        _sieves.clear()
+        held = np.zeros(1 << SIEVE_BITS, bool)
+        held[wanted >> np.uint64(64 - SIEVE_BITS)] = True
+        _sieves[id(wanted)] = wanted, held
+    return _sieves[id(wanted)][1]
+
+
 def terms(b: W.Bytes, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Term hashes of all texts, and each one's text; only hashes in ``wanted`` (sorted) if given."""
     b = b.lower_ascii()
     starts, ends, first = W.runs(W.is_letter(b.data), b.offsets)
     prefix, doc = b.prefix_hashes(), W.owners(first)
-    sieve = None
-    if wanted is not None:
-        sieve = np.zeros(1 << 16, bool)
-        sieve[wanted >> np.uint64(48)] = True
+    sieve = None if wanted is None else _sieve(wanted)
     found, owner = [], []
     for width in (0, *PREFIXES):
         some = slice(None) if not width else np.flatnonzero(ends - starts > width)
@@ -54,7 +72,7 @@ def terms(b: W.Bytes, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.
         h = W.span_hashes(prefix, s, s + width if width else ends) ^ np.uint64(width)
         d = doc[some]
         if sieve is not None:
-            keep = np.flatnonzero(sieve[h >> np.uint64(48)])
+            keep = np.flatnonzero(sieve[h >> np.uint64(64 - SIEVE_BITS)])
             h, d = h[keep], d[keep]
             at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
             keep = wanted[at] == h
@@ -78,26 +96,32 @@ def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for part in W.chunks(batch, "text"):
             y = np.asarray(part.column(1)).astype(np.int64)
-            d, h, _ = _distinct(*terms(W.texts(part.column(0))))
+            b = W.texts(part.column(0))
+            whole = np.unique(W.span_hashes(b.lower_ascii().prefix_hashes(), *W.runs(W.is_letter(b.data), b.offsets)[:2]))
+            d, h, _ = _distinct(*terms(b))
             unique, at = np.unique(h, return_inverse=True)
             bad = np.bincount(at, y[d], len(unique)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(unique.view(np.int64)), pa.array(np.bincount(at, minlength=len(unique)).astype(np.int64)), pa.array(bad)], ["term", "n", "bad"])
+                [pa.array(unique.view(np.int64)), pa.array(np.bincount(at, minlength=len(unique)).astype(np.int64)), pa.array(bad), pa.array(np.isin(unique, whole))],
+                ["term", "n", "bad", "word"])
 
 
-def vocabulary(examples: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the terms that go with toxicity, at most ``size``."""
+def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the examples' words, and of the beginnings that go with toxicity; and each one's boost."""
     n, bad = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not bad or bad == n:
-        return np.zeros(0, np.uint64)
-    counts = examples.select("text", "y").mapInArrow(_label_counts, "term long, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        return np.zeros(0, np.uint64), np.zeros(0)
+    counts = examples.select("text", "y").mapInArrow(_label_counts, "term long, n long, bad long, word boolean")
+    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.max("word").alias("word"))
     rate = bad / n
     expected = F.col("n") * rate
     good = F.col("n") - F.col("bad")
     g = 2 * (F.col("bad") * F.log(F.col("bad") / expected) + F.when(good > 0, good * F.log(good / (F.col("n") * (1 - rate)))).otherwise(0.0))
-    picked = counts.where((F.col("bad") >= MIN_COUNT) & (F.col("bad") > expected)).withColumn("g", g).where(F.col("g") >= MIN_G)
-    rows = picked.orderBy(F.desc("g"), "term").limit(size).select("term").collect()
-    return np.sort(np.array([r.term for r in rows], np.int64).view(np.uint64))
+    toxic = F.coalesce((F.col("bad") >= MIN_COUNT) & (F.col("bad") > expected) & (g >= MIN_G), F.lit(False))
+    rows = counts.withColumn("toxic", F.when(F.col("bad") > 0, toxic).otherwise(False)).where("word OR toxic").select("term", "toxic").toPandas()
+    term = rows["term"].to_numpy(np.int64).view(np.uint64)  # at most SAMPLE * EXAMPLE_BYTES bytes of words
+    order = np.argsort(term)
+    return term[order], np.where(rows["toxic"].to_numpy(bool)[order], BOOST, 1.0)
 
 
 def inverse_frequencies(docs: DataFrame, vocab: np.ndarray, text_col: str) -> np.ndarray:
@@ -113,10 +137,10 @@ def inverse_frequencies(docs: DataFrame, vocab: np.ndarray, text_col: str) -> np
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], ["term", "n"])
 
-    rows = docs.select(text_col).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row per term
-    held = {r.term: r.n for r in rows}
-    df = np.array([held.get(i, 0) for i in range(len(vocab))])
-    return np.log((held.get(-1, 0) + 1) / (df + 1)) + 1
+    rows = docs.select(text_col).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # a row per term
+    df = np.zeros(len(vocab) + 1, np.int64)
+    df[rows["term"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)  # (-1: the documents)
+    return np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
 
 
 def vectors(b: W.Bytes, vocab: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +153,11 @@ def vectors(b: W.Bytes, vocab: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray,
 
 
 class BlockMaxIndex:
-    """Inverted lists of the examples' vectors, with each block's largest weight per term."""
+    """Inverted lists of the examples' vectors, block by block, with each block's largest weight per term.
+
+    The list of a term that more than one in FREQUENT examples have is an array
+    over all examples; so documents meet these lists by one matrix product.
+    """
 
     def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, ids: np.ndarray, y: np.ndarray, terms_: int):
         # examples of the same strongest term lie together, which makes bounds tight
@@ -141,32 +169,53 @@ class BlockMaxIndex:
         self.ids, self.y = np.empty_like(ids), np.empty_like(y)
         self.ids[rank], self.y[rank] = ids, y
         example = rank[example]
-        order = np.lexsort((example, term))
-        self.example, self.weight = example[order], weight[order]
-        self.begin = np.searchsorted(term[order], np.arange(terms_ + 1))
-        self.blocks = -(-len(ids) // BLOCK)
+        self.block = BLOCK
+        self.terms, self.blocks = terms_, -(-len(ids) // BLOCK)
+        many = np.flatnonzero(np.bincount(term, minlength=terms_) * FREQUENT > len(ids))
+        self.row = np.full(terms_, -1)
+        self.row[many] = np.arange(len(many))
+        often = self.row[term] >= 0
+        self.dense = np.zeros((len(many), self.blocks * BLOCK))
+        self.dense[self.row[term[often]], example[often]] = weight[often]
+        example, term, weight = example[~often], term[~often], weight[~often]
+        block = example // BLOCK
+        order = np.lexsort((example, term, block))
+        self.place, self.weight = (example[order] % BLOCK).astype(np.int32), weight[order]
+        key = block[order] * terms_ + term[order]
+        self.begin = np.searchsorted(key, np.arange(self.blocks * terms_ + 1)).astype(np.int32)
         self.most = np.zeros((terms_, self.blocks), np.float32)
-        np.maximum.at(self.most, (term[order], self.example // BLOCK), np.nextafter(self.weight, 2).astype(np.float32) * np.float32(1 + 1e-6))
+        np.maximum.at(self.most, (term, block), np.nextafter(weight, 2).astype(np.float32) * np.float32(1 + 1e-6))
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+    def partial(self, texts: int, d: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Per text and example the part of their cosine that is due to frequent terms."""
+        row = self.row[term]
+        often = row >= 0
+        own = np.zeros((texts, len(self.dense)))
+        own[d[often], row[often]] = weight[often]
+        return own @ self.dense
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS, partial: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples and their cosines; ties to the earlier example."""
-        bound = weight @ self.most[term]
-        order = np.argsort(-bound, kind="stable")
+        if partial is None:
+            partial = self.partial(1, np.zeros(len(term), np.int64), term, weight)[0]
+        rare = self.row[term] < 0
+        term, weight = term[rare], weight[rare]
+        partial = partial.reshape(self.blocks, self.block)
+        bound = partial.max(axis=1) + (weight @ self.most[term]) * (1 + 1e-6) + 1e-9
         best, score = np.zeros(0, np.int64), np.zeros(0)
-        lists = [(self.example[self.begin[t] : self.begin[t + 1]], self.weight[self.begin[t] : self.begin[t + 1]], w) for t, w in zip(term, weight)]
-        width = 4
-        for i in range(0, len(order), width):
-            blocks = order[i : i + width]
-            if bound[blocks[0]] <= 0 or (len(best) == k and bound[blocks[0]] < score[-1]):
+        for block in np.argsort(-bound, kind="stable"):
+            if bound[block] <= 1e-9 or (len(best) == k and bound[block] < score[-1]):
                 break
-            found = np.zeros((len(blocks), BLOCK))
-            for example, own, w in lists:
-                for row, block in enumerate(blocks):
-                    a, z = np.searchsorted(example, (block * BLOCK, (block + 1) * BLOCK))
-                    found[row, example[a:z] - block * BLOCK] += own[a:z] * w
-            at = (blocks[:, None] * BLOCK + np.arange(BLOCK)[None, :]).ravel()
-            found = found.ravel()
-            best, score = np.concatenate([best, at[found > 0]]), np.concatenate([score, found[found > 0]])
+            at = block * self.terms + term
+            first = self.begin[at]
+            size = self.begin[at + 1] - first
+            ends = np.cumsum(size)
+            found = partial[block]
+            if len(ends) and ends[-1]:
+                spot = np.repeat(first - (ends - size), size) + np.arange(ends[-1])
+                found = found + np.bincount(self.place[spot], self.weight[spot] * np.repeat(weight, size), self.block)
+            some = np.flatnonzero(found > (score[-1] * (1 - 1e-12) if len(best) == k else 0))
+            best, score = np.concatenate([best, some + block * self.block]), np.concatenate([score, found[some]])
             keep = np.lexsort((best, -score))[:k]
             best, score = best[keep], score[keep]
         return best, score
@@ -176,37 +225,30 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: Column | None = No
                    rows: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id, held_out, score (0 to 1), predicted, evidence (nearest examples' ids).
 
-    Held-out documents are never examples.  Null and empty texts, and texts
-    without any vocabulary term, have the rate among such examples and no
-    evidence; so has every text if there are no labels of both kinds.
+    Held-out documents and labelled ones above EXAMPLE_BYTES are never examples.
+    Null and empty texts, and texts without any example's word, have the rate among
+    examples without a toxic term and no evidence.  Without labels of both kinds
+    that rate is UNKNOWN_RATE for every text.  Of several labels of an id the
+    largest counts and of rows that repeat an id one is an example; rows to score
+    are independent of each other.  No rows give no rows; very long texts are read
+    whole, one at a time; other columns don't matter.
     """
     ship(docs.sparkSession)
     label = F.col("toxic") if label is None else label
-    examples = save(labelled.sample(docs, labels, label, rows, id_col, text_col), "examples")
-    vocab = vocabulary(examples)
-    idf = inverse_frequencies(docs, vocab, text_col) if len(vocab) else np.zeros(0)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in W.chunks(batch, "text"):
-                d, t, w = vectors(W.texts(part.column(1)), vocab, idf) if len(vocab) else (np.zeros(0, np.int64),) * 3
-                at = np.searchsorted(d, np.arange(part.num_rows + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(t.astype(np.int32))),
-                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(w.astype(float)))], ["id", "y", "term", "weight"])
-
+    fits = docs.where(F.octet_length(text_col) <= EXAMPLE_BYTES)
+    examples = save(labelled.sample(fits, labels, label, rows, id_col, text_col), "examples")
+    vocab, boost = vocabulary(examples)
+    idf = inverse_frequencies(docs, vocab, text_col) * boost if len(vocab) else np.zeros(0)
+    held = examples.orderBy("id").toPandas() if len(vocab) else None  # at most ``rows`` rows of EXAMPLE_BYTES
+    index, base = None, UNKNOWN_RATE
+    if held is not None:
+        y = held["y"].to_numpy(np.int64)
+        example, term, weight = vectors(W.texts(pa.array(held["text"], pa.string())), vocab, idf)
+        plain = np.ones(len(held), bool)
+        plain[example[boost[term] > 1]] = False
+        base = float((y[plain].sum() + 0.1) / (plain.sum() + 1))
+        index = BlockMaxIndex(example, term, weight, held["id"].to_numpy(), y, len(vocab))
     kind = examples.schema["id"].dataType.simpleString()
-    held = examples.mapInArrow(encode, f"id {kind}, y int, term array<int>, weight array<double>")
-    held = held.orderBy("id").toPandas()  # at most ``rows`` rows of vocabulary entries
-    size = held["term"].map(len).to_numpy(int) if len(held) else np.zeros(0, int)
-    none = held["y"].to_numpy()[size == 0] if len(held) else np.zeros(0)
-    base = float((none.sum() + 0.5) / (len(none) + 1)) if len(none) or not len(held) else 0.5
-    full = held[size > 0]
-    index = None
-    if len(full):
-        example = np.repeat(np.arange(len(full)), size[size > 0])
-        index = BlockMaxIndex(example, np.concatenate(full["term"].to_list()).astype(np.int64), np.concatenate(full["weight"].to_list()),
-                              full["id"].to_numpy(), full["y"].to_numpy(), len(vocab))
     shared = docs.sparkSession.sparkContext.broadcast((vocab, idf, index, base))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,11 +259,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: Column | None = No
                 if index is not None:
                     d, t, w = vectors(W.texts(part.column(1)), vocab, idf)
                     at = np.searchsorted(d, np.arange(part.num_rows + 1))
-                    for i in np.flatnonzero(np.diff(at)):
-                        near, cosine = index.nearest(t[at[i] : at[i + 1]], w[at[i] : at[i + 1]])
-                        vote = cosine * cosine
-                        out[i] = (vote @ index.y[near] + BACKGROUND * base) / (vote.sum() + BACKGROUND)
-                        evidence[i] = index.ids[near].tolist()
+                    for low in range(0, part.num_rows, TEXTS):
+                        high = min(low + TEXTS, part.num_rows)
+                        some = slice(at[low], at[high])
+                        partial = index.partial(high - low, d[some] - low, t[some], w[some])
+                        for i in low + np.flatnonzero(np.diff(at[low : high + 1])):
+                            near, cosine = index.nearest(t[at[i] : at[i + 1]], w[at[i] : at[i + 1]], partial=partial[i - low])
+                            vote = cosine * cosine
+                            out[i] = (vote @ index.y[near] + BACKGROUND * base) / (vote.sum() + BACKGROUND)
+                            evidence[i] = index.ids[near].tolist()
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out), pa.array(evidence, pa.list_(pa.int64()))], ["id", "score", "evidence"])
 
     scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"id {kind}, score double, evidence array<long>")

@@ -260,7 +260,7 @@ def test_toxicity_on_held_out_documents(spark):
     assert np.mean([r.predicted == (r.doc_id % 3 == 1) for r in test]) > 0.97
     assert all(not got[i].predicted and got[i].evidence == [] for i in (700, 701, 702, 703))
     assert all(zlib.crc32(str(i).encode()) % 4 != 2 for r in got.values() for i in r.evidence)
-    assert {r.predicted for r in toxicity.score_toxicity(df, labels.limit(0)).collect()} == {1}  # nothing known: 0.5
+    assert {(r.predicted, r.score) for r in toxicity.score_toxicity(df, labels.limit(0)).collect()} == {(0, toxicity.UNKNOWN_RATE)}  # nothing known
     assert toxicity.score_toxicity(df.limit(0), labels).count() == 0
 
 
@@ -278,6 +278,147 @@ def test_block_max_search_is_exact():
         assert dense[index.ids[ids]] @ row == pytest.approx(cosine)
 
 
+def test_toxicity_equals_brute_force(spark, monkeypatch):
+    """Vectors, neighbours and votes of every text, from dictionaries; a copy of an example is its nearest, at cosine 1."""
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    monkeypatch.setattr(toxicity, "FREQUENT", 8)
+    df, labels, docs = rated(spark)
+    rng = random.Random(3)
+    rare = [(1000 + i, " ".join(f"q{chr(97 + i % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}z" for k in range(i % 26, i % 26 + 30))) for i in range(40)]  # words of few examples
+    docs, more = docs + rare, [(i, 1, int(i % 4 == 0)) for i, _ in rare]
+    docs += [(i + 1000, t + " " + rng.choice(("", "!"))) for i, t in rare] + docs[:3] * 2
+    got = {}
+    for r in toxicity.score_toxicity(frame(spark, docs), labels.union(spark.createDataFrame(more, labels.schema))).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    texts = {i: [w.lower() for w in "".join(c if c.isascii() and c.isalpha() else " " for c in t or "").split()] for i, t in docs}
+    y = {i: int(i % 3 == 1) for i in range(600)} | {700: None, 5: int(5 % 3 == 1)} | {i: v for i, _, v in more}
+    examples = sorted(i for i, v in y.items() if v is not None and i in texts and zlib.crc32(str(i).encode()) % 4 != 2)
+    features = lambda words: [(0, w) for w in words] + [(n, w[:n]) for n in (4, 5, 6) for w in words if len(w) > n]
+    count, bad = {}, {}
+    for i in examples:
+        for f in set(features(texts[i])):
+            count[f] = count.get(f, 0) + 1
+            bad[f] = bad.get(f, 0) + y[i]
+    rate = sum(y[i] for i in examples) / len(examples)
+
+    def toxic(f):
+        n, b = count[f], bad[f]
+        if b < toxicity.MIN_COUNT or b <= n * rate:
+            return False
+        return 2 * (b * math.log(b / (n * rate)) + ((n - b) * math.log((n - b) / (n * (1 - rate))) if n > b else 0)) >= toxicity.MIN_G
+
+    boost = {f: toxicity.BOOST if toxic(f) else 1.0 for f in count if f[0] == 0 or toxic(f)}
+    frequency = {}
+    for _, t in docs:
+        for f in set(features([w.lower() for w in "".join(c if c.isascii() and c.isalpha() else " " for c in t or "").split()])):
+            frequency[f] = frequency.get(f, 0) + 1
+
+    def vector(words):
+        tf = {}
+        for f in features(words):
+            if f in boost:
+                tf[f] = tf.get(f, 0) + 1
+        v = {f: (1 + math.log(n)) * (math.log((len(docs) + 1) / (frequency[f] + 1)) + 1) * boost[f] for f, n in tf.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {f: x / norm for f, x in v.items()}
+
+    own = {i: vector(texts[i]) for i in examples}
+    plain = [y[i] for i in examples if not any(boost[f] > 1 for f in own[i])]
+    base = (sum(plain) + 0.1) / (len(plain) + 1)
+    for i, held in got.items():
+        v = vector(texts[i])
+        cosine = {e: sum(x * own[e].get(f, 0) for f, x in v.items()) for e in examples}
+        top = sorted((c for c in cosine.values() if c > 1e-9), reverse=True)[: toxicity.NEIGHBOURS]
+        for r in held:
+            assert sorted((cosine[e] for e in r.evidence), reverse=True) == pytest.approx(top)
+            vote = sum(cosine[e] ** 2 * y[e] for e in r.evidence)
+            assert r.score == pytest.approx((vote + toxicity.BACKGROUND * base) / (sum(c * c for c in top) + toxicity.BACKGROUND))
+            if i >= 2000 and i - 1000 in own:
+                assert cosine[r.evidence[0]] == pytest.approx(1)
+
+
+def test_labelled_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 50}") for i in range(500)] + [(2, None), (2, "b"), (3, "c")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (3, 1), (4, 1), (None, 1)], "doc_id long, toxic int")
+    rows = labelled.sample(docs, labels, labels.toxic, 10, exclude_held_out=False).collect()
+    assert sorted(r.id for r in rows) == [1, 2, 3] and {r.y for r in rows} == {1}
+    assert rows_of(labelled.sample(docs.repartition(7), labels, labels.toxic, 10, exclude_held_out=False), "id", "text") == sorted(((r.id, r.text) for r in rows), key=repr)
+
+
+def test_ordinal_model_against_numbers():
+    """The likelihood's gradient, row by row, against differences of the likelihood."""
+    rng = np.random.default_rng(4)
+    weights, cuts = rng.normal(size=6), np.array([-0.7, 0.9])
+    rows = [(rng.integers(0, 6, 4), rng.random(4), int(rng.integers(0, 3))) for _ in range(12)]
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+
+    def loss(w, c):
+        total = 0.0
+        for index, value, grade in rows:
+            s = sum(w[i] * v for i, v in zip(index, value))
+            tails = [1.0, *[sigmoid(s - t) for t in c], 0.0]
+            total -= math.log(tails[grade] - tails[grade + 1])
+        return total
+
+    model = quality.OrdinalModel(3)
+    model.thresholds = cuts
+    for index, value, _ in rows:
+        s = sum(weights[i] * v for i, v in zip(index, value))
+        assert model.tails(np.array([s]))[0] == pytest.approx([sigmoid(s - t) for t in cuts])
+    # a fitted model is a minimum: no coordinate's derivative points far off, and the likelihood beats a constant's
+    y = np.array([g for _, _, g in rows] * 30)
+    fitted = quality.OrdinalModel(3).fit([r[0] + 10 for r in rows] * 30, [r[1] for r in rows] * 30, y)
+    at = fitted.weights[10:16].astype(float)
+    assert loss(at, fitted.thresholds) < loss(np.zeros(6), np.array([-math.log(2), math.log(2)]))
+
+
+def test_more_languages_than_samples_of_each(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"{chr(97 + i % 20)}{chr(97 + i // 20 % 20)}{rng.choice('xyzw')}{rng.choice('aeiou')}" for _ in range(30)), f"l{i % 60:02d}") for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    chain = language.train(df, "doc_id", "text", "lang", rows=80)
+    assert chain.labels == sorted({r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2})
+
+
+def test_take_delivers_what_the_mix_takes(spark):
+    rows = [(None, f"w{i} x y", "s") for i in range(30)] + [(None, "same same", "s")] * 9 + [(1, "a b c d", "s"), (1, "e f g h", "s"), (1, "a b c d", None)]
+    rows += [(10 + i, "u v w x y z", "t") for i in range(30)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string, size string").repartition(5)
+    mixed = mixing.mix(df).collect()
+    want = {}
+    for r in mixed:
+        want[r.source] = want.get(r.source, 0) + r.taken
+        assert r.taken <= 3 * r.size
+    got = {}
+    out = mixing.take(df)
+    assert out.columns == df.columns
+    for r in out.collect():
+        got[r.source] = got.get(r.source, 0) + len(words(r.text))
+    assert got == want and len(mixed) == len(rows)
+    assert {s: math.floor(next(r.target for r in mixed if r.source == s) + 0.5) for s in want} == want
+    # rows without an id lie all over their source's axis
+    many = spark.range(20_000).selectExpr("cast(null as long) as doc_id", "concat('t', id) as text", "'s' as source")
+    placed = mixing.place(many, "doc_id", "text", "source", (1,), 3, 100)
+    assert placed.select("order").distinct().count() == 20_000
+
+
+def test_fillings_come_by_waste_and_leave_none_out():
+    rng = random.Random(8)
+    for _ in range(40):
+        counts = np.zeros(31, np.int64)
+        for _ in range(rng.randrange(1, 7)):
+            counts[rng.randrange(1, 31)] += 1
+        made = list(packing.fillings(counts, 30))
+        pieces = [x for x in range(31) for _ in range(counts[x])]
+        every = {tuple(sorted((p for k, p in enumerate(pieces) if bits >> k & 1), reverse=True)) for bits in range(1 << len(pieces))}
+        assert sorted(made) == sorted(f for f in every if sum(f) <= 30) and [sum(f) for f in made] == sorted(map(sum, made), reverse=True)
+        kept = [f for f in packing.completions(counts, 30) if f is not None]
+        assert all(any(packing.dominates(k, f) for k in kept) for f in made if len(f) <= packing.TESTED)
+    counts = np.zeros(1025, np.int64)
+    counts[[250, 170, 100, 74]] = 1
+    assert next(packing.fillings(counts, 424)) == (250, 100, 74)
+
+
 def spoken(rng, lang, n):
     stems = {"a": ("keit", "ung", "sch", "ver"), "b": ("tion", "ing", "the", "ly"), "c": ("ado", "ción", "que", "los")}[lang]
     return " ".join("".join(rng.choice(stems) for _ in range(rng.randrange(1, 4))) for _ in range(n))
