@@ -37,7 +37,7 @@ PREFIXES = (4, 5, 6)
 NEIGHBOURS = 15
 BLOCK = 512
 #: A term of more than one in so many examples is frequent; and texts that are scored at once.
-FREQUENT = 32
+FREQUENT = 16
 TEXTS = 64
 #: Weight of the background rate against one neighbour of cosine 1, and that rate if nothing is known.
 BACKGROUND = 0.05
@@ -50,33 +50,34 @@ _sieves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _sieve(wanted: np.ndarray) -> np.ndarray:
-    """Which beginnings of hashes occur among the wanted ones; kept for the last array asked for."""
+    """Which beginnings of hashes occur among the wanted ones; kept for the last arrays asked for."""
     if id(wanted) not in _sieves:
-        _sieves.clear()
+        if len(_sieves) > 1:
+            _sieves.clear()
         held = np.zeros(1 << SIEVE_BITS, bool)
         held[wanted >> np.uint64(64 - SIEVE_BITS)] = True
         _sieves[id(wanted)] = wanted, held
     return _sieves[id(wanted)][1]
 
 
-def terms(b: W.Bytes, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Term hashes of all texts, and each one's text; only hashes in ``wanted`` (sorted) if given."""
+def terms(b: W.Bytes, wanted: np.ndarray | None = None, beginnings: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Term hashes of all texts, and each one's text; only words in ``wanted`` and parts in ``beginnings`` (both sorted) if given."""
     b = b.lower_ascii()
     starts, ends, first = W.runs(W.is_letter(b.data), b.offsets)
     prefix, doc = b.prefix_hashes(), W.owners(first)
-    sieve = None if wanted is None else _sieve(wanted)
     found, owner = [], []
     for width in (0, *PREFIXES):
         some = slice(None) if not width else np.flatnonzero(ends - starts > width)
         s = starts[some]
         h = W.span_hashes(prefix, s, s + width if width else ends) ^ np.uint64(width)
         d = doc[some]
-        if sieve is not None:
-            keep = np.flatnonzero(sieve[h >> np.uint64(64 - SIEVE_BITS)])
-            h, d = h[keep], d[keep]
-            at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
-            keep = wanted[at] == h
+        known = beginnings if width else wanted
+        if known is not None:
+            keep = np.flatnonzero(_sieve(known)[h >> np.uint64(64 - SIEVE_BITS)])
             h, d = h[keep], d[keep]
+            if len(h):
+                keep = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+                h, d = h[keep], d[keep]
         found.append(h)
         owner.append(d)
     return np.concatenate(found), np.concatenate(owner)
@@ -106,11 +107,11 @@ def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 ["term", "n", "bad", "word"])
 
 
-def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the examples' words, and of the beginnings that go with toxicity; and each one's boost."""
+def vocabulary(examples: DataFrame) -> Vocabulary:
+    """The examples' words, and the beginnings of words that go with toxicity; empty without examples of both kinds."""
     n, bad = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not bad or bad == n:
-        return np.zeros(0, np.uint64), np.zeros(0)
+        return Vocabulary(np.zeros(0, np.uint64), np.zeros(0))
     counts = examples.select("text", "y").mapInArrow(_label_counts, "term long, n long, bad long, word boolean")
     counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.max("word").alias("word"))
     rate = bad / n
@@ -121,10 +122,37 @@ def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     rows = counts.withColumn("toxic", F.when(F.col("bad") > 0, toxic).otherwise(False)).where("word OR toxic").select("term", "toxic").toPandas()
     term = rows["term"].to_numpy(np.int64).view(np.uint64)  # at most SAMPLE * EXAMPLE_BYTES bytes of words
     order = np.argsort(term)
-    return term[order], np.where(rows["toxic"].to_numpy(bool)[order], BOOST, 1.0)
+    return Vocabulary(term[order], np.where(rows["toxic"].to_numpy(bool)[order], BOOST, 1.0))
+
+
+class Vocabulary:
+    """Sorted term hashes, which of them go with toxicity, and the weight of each (inverse document frequency and boost)."""
+
+    def __init__(self, term: np.ndarray, boost: np.ndarray):
+        self.term, self.boost = term, boost
+        self.toxic = term[boost > 1]
+        self.weight = boost
+
+    def __len__(self) -> int:
+        return len(self.term)
 
+    def counts(self, b: W.Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term number and count of the terms of each text, in order."""
+        h, d = terms(b, self.term, self.toxic)
+        size = max(len(self), 1)
+        key = np.sort(d * size + np.searchsorted(self.term, h))
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        return key[at] // size, key[at] % size, np.diff(np.append(at, len(key)))
 
-def inverse_frequencies(docs: DataFrame, vocab: np.ndarray, text_col: str) -> np.ndarray:
+    def vectors(self, b: W.Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term number and weight of each non-zero entry of the unit TF-IDF vectors, in order."""
+        d, at, tf = self.counts(b)
+        w = (1 + np.log(tf)) * self.weight[at]
+        norm = np.sqrt(np.bincount(d, w * w, len(b)))
+        return d, at, w / norm[d]
+
+
+def inverse_frequencies(docs: DataFrame, vocab: Vocabulary, text_col: str) -> np.ndarray:
     """Inverse document frequencies of the vocabulary over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,8 +160,7 @@ def inverse_frequencies(docs: DataFrame, vocab: np.ndarray, text_col: str) -> np
         for batch in batches:
             n += batch.num_rows
             for part in W.chunks(batch, text_col):
-                _, h, _ = _distinct(*terms(W.texts(part.column(0)), vocab))
-                total += np.bincount(np.searchsorted(vocab, h), minlength=len(vocab))
+                total += np.bincount(vocab.counts(W.texts(part.column(0)))[1], minlength=len(vocab))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], ["term", "n"])
 
@@ -143,15 +170,6 @@ def inverse_frequencies(docs: DataFrame, vocab: np.ndarray, text_col: str) -> np
     return np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
 
 
-def vectors(b: W.Bytes, vocab: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, term index and weight of each non-zero entry of the unit TF-IDF vectors, in order."""
-    d, h, tf = _distinct(*terms(b, vocab))
-    at = np.searchsorted(vocab, h)
-    w = (1 + np.log(tf)) * idf[at]
-    norm = np.sqrt(np.bincount(d, w * w, len(b)))
-    return d, at, w / norm[d]
-
-
 class BlockMaxIndex:
     """Inverted lists of the examples' vectors, block by block, with each block's largest weight per term.
 
@@ -237,27 +255,31 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: Column | None = No
     label = F.col("toxic") if label is None else label
     fits = docs.where(F.octet_length(text_col) <= EXAMPLE_BYTES)
     examples = save(labelled.sample(fits, labels, label, rows, id_col, text_col), "examples")
-    vocab, boost = vocabulary(examples)
-    idf = inverse_frequencies(docs, vocab, text_col) * boost if len(vocab) else np.zeros(0)
-    held = examples.orderBy("id").toPandas() if len(vocab) else None  # at most ``rows`` rows of EXAMPLE_BYTES
+    vocab = vocabulary(examples)
     index, base = None, UNKNOWN_RATE
-    if held is not None:
-        y = held["y"].to_numpy(np.int64)
-        example, term, weight = vectors(W.texts(pa.array(held["text"], pa.string())), vocab, idf)
-        plain = np.ones(len(held), bool)
-        plain[example[boost[term] > 1]] = False
+    if len(vocab):
+        vocab.weight = inverse_frequencies(docs, vocab, text_col) * vocab.boost
+        held = examples.orderBy("id").toArrow().combine_chunks().to_batches()[0]  # at most ``rows`` rows of EXAMPLE_BYTES
+        y, parts, done = np.asarray(held["y"]).astype(np.int64), [], 0
+        for part in W.chunks(held, "text"):
+            d, t, w = vocab.vectors(W.texts(part["text"]))
+            parts.append((d + done, t, w))
+            done += part.num_rows
+        example, term, weight = (np.concatenate(c) for c in zip(*parts))
+        plain = np.ones(len(y), bool)
+        plain[example[vocab.boost[term] > 1]] = False
         base = float((y[plain].sum() + 0.1) / (plain.sum() + 1))
-        index = BlockMaxIndex(example, term, weight, held["id"].to_numpy(), y, len(vocab))
+        index = BlockMaxIndex(example, term, weight, np.asarray(held["id"]), y, len(vocab))
     kind = examples.schema["id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, idf, index, base))
+    shared = docs.sparkSession.sparkContext.broadcast((vocab, index, base))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, idf, index, base = shared.value
+        vocab, index, base = shared.value
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 out, evidence = np.full(part.num_rows, base), [[] for _ in range(part.num_rows)]
                 if index is not None:
-                    d, t, w = vectors(W.texts(part.column(1)), vocab, idf)
+                    d, t, w = vocab.vectors(W.texts(part.column(1)))
                     at = np.searchsorted(d, np.arange(part.num_rows + 1))
                     for low in range(0, part.num_rows, TEXTS):
                         high = min(low + TEXTS, part.num_rows)
