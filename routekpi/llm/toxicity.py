@@ -32,7 +32,7 @@ from routekpi.llm.scratch import save, ship
 SAMPLE = 4096
 EXAMPLE_BYTES = 1 << 16
 #: Least G statistic and count among toxic examples of a term that goes with toxicity, and its weight.
-MIN_G, MIN_COUNT, BOOST = 30.0, 5, 16.0
+MIN_G, MIN_COUNT, BOOST = 30.0, 5, 8.0
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 15
 BLOCK = 512
