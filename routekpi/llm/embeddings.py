@@ -5,10 +5,11 @@ centre is coded by one of 256 codes in each of 8 subspaces.  Every vector visits
 each cell that may hold a vector of cosine ``min_cosine`` or more to it: the
 triangle inequality with the cell's stored least and largest member distance, and
 the distance to the plane between its own centre and the cell's, rule out only
-cells that can't.  There, table lookups give its distance to the coded members; a
-member's own coding error widens the limit (triangle inequality again), and what
-passes is settled by the exact cosine in double precision.  So no link is lost;
-vectors without structure visit every cell, and the search is all pairs.
+cells that can't.  There, lookups in its table of products with the codes (one for
+all cells, as a residual's product needs no centre) give its product with the coded
+members.  A member knows the least product that a link leaves it with, given its own
+coding error; what passes is settled by the exact cosine in double precision.  So no
+link is lost; vectors without structure visit every cell, and the search is all pairs.
 
 Equal vectors are one class from the start.  Of two cells the one of the larger
 number visits the other.  Cells are taken in groups, whose members and visitors
@@ -43,6 +44,8 @@ SUBSPACES, CODES = 8, 256
 SAMPLE = 16_384
 ROUNDS = 8
 MEMBERS, VISITORS = 4096, 2048  # of one block
+#: Visitors and members whose products are looked up at once.
+STEP = 256
 #: Slack of the bounds for rounding.
 SLACK = 1e-6
 
@@ -77,11 +80,28 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(items), np.float64).reshape(len(items), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """The vectors times powers of two: largest components of 0.5 to 1, so no square overflows and no digit changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the squares
+    x = _scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def least_product(along: np.ndarray, across: np.ndarray, min_cosine: float) -> np.ndarray:
+    """The least product with a coded vector that a unit vector of the cosine to the vector itself can have.
+
+    ``along`` is the code's product with its vector, ``across`` the length of what the
+    code has beside it.  At cosine c the product is at least c * along -
+    sqrt(1 - c * c) * across, which is convex in c.
+    """
+    length = np.hypot(along, across)
+    c = np.clip(-along / np.where(length > 0, length, 1.0), min_cosine, 1.0)
+    return c * along - np.sqrt(1.0 - c * c) * across
+
+
 def _nearest(x: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
     """Indices of the k nearest centres, nearest first; ties to the smaller index."""
     score = (centres * centres).sum(axis=1)[None, :] - 2 * (x @ centres.T)
@@ -121,24 +141,37 @@ class Index:
         padded[:, : x.shape[1]] = x
         return padded.reshape(len(x), SUBSPACES, width)
 
-    def encode(self, x: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the residuals and their coding errors."""
+    def encode(self, x: np.ndarray, cell: np.ndarray, min_cosine: float) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the residuals, and the least product with the coded vector that a link can have."""
         rest = self.split(x - self.centres[cell])
         codes = np.zeros((len(x), SUBSPACES), np.uint8)
-        error = np.zeros(len(x))
+        near = np.zeros_like(rest)
         for s, book in enumerate(self.books):
             codes[:, s] = _nearest(rest[:, s], book, 1)[:, 0]
-            error += ((rest[:, s] - book[codes[:, s]]) ** 2).sum(axis=1)
-        return codes, np.sqrt(error)
+            near[:, s] = book[codes[:, s]]
+        coded = self.centres[cell] + near.reshape(len(x), -1)[:, : x.shape[1]]
+        along = (x * coded).sum(axis=1)
+        across = np.sqrt(((coded - along[:, None] * x) ** 2).sum(axis=1))
+        return codes, least_product(along, across, min_cosine)
 
-    def distances(self, x: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
-        """Squared distances of raw unit vectors to coded members of a cell, by table lookups."""
-        rest = self.split(x - self.centres[cell])
-        out = np.zeros((len(x), len(codes)))
-        for s, book in enumerate(self.books):
-            table = (rest[:, s] ** 2).sum(axis=1)[:, None] + (book * book).sum(axis=1)[None, :] - 2 * (rest[:, s] @ book.T)
-            out += table[:, codes[:, s]]
-        return out
+    def tables(self, x: np.ndarray) -> list[np.ndarray]:
+        """Per subspace the products of each code (rows) with each vector."""
+        parts = self.split(x).astype(np.float32)
+        return [book.astype(np.float32) @ parts[:, s].T for s, book in enumerate(self.books)]
+
+    def slack(self) -> float:
+        """More than the rounding of products that are looked up in single precision."""
+        return SLACK + 4 * (self.books[0].shape[1] + 16) * float(np.finfo(np.float32).eps)
+
+
+def looked_up(tables: list[np.ndarray], codes: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Products of coded members (rows) with the tables' vectors: ``start`` of each vector plus the codes' products."""
+    out = np.take(tables[0], codes[:, 0], axis=0)
+    out += start.astype(np.float32)
+    more = np.empty_like(out)
+    for s in range(1, SUBSPACES):
+        out += np.take(tables[s], codes[:, s], axis=0, out=more, mode="clip")
+    return out
 
 
 class Indexes:
@@ -180,19 +213,19 @@ def _by_dim(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, pa.RecordBa
             yield int(dim), rows.slice(at, size)
 
 
-def _encode(indexes: Broadcast):
+def _encode(indexes: Broadcast, min_cosine: float):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, part in _by_dim(batch, 1024):
                 x = _unit(_matrix(part["vec"]))
                 index = indexes.value.of[dim]
                 cell = _nearest(x, index.centres, 1)[:, 0]
-                codes, error = index.encode(x, cell)
+                codes, need = index.encode(x, cell, min_cosine)
                 away = np.sqrt(((x - index.centres[cell]) ** 2).sum(axis=1))
                 yield pa.RecordBatch.from_arrays(
                     [part["rep"], part["weight"], part["dim"], part["vec"], pa.array((cell + indexes.value.base[dim]).astype(np.int32)),
-                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(away)],
-                    ["rep", "weight", "dim", "vec", "cell", "code", "error", "away"])
+                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(need), pa.array(away)],
+                    ["rep", "weight", "dim", "vec", "cell", "code", "need", "away"])
 
     return encode
 
@@ -202,7 +235,7 @@ def _visit(indexes: Broadcast, min_cosine: float):
     reach = np.sqrt(2 - 2 * min_cosine)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["rep", "weight", "dim", "vec", "cell", "code", "error"]
+        names = ["rep", "weight", "dim", "vec", "cell", "code", "need"]
         for batch in batches:
             for dim, part in _by_dim(batch, 1024):
                 index = indexes.value
@@ -237,42 +270,52 @@ def _search(indexes: Broadcast, min_cosine: float):
     """Sorted (group, mblock, vblock) rows to counts and forest links of their vectors."""
     reach = np.sqrt(2 - 2 * min_cosine)
 
-    def links_of(cell, vec, norm, rep, x, v, m, code, error):
-        """Linked (visitor, member) rows of one cell."""
-        dim = vec.shape[1]
-        apart = indexes.value.of[dim].distances(x, cell - indexes.value.base[dim], code[m])
-        near = apart <= (reach + error[m] + SLACK)[None, :] ** 2
-        near &= rep[v][:, None] != rep[m][None, :]
-        p, q = np.nonzero(near)
-        keep = np.zeros(len(p), bool)
-        for i in range(0, len(p), 8192):
-            a, b = v[p[i : i + 8192]], m[q[i : i + 8192]]
-            keep[i : i + 8192] = (vec[a] * vec[b]).sum(axis=1) / (norm[a] * norm[b]) >= min_cosine
-        return v[p[keep]], m[q[keep]]
-
-    def block(rep, weight, vec, member, code, error, home):
+    def linked(exact, norm, v, m):
+        """Which of the pairs (v, m) are links."""
+        keep = np.zeros(len(v), bool)
+        for i in range(0, len(v), 8192):
+            a, b = v[i : i + 8192], m[i : i + 8192]
+            keep[i : i + 8192] = (exact[a] * exact[b]).sum(axis=1) / (norm[a] * norm[b]) >= min_cosine
+        return keep
+
+    def block(rep, weight, vec, member, code, need, home):
         m, v = np.flatnonzero(member), np.flatnonzero(~member)
         if not len(m) or not len(v):
             return
-        x, norm = _unit(vec[v]), np.sqrt((vec * vec).sum(axis=1))
+        exact, x = _scaled(vec), _unit(vec[v])
+        norm = np.sqrt((exact * exact).sum(axis=1))
         cells = np.unique(home[m])
         may = indexes.value.may_link(x, home[v], cells, reach)
+        index = indexes.value.of[vec.shape[1]]
+        starts = index.centres[cells - indexes.value.base[vec.shape[1]]] @ x.T
+        need = (need - index.slack()).astype(np.float32)
         links = np.zeros(len(rep), np.int64)
         nodes, at = np.unique(rep, return_inverse=True)
         root = np.arange(len(nodes))
-        for i, cell in enumerate(cells):
-            held = m[home[m] == cell]
-            come = np.flatnonzero(may[:, i])
-            for j in range(0, len(come), 512):
-                some = come[j : j + 512]
-                p, q = links_of(int(cell), vec, norm, rep, x[some], v[some], held, code, error)
-                if len(p):
-                    np.add.at(links, p, weight[q])
-                    # of one cell, the member visits too and counts for itself
-                    other = home[p] != cell
-                    np.add.at(links, q[other], weight[p[other]])
-                    own = np.arange(len(nodes))
-                    root = forest(np.concatenate([own, at[p]]), np.concatenate([root, at[q]]), len(nodes))
+        for j in range(0, len(v), STEP):
+            tables, pairs = index.tables(x[j : j + STEP]), []
+            for i, cell in enumerate(cells):
+                come = np.flatnonzero(may[j : j + STEP, i])
+                if not len(come):
+                    continue
+                some = tables if len(come) == len(tables[0][0]) else [t[:, come] for t in tables]
+                held = m[home[m] == cell]
+                for k in range(0, len(held), STEP):
+                    q = held[k : k + STEP]
+                    b, a = np.nonzero(looked_up(some, code[q], starts[i, j + come]) >= need[q, None])
+                    p, q = v[j + come[a]], q[b]
+                    pairs.append((p[rep[p] != rep[q]], q[rep[p] != rep[q]]))
+            if pairs:
+                p, q = (np.concatenate(z) for z in zip(*pairs))
+                keep = linked(exact, norm, p, q)
+                p, q = p[keep], q[keep]
+            if pairs and len(p):
+                np.add.at(links, p, weight[q])
+                # of one cell, the member visits too and counts for itself
+                other = home[p] != home[q]
+                np.add.at(links, q[other], weight[p[other]])
+                own = np.arange(len(nodes))
+                root = forest(np.concatenate([own, at[p]]), np.concatenate([root, at[q]]), len(nodes))
         root = nodes[root[at]]
         some = (links > 0) | (root != rep)
         yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(links[some]), pa.array(root[some])], ["rep", "links", "root"])
@@ -283,7 +326,7 @@ def _search(indexes: Broadcast, min_cosine: float):
                 t = table.slice(int(begin), int(end - begin))
                 yield from block(
                     np.asarray(t["rep"]), np.asarray(t["weight"]), _matrix(t["vec"]), np.asarray(t["member"]),
-                    np.frombuffer(b"".join(t["code"].to_pylist()), np.uint8).reshape(-1, SUBSPACES), np.asarray(t["error"]), np.asarray(t["home"]))
+                    np.frombuffer(b"".join(t["code"].to_pylist()), np.uint8).reshape(-1, SUBSPACES), np.asarray(t["need"]), np.asarray(t["home"]))
 
     return search
 
@@ -320,17 +363,17 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
         cells = {d: max(1, min(MAX_CELLS, counts[d] // cell_size, len(x) // 4)) for d, x in samples.items()}
         plain = Indexes(samples, cells)
         index = spark.sparkContext.broadcast(plain)
-        coded = save(reps.mapInArrow(_encode(index), "rep long, weight long, dim long, vec binary, cell int, code binary, error double, away double"), "coded")
+        coded = save(reps.mapInArrow(_encode(index, min_cosine), "rep long, weight long, dim long, vec binary, cell int, code binary, need double, away double"), "coded")
         spans = coded.groupBy("cell").agg(F.min("away").alias("least"), F.max("away").alias("most")).toPandas()  # a row per cell
         plain.measure(spans["cell"].to_numpy(), spans["least"].to_numpy(), spans["most"].to_numpy())
         index = spark.sparkContext.broadcast(plain)
-        coded = save(coded.mapInArrow(_visit(index, min_cosine), "rep long, weight long, dim long, vec binary, cell int, code binary, error double, visits array<int>"), "visits")
+        coded = save(coded.mapInArrow(_visit(index, min_cosine), "rep long, weight long, dim long, vec binary, cell int, code binary, need double, visits array<int>"), "visits")
 
         coded = coded.withColumnRenamed("cell", "home").withColumn("own", F.floor(F.col("home") / plain.group).cast("int"))
         sizes = coded.groupBy("own").agg(F.count(F.lit(1)).alias("m")).select(F.col("own").alias("at"), F.ceil(F.col("m") / MEMBERS).alias("mblocks"))
         loads = coded.select(F.explode("visits").alias("at")).groupBy("at").agg(F.ceil(F.count(F.lit(1)) / VISITORS).alias("vblocks"))
         plan = save(sizes.join(loads, "at"), "blocks")
-        columns = ["at", "mblock", "vblock", "rep", "weight", "vec", "code", "error", "home", "member"]
+        columns = ["at", "mblock", "vblock", "rep", "weight", "vec", "code", "need", "home", "member"]
         spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
         members = coded.join(F.broadcast(plan), F.col("own") == F.col("at"))  # a row per group
         members = members.withColumn("mblock", F.pmod(F.xxhash64("rep"), F.col("mblocks"))).withColumn("vblock", spread("vblocks")).withColumn("member", F.lit(True))

@@ -141,6 +141,31 @@ def test_embeddings_of_each_dimension_link_among_themselves(spark, monkeypatch):
     assert got == {i: (1, i % 20) for i in range(40)} | {40 + i: (1, 40 + i % 3) for i in range(6)} | {46: (0, 46)}
 
 
+def test_embeddings_of_huge_and_tiny_values_link(spark):
+    near = np.array([[1.0, 0.0, 0.2, 0.0], [1.0, 0.1, 0.2, 0.0]])
+    rows = [(v * scale).tolist() for scale in (1e160, 1e-170, 1.0) for v in near]
+    rows += [[-1e308, 1e308, 0.0, 5.0], [5e-324, 0.0, 0.0, 0.0]]  # the last one is subnormal and links with the near ones
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>").repartition(2)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()}
+    assert got == {i: (6, 0) for i in range(6)} | {6: (0, 6), 7: (6, 0)}
+
+
+def test_coded_products_leave_every_link(spark):
+    rng = np.random.default_rng(33)
+    for dim, noise in ((3, 0.4), (8, 0.15), (21, 0.1)):
+        base = rng.normal(size=(200, dim))
+        x = embeddings._unit(np.concatenate([base, base + noise * rng.normal(size=base.shape)]))
+        index = embeddings.Index(x[::5], 6)
+        cell = embeddings._nearest(x, index.centres, 1)[:, 0]
+        for min_cosine in (-0.5, 0.0, 0.5, 0.9, 1.0):
+            codes, need = index.encode(x, cell, min_cosine)
+            tables = index.tables(x)
+            for c in range(6):
+                held = np.flatnonzero(cell == c)
+                passed = embeddings.looked_up(tables, codes[held], x @ index.centres[c]) >= (need[held] - index.slack())[:, None]
+                assert passed[(x @ x[held].T >= min_cosine).T].all()
+
+
 @needs_data
 def test_embedding_recall_on_the_given_table(spark):
     sf = "/root/testdata/sf0.1" if os.path.isdir("/root/testdata/sf0.1") else SF
