@@ -295,14 +295,18 @@ def _search(indexes: Broadcast, min_cosine: float):
         for j in range(0, len(v), STEP):
             tables, pairs = index.tables(x[j : j + STEP]), []
             for i, cell in enumerate(cells):
-                come = np.flatnonzero(may[j : j + STEP, i])
+                asked = may[j : j + STEP, i]
+                come = np.flatnonzero(asked)
                 if not len(come):
                     continue
-                some = tables if len(come) == len(tables[0][0]) else [t[:, come] for t in tables]
+                if 4 * len(come) > len(asked):  # cheaper to look all up than to copy columns
+                    some, come = tables, np.arange(len(asked))
+                else:
+                    some = [np.take(t, come, axis=1) for t in tables]
                 held = m[home[m] == cell]
                 for k in range(0, len(held), STEP):
                     q = held[k : k + STEP]
-                    b, a = np.nonzero(looked_up(some, code[q], starts[i, j + come]) >= need[q, None])
+                    b, a = np.nonzero((looked_up(some, code[q], starts[i, j + come]) >= need[q, None]) & asked[come])
                     p, q = v[j + come[a]], q[b]
                     pairs.append((p[rep[p] != rep[q]], q[rep[p] != rep[q]]))
             if pairs:
