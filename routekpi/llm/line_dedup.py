@@ -43,6 +43,8 @@ MAPS = 4
 LAST_ID = (1 << 63) - 1
 #: Words of more lines than this meet by length class.
 COMMON = 4096
+#: Entries of a key that each entry is met with at least; beyond, those with ENOUGH earlier partners rest.
+CLOSE, ENOUGH = 64, 3
 #: Bits of a word's hash that are kept.
 WORD_BITS = 44
 
@@ -282,6 +284,8 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
 
     A row of a key gives its earliest and its most alike partner; ``more`` says
     that it has others.  With ``wanted``, a filter of classes, those get them all.
+    An entry that has ENOUGH earlier partners meets no others beyond the CLOSE
+    nearest of its key but those that still lack them; ``more`` is true for it.
     Only entries of one key within the length filter are held at a time.
     """
 
@@ -293,6 +297,7 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             now = {c: np.asarray(batch[c]) for c in ("key", "f", "id", "number")}
             meta = np.asarray(batch["meta"])
             now |= {"n": meta >> 32, "pos": (meta & 0xFFFFFFFF) >> 1, "low": meta & 1}
+            now["done"] = np.zeros(len(meta), bool)  # ENOUGH partners in an earlier batch, which said so
             now["maps"] = np.stack([np.asarray(batch[f"m{k}"]).view(np.uint64) for k in range(MAPS)], axis=1)
             order = np.lexsort((now["number"], now["id"], now["f"], now["n"], _runs(now["key"])))
             now = {c: v[order] for c, v in now.items()}
@@ -308,12 +313,13 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             n = now["n"]
             asked = None if wanted is None else bloom.holds(wanted.value, f)
             early, alike, partners, all_found = _Best(len(f)), _Best(len(f)), np.zeros(len(f), np.int64), []
-            j, step = np.arange(first, len(f)), 1
-            while len(j):
-                j = j[j >= step]
-                i = j - step
-                near = (key[i] == key[j]) & (100 * n[i] >= min_percent * n[j])
-                i, j = i[near], j[near]  # lengths grow within a key, so who fails now fails from here on
+            done = now["done"]
+
+            def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+                return (key[i] == key[j]) & (100 * n[i] >= min_percent * n[j])
+
+            def compare(i: np.ndarray, j: np.ndarray) -> None:
+                """Takes up the pairs; neither side holds a row twice."""
                 need = -(-(n[i] + n[j]) * min_percent // (100 + min_percent))  # words that must be shared
                 most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
                 ok = np.flatnonzero((most >= need) & ((low[i] & low[j]) == 0))
@@ -332,7 +338,26 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
                         partners[a] += 1
                         early.offer(a, np.stack([ids[b], number[b].astype(np.int64)], axis=1), b)
                         alike.offer(a, np.stack([differing[some], ids[b]], axis=1), b)
+
+            j, step = np.arange(first, len(f)), 1
+            while len(j) and step <= CLOSE:
+                j = j[j >= step]
+                j = j[close(j - step, j)]  # lengths grow within a key, so who fails now fails from here on
+                compare(j - step, j)
+                step += 1
+            wanting = asked if asked is not None else ~done & (partners < ENOUGH)
+            below, above = (j[wanting[j]], np.flatnonzero(wanting)) if len(j) else (j, j)
+            while len(below) or len(above):
+                below, above = below[below >= step], above[above + step < len(f)]
+                below, above = below[close(below - step, below)], above[close(above, above + step)]
+                up = above[(above + step >= first) & ~wanting[above + step]]  # other pairs are met from the other end
+                compare(np.concatenate([below - step, up]), np.concatenate([below, up + step]))
+                if asked is None:
+                    wanting = ~done & (partners < ENOUGH)
+                    below, above = below[wanting[below]], above[wanting[above]]
                 step += 1
+            if asked is None:
+                done |= partners >= ENOUGH
             if asked is not None:
                 a, b = (np.concatenate(v) for v in zip(*all_found)) if all_found else (f[:0], f[:0])
                 more = np.zeros(len(a), bool)

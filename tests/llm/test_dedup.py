@@ -1,8 +1,10 @@
 """Exact, near, substring and line dedup against plain Python, on every awkward case."""
 
 import random
+from types import SimpleNamespace as Some
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from routekpi.llm import exact_dedup, line_dedup, near_dedup, substrings
@@ -191,6 +193,34 @@ def test_lines_similar_not_equal(spark):
     assert rows_of(line_dedup.dedup_lines(frame(spark, rows)), "doc_id", "n_lines", "n_removed", "kept_sha256") == want
 
 
+@pytest.mark.parametrize("close, batch", [(1, 7), (2, 1000)])
+def test_met_entries_of_one_key(monkeypatch, close, batch):
+    """Sets of one key: each later one has its pairs, or some of them and the sign that there are more."""
+    rng = np.random.default_rng(close)
+    sets = [np.unique(np.concatenate([np.arange(20 * (i % 3), 20 * (i % 3) + 12), rng.integers(1000, 4000, i % 4)])).astype(np.uint64) for i in range(60)]
+    f, n = np.arange(60) + 500, np.array([len(s) for s in sets])
+    ids = rng.permutation(60)
+    at = np.concatenate([[0], np.cumsum(n)])
+    maps = line_dedup.parity_maps(np.concatenate(sets), at).view(np.int64)
+    order = np.argsort(n, kind="stable")
+    data = {"key": np.ones(60, np.int64), "f": f, "meta": n << 32, "id": ids, "number": np.zeros(60, np.int32)} | {f"m{k}": maps[:, k] for k in range(line_dedup.MAPS)}
+    table = pa.table({c: np.asarray(v)[order] for c, v in data.items()})
+    rows = lambda wanted=None: [r for b in line_dedup._meet(80, wanted)(iter(table.to_batches(batch))) for r in b.to_pylist()]
+    monkeypatch.setattr(line_dedup, "CLOSE", 1000)
+    monkeypatch.setattr(line_dedup.bloom, "holds", lambda _, x: np.ones(len(x), bool) if _ == "all" else x % 2 == 0)
+    every = {(r["a"], r["b"]) for r in rows(Some(value="all"))}
+    monkeypatch.setattr(line_dedup, "CLOSE", close)
+    assert len(every) > 300
+    assert {(r["a"], r["b"]) for r in rows(Some(value="all"))} == every
+    assert {(r["a"], r["b"]) for r in rows(Some(value="even"))} == {(a, b) for a, b in every if a % 2 == 0}
+    tried = rows()
+    pairs = {(r["a"], r["b"]) for r in tried}
+    assert pairs <= every and {a for a, _ in pairs} == {a for a, _ in every}
+    more = {r["a"] for r in tried if r["more"]}
+    assert all(a in more for a, b in every - pairs)
+
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     assert exact_dedup.mark_exact(none).count() == 0
