@@ -11,7 +11,7 @@ Entries meet in one shuffle, sorted by word and length, within a sliding window
 of the length filter; frequent words are split by length.
 
 A meeting pair passes the length filter, the positional filter (words left after
-the shared one) and a bound from 256-bit parity maps of the sets before its full sets
+the shared one) and a bound from 192-bit parity maps of the sets before its full sets
 are compared.  As a line needs one earlier match, not all, an entry proposes its
 earliest and most alike partner; only classes that stay open meet all of theirs.
 So a large group of alike lines costs a few comparisons per line, not one per pair.  A line goes if its class has an earlier line, or if a similar class
@@ -38,7 +38,7 @@ MIN_PERCENT = 80
 COUNTERS = 1 << 22
 SEGMENT = 1 << 16
 #: 64-bit integers of a parity map.
-MAPS = 4
+MAPS = 3
 #: Stands for a null id in the order of places.
 LAST_ID = (1 << 63) - 1
 #: Words of more lines than this meet by length class.
@@ -47,6 +47,10 @@ COMMON = 4096
 CLOSE, ENOUGH = 64, 3
 #: Bits of a word's hash that are kept.
 WORD_BITS = 44
+#: Bits of a line's length beside a key of WORD_BITS; longer lines count as the longest there.
+LENGTH_BITS = 64 - WORD_BITS
+#: Pairs that are compared at once where few entries still look for partners.
+BLOCK = 1 << 16
 
 
 def line_sets(b: W.Bytes) -> dict[str, np.ndarray]:
@@ -78,6 +82,22 @@ def line_sets(b: W.Bytes) -> dict[str, np.ndarray]:
     return {"doc": doc, "number": number[spot] - number[b.offsets[doc]], "set": words, "at": np.append(at, len(words))}
 
 
+def some_lines(b: W.Bytes, ids: np.ndarray, places: Broadcast) -> tuple[W.Bytes, np.ndarray, np.ndarray]:
+    """The lines whose places the filter may hold, each as one text, with their ids and numbers.
+
+    The words of the other lines are never hashed.
+    """
+    ends = np.flatnonzero(b.data == 10) + 1
+    starts = np.sort(np.concatenate([b.offsets[:-1], ends]))  # a line end that closes a document starts an empty line
+    size = np.diff(np.append(starts, len(b.data)))
+    doc = np.searchsorted(b.offsets, starts, side="right") - 1
+    doc, starts, size = (x[size > 0] for x in (doc, starts, size))
+    number = np.searchsorted(ends, starts, side="right") - np.searchsorted(ends, b.offsets[doc], side="right")
+    keep = bloom.holds(places.value, _place_keys(ids[doc], number))
+    inside = np.repeat(keep, size)
+    return W.Bytes(b.data[inside], np.concatenate([[0], np.cumsum(size[keep])])), ids[doc[keep]], number[keep]
+
+
 def class_keys(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A 64-bit sum over each set, its class."""
     total = np.zeros(len(sets) + 1, np.uint64)
@@ -101,16 +121,14 @@ def _profile(narrow: DataFrame) -> DataFrame:
     schema = f"id {kind}, key long, n_lines long, sha string, f array<long>, number array<int>, segment int, counts binary"
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(COUNTERS, np.uint16)
+        sketch = np.zeros(COUNTERS, np.uint32)
         names = ["id", "key", "n_lines", "sha", "f", "number", "segment", "counts"]
         ids = None
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 b = W.texts(part.column(1))
                 lines = line_sets(b)
-                slot, n = np.unique(lines["set"] & np.uint64(COUNTERS - 1), return_counts=True)
-                slot = slot.astype(np.int64)
-                sketch[slot] = np.minimum(sketch[slot].astype(np.int64) + n, 65535)
+                np.add.at(sketch, (lines["set"] & np.uint64(COUNTERS - 1)).astype(np.int64), np.uint32(1))
                 f = class_keys(lines["set"], lines["at"])
                 at = pa.array(np.searchsorted(lines["doc"], np.arange(len(b) + 1)), pa.int32())
                 raw = b.data.tobytes()
@@ -122,7 +140,7 @@ def _profile(narrow: DataFrame) -> DataFrame:
                     [ids, pa.array(key, pa.int64()), pa.array(_line_count(b)), pa.array([s.hexdigest() for s in sha]), *lists,
                      pa.nulls(len(b), pa.int32()), pa.nulls(len(b), pa.binary())], names)
         for k in range(0, COUNTERS, SEGMENT) if ids is not None else ():
-            if (some := sketch[k : k + SEGMENT]).any():
+            if (some := np.minimum(sketch[k : k + SEGMENT], 65535).astype(np.uint16)).any():
                 none = [pa.nulls(1, t) for t in (ids.type, pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays([*none, pa.array([k // SEGMENT], pa.int32()), pa.array([zlib.compress(some.tobytes(), 1)], pa.binary())], names)
 
@@ -192,21 +210,19 @@ def _firsts(f: np.ndarray) -> np.ndarray:
     return np.unique(f, return_index=True)[1]
 
 
-def _place_keys(f: np.ndarray, ids: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """64-bit hashes of a class and a place."""
-    place = W.mix64(ids.view(np.uint64)) + number.astype(np.int64).view(np.uint64)
-    return W.mix64(f.view(np.uint64) ^ W.mix64(place)).view(np.int64)
+def _place_keys(ids: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """64-bit hashes of places."""
+    return W.mix64(W.mix64(ids.view(np.uint64)) + number.astype(np.int64).view(np.uint64)).view(np.int64)
 
 
 def first_places(classes: DataFrame) -> Broadcast:
-    """A filter of all classes with their first places: it lets each first place pass and few others."""
+    """A filter of the first places of classes: it lets each first place pass and few others."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f, ids, number = np.asarray(batch.column(0)), np.asarray(batch.column(1).fill_null(LAST_ID)), np.asarray(batch.column(2))
-            yield pa.RecordBatch.from_arrays([pa.array(_place_keys(f, ids, number))], ["place"])
+            yield pa.RecordBatch.from_arrays([pa.array(_place_keys(np.asarray(batch.column(0).fill_null(LAST_ID)), np.asarray(batch.column(1))))], ["place"])
 
-    places = classes.select("f", "first.id", "first.number").mapInArrow(keys, "place long")
+    places = classes.select("first.id", "first.number").mapInArrow(keys, "place long")
     return bloom.build(places, "place", classes.count(), plane="seen")
 
 
@@ -215,11 +231,17 @@ def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
     return np.floor(np.log(n) / np.log(100 / min_percent) + 1e-9).astype(np.int64)
 
 
+def key_of(at: str):
+    """The key in a column of keys and lengths."""
+    return F.shiftrightunsigned(at, LENGTH_BITS)
+
+
 def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percent: int, wanted: Broadcast | None = None) -> DataFrame:
-    """(key, f, meta, id, number, m0 ..): a row per prefix word of each class, from its first place.
+    """(at, f, meta, id, number, m0 ..): a row per prefix word of each class, from its first place.
 
     Lines that the filter of first places rules out are left out; copies that it
-    lets pass only cost work.  ``meta`` packs the length, the
+    lets pass only cost work.  ``at`` packs the key and the length, so that one integer
+    sorts the entries; ``meta`` packs the whole length, the
     word's position and ``low``, in that order.  Words of more than COMMON lines are split by length class: an entry goes to
     its own class and, as ``low``, to the next one.  ``wanted`` is a filter of keys.
     """
@@ -227,14 +249,10 @@ def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percen
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.chunks(batch, "text"):
-                lines = line_sets(W.texts(part.column(1)))
-                f, number = class_keys(lines["set"], lines["at"]), lines["number"]
-                ids = np.asarray(part.column(0).fill_null(LAST_ID))[lines["doc"]]
-                mine = bloom.holds(firsts.value, _place_keys(f, ids, number))
-                n = np.diff(lines["at"])
-                sets = lines["set"][np.repeat(mine, n)]
-                f, ids, number, n = f[mine], ids[mine], number[mine], n[mine]
-                ends = np.concatenate([[0], np.cumsum(n)])
+                kept, ids, number = some_lines(W.texts(part.column(1)), np.asarray(part.column(0).fill_null(LAST_ID)), firsts)
+                lines = line_sets(kept)
+                sets, ends = lines["set"], lines["at"]
+                f, n, ids, number = class_keys(sets, ends), np.diff(ends), ids[lines["doc"]], number[lines["doc"]]
                 words, at = prefix_words(sets, ends, counts.value, min_percent)
                 line = np.repeat(np.arange(len(f)), np.diff(at))
                 keep = np.flatnonzero(words)
@@ -243,7 +261,7 @@ def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percen
                 common = np.flatnonzero(key >> np.uint64(28) > COMMON)
                 if len(common):
                     own = _length_class(n[line[common]], min_percent).astype(np.uint64)
-                    split = [W.mix64((key[common] << np.uint64(20)) | (own + np.uint64(up))) for up in (0, 1)]
+                    split = [W.mix64((key[common] << np.uint64(LENGTH_BITS)) | (own + np.uint64(up))) >> np.uint64(LENGTH_BITS) for up in (0, 1)]
                     key[common] = split[0]
                     key, line, pos = np.concatenate([key, split[1]]), np.concatenate([line, line[common]]), np.concatenate([pos, pos[common]])
                     low = np.concatenate([low, np.ones(len(common), bool)])
@@ -252,12 +270,13 @@ def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percen
                     key, line, pos, low = key[some], line[some], pos[some], low[some]
                 maps = parity_maps(sets, ends)[line].view(np.int64)
                 meta = (n[line] << 32) | (pos << 1) | low
+                key = (key << np.uint64(LENGTH_BITS)) | np.minimum(n[line], (1 << LENGTH_BITS) - 1).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(f[line]), pa.array(meta), pa.array(ids[line]), pa.array(number[line].astype(np.int32)),
-                     *(pa.array(m) for m in maps.T.copy())], ["key", "f", "meta", "id", "number", *(f"m{k}" for k in range(MAPS))])
+                     *(pa.array(m) for m in maps.T.copy())], ["at", "f", "meta", "id", "number", *(f"m{k}" for k in range(MAPS))])
 
-    schema = "key long, f long, meta long, id long, number int, " + ", ".join(f"m{k} long" for k in range(MAPS))
-    return narrow.select("id", "text").mapInArrow(emit, schema).repartition("key").sortWithinPartitions("key", "meta")
+    schema = "at long, f long, meta long, id long, number int, " + ", ".join(f"m{k} long" for k in range(MAPS))
+    return narrow.select("id", "text").mapInArrow(emit, schema).repartition(key_of("at")).sortWithinPartitions("at")
 
 
 def _runs(key: np.ndarray) -> np.ndarray:
@@ -273,14 +292,16 @@ class _Best:
         self.partner = np.full(rows, -1)
 
     def offer(self, row: np.ndarray, rank: np.ndarray, partner: np.ndarray) -> None:
-        """``row`` holds no row twice."""
+        order = np.lexsort((rank[:, 1], rank[:, 0], row))
+        order = order[np.concatenate([[True], row[order][1:] != row[order][:-1]])] if len(order) else order
+        row, rank, partner = row[order], rank[order], partner[order]
         old = self.rank[row]
         less = (rank[:, 0] < old[:, 0]) | ((rank[:, 0] == old[:, 0]) & (rank[:, 1] < old[:, 1]))
         self.rank[row[less]], self.partner[row[less]] = rank[less], partner[less]
 
 
 def _meet(min_percent: int, wanted: Broadcast | None = None):
-    """Entries sorted by (key, meta) to (a, b, more): class b starts earlier and passes the filters against a.
+    """Entries sorted by (key, length) to (a, b, more): class b starts earlier and passes the filters against a.
 
     A row of a key gives its earliest and its most alike partner; ``more`` says
     that it has others.  With ``wanted``, a filter of classes, those get them all.
@@ -294,7 +315,9 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = {c: np.asarray(batch[c]) for c in ("key", "f", "id", "number")}
+            now = {c: np.asarray(batch[c]) for c in ("f", "id", "number")}
+            at = np.asarray(batch["at"]).view(np.uint64)
+            now |= {"key": at >> np.uint64(LENGTH_BITS), "m": (at & np.uint64((1 << LENGTH_BITS) - 1)).astype(np.int64)}
             meta = np.asarray(batch["meta"])
             now |= {"n": meta >> 32, "pos": (meta & 0xFFFFFFFF) >> 1, "low": meta & 1}
             now["done"] = np.zeros(len(meta), bool)  # ENOUGH partners in an earlier batch, which said so
@@ -310,16 +333,15 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             first = int(new[:first].sum())
             now = {c: v[new] for c, v in now.items()}
             key, f, pos, low, ids, number = (now[c] for c in ("key", "f", "pos", "low", "id", "number"))
-            n = now["n"]
+            n, m = now["n"], now["m"]
             asked = None if wanted is None else bloom.holds(wanted.value, f)
             early, alike, partners, all_found = _Best(len(f)), _Best(len(f)), np.zeros(len(f), np.int64), []
             done = now["done"]
 
             def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-                return (key[i] == key[j]) & (100 * n[i] >= min_percent * n[j])
+                return (key[i] == key[j]) & (100 * m[i] >= min_percent * m[j])
 
             def compare(i: np.ndarray, j: np.ndarray) -> None:
-                """Takes up the pairs; neither side holds a row twice."""
                 need = -(-(n[i] + n[j]) * min_percent // (100 + min_percent))  # words that must be shared
                 most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
                 ok = np.flatnonzero((most >= need) & ((low[i] & low[j]) == 0))
@@ -335,7 +357,7 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
                     if asked is not None:
                         all_found.append((f[a[asked[a]]], f[b[asked[a]]]))
                     elif len(a):
-                        partners[a] += 1
+                        np.add.at(partners, a, 1)
                         early.offer(a, np.stack([ids[b], number[b].astype(np.int64)], axis=1), b)
                         alike.offer(a, np.stack([differing[some], ids[b]], axis=1), b)
 
@@ -350,8 +372,19 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             while len(below) or len(above):
                 below, above = below[below >= step], above[above + step < len(f)]
                 below, above = below[close(below - step, below)], above[close(above, above + step)]
-                up = above[(above + step >= first) & ~wanting[above + step]]  # other pairs are met from the other end
-                compare(np.concatenate([below - step, up]), np.concatenate([below, up + step]))
+                if not len(below) and not len(above):
+                    break
+                width = max(1, BLOCK // (len(below) + len(above)))
+                steps = np.arange(step, step + min(width, len(f)))
+                down, back = np.repeat(below, len(steps)), np.tile(steps, len(below))
+                up, on = np.repeat(above, len(steps)), np.tile(steps, len(above))
+                some, more = down >= back, up + on < len(f)
+                down, back, up, on = down[some], back[some], up[more], on[more]
+                more = (up + on >= first) & ~wanting[up + on]  # other pairs are met from the other end
+                i, j = np.concatenate([down - back, up[more]]), np.concatenate([down, (up + on)[more]])
+                some = close(i, j)
+                compare(i[some], j[some])
+                step += len(steps) - 1
                 if asked is None:
                     wanting = ~done & (partners < ENOUGH)
                     below, above = below[wanting[below]], above[wanting[above]]
@@ -374,26 +407,26 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
                 new = np.ones(len(a), bool)
                 new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(more[new])], ["a", "b", "more"])
-            rest = (key == key[-1]) & (100 * n >= min_percent * n[-1])
+            rest = (key == key[-1]) & (100 * m >= min_percent * m[-1])
             held = {c: v[rest] for c, v in now.items()}
 
     return meet
 
 
-def _sets_of(narrow: DataFrame, filt: Broadcast) -> DataFrame:
-    """(f, set) of the lines whose class may be wanted."""
+def _sets_of(narrow: DataFrame, places: Broadcast, filt: Broadcast) -> DataFrame:
+    """(f, set) of the lines at ``places`` whose class may be wanted."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.chunks(batch, "text"):
-                lines = line_sets(W.texts(part.column(0)))
+                lines = line_sets(some_lines(W.texts(part.column(1)), np.asarray(part.column(0).fill_null(LAST_ID)), places)[0])
                 f = class_keys(lines["set"], lines["at"])
                 own = _firsts(f)
                 some = own[bloom.holds(filt.value, f[own])]
                 data = [lines["set"][lines["at"][i] : lines["at"][i + 1]].tobytes() for i in some]
                 yield pa.RecordBatch.from_arrays([pa.array(f[some]), pa.array(data, pa.binary())], ["f", "set"])
 
-    return narrow.select("text").mapInArrow(emit, "f long, set binary")
+    return narrow.select("id", "text").mapInArrow(emit, "f long, set binary")
 
 
 def _similar(min_percent: int):
@@ -412,16 +445,17 @@ def _similar(min_percent: int):
 
 
 def _verified(narrow: DataFrame, classes: DataFrame, pairs: DataFrame, min_percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b) whose full sets are similar enough, class b starting before class a."""
     wanted = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct()
-    wanted = save(wanted.join(classes.select("f", F.col("first.id").alias("id")), "f"), "wanted")
+    wanted = save(wanted.join(classes.select("f", "first", F.col("first.id").alias("id")), "f"), "wanted")
     size = wanted.count()
     holders = bloom.build(wanted.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen")
     some = narrow.where(bloom.may_hold(holders, F.xxhash64("id")))  # the documents of the classes' first lines
-    sets = _sets_of(some, bloom.build(wanted, "f", size, plane="seen")).join(wanted.select("f"), "f")
+    place = F.struct("first.last", "first.id", "first.number").alias("place")
+    sets = _sets_of(some, first_places(wanted), bloom.build(wanted, "f", size, plane="seen")).join(wanted.select("f", place), "f")
     sets = save(sets.dropDuplicates(["f"]), "sets")
-    left, right = (sets.select(F.col("f").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
-    return save(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_similar(min_percent), "a long, b long"), "similar")
+    left, right = (sets.select(F.col("f").alias(x), F.col("set").alias(f"set_{x}"), F.col("place").alias(f"place_{x}")) for x in "ab")
+    return save(pairs.select("a", "b").join(left, "a").join(right, "b").where("place_b < place_a").select("a", "b", "set_a", "set_b").mapInArrow(_similar(min_percent), "a long, b long"), "similar")
 
 
 def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
@@ -443,7 +477,7 @@ def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_
     asked = bloom.build(open_, "f", size, plane="seen")
     holders = bloom.build(open_.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen")
     keys = _entries(narrow.where(bloom.may_hold(holders, F.xxhash64("id"))), counts, firsts, min_percent).join(open_.select("f"), "f", "left_semi")
-    keys = save(keys.select("key").distinct(), "keys")
+    keys = save(keys.select(key_of("at").alias("key")).distinct(), "keys")
     again = _entries(narrow, counts, firsts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen"))
     pairs = again.mapInArrow(_meet(min_percent, asked), "a long, b long, more boolean").select("a", "b").distinct()
     pairs = save(pairs.join(open_.select(F.col("f").alias("a")), "a", "left_semi").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")

@@ -176,7 +176,10 @@ def test_lines(spark, texts, docs):
     assert all(sha(r.kept_text.encode()) == r.kept_sha256 for r in got.collect())
 
 
-def test_lines_similar_not_equal(spark):
+@pytest.mark.parametrize("setting, value", [("COMMON", 4096), ("COMMON", 2), ("LENGTH_BITS", 4)])
+def test_lines_similar_not_equal(spark, monkeypatch, setting, value):
+    """Also with words that meet by length class, and with lines longer than fit beside a key."""
+    monkeypatch.setattr(line_dedup, setting, value)
     rng = random.Random(8)
     base = [f"l{i}" for i in range(20)]
     rows = []
@@ -193,6 +196,21 @@ def test_lines_similar_not_equal(spark):
     assert rows_of(line_dedup.dedup_lines(frame(spark, rows)), "doc_id", "n_lines", "n_removed", "kept_sha256") == want
 
 
+def test_met_entries_of_one_template():
+    """Many alike lines of one key, in several batches: every one but the first has an earlier partner."""
+    size = 20000
+    rng = np.random.default_rng(3)
+    sets = np.column_stack([np.tile(np.arange(9) + 1, (size, 1)), np.arange(size) + 100]).astype(np.uint64).ravel()
+    maps = line_dedup.parity_maps(sets, np.arange(size + 1) * 10).view(np.int64)
+    ids, f = rng.permutation(size), np.arange(size)
+    data = {"at": np.full(size, (7 << line_dedup.LENGTH_BITS) | 10), "f": f, "meta": np.full(size, 10 << 32), "id": ids, "number": np.zeros(size, np.int32)}
+    table = pa.table(data | {f"m{k}": maps[:, k] for k in range(line_dedup.MAPS)})
+    pairs = [r for b in line_dedup._meet(80)(iter(table.to_batches(3000))) for r in zip(b["a"].to_pylist(), b["b"].to_pylist())]
+    assert all(ids[b] < ids[a] for a, b in pairs)
+    assert {a for a, _ in pairs} == set(f[ids > 0].tolist())
+    assert len(pairs) < 20 * size
+
+
 @pytest.mark.parametrize("close, batch", [(1, 7), (2, 1000)])
 def test_met_entries_of_one_key(monkeypatch, close, batch):
     """Sets of one key: each later one has its pairs, or some of them and the sign that there are more."""
@@ -203,7 +221,7 @@ def test_met_entries_of_one_key(monkeypatch, close, batch):
     at = np.concatenate([[0], np.cumsum(n)])
     maps = line_dedup.parity_maps(np.concatenate(sets), at).view(np.int64)
     order = np.argsort(n, kind="stable")
-    data = {"key": np.ones(60, np.int64), "f": f, "meta": n << 32, "id": ids, "number": np.zeros(60, np.int32)} | {f"m{k}": maps[:, k] for k in range(line_dedup.MAPS)}
+    data = {"at": (1 << line_dedup.LENGTH_BITS) | n, "f": f, "meta": n << 32, "id": ids, "number": np.zeros(60, np.int32)} | {f"m{k}": maps[:, k] for k in range(line_dedup.MAPS)}
     table = pa.table({c: np.asarray(v)[order] for c, v in data.items()})
     rows = lambda wanted=None: [r for b in line_dedup._meet(80, wanted)(iter(table.to_batches(batch))) for r in b.to_pylist()]
     monkeypatch.setattr(line_dedup, "CLOSE", 1000)
