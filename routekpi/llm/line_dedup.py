@@ -53,33 +53,36 @@ LENGTH_BITS = 64 - WORD_BITS
 BLOCK = 1 << 16
 
 
+def line_starts(b: W.Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, bytes (its end included), document and number of each line that has any."""
+    ends = np.flatnonzero(b.data == 10) + 1
+    starts = np.sort(np.concatenate([b.offsets[:-1], ends]))  # a line end that closes a text starts an empty line
+    size = np.diff(np.append(starts, len(b.data)))
+    starts, size = starts[size > 0], size[size > 0]
+    doc = np.searchsorted(b.offsets, starts, side="right") - 1
+    number = np.searchsorted(ends, starts, side="right") - np.searchsorted(ends, b.offsets, side="right")[doc]
+    return starts, size, doc, number
+
+
 def line_sets(b: W.Bytes) -> dict[str, np.ndarray]:
     """Lines with words: ``doc`` and ``number`` of each, and its distinct words ``set[at[i]:at[i+1]]``, sorted.
 
     A word is 44 bits of its hash, so that line and word sort as one integer.
     """
-    words, starts, _, _ = W.word_hashes(b)
-    border = b.data == 10
-    number = np.zeros(len(b.data) + 1, np.int64)
-    np.cumsum(border, out=number[1:])
-    # lines of the chunk in order: each document starts a new one
-    line = number[starts] + np.searchsorted(b.offsets, starts, side="right")
+    words, spots, _, _ = W.word_hashes(b)
+    starts, _, doc, number = line_starts(b)
+    count = np.diff(np.append(np.searchsorted(spots, starts), len(spots)))
+    doc, number, count = (x[count > 0] for x in (doc, number, count))
+    line = np.repeat(np.arange(len(count)), count)
     words = words >> np.uint64(64 - WORD_BITS)
-    if len(line) and line[-1] >> (64 - WORD_BITS):  # more lines than fit beside a word: one very long text
-        order = np.lexsort((words, line))
-        words, line = words[order], line[order].astype(np.uint64)
+    if len(count) >> (64 - WORD_BITS):  # more lines than fit beside a word: one very long text
+        words = words[np.lexsort((words, line))]
     else:
-        packed = np.sort((line.astype(np.uint64) << np.uint64(WORD_BITS)) | words)
-        words, line = packed & np.uint64((1 << WORD_BITS) - 1), packed >> np.uint64(WORD_BITS)
+        words = np.sort((line.astype(np.uint64) << np.uint64(WORD_BITS)) | words) & np.uint64((1 << WORD_BITS) - 1)
     new = np.ones(len(words), bool)
     new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
-    words, line = words[new], line[new]
-    at = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
-    # where the lines with words start: at their first words
-    heads = np.unique(number[starts] + np.searchsorted(b.offsets, starts, side="right"), return_index=True)[1]
-    spot = starts[heads]
-    doc = np.searchsorted(b.offsets, spot, side="right") - 1
-    return {"doc": doc, "number": number[spot] - number[b.offsets[doc]], "set": words, "at": np.append(at, len(words))}
+    at = np.searchsorted(line[new], np.arange(len(count) + 1))
+    return {"doc": doc, "number": number, "set": words[new], "at": at}
 
 
 def some_lines(b: W.Bytes, ids: np.ndarray, places: Broadcast) -> tuple[W.Bytes, np.ndarray, np.ndarray]:
@@ -87,12 +90,7 @@ def some_lines(b: W.Bytes, ids: np.ndarray, places: Broadcast) -> tuple[W.Bytes,
 
     The words of the other lines are never hashed.
     """
-    ends = np.flatnonzero(b.data == 10) + 1
-    starts = np.sort(np.concatenate([b.offsets[:-1], ends]))  # a line end that closes a document starts an empty line
-    size = np.diff(np.append(starts, len(b.data)))
-    doc = np.searchsorted(b.offsets, starts, side="right") - 1
-    doc, starts, size = (x[size > 0] for x in (doc, starts, size))
-    number = np.searchsorted(ends, starts, side="right") - np.searchsorted(ends, b.offsets[doc], side="right")
+    starts, size, doc, number = line_starts(b)
     keep = bloom.holds(places.value, _place_keys(ids[doc], number))
     inside = np.repeat(keep, size)
     return W.Bytes(b.data[inside], np.concatenate([[0], np.cumsum(size[keep])])), ids[doc[keep]], number[keep]
@@ -107,9 +105,7 @@ def class_keys(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _line_count(b: W.Bytes) -> np.ndarray:
     """Lines of each text: one more than its line ends, none for an empty text."""
-    total = np.zeros(len(b.data) + 1, np.int64)
-    total[1:] = np.cumsum(b.data == 10)
-    return total[b.offsets[1:]] - total[b.offsets[:-1]] + (np.diff(b.offsets) > 0)
+    return np.diff(np.searchsorted(np.flatnonzero(b.data == 10), b.offsets)) + (np.diff(b.offsets) > 0)
 
 
 def _profile(narrow: DataFrame) -> DataFrame:
@@ -279,11 +275,6 @@ def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percen
     return narrow.select("id", "text").mapInArrow(emit, schema).repartition(key_of("at")).sortWithinPartitions("at")
 
 
-def _runs(key: np.ndarray) -> np.ndarray:
-    """Numbers the runs of equal keys, which keeps the order in which they come."""
-    return np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
-
-
 class _Best:
     """For each row the partner of the least rank seen so far."""
 
@@ -307,6 +298,8 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
     that it has others.  With ``wanted``, a filter of classes, those get them all.
     An entry that has ENOUGH earlier partners meets no others beyond the CLOSE
     nearest of its key but those that still lack them; ``more`` is true for it.
+    A copy of a class from a later place only costs work: the order of a pair is
+    that of first places, which is looked up when its sets are compared.
     Only entries of one key within the length filter are held at a time.
     """
 
@@ -322,16 +315,10 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             now |= {"n": meta >> 32, "pos": (meta & 0xFFFFFFFF) >> 1, "low": meta & 1}
             now["done"] = np.zeros(len(meta), bool)  # ENOUGH partners in an earlier batch, which said so
             now["maps"] = np.stack([np.asarray(batch[f"m{k}"]).view(np.uint64) for k in range(MAPS)], axis=1)
-            order = np.lexsort((now["number"], now["id"], now["f"], now["n"], _runs(now["key"])))
-            now = {c: v[order] for c, v in now.items()}
             first = 0
             if held is not None:
                 first = len(held["f"])
                 now = {c: np.concatenate([held[c], v]) for c, v in now.items()}
-            new = np.ones(len(now["f"]), bool)  # of a class only its first place (copies in another batch only cost work)
-            new[1:] = (now["key"][1:] != now["key"][:-1]) | (now["f"][1:] != now["f"][:-1])
-            first = int(new[:first].sum())
-            now = {c: v[new] for c, v in now.items()}
             key, f, pos, low, ids, number = (now[c] for c in ("key", "f", "pos", "low", "id", "number"))
             n, m = now["n"], now["m"]
             asked = None if wanted is None else bloom.holds(wanted.value, f)
