@@ -48,13 +48,16 @@ def key_slots(keys: np.ndarray, n: int) -> np.ndarray:
     return ((a[:, None] + steps * b[:, None]) & np.uint64(n - 1)).astype(np.int64)
 
 
-def _planes(batches: Iterator[pa.RecordBatch], n: int) -> tuple[np.ndarray, np.ndarray]:
+def _planes(batches: Iterator[pa.RecordBatch], n: int, repeats: bool) -> tuple[np.ndarray, np.ndarray]:
     seen, again = np.zeros(n, bool), np.zeros(n, bool)
     for batch in batches:
         column = batch.column(0)
         keys = np.asarray(column.drop_null())
         for at in range(0, len(keys), 1 << 16):
             slots = key_slots(keys[at : at + (1 << 16)], n)
+            if not repeats:
+                seen[slots.ravel()] = True
+                continue
             # a key's own slots may coincide: count each slot once per key
             slots.sort(axis=1)
             own = np.ones(slots.shape, bool)
@@ -68,13 +71,16 @@ def _planes(batches: Iterator[pa.RecordBatch], n: int) -> tuple[np.ndarray, np.n
     return np.packbits(seen), np.packbits(again)
 
 
-def build(keys: DataFrame, column: str, count: int, max_bytes: int = MAX_BYTES, plane: str = "again") -> Broadcast:
-    """Broadcast (slots, packed plane) of the keys in ``column``; plane: again or seen."""
+def build(keys: DataFrame, column: str, count: int, max_bytes: int = MAX_BYTES, plane: str = "again", repeats: bool = True) -> Broadcast:
+    """Broadcast (slots, packed plane) of the keys in ``column``; plane: again or seen.
+
+    Without ``repeats`` the work that only the plane ``again`` needs is left out.
+    """
     n = slot_count(count, max_bytes)
     step = _SEGMENT // 8
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, again = _planes(batches, n)
+        seen, again = _planes(batches, n, repeats)
         for k in range(0, len(seen), step):
             s, a = seen[k : k + step], again[k : k + step]
             if s.any():

@@ -201,11 +201,6 @@ def parity_maps(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.uint64).reshape(lines, MAPS)
 
 
-def _firsts(f: np.ndarray) -> np.ndarray:
-    """One line of each class."""
-    return np.unique(f, return_index=True)[1]
-
-
 def _place_keys(ids: np.ndarray, number: np.ndarray) -> np.ndarray:
     """64-bit hashes of places."""
     return W.mix64(W.mix64(ids.view(np.uint64)) + number.astype(np.int64).view(np.uint64)).view(np.int64)
@@ -219,7 +214,7 @@ def first_places(classes: DataFrame) -> Broadcast:
             yield pa.RecordBatch.from_arrays([pa.array(_place_keys(np.asarray(batch.column(0).fill_null(LAST_ID)), np.asarray(batch.column(1))))], ["place"])
 
     places = classes.select("first.id", "first.number").mapInArrow(keys, "place long")
-    return bloom.build(places, "place", classes.count(), plane="seen")
+    return bloom.build(places, "place", classes.count(), plane="seen", repeats=False)
 
 
 def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
@@ -264,7 +259,9 @@ def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percen
                 if wanted is not None:
                     some = np.flatnonzero(bloom.holds(wanted.value, key))
                     key, line, pos, low = key[some], line[some], pos[some], low[some]
-                maps = parity_maps(sets, ends)[line].view(np.int64)
+                some = np.zeros(len(n), bool)
+                some[line] = True
+                maps = parity_maps(sets[np.repeat(some, n)], np.concatenate([[0], np.cumsum(n[some])]))[(np.cumsum(some) - 1)[line]].view(np.int64)
                 meta = (n[line] << 32) | (pos << 1) | low
                 key = (key << np.uint64(LENGTH_BITS)) | np.minimum(n[line], (1 << LENGTH_BITS) - 1).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
@@ -400,18 +397,16 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
     return meet
 
 
-def _sets_of(narrow: DataFrame, places: Broadcast, filt: Broadcast) -> DataFrame:
-    """(f, set) of the lines at ``places`` whose class may be wanted."""
+def _sets_of(narrow: DataFrame, places: Broadcast) -> DataFrame:
+    """(f, set) of the lines that may be at ``places``."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 lines = line_sets(some_lines(W.texts(part.column(1)), np.asarray(part.column(0).fill_null(LAST_ID)), places)[0])
                 f = class_keys(lines["set"], lines["at"])
-                own = _firsts(f)
-                some = own[bloom.holds(filt.value, f[own])]
-                data = [lines["set"][lines["at"][i] : lines["at"][i + 1]].tobytes() for i in some]
-                yield pa.RecordBatch.from_arrays([pa.array(f[some]), pa.array(data, pa.binary())], ["f", "set"])
+                data = [lines["set"][i:j].tobytes() for i, j in zip(lines["at"], lines["at"][1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(data, pa.binary())], ["f", "set"])
 
     return narrow.select("id", "text").mapInArrow(emit, "f long, set binary")
 
@@ -436,10 +431,10 @@ def _verified(narrow: DataFrame, classes: DataFrame, pairs: DataFrame, min_perce
     wanted = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct()
     wanted = save(wanted.join(classes.select("f", "first", F.col("first.id").alias("id")), "f"), "wanted")
     size = wanted.count()
-    holders = bloom.build(wanted.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen")
+    holders = bloom.build(wanted.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen", repeats=False)
     some = narrow.where(bloom.may_hold(holders, F.xxhash64("id")))  # the documents of the classes' first lines
     place = F.struct("first.last", "first.id", "first.number").alias("place")
-    sets = _sets_of(some, first_places(wanted), bloom.build(wanted, "f", size, plane="seen")).join(wanted.select("f", place), "f")
+    sets = _sets_of(some, first_places(wanted)).join(wanted.select("f", place), "f")
     sets = save(sets.dropDuplicates(["f"]), "sets")
     left, right = (sets.select(F.col("f").alias(x), F.col("set").alias(f"set_{x}"), F.col("place").alias(f"place_{x}")) for x in "ab")
     return save(pairs.select("a", "b").join(left, "a").join(right, "b").where("place_b < place_a").select("a", "b", "set_a", "set_b").mapInArrow(_similar(min_percent), "a long, b long"), "similar")
@@ -461,11 +456,11 @@ def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_
     size = open_.count()
     if not size:
         return found
-    asked = bloom.build(open_, "f", size, plane="seen")
-    holders = bloom.build(open_.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen")
+    asked = bloom.build(open_, "f", size, plane="seen", repeats=False)
+    holders = bloom.build(open_.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen", repeats=False)
     keys = _entries(narrow.where(bloom.may_hold(holders, F.xxhash64("id"))), counts, firsts, min_percent).join(open_.select("f"), "f", "left_semi")
     keys = save(keys.select(key_of("at").alias("key")).distinct(), "keys")
-    again = _entries(narrow, counts, firsts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen"))
+    again = _entries(narrow, counts, firsts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen", repeats=False))
     pairs = again.mapInArrow(_meet(min_percent, asked), "a long, b long, more boolean").select("a", "b").distinct()
     pairs = save(pairs.join(open_.select(F.col("f").alias("a")), "a", "left_semi").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     more = _verified(narrow, classes, pairs, min_percent).select(F.col("a").alias("l_f"))
@@ -515,7 +510,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the first line of a class stays in every row that repeats its id and text
     gone = save(gone.select("id", "key", "number").distinct(), "gone")
 
-    filt = bloom.build(gone.select(F.xxhash64("id").alias("h")).distinct(), "h", gone.count(), plane="seen")
+    filt = bloom.build(gone.select(F.xxhash64("id").alias("h")).distinct(), "h", gone.count(), plane="seen", repeats=False)
     lists = gone.groupBy(F.col("id").alias("g_id")).agg(F.collect_list(F.struct("key", "number")).alias("gone"))
     texts = narrow.where(bloom.may_hold(filt, F.xxhash64("id"))).join(lists, F.col("id").eqNullSafe(F.col("g_id"))).select("id", "text", "gone")
     cut = save(_cut(texts, with_text).where("n_removed > 0"), "cut")
