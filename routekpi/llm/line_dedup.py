@@ -12,8 +12,8 @@ of the length filter; frequent words are split by length.
 
 A meeting pair passes the length filter, the positional filter (words left after
 the shared one) and a bound from 192-bit parity maps of the sets before its full sets
-are compared.  As a line needs one earlier match, not all, an entry proposes its
-earliest and most alike partner; only classes that stay open meet all of theirs.
+are compared.  As a line needs one earlier match, not all, an entry with many partners
+proposes its earliest and most alike one; only classes that stay open meet all of theirs.
 So a large group of alike lines costs a few comparisons per line, not one per pair.  A line goes if its class has an earlier line, or if a similar class
 starts earlier; both are judged on the input.
 """
@@ -44,15 +44,51 @@ LAST_ID = (1 << 63) - 1
 #: Words of more lines than this meet by length class.
 COMMON = 4096
 #: Entries of a key that each entry is met with at least; beyond, those with ENOUGH earlier partners rest.
-CLOSE, ENOUGH = 64, 3
+#: An entry with fewer proposes them all.
+CLOSE, ENOUGH = 64, 9
 #: Bits of a word's hash that are kept.
 WORD_BITS = 44
 #: Bits of a line's length beside a key of WORD_BITS; longer lines count as the longest there.
 LENGTH_BITS = 64 - WORD_BITS
+#: An entry of a block: what ``_meet`` reads of it.
+ENTRY = np.dtype([("at", "<u8"), ("f", "<i8"), ("meta", "<i8"), ("id", "<i8"), ("number", "<i4"), ("maps", "<i8", (MAPS,))])
+#: Entries that a task packs into blocks at once, that a bucket of keys has about, and that are met at once.
+PACKED, BUCKET, MET = 1 << 18, 1 << 17, 1 << 15
+#: Added to a key that has blocks of its own, as its count in the sketch is without bound.
+OWN = 1 << 62
 #: Pairs that are compared at once where few entries still look for partners.
 BLOCK = 1 << 16
 
 
+#: Of eight bytes read at once, the bits of a word that has so many bytes.
+_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], "<u8")
+
+
+def word_keys(b: W.Bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each white-space separated word, and its start.
+
+    Words are read by eight bytes, so that the work goes by words and not by bytes.
+    """
+    inside = np.zeros(len(b.data) + 2, bool)
+    np.logical_not(W.is_space(b.data), out=inside[1:-1])
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    borders = np.unique(b.offsets)
+    borders = borders[inside[borders] & inside[borders + 1]]  # a word ends where its text does
+    if len(borders):
+        starts, ends = (np.sort(np.concatenate([x, borders])) for x in (starts, ends))
+    eights = np.ndarray(len(b.data) + 1, "<u8", np.concatenate([b.data, np.zeros(8, np.uint8)]), strides=(1,))
+    left = ends - starts
+    key = W.mix64((eights[starts] & _BYTES[np.minimum(left, 8)]) + left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    more = np.flatnonzero(left > 8)
+    at, left = starts[more] + 8, left[more] - 8
+    while len(more):
+        key[more] = W.mix64(key[more] * np.uint64(0xC2B2AE3D27D4EB4F) + (eights[at] & _BYTES[np.minimum(left, 8)]))
+        some = left > 8
+        more, at, left = more[some], at[some] + 8, left[some] - 8
+    return key, starts
+
+
 def line_starts(b: W.Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start, bytes (its end included), document and number of each line that has any."""
     ends = np.flatnonzero(b.data == 10) + 1
@@ -69,7 +105,7 @@ def line_sets(b: W.Bytes) -> dict[str, np.ndarray]:
 
     A word is 44 bits of its hash, so that line and word sort as one integer.
     """
-    words, spots, _, _ = W.word_hashes(b)
+    words, spots = word_keys(b)
     starts, _, doc, number = line_starts(b)
     count = np.diff(np.append(np.searchsorted(spots, starts), len(spots)))
     doc, number, count = (x[count > 0] for x in (doc, number, count))
@@ -227,7 +263,7 @@ def key_of(at: str):
     return F.shiftrightunsigned(at, LENGTH_BITS)
 
 
-def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percent: int, wanted: Broadcast | None = None) -> DataFrame:
+def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percent: int, wanted: Broadcast | None = None, buckets: int = 0) -> DataFrame:
     """(at, f, meta, id, number, m0 ..): a row per prefix word of each class, from its first place.
 
     Lines that the filter of first places rules out are left out; copies that it
@@ -235,6 +271,9 @@ def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percen
     sorts the entries; ``meta`` packs the whole length, the
     word's position and ``low``, in that order.  Words of more than COMMON lines are split by length class: an entry goes to
     its own class and, as ``low``, to the next one.  ``wanted`` is a filter of keys.
+
+    With ``buckets``, a power of two, entries come as blocks (part, n, entries): of
+    a bucket of keys, or of one key and length where the sketch gives no bound for the key.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,28 +287,104 @@ def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percen
                 line = np.repeat(np.arange(len(f)), np.diff(at))
                 keep = np.flatnonzero(words)
                 line, key, pos = line[keep], words[keep], keep - at[line[keep]]
-                low = np.zeros(len(keep), bool)
+                low, own = np.zeros(len(keep), bool), key >> np.uint64(28) == 65535
                 common = np.flatnonzero(key >> np.uint64(28) > COMMON)
                 if len(common):
-                    own = _length_class(n[line[common]], min_percent).astype(np.uint64)
-                    split = [W.mix64((key[common] << np.uint64(LENGTH_BITS)) | (own + np.uint64(up))) >> np.uint64(LENGTH_BITS) for up in (0, 1)]
+                    size = _length_class(n[line[common]], min_percent).astype(np.uint64)
+                    split = [W.mix64((key[common] << np.uint64(LENGTH_BITS)) | (size + np.uint64(up))) >> np.uint64(LENGTH_BITS) for up in (0, 1)]
                     key[common] = split[0]
                     key, line, pos = np.concatenate([key, split[1]]), np.concatenate([line, line[common]]), np.concatenate([pos, pos[common]])
-                    low = np.concatenate([low, np.ones(len(common), bool)])
+                    low, own = np.concatenate([low, np.ones(len(common), bool)]), np.concatenate([own, own[common]])
                 if wanted is not None:
                     some = np.flatnonzero(bloom.holds(wanted.value, key))
-                    key, line, pos, low = key[some], line[some], pos[some], low[some]
+                    key, line, pos, low, own = key[some], line[some], pos[some], low[some], own[some]
                 some = np.zeros(len(n), bool)
                 some[line] = True
                 maps = parity_maps(sets[np.repeat(some, n)], np.concatenate([[0], np.cumsum(n[some])]))[(np.cumsum(some) - 1)[line]].view(np.int64)
                 meta = (n[line] << 32) | (pos << 1) | low
                 key = (key << np.uint64(LENGTH_BITS)) | np.minimum(n[line], (1 << LENGTH_BITS) - 1).astype(np.uint64)
+                if buckets:
+                    rows = np.empty(len(key), ENTRY)
+                    for name, column in zip(ENTRY.names, (key, f[line], meta, ids[line], number[line], maps)):
+                        rows[name] = column
+                    yield rows, own
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(f[line]), pa.array(meta), pa.array(ids[line]), pa.array(number[line].astype(np.int32)),
                      *(pa.array(m) for m in maps.T.copy())], ["at", "f", "meta", "id", "number", *(f"m{k}" for k in range(MAPS))])
 
+    def emit_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for some in emit(batches):
+            held.append(some)
+            size += len(some[0])
+            if size >= PACKED:
+                yield _blocks(*(np.concatenate(v) for v in zip(*held)), buckets)
+                held, size = [], 0
+        if size:
+            yield _blocks(*(np.concatenate(v) for v in zip(*held)), buckets)
+
+    if buckets:
+        blocks = narrow.select("id", "text").mapInArrow(emit_blocks, "part long, n int, entries binary")
+        return blocks.repartition("part").sortWithinPartitions("part", "n")
     schema = "at long, f long, meta long, id long, number int, " + ", ".join(f"m{k} long" for k in range(MAPS))
-    return narrow.select("id", "text").mapInArrow(emit, schema).repartition(key_of("at")).sortWithinPartitions("at")
+    return narrow.select("id", "text").mapInArrow(emit, schema)
+
+
+def bucket_count(classes: int, partitions: int) -> int:
+    """A power of two of buckets of about BUCKET entries, if a class has ten, and enough for all partitions."""
+    return 1 << (max(16 * partitions, classes * 10 // BUCKET) - 1).bit_length()
+
+
+def _blocks(rows: np.ndarray, own: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """(part, n, entries) of entries: a block for each bucket, and for each key and length of the keys with blocks of their ``own``."""
+    key = rows["at"] >> np.uint64(LENGTH_BITS)
+    part = np.where(own, key + np.uint64(OWN), W.mix64(key) & np.uint64(buckets - 1))
+    n = np.where(own, rows["at"] & np.uint64((1 << LENGTH_BITS) - 1), np.uint64(0))
+    order = np.lexsort((n, part)) if own.any() else np.argsort(part, kind="stable")
+    part, n = part[order], n[order]
+    new = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (n[1:] != n[:-1])]))
+    ends = (np.append(new, len(rows)) * ENTRY.itemsize).astype(np.int32)
+    body = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(rows[order].tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(part[new].view(np.int64)), pa.array(n[new].astype(np.int32)), body], ["part", "n", "entries"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks sorted by (part, n) to entries sorted by (key, length).
+
+    One bucket, whose keys the sketch bounds, is held at a time; a key with
+    blocks of its own passes as it comes.
+    """
+
+    def sorted_rows(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = rows[np.argsort(rows["at"], kind="stable")]
+        for i in range(0, len(rows), MET):
+            some = rows[i : i + MET]
+            yield pa.RecordBatch.from_pydict(
+                {c: pa.array(some[c].view(f"<i{some[c].itemsize}").copy()) for c in ENTRY.names[:-1]} | {f"m{k}": pa.array(some["maps"][:, k].copy()) for k in range(MAPS)})
+
+    held, bucket = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = np.asarray(batch["part"])
+        entries = batch["entries"]
+        ends = np.frombuffer(entries.buffers()[1], np.int32)[entries.offset : entries.offset + len(part) + 1]
+        rows = np.frombuffer(entries.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(ENTRY)
+        at = np.concatenate([[0], np.cumsum(np.diff(ends) // ENTRY.itemsize)])
+        borders = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        for i, j in zip(borders, np.append(borders[1:], len(part))):
+            if part[i] != bucket:
+                if held:
+                    yield from sorted_rows(np.concatenate(held))
+                held, bucket = [], part[i]
+            some = rows[at[i] : at[j]]
+            if part[i] >= OWN:
+                yield from sorted_rows(some)
+            else:
+                held.append(some.copy())
+    if held:
+        yield from sorted_rows(np.concatenate(held))
 
 
 class _Best:
@@ -291,8 +406,9 @@ class _Best:
 def _meet(min_percent: int, wanted: Broadcast | None = None):
     """Entries sorted by (key, length) to (a, b, more): class b starts earlier and passes the filters against a.
 
-    A row of a key gives its earliest and its most alike partner; ``more`` says
-    that it has others.  With ``wanted``, a filter of classes, those get them all.
+    A row of a key gives all its partners if they are fewer than ENOUGH, else its
+    earliest and its most alike one; ``more`` says that it has, or may have, others.
+    With ``wanted``, a filter of classes, those get them all.
     An entry that has ENOUGH earlier partners meets no others beyond the CLOSE
     nearest of its key but those that still lack them; ``more`` is true for it.
     A copy of a class from a later place only costs work: the order of a pair is
@@ -319,7 +435,7 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             key, f, pos, low, ids, number = (now[c] for c in ("key", "f", "pos", "low", "id", "number"))
             n, m = now["n"], now["m"]
             asked = None if wanted is None else bloom.holds(wanted.value, f)
-            early, alike, partners, all_found = _Best(len(f)), _Best(len(f)), np.zeros(len(f), np.int64), []
+            early, alike, partners, all_found, few = _Best(len(f)), _Best(len(f)), np.zeros(len(f), np.int64), [], []
             done = now["done"]
 
             def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -342,6 +458,8 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
                         all_found.append((f[a[asked[a]]], f[b[asked[a]]]))
                     elif len(a):
                         np.add.at(partners, a, 1)
+                        some_few = partners[a] < ENOUGH
+                        few.append((a[some_few], b[some_few]))
                         early.offer(a, np.stack([ids[b], number[b].astype(np.int64)], axis=1), b)
                         alike.offer(a, np.stack([differing[some], ids[b]], axis=1), b)
 
@@ -373,18 +491,17 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
                     wanting = ~done & (partners < ENOUGH)
                     below, above = below[wanting[below]], above[wanting[above]]
                 step += 1
-            if asked is None:
-                done |= partners >= ENOUGH
             if asked is not None:
                 a, b = (np.concatenate(v) for v in zip(*all_found)) if all_found else (f[:0], f[:0])
                 more = np.zeros(len(a), bool)
             else:
-                some = np.flatnonzero(partners)
-                one, two = early.partner[some], alike.partner[some]
-                both = one != two
-                a, b = np.concatenate([f[some], f[some[both]]]), np.concatenate([f[one], f[two[both]]])
-                more = partners[some] > 1 + both
-                more = np.concatenate([more, more[both]])
+                many = partners >= ENOUGH
+                done |= many
+                some = np.flatnonzero(many)
+                x, y = (np.concatenate(v) for v in zip(*few)) if few else (some[:0], some[:0])
+                x, y = x[~many[x]], y[~many[x]]
+                x, y = np.concatenate([x, some, some]), np.concatenate([y, early.partner[some], alike.partner[some]])
+                a, b, more = f[x], f[y], many[x]
             if len(a):
                 order = np.lexsort((~more, b, a))
                 a, b, more = a[order], b[order], more[order]
@@ -443,12 +560,14 @@ def _verified(narrow: DataFrame, classes: DataFrame, pairs: DataFrame, min_perce
 def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
     """(l_f): the classes for which a similar class starts earlier.
 
-    Each class is first checked against its earliest and most alike candidates of
-    each prefix word, which settles nearly all; a class that fails and had other
-    candidates is then checked against every one.
+    Each class is first checked against its candidates of each prefix word, of many
+    the earliest and most alike, which settles nearly all; a class that fails and
+    had other candidates is then checked against every one.
     """
     firsts = first_places(classes)
-    tried = save(_entries(narrow, counts, firsts, min_percent).mapInArrow(_meet(min_percent), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")), "tried")
+    buckets = bucket_count(classes.count(), int(narrow.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    meet = _meet(min_percent)
+    tried = save(_entries(narrow, counts, firsts, min_percent, buckets=buckets).mapInArrow(lambda blocks: meet(_unpacked(blocks)), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")), "tried")
     found = _verified(narrow, classes, tried, min_percent).select(F.col("a").alias("l_f")).distinct()
     found = save(found, "later")
     open_ = tried.where("more").select(F.col("a").alias("f")).distinct().join(found, F.col("f") == F.col("l_f"), "left_anti")
@@ -460,8 +579,9 @@ def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_
     holders = bloom.build(open_.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen", repeats=False)
     keys = _entries(narrow.where(bloom.may_hold(holders, F.xxhash64("id"))), counts, firsts, min_percent).join(open_.select("f"), "f", "left_semi")
     keys = save(keys.select(key_of("at").alias("key")).distinct(), "keys")
-    again = _entries(narrow, counts, firsts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen", repeats=False))
-    pairs = again.mapInArrow(_meet(min_percent, asked), "a long, b long, more boolean").select("a", "b").distinct()
+    again = _entries(narrow, counts, firsts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen", repeats=False), buckets)
+    meet_all = _meet(min_percent, asked)
+    pairs = again.mapInArrow(lambda blocks: meet_all(_unpacked(blocks)), "a long, b long, more boolean").select("a", "b").distinct()
     pairs = save(pairs.join(open_.select(F.col("f").alias("a")), "a", "left_semi").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     more = _verified(narrow, classes, pairs, min_percent).select(F.col("a").alias("l_f"))
     return found.unionByName(more).distinct()
