@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
@@ -56,8 +57,8 @@ ENTRY = np.dtype([("at", "<u8"), ("f", "<i8"), ("meta", "<i8"), ("id", "<i8"), (
 PACKED, BUCKET, MET = 1 << 18, 1 << 17, 1 << 15
 #: Added to a key that has blocks of its own, as its count in the sketch is without bound.
 OWN = 1 << 62
-#: Pairs that are compared at once where few entries still look for partners.
-BLOCK = 1 << 16
+#: Pairs that are compared at once, and that are held until the best of an entry's many are chosen.
+BLOCK, PAIRS = 1 << 16, 1 << 20
 
 
 #: Of eight bytes read at once, the bits of a word that has so many bytes.
@@ -76,14 +77,14 @@ def word_keys(b: W.Bytes) -> tuple[np.ndarray, np.ndarray]:
     borders = np.unique(b.offsets)
     borders = borders[inside[borders] & inside[borders + 1]]  # a word ends where its text does
     if len(borders):
-        starts, ends = (np.sort(np.concatenate([x, borders])) for x in (starts, ends))
+        starts, ends = (np.insert(x, np.searchsorted(x, borders), borders) for x in (starts, ends))
     eights = np.ndarray(len(b.data) + 1, "<u8", np.concatenate([b.data, np.zeros(8, np.uint8)]), strides=(1,))
     left = ends - starts
-    key = W.mix64((eights[starts] & _BYTES[np.minimum(left, 8)]) + left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    key = W.mix64((eights[starts] & _BYTES.take(left, mode="clip")) + left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     more = np.flatnonzero(left > 8)
     at, left = starts[more] + 8, left[more] - 8
     while len(more):
-        key[more] = W.mix64(key[more] * np.uint64(0xC2B2AE3D27D4EB4F) + (eights[at] & _BYTES[np.minimum(left, 8)]))
+        key[more] = W.mix64(key[more] * np.uint64(0xC2B2AE3D27D4EB4F) + (eights[at] & _BYTES.take(left, mode="clip")))
         some = left > 8
         more, at, left = more[some], at[some] + 8, left[some] - 8
     return key, starts
@@ -100,17 +101,27 @@ def line_starts(b: W.Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return starts, size, doc, number
 
 
-def line_sets(b: W.Bytes) -> dict[str, np.ndarray]:
+def line_sets(b: W.Bytes, counters: np.ndarray | None = None, whole: bool = False) -> dict[str, np.ndarray]:
     """Lines with words: ``doc`` and ``number`` of each, and its distinct words ``set[at[i]:at[i+1]]``, sorted.
 
     A word is 44 bits of its hash, so that line and word sort as one integer.
+    With ``counters``, true for some counters of the sketch, only lines with a word of those.
+    With ``whole``, each text is one line, of number 0.
     """
     words, spots = word_keys(b)
-    starts, _, doc, number = line_starts(b)
+    if whole:
+        starts, doc, number = b.offsets[:-1], np.arange(len(b)), np.zeros(len(b), np.int64)
+    else:
+        starts, _, doc, number = line_starts(b)
     count = np.diff(np.append(np.searchsorted(spots, starts), len(spots)))
     doc, number, count = (x[count > 0] for x in (doc, number, count))
     line = np.repeat(np.arange(len(count)), count)
     words = words >> np.uint64(64 - WORD_BITS)
+    if counters is not None:
+        some = np.zeros(len(count), bool)
+        some[line[counters[(words & np.uint64(COUNTERS - 1)).view(np.int64)]]] = True
+        words, doc, number, count = words[some[line]], doc[some], number[some], count[some]
+        line = np.repeat(np.arange(len(count)), count)
     if len(count) >> (64 - WORD_BITS):  # more lines than fit beside a word: one very long text
         words = words[np.lexsort((words, line))]
     else:
@@ -205,16 +216,20 @@ def _sketch(profile: DataFrame) -> Broadcast:
     return profile.sparkSession.sparkContext.broadcast(out)
 
 
+def word_ranks(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A word is ranked and known by its count (16 bits) and 28 bits of its hash."""
+    count = counts[(sets & np.uint64(COUNTERS - 1)).view(np.int64)].astype(np.uint64)
+    return (count << np.uint64(28)) | (sets >> np.uint64(WORD_BITS - 28))
+
+
 def prefix_words(sets: np.ndarray, at: np.ndarray, counts: np.ndarray, min_percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix words of all lines, rarest first, and where each line's begin.
+    """Ranks of the prefix words of all lines, rarest first, and where each line's begin.
 
-    A word is ranked and known by its count (16 bits) and 28 bits of its hash; words
-    that the sketch proves unique are 0, which keeps the others' positions.
+    Words that the sketch proves unique are 0, which keeps the others' positions.
     """
     n = np.diff(at)
     line = np.repeat(np.arange(len(n)), n)
-    count = counts[(sets & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
-    rank = (count << np.uint64(28)) | (sets >> np.uint64(WORD_BITS - 28))
+    rank = word_ranks(sets, counts)
     if len(n) >> (64 - WORD_BITS):
         rank = rank[np.lexsort((rank, line))]
     else:
@@ -225,6 +240,26 @@ def prefix_words(sets: np.ndarray, at: np.ndarray, counts: np.ndarray, min_perce
     return rank[keep], np.concatenate([[0], np.cumsum(length)])
 
 
+def prefix_keys(words: np.ndarray, at: np.ndarray, n: np.ndarray, min_percent: int) -> tuple[np.ndarray, ...]:
+    """(line, key, pos, low, own) of each entry of lines of ``n`` words with these prefix words.
+
+    Words of more than COMMON lines are split by length class: an entry goes to
+    its own class and, as ``low``, to the next one.  ``own`` says that the sketch gives no bound for the key.
+    """
+    line = np.repeat(np.arange(len(n)), np.diff(at))
+    keep = np.flatnonzero(words)
+    line, key, pos = line[keep], words[keep], keep - at[line[keep]]
+    low, own = np.zeros(len(keep), bool), key >> np.uint64(28) == 65535
+    common = np.flatnonzero(key >> np.uint64(28) > COMMON)
+    if len(common):
+        size = _length_class(n[line[common]], min_percent).astype(np.uint64)
+        split = [W.mix64((key[common] << np.uint64(LENGTH_BITS)) | (size + np.uint64(up))) >> np.uint64(LENGTH_BITS) for up in (0, 1)]
+        key[common] = split[0]
+        key, line, pos = np.concatenate([key, split[1]]), np.concatenate([line, line[common]]), np.concatenate([pos, pos[common]])
+        low, own = np.concatenate([low, np.ones(len(common), bool)]), np.concatenate([own, own[common]])
+    return line, key, pos, low, own
+
+
 def parity_maps(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     """MAPS 64-bit integers per set; a bit is the parity of the words that fall on it.
 
@@ -258,60 +293,40 @@ def _length_class(n: np.ndarray, min_percent: int) -> np.ndarray:
     return np.floor(np.log(n) / np.log(100 / min_percent) + 1e-9).astype(np.int64)
 
 
-def key_of(at: str):
-    """The key in a column of keys and lengths."""
-    return F.shiftrightunsigned(at, LENGTH_BITS)
-
-
-def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percent: int, wanted: Broadcast | None = None, buckets: int = 0) -> DataFrame:
-    """(at, f, meta, id, number, m0 ..): a row per prefix word of each class, from its first place.
+def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percent: int, buckets: int, wanted: Broadcast | None = None) -> DataFrame:
+    """An entry (at, f, meta, id, number, maps) per prefix word of each class, from its first place.
 
     Lines that the filter of first places rules out are left out; copies that it
     lets pass only cost work.  ``at`` packs the key and the length, so that one integer
     sorts the entries; ``meta`` packs the whole length, the
-    word's position and ``low``, in that order.  Words of more than COMMON lines are split by length class: an entry goes to
-    its own class and, as ``low``, to the next one.  ``wanted`` is a filter of keys.
+    word's position and ``low``, in that order.  ``wanted`` tells the entries to make, as ``_wanted`` returns it.
 
-    With ``buckets``, a power of two, entries come as blocks (part, n, entries): of
-    a bucket of keys, or of one key and length where the sketch gives no bound for the key.
+    Entries come as blocks (part, n, entries): of one of ``buckets`` of keys, a power of
+    two, or of one key and length where the sketch gives no bound for the key.
     """
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        counters = None if wanted is None else np.unpackbits(wanted.value[1], bitorder="little").astype(bool)
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 kept, ids, number = some_lines(W.texts(part.column(1)), np.asarray(part.column(0).fill_null(LAST_ID)), firsts)
-                lines = line_sets(kept)
+                lines = line_sets(kept, counters, whole=True)
                 sets, ends = lines["set"], lines["at"]
                 f, n, ids, number = class_keys(sets, ends), np.diff(ends), ids[lines["doc"]], number[lines["doc"]]
                 words, at = prefix_words(sets, ends, counts.value, min_percent)
-                line = np.repeat(np.arange(len(f)), np.diff(at))
-                keep = np.flatnonzero(words)
-                line, key, pos = line[keep], words[keep], keep - at[line[keep]]
-                low, own = np.zeros(len(keep), bool), key >> np.uint64(28) == 65535
-                common = np.flatnonzero(key >> np.uint64(28) > COMMON)
-                if len(common):
-                    size = _length_class(n[line[common]], min_percent).astype(np.uint64)
-                    split = [W.mix64((key[common] << np.uint64(LENGTH_BITS)) | (size + np.uint64(up))) >> np.uint64(LENGTH_BITS) for up in (0, 1)]
-                    key[common] = split[0]
-                    key, line, pos = np.concatenate([key, split[1]]), np.concatenate([line, line[common]]), np.concatenate([pos, pos[common]])
-                    low, own = np.concatenate([low, np.ones(len(common), bool)]), np.concatenate([own, own[common]])
+                line, key, pos, low, own = prefix_keys(words, at, n, min_percent)
                 if wanted is not None:
-                    some = np.flatnonzero(bloom.holds(wanted.value, key))
+                    some = np.flatnonzero(bloom.holds(wanted.value[0], key))
                     key, line, pos, low, own = key[some], line[some], pos[some], low[some], own[some]
                 some = np.zeros(len(n), bool)
                 some[line] = True
                 maps = parity_maps(sets[np.repeat(some, n)], np.concatenate([[0], np.cumsum(n[some])]))[(np.cumsum(some) - 1)[line]].view(np.int64)
                 meta = (n[line] << 32) | (pos << 1) | low
                 key = (key << np.uint64(LENGTH_BITS)) | np.minimum(n[line], (1 << LENGTH_BITS) - 1).astype(np.uint64)
-                if buckets:
-                    rows = np.empty(len(key), ENTRY)
-                    for name, column in zip(ENTRY.names, (key, f[line], meta, ids[line], number[line], maps)):
-                        rows[name] = column
-                    yield rows, own
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(f[line]), pa.array(meta), pa.array(ids[line]), pa.array(number[line].astype(np.int32)),
-                     *(pa.array(m) for m in maps.T.copy())], ["at", "f", "meta", "id", "number", *(f"m{k}" for k in range(MAPS))])
+                rows = np.empty(len(key), ENTRY)
+                for name, column in zip(ENTRY.names, (key, f[line], meta, ids[line], number[line], maps)):
+                    rows[name] = column
+                yield rows, own
 
     def emit_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -324,11 +339,35 @@ def _entries(narrow: DataFrame, counts: Broadcast, firsts: Broadcast, min_percen
         if size:
             yield _blocks(*(np.concatenate(v) for v in zip(*held)), buckets)
 
-    if buckets:
-        blocks = narrow.select("id", "text").mapInArrow(emit_blocks, "part long, n int, entries binary")
-        return blocks.repartition("part").sortWithinPartitions("part", "n")
-    schema = "at long, f long, meta long, id long, number int, " + ", ".join(f"m{k} long" for k in range(MAPS))
-    return narrow.select("id", "text").mapInArrow(emit, schema)
+    blocks = narrow.select("id", "text").mapInArrow(emit_blocks, "part long, n int, entries binary")
+    return blocks.repartition("part").sortWithinPartitions("part", "n")
+
+
+def _wanted(sets: DataFrame, counts: Broadcast, min_percent: int) -> Broadcast:
+    """The entries that meet those of ``sets``: a filter of keys, and a bit for each counter of the sketch that has a prefix word."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = np.asarray(pc.binary_length(batch["set"])).astype(np.int64) // 8
+            if not len(n):
+                continue
+            at = np.concatenate([[0], np.cumsum(n)])
+            words = np.frombuffer(b"".join(batch["set"].to_pylist()), np.uint64)
+            ranks, begin = prefix_words(words, at, counts.value, min_percent)
+            key = pa.array(prefix_keys(ranks, begin, n, min_percent)[1].view(np.int64))
+            rank = word_ranks(words, counts.value)  # the prefix words are those up to the last one's rank
+            some = words[(rank >> np.uint64(28) > 1) & (rank <= np.repeat(ranks[begin[1:] - 1], n))]
+            counter = pa.array((some & np.uint64(COUNTERS - 1)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, pa.nulls(len(key), pa.int64())], ["key", "counter"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(counter), pa.int64()), counter], ["key", "counter"])
+
+    found = save(sets.select("set").mapInArrow(keys, "key long, counter long").distinct(), "keys")
+    known = found.where("key IS NOT NULL")
+    filt = bloom.build(known, "key", known.count(), plane="seen", repeats=False)
+    bits = np.zeros(COUNTERS >> 6, np.int64)
+    for row in found.where("counter IS NOT NULL").groupBy((F.col("counter") / 64).cast("int").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(counter % 64 AS int)))").alias("bits")).collect():  # at most COUNTERS / 64 rows
+        bits[row["at"]] = row.bits
+    return sets.sparkSession.sparkContext.broadcast((filt.value, bits.view(np.uint8)))
 
 
 def bucket_count(classes: int, partitions: int) -> int:
@@ -341,11 +380,14 @@ def _blocks(rows: np.ndarray, own: np.ndarray, buckets: int) -> pa.RecordBatch:
     key = rows["at"] >> np.uint64(LENGTH_BITS)
     part = np.where(own, key + np.uint64(OWN), W.mix64(key) & np.uint64(buckets - 1))
     n = np.where(own, rows["at"] & np.uint64((1 << LENGTH_BITS) - 1), np.uint64(0))
-    order = np.lexsort((n, part)) if own.any() else np.argsort(part, kind="stable")
+    if own.any():
+        order = np.lexsort((n, part))
+    else:  # numbers of 16 bits sort by radix
+        order = np.argsort(part.astype(np.uint16) if buckets <= 1 << 16 else part, kind="stable")
     part, n = part[order], n[order]
     new = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (n[1:] != n[:-1])]))
     ends = (np.append(new, len(rows)) * ENTRY.itemsize).astype(np.int32)
-    body = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(rows[order].tobytes())])
+    body = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(rows.take(order).view(np.uint8))])
     return pa.RecordBatch.from_arrays([pa.array(part[new].view(np.int64)), pa.array(n[new].astype(np.int32)), body], ["part", "n", "entries"])
 
 
@@ -357,7 +399,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
 
     def sorted_rows(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows = rows[np.argsort(rows["at"], kind="stable")]
+        rows = rows.take(np.argsort(rows["at"]))
         for i in range(0, len(rows), MET):
             some = rows[i : i + MET]
             yield pa.RecordBatch.from_pydict(
@@ -382,7 +424,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if part[i] >= OWN:
                 yield from sorted_rows(some)
             else:
-                held.append(some.copy())
+                held.append(some)
     if held:
         yield from sorted_rows(np.concatenate(held))
 
@@ -435,45 +477,61 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
             key, f, pos, low, ids, number = (now[c] for c in ("key", "f", "pos", "low", "id", "number"))
             n, m = now["n"], now["m"]
             asked = None if wanted is None else bloom.holds(wanted.value, f)
-            early, alike, partners, all_found, few = _Best(len(f)), _Best(len(f)), np.zeros(len(f), np.int64), [], []
+            early, alike, partners, found = _Best(len(f)), _Best(len(f)), np.zeros(len(f), np.int64), []
             done = now["done"]
-
-            def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-                return (key[i] == key[j]) & (100 * m[i] >= min_percent * m[j])
+            group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) << LENGTH_BITS
+            # entries of j's key within the length filter begin at reach[j]
+            reach = np.searchsorted(group | m, group | -(-m * min_percent // 100))
+            # the longest set that can share enough words with one that has none before this entry's
+            fits = (100 + min_percent) * (n - pos) // min_percent - n
+
+            def settle() -> None:
+                """Of rows with many partners only the best are kept."""
+                a, b, differing = (np.concatenate(v) for v in zip(*found))
+                big = partners[a] >= ENOUGH
+                x, y, bits = a[big], b[big], differing[big]
+                early.offer(x, np.stack([ids[y], number[y].astype(np.int64)], axis=1), y)
+                alike.offer(x, np.stack([bits, ids[y]], axis=1), y)
+                found[:] = [(a[~big], b[~big], differing[~big])]
 
             def compare(i: np.ndarray, j: np.ndarray) -> None:
-                need = -(-(n[i] + n[j]) * min_percent // (100 + min_percent))  # words that must be shared
-                most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
-                ok = np.flatnonzero((most >= need) & ((low[i] & low[j]) == 0))
-                x, y, need = i[ok], j[ok], need[ok]
+                ok = np.flatnonzero((n[i] <= fits[j]) & (n[j] <= fits[i]))
+                x, y = i[ok], j[ok]
                 differing = np.bitwise_count(now["maps"][x] ^ now["maps"][y]).sum(axis=1, dtype=np.int64)
-                ok = f[x] != f[y]
-                ok &= n[x] + n[y] - differing >= 2 * need
+                need = -(-(n[x] + n[y]) * min_percent // (100 + min_percent))  # words that must be shared
+                ok = np.flatnonzero((n[x] + n[y] - differing >= 2 * need) & (f[x] != f[y]) & ((low[x] & low[y]) == 0))
                 x, y, differing = x[ok], y[ok], differing[ok]
                 before = (ids[x] < ids[y]) | ((ids[x] == ids[y]) & (number[x] < number[y]))
                 after = (ids[x] > ids[y]) | ((ids[x] == ids[y]) & (number[x] > number[y]))
                 for later, earlier, some in ((y, x, before), (x, y, after)):
-                    a, b = later[some], earlier[some]
+                    a, b, bits = later[some], earlier[some], differing[some]
                     if asked is not None:
-                        all_found.append((f[a[asked[a]]], f[b[asked[a]]]))
-                    elif len(a):
+                        a, b, bits = a[asked[a]], b[asked[a]], bits[asked[a]]
+                    if len(a):
+                        found.append((a, b, bits))
                         np.add.at(partners, a, 1)
-                        some_few = partners[a] < ENOUGH
-                        few.append((a[some_few], b[some_few]))
-                        early.offer(a, np.stack([ids[b], number[b].astype(np.int64)], axis=1), b)
-                        alike.offer(a, np.stack([differing[some], ids[b]], axis=1), b)
-
-            j, step = np.arange(first, len(f)), 1
-            while len(j) and step <= CLOSE:
-                j = j[j >= step]
-                j = j[close(j - step, j)]  # lengths grow within a key, so who fails now fails from here on
-                compare(j - step, j)
-                step += 1
+                if asked is None and sum(len(a) for a, _, _ in found) > max(PAIRS, 2 * ENOUGH * len(f)):
+                    settle()
+
+            # each entry and the CLOSE before it, but for those too long for its position
+            j = np.arange(first, len(f))
+            low_end = np.maximum(reach[first:], j - CLOSE)
+            high_end = np.where(n[first:] > m[first:], j, np.minimum(j, np.searchsorted(group | m, group[first:] | np.clip(fits[first:], 0, (1 << LENGTH_BITS) - 1), side="right")))
+            count = np.maximum(high_end - low_end, 0)
+            total = np.concatenate([[0], np.cumsum(count)])
+            at = 0
+            while total[at] < total[-1]:
+                to = max(at + 1, int(np.searchsorted(total, total[at] + BLOCK, side="right")) - 1)
+                back = np.repeat(low_end[at:to] - total[at:to], count[at:to])
+                compare(back + np.arange(total[at], total[to]), np.repeat(j[at:to], count[at:to]))
+                at = to
+            step = CLOSE + 1
+            j = j[j - reach[first:] >= step]
             wanting = asked if asked is not None else ~done & (partners < ENOUGH)
             below, above = (j[wanting[j]], np.flatnonzero(wanting)) if len(j) else (j, j)
             while len(below) or len(above):
-                below, above = below[below >= step], above[above + step < len(f)]
-                below, above = below[close(below - step, below)], above[close(above, above + step)]
+                above = above[above + step < len(f)]
+                below, above = below[below - step >= reach[below]], above[above >= reach[above + step]]
                 if not len(below) and not len(above):
                     break
                 width = max(1, BLOCK // (len(below) + len(above)))
@@ -484,22 +542,23 @@ def _meet(min_percent: int, wanted: Broadcast | None = None):
                 down, back, up, on = down[some], back[some], up[more], on[more]
                 more = (up + on >= first) & ~wanting[up + on]  # other pairs are met from the other end
                 i, j = np.concatenate([down - back, up[more]]), np.concatenate([down, (up + on)[more]])
-                some = close(i, j)
+                some = i >= reach[j]
                 compare(i[some], j[some])
-                step += len(steps) - 1
+                step += len(steps)
                 if asked is None:
                     wanting = ~done & (partners < ENOUGH)
                     below, above = below[wanting[below]], above[wanting[above]]
-                step += 1
-            if asked is not None:
-                a, b = (np.concatenate(v) for v in zip(*all_found)) if all_found else (f[:0], f[:0])
-                more = np.zeros(len(a), bool)
+            if not found:
+                a, b, more = f[:0], f[:0], np.zeros(0, bool)
+            elif asked is not None:
+                a, b, _ = (np.concatenate(v) for v in zip(*found))
+                a, b, more = f[a], f[b], np.zeros(len(a), bool)
             else:
+                settle()
                 many = partners >= ENOUGH
                 done |= many
                 some = np.flatnonzero(many)
-                x, y = (np.concatenate(v) for v in zip(*few)) if few else (some[:0], some[:0])
-                x, y = x[~many[x]], y[~many[x]]
+                x, y, _ = found[0]
                 x, y = np.concatenate([x, some, some]), np.concatenate([y, early.partner[some], alike.partner[some]])
                 a, b, more = f[x], f[y], many[x]
             if len(a):
@@ -520,7 +579,7 @@ def _sets_of(narrow: DataFrame, places: Broadcast) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.chunks(batch, "text"):
-                lines = line_sets(some_lines(W.texts(part.column(1)), np.asarray(part.column(0).fill_null(LAST_ID)), places)[0])
+                lines = line_sets(some_lines(W.texts(part.column(1)), np.asarray(part.column(0).fill_null(LAST_ID)), places)[0], whole=True)
                 f = class_keys(lines["set"], lines["at"])
                 data = [lines["set"][i:j].tobytes() for i, j in zip(lines["at"], lines["at"][1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(data, pa.binary())], ["f", "set"])
@@ -543,8 +602,8 @@ def _similar(min_percent: int):
     return similar
 
 
-def _verified(narrow: DataFrame, classes: DataFrame, pairs: DataFrame, min_percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, class b starting before class a."""
+def _verified(narrow: DataFrame, classes: DataFrame, pairs: DataFrame, min_percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) whose full sets are similar enough, class b starting before class a, and (f, set, place) of all their classes."""
     wanted = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct()
     wanted = save(wanted.join(classes.select("f", "first", F.col("first.id").alias("id")), "f"), "wanted")
     size = wanted.count()
@@ -554,7 +613,7 @@ def _verified(narrow: DataFrame, classes: DataFrame, pairs: DataFrame, min_perce
     sets = _sets_of(some, first_places(wanted)).join(wanted.select("f", place), "f")
     sets = save(sets.dropDuplicates(["f"]), "sets")
     left, right = (sets.select(F.col("f").alias(x), F.col("set").alias(f"set_{x}"), F.col("place").alias(f"place_{x}")) for x in "ab")
-    return save(pairs.select("a", "b").join(left, "a").join(right, "b").where("place_b < place_a").select("a", "b", "set_a", "set_b").mapInArrow(_similar(min_percent), "a long, b long"), "similar")
+    return save(pairs.select("a", "b").join(left, "a").join(right, "b").where("place_b < place_a").select("a", "b", "set_a", "set_b").mapInArrow(_similar(min_percent), "a long, b long"), "similar"), sets
 
 
 def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_percent: int) -> DataFrame:
@@ -567,23 +626,21 @@ def later_classes(narrow: DataFrame, classes: DataFrame, counts: Broadcast, min_
     firsts = first_places(classes)
     buckets = bucket_count(classes.count(), int(narrow.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     meet = _meet(min_percent)
-    tried = save(_entries(narrow, counts, firsts, min_percent, buckets=buckets).mapInArrow(lambda blocks: meet(_unpacked(blocks)), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")), "tried")
-    found = _verified(narrow, classes, tried, min_percent).select(F.col("a").alias("l_f")).distinct()
-    found = save(found, "later")
+    tried = save(_entries(narrow, counts, firsts, min_percent, buckets).mapInArrow(lambda blocks: meet(_unpacked(blocks)), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")), "tried")
+    similar, sets = _verified(narrow, classes, tried, min_percent)
+    found = save(similar.select(F.col("a").alias("l_f")).distinct(), "later")
     open_ = tried.where("more").select(F.col("a").alias("f")).distinct().join(found, F.col("f") == F.col("l_f"), "left_anti")
-    open_ = save(open_.join(classes.select("f", F.col("first.id").alias("id")), "f"), "open")
+    open_ = save(open_, "open")
     size = open_.count()
     if not size:
         return found
     asked = bloom.build(open_, "f", size, plane="seen", repeats=False)
-    holders = bloom.build(open_.select(F.xxhash64("id").alias("h")).distinct(), "h", size, plane="seen", repeats=False)
-    keys = _entries(narrow.where(bloom.may_hold(holders, F.xxhash64("id"))), counts, firsts, min_percent).join(open_.select("f"), "f", "left_semi")
-    keys = save(keys.select(key_of("at").alias("key")).distinct(), "keys")
-    again = _entries(narrow, counts, firsts, min_percent, bloom.build(keys, "key", keys.count(), plane="seen", repeats=False), buckets)
+    wanted = _wanted(sets.join(open_, "f", "left_semi"), counts, min_percent)
+    again = _entries(narrow, counts, firsts, min_percent, buckets, wanted)
     meet_all = _meet(min_percent, asked)
     pairs = again.mapInArrow(lambda blocks: meet_all(_unpacked(blocks)), "a long, b long, more boolean").select("a", "b").distinct()
     pairs = save(pairs.join(open_.select(F.col("f").alias("a")), "a", "left_semi").join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    more = _verified(narrow, classes, pairs, min_percent).select(F.col("a").alias("l_f"))
+    more = _verified(narrow, classes, pairs, min_percent)[0].select(F.col("a").alias("l_f"))
     return found.unionByName(more).distinct()
 
 
