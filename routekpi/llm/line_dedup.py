@@ -590,14 +590,14 @@ def _sets_of(narrow: DataFrame, places: Broadcast) -> DataFrame:
 def _similar(min_percent: int):
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch["set_a"], batch["set_b"])):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                keep[i] = 100 * both >= min_percent * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                n_a, n_b = (np.asarray(pc.binary_length(part[c])).astype(np.int64) // 8 for c in ("set_a", "set_b"))
+                words = np.frombuffer(b"".join([*part["set_a"].to_pylist(), *part["set_b"].to_pylist()]), np.uint64)
+                pair = np.repeat(np.tile(np.arange(part.num_rows, dtype=np.uint64), 2), np.concatenate([n_a, n_b]))
+                words = np.sort((pair << np.uint64(WORD_BITS)) | words)  # shared words lie side by side
+                both = np.bincount((words[1:][words[1:] == words[:-1]] >> np.uint64(WORD_BITS)).astype(np.int64), minlength=part.num_rows)
+                yield part.select(["a", "b"]).filter(pa.array(100 * both >= min_percent * (n_a + n_b - both)))
 
     return similar
 
@@ -650,10 +650,12 @@ def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                data = (text or "").encode()
+            lists = batch.column(2)
+            ends, keys, lines = (np.asarray(x) for x in (lists.offsets, lists.values.field("key"), lists.values.field("number")))
+            for text, i, j in zip(batch.column(1).cast(pa.binary()).to_pylist(), ends, ends[1:]):
+                data = text or b""
                 key = int.from_bytes(hashlib.sha256(data).digest()[:8], "little", signed=True)
-                numbers = {g["number"] for g in gone if g["key"] == key}
+                numbers = set(lines[i:j][keys[i:j] == key].tolist())
                 kept = b"\n".join([x for i, x in enumerate(data.split(b"\n")) if i not in numbers])
                 out.append((key, len(numbers), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None))
             columns = [pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))]

@@ -144,3 +144,14 @@ def test_wanted_entries_come_from_saved_sets(spark):
     prefix = {w for s, i, j in zip(sets, begin, begin[1:]) for w in s.tolist() if line_dedup.word_ranks(np.array([w], np.uint64), counts)[0] in ranks[i:j]}
     got = np.flatnonzero(np.unpackbits(bits, bitorder="little"))
     assert got.tolist() == sorted({w & (line_dedup.COUNTERS - 1) for w in prefix}) and len(got) > 5
+
+
+def test_full_sets_are_compared():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 6, rng.integers(1, 14)) * ((1 << 41) - 7)).astype(np.uint64) for _ in range(10000)]
+    a, b = sets[::2], sets[1::2]
+    binary = lambda x: pa.array([s.tobytes() for s in x], pa.binary())
+    batch = pa.RecordBatch.from_pydict({"a": np.arange(5000), "b": -np.arange(5000), "set_a": binary(a), "set_b": binary(b)})
+    got = [r["a"] for x in line_dedup._similar(80)(iter([batch.slice(0, 0), batch.slice(10)])) for r in x.to_pylist()]
+    want = [i for i in range(10, 5000) if 100 * len(np.intersect1d(a[i], b[i])) >= 80 * len(np.union1d(a[i], b[i]))]
+    assert got == want and 50 < len(got) < 4900
